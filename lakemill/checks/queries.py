@@ -426,7 +426,10 @@ def range_self_join(spark, sf_dir):
 @query
 def max_avg_run(spark, sf_dir):
     """Valid orders only, so that ids are missing."""
-    return sequences.best_average_run(_valid(spark, sf_dir, "order_sn", "order_money"), "order_sn", "order_money")
+    ids = model.orders(spark, sf_dir).filter(~F.col("order_status").isin(*model.REFUNDED))
+    return sequences.best_average_run(
+        _valid(spark, sf_dir, "order_sn", "order_money"), "order_sn", "order_money",
+        bounds=sequences.id_bounds(ids, "order_sn"))
 
 
 @query

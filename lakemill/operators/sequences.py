@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-WIDTH = 1 << 18
+WIDTH = 1 << 18  # prefix sums: few ranges, as their totals are ordered in one task
+BAND_WIDTH = 1 << 14  # bands: many small ranges, each overlapping the next by the band only
 
 
 def per_id(df: DataFrame, id_col: str, amount: str) -> DataFrame:
@@ -49,7 +50,7 @@ def _with_halo(df: DataFrame, id_col: str, reach: int, width: int) -> DataFrame:
 
 
 def banded_pairs(
-    df: DataFrame, id_col: str, columns: list[str], nearest: int, farthest: int, width: int = WIDTH
+    df: DataFrame, id_col: str, columns: list[str], nearest: int, farthest: int, width: int = BAND_WIDTH
 ) -> DataFrame:
     """Pairs (left, right) of rows with ``nearest <= right id - left id <= farthest``.
 
@@ -79,11 +80,23 @@ def _fill_near_gaps(rows: DataFrame, id_col: str, amount: str, reach: int) -> Da
     return marked.withColumn("_id", F.explode(F.sequence(F.least(start, i), stop))).select(
         "_range",
         F.col("_id").alias(id_col),
-        F.when(F.col("_id") == i, F.col(amount)).otherwise(F.lit(0)).cast("decimal(38,2)").alias(amount),
+        F.when(F.col("_id") == i, F.col(amount)).otherwise(F.lit(0)).alias(amount),
     )
 
 
-def best_average_run(df: DataFrame, id_col: str, amount: str, min_distance: int = 20, width: int = WIDTH) -> DataFrame:
+def id_bounds(df: DataFrame, id_col: str) -> DataFrame:
+    """One row: the smallest and the greatest id."""
+    return df.agg(F.struct(F.min(id_col).alias("low"), F.max(id_col).alias("high")).alias("bounds"))
+
+
+def best_average_run(
+    df: DataFrame,
+    id_col: str,
+    amount: str,
+    min_distance: int = 20,
+    width: int = BAND_WIDTH,
+    bounds: DataFrame | None = None,
+) -> DataFrame:
     """The run of consecutive ids with the greatest average amount.
 
     A run spans at least ``min_distance + 1 = k`` ids between the smallest and the greatest id; an
@@ -93,47 +106,53 @@ def best_average_run(df: DataFrame, id_col: str, amount: str, min_distance: int
 
     One row: ``seq_index`` 1, the average, ``id_range`` ``first-last`` of the first best run (lowest
     start, then shortest) and ``matchnum``, how many runs of those lengths tie with it.
+
+    ``bounds`` may bring the result of :func:`id_bounds` from a cheaper frame with the same ids, for
+    instance the rows before a dedupe by id.
     """
     k = min_distance + 1
     reach = 2 * k - 2
-    totals = per_id(df, id_col, amount)
-    bounds = df.agg(F.struct(F.min(id_col).alias("low"), F.max(id_col).alias("high")).alias("bounds"))
+    # Whole cents in 64 bits: exact like decimals, and a range never sums more than its own ids.
+    cents = (F.col("_amount").cast("decimal(18,2)") * 100).cast("bigint")
+    totals = df.groupBy(id_col).agg(F.sum(amount).alias("_amount")).select(id_col, cents.alias("_cents"))
+    bounds = id_bounds(df, id_col) if bounds is None else bounds
     rows = _with_halo(totals, id_col, reach, width).withColumn("_bounds", bounds.scalar())
-    dense = _fill_near_gaps(rows, id_col, amount, reach)
+    dense = _fill_near_gaps(rows, id_col, "_cents", reach)
 
     order = Window.partitionBy("_range").orderBy(id_col)
-    total = F.sum(amount).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    summed = dense.withColumn("_sum", total).withColumn("_prior", F.col("_sum") - F.col(amount))
-    distances = range(min_distance, reach + 1)
-    start_of = {d: F.lag(F.struct(F.col(id_col).alias("id"), F.col("_prior").alias("prior")), d).over(order) for d in distances}
-    lagged = summed.withColumns({f"_at{d}": c for d, c in start_of.items()})
-    averages = F.array(*[
-        F.when(F.col(f"_at{d}.id") == F.col(id_col) - d, (F.col("_sum") - F.col(f"_at{d}.prior")).cast("double") / (d + 1))
-        for d in distances
-    ])
-    ends = (
-        lagged.filter(F.col("_range") == _range_of(F.col(id_col), width))
-        .select("_range", F.col(id_col).alias("_end"), averages.alias("_avgs"))
-        .withColumn("_best", F.array_max("_avgs"))
-        .filter(F.col("_best").isNotNull())
-    )
-    hits = F.filter(
-        F.transform("_avgs", lambda a, i: F.when(a == F.col("_best"), F.col("_end") - min_distance - i)),
-        lambda s: s.isNotNull(),
-    )
-    # Within a right end the lowest start is the longest run; across ends the lowest start wins,
-    # then the lowest end.
-    tied = ends.select(
-        "_range", "_best", F.size(hits).cast("bigint").alias("_ties"),
-        F.struct(F.array_min(hits).alias("first"), F.col("_end").alias("last")).alias("_span"),
-    )
-    per_value = tied.groupBy("_range", "_best").agg(F.sum("_ties").alias("_ties"), F.min("_span").alias("_span"))
-    per_range = per_value.groupBy("_range").agg(
-        F.max("_best").alias("_best"), F.max_by(F.struct("_ties", "_span"), "_best").alias("_hit")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = F.col(id_col)
+    new_island = F.when(F.coalesce(F.lag(id_col).over(order) + 1 != end, F.lit(True)), end)
+    summed = dense.withColumns({"_new": new_island, "_sum": F.sum("_cents").over(so_far)})
+    # A frame of rows over one number is cheap to collect. Rows are consecutive ids inside an island,
+    # so the last entry belongs to the start min_distance ids back and each earlier one to one id more.
+    band = order.rowsBetween(-reach, -min_distance)
+    starts = summed.withColumns({
+        "_island": F.max("_new").over(so_far),
+        "_priors": F.collect_list(F.col("_sum") - F.col("_cents")).over(band),
+    })
+    native = starts.filter(F.col("_range") == _range_of(end, width)).withColumn("_last", F.size("_priors") - 1)
+
+    def average(prior: Column, back) -> Column:
+        mean = (F.col("_sum") - prior).cast("double") / 100 / (back + 1)
+        return F.when(end - back >= F.col("_island"), mean)
+
+    # Plain expressions over array positions stay in generated code, a lambda over the array would not.
+    averages = [average(F.get("_priors", F.col("_last") - j), F.lit(min_distance + j)) for j in range(k)]
+    best = native.withColumn("_best", F.greatest(*averages))
+    # Only right ends that reach their range's best go on to the comparison of single runs.
+    top = F.max("_best").over(Window.partitionBy("_range"))
+    ends = best.withColumn("_top", top).filter(F.col("_best") == F.col("_top"))
+    runs = ends.select("*", F.posexplode("_priors").alias("_at", "_prior"))
+    back = F.col("_last") - F.col("_at") + min_distance
+    tied = runs.filter(average(F.col("_prior"), back) == F.col("_best")).select(
+        "_range", "_best", F.lit(1).alias("_ties"),
+        F.struct((end - back).alias("first"), end.alias("last")).alias("_span"),
     )
+    per_range = tied.groupBy("_range", "_best").agg(F.sum("_ties").alias("_ties"), F.min("_span").alias("_span"))
     winner = (
         per_range.groupBy("_best")
-        .agg(F.sum("_hit._ties").alias("matchnum"), F.min("_hit._span").alias("_span"))
+        .agg(F.sum("_ties").alias("matchnum"), F.min("_span").alias("_span"))
         .orderBy(F.col("_best").desc())
         .limit(1)
     )

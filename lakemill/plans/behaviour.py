@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from lakemill.functions.money import as_double, percent_text
 from lakemill.functions.times import DAY_PATTERN
+from lakemill.operators.joins import broadcast_if_small
 from lakemill.operators.ranking import top_k
 
 
@@ -79,12 +80,12 @@ def item_overlap(
 ) -> DataFrame:
     """Known users who bought most of the known products the target user bought; ties go by id.
 
-    The target's products are found first and reduce the lines before these meet the orders. Users
-    are checked against the customers after counting, when they are one row each. No side is forced
-    to broadcast: Spark does so only for sides it measures as small.
+    The target's orders, then the target's products, are found first (two actions) and broadcast if
+    their count allows, so that the lines are reduced without a shuffle before they meet the orders.
+    Users are checked against the customers after counting, when they are one row each.
     """
-    own_orders = orders.filter(F.col(user) == target).select(order)
-    wanted = (
+    own_orders = broadcast_if_small(orders.filter(F.col(user) == target).select(order))
+    wanted = broadcast_if_small(
         lines.join(own_orders, order, "left_semi").select(product).distinct()
         .join(products.select(product), product, "left_semi")
     )
