@@ -43,8 +43,8 @@ def keyed_upsert(
     parts = partition_columns(spark, table)
     if not parts:
         raise ValueError(f"{table} is not partitioned")
-    batch = dedupe_latest(conform(df, stored), keys, precombine)
-
+    # Not reduced to one row per key yet: the merge below does that together with the stored rows.
+    batch = conform(df, stored)
     key_match = stored.select(*keys, *parts).join(batch.select(*keys), keys, "left_semi").select(*parts)
     # Distinct partition values only: as many as the catalog lists, not as many as there are rows.
     touched = key_match.union(batch.select(*parts)).distinct().collect()
