@@ -39,6 +39,8 @@ def keyed_upsert(
     a failure half-way, gives the same table.
     """
     spark = df.sparkSession
+    # Another session may have rewritten the table since this one listed its files.
+    spark.catalog.refreshTable(table)
     stored = spark.table(table)
     parts = partition_columns(spark, table)
     if not parts:

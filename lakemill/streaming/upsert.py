@@ -19,3 +19,5 @@ def upsert_stream(stream: DataFrame, table: str, keys: list[str], precombine: li
         keyed_upsert(rows, table, keys, precombine)
 
     drain_batches(stream, handle, checkpoint)
+    # Batches run in a session of their own; the caller's session still knows the old files.
+    stream.sparkSession.catalog.refreshTable(table)

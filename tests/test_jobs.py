@@ -1,0 +1,140 @@
+import pytest
+from helpers import day, rows, ts
+from pyspark.sql.types import StructType
+
+from lakemill.operators.shape import empty_like
+from lakemill.plans import feeds, jobs
+from lakemill.session import fresh_database
+
+FEEDS = {"retail_a": feeds.RETAIL_A, "retail_b": feeds.RETAIL_B, "manufacturing": feeds.MANUFACTURING}
+
+
+def spec_of(feed, name):
+    return next(s for s in feed if s.source == name)
+
+
+def source(spark, spec, items, extra=""):
+    """Rows given as dicts; columns not named are NULL."""
+    schema = StructType.fromDDL(spec.columns + extra)
+    return spark.createDataFrame([tuple(i.get(f.name) for f in schema) for i in items], schema)
+
+
+@pytest.fixture
+def layers_of(spark):
+    def make(feed):
+        ods, dwd = fresh_database(spark, "ods"), fresh_database(spark, "dwd")
+        jobs.set_up(spark, feed, ods, dwd)
+        return ods, dwd
+    return make
+
+
+@pytest.mark.parametrize("feed", FEEDS)
+def test_every_feed_sets_up(spark, feed):
+    ods, dwd = fresh_database(spark, "ods"), fresh_database(spark, "dwd")
+    cleaned = feed != "manufacturing"
+    jobs.set_up(spark, FEEDS[feed], ods, dwd, cleaned)
+    jobs.set_up(spark, FEEDS[feed], ods, dwd, cleaned)
+    for spec in FEEDS[feed]:
+        raw = spark.table(f"{ods}.{spec.source}").columns
+        assert raw[-1] == spec.partition and set(spec.keys) <= set(raw)
+        if cleaned:
+            target = spark.table(f"{dwd}.{spec.target}").columns
+            assert set(raw) < set(target) and target[-1] == spec.partition
+
+
+def test_every_spec_names_real_columns():
+    for feed in FEEDS.values():
+        for spec in feed:
+            names = set(StructType.fromDDL(spec.columns).names)
+            used = {*spec.keys, *spec.order, *spec.time_columns, *(c for f in spec.fills for c in f)}
+            used |= set(spec.watermark.columns) if spec.watermark else set()
+            assert used <= names, spec.source
+
+
+def test_dimension_over_two_nights(spark, layers_of):
+    spec = spec_of(feeds.RETAIL_A, "user_info")
+    ods, dwd = layers_of((spec,))
+    first = [
+        {"id": 1, "name": "ann", "create_time": ts("2024-01-01 10:00:00")},
+        {"id": 2, "name": "bob", "create_time": ts("2024-01-01 11:00:00"), "operate_time": ts("2024-01-02 11:00:00")},
+    ]
+    second = first + [
+        {"id": 1, "name": "anna", "create_time": ts("2024-01-01 10:00:00"), "operate_time": ts("2024-01-03 09:00:00")},
+        {"id": 3, "name": "cid", "create_time": ts("2024-01-03 09:30:00")},
+    ]
+    for night, items in (("20240102", first), ("20240103", second)):
+        run_ts = f"{night[:4]}-{night[4:6]}-{night[6:]} 23:00:00"
+        jobs.extract_feed(spark, (spec,), lambda _: source(spark, spec, items), ods, night, run_ts)
+        jobs.clean_feed(spark, (spec,), ods, dwd, night, run_ts)
+    assert rows(spark.table(f"{ods}.user_info"), "id", "etl_date") == [
+        (1, "20240102"), (1, "20240103"), (2, "20240102"), (3, "20240103")]
+    night1, night2 = ts("2024-01-02 23:00:00"), ts("2024-01-03 23:00:00")
+    want = [(1, "anna", night1, night2, "20240103"), (2, "bob", night1, night1, "20240102"),
+            (3, "cid", night2, night2, "20240103")]
+    got = ("id", "name", "dwd_insert_time", "dwd_modify_time", "etl_date")
+    assert rows(spark.table(f"{dwd}.dim_user_info"), *got) == want
+    jobs.clean_feed(spark, (spec,), ods, dwd, "20240103", "2024-01-03 23:00:00")
+    assert rows(spark.table(f"{dwd}.dim_user_info"), *got) == want
+
+
+def test_source_without_time_gets_the_load_time(spark, layers_of):
+    spec = spec_of(feeds.RETAIL_A, "base_region")
+    ods, dwd = layers_of((spec,))
+    for night, ids in (("20240102", ["8", "9"]), ("20240103", ["8", "9", "10"])):
+        jobs.extract_increment(source(spark, spec, [{"id": i} for i in ids]), spec, ods, night, f"2024-01-0{night[-1]} 01:00:00")
+    assert rows(spark.table(f"{ods}.base_region"), "id", "create_time", "etl_date") == [
+        ("10", ts("2024-01-03 01:00:00"), "20240103"), ("8", ts("2024-01-02 01:00:00"), "20240102"),
+        ("9", ts("2024-01-02 01:00:00"), "20240102")]
+
+
+def test_facts_keep_all_versions_and_rebuild_only_their_days(spark, layers_of):
+    spec = spec_of(feeds.RETAIL_B, "order_master")
+    ods, dwd = layers_of((spec,))
+
+    def order(i, sn, city, created, status, modified):
+        return {"order_id": i, "order_sn": sn, "city": city, "create_time": created, "order_status": status,
+                "pay_time": "NULL", "modified_time": ts(modified)}
+
+    first = [order(1, "s1", "short", "20240101080000", "paid", "2024-01-01 09:00:00"),
+             order(2, "s2", "a very long city", "20240101090000", "paid", "2024-01-01 09:00:00"),
+             order(3, "s3", "short", "20231231080000", "paid", "2024-01-01 09:00:00")]
+    second = first + [order(1, "s1", "short", "20240101080000", "returned", "2024-01-02 09:00:00")]
+    table = f"{dwd}.fact_order_master"
+    for night, items in (("20240101", first), ("20240102", second)):
+        jobs.extract_increment(source(spark, spec, items), spec, ods, night, "2024-01-02 23:00:00")
+        jobs.clean(spark, spec, ods, dwd, night, f"2024-01-0{night[-1]} 23:00:00")
+    assert rows(spark.table(table), "order_id", "order_status", "etl_date", "create_time", "pay_time") == [
+        (1, "paid", "20240101", ts("2024-01-01 08:00:00"), None),
+        (1, "returned", "20240101", ts("2024-01-01 08:00:00"), None),
+        (3, "paid", "20231231", ts("2023-12-31 08:00:00"), None)]
+    assert rows(spark.table(table), "order_id", "dwd_modify_time")[-1] == (3, ts("2024-01-01 23:00:00"))
+
+
+def test_keyed_increment_keeps_earlier_loads(spark, layers_of):
+    spec = spec_of(feeds.RETAIL_A, "sku_info")
+    ods, _ = layers_of((spec,))
+    for night, items in (("20240101", [(1, "a", "2024-01-01"), (2, "b", "2024-01-01")]), ("20240102", [(1, "a2", "2024-01-02")])):
+        items = [{"id": i, "sku_name": n, "create_time": day(d)} for i, n, d in items]
+        jobs.extract_increment(source(spark, spec, items), spec, ods, night, "2024-01-02 23:00:00", keyed=True)
+    assert rows(spark.table(f"{ods}.sku_info"), "id", "sku_name", "etl_date") == [(1, "a2", "20240102"), (2, "b", "20240101")]
+
+
+@pytest.mark.parametrize("keyed,kept", [(True, 1), (False, 2)])
+def test_full_snapshot_with_composite_key(spark, keyed, kept):
+    spec = spec_of(feeds.MANUFACTURING, "ProduceRecord")
+    ods = fresh_database(spark, "ods")
+    items = [{"ProduceRecordID": 1, "ProduceMachineID": 7, "ProduceCodeEndTime": day(d), "ProducePrgCode": "x"}
+             for d in ("2024-01-01", "2024-01-02")]
+    df = source(spark, spec, items, ", ProducePrgCode string")
+    jobs.extract_full(df, spec, ods, "20240102", "2024-01-02 00:00:00", keyed)
+    jobs.extract_full(df, spec, ods, "20240103", "2024-01-03 00:00:00", keyed)
+    out = spark.table(f"{ods}.ProduceRecord")
+    assert "ProducePrgCode" not in out.columns and out.count() == kept
+    assert rows(out.select("etldate").distinct()) == [("20240103",)]
+
+
+def test_cleaned_schema_turns_text_times_into_times(spark, layers_of):
+    spec = spec_of(feeds.RETAIL_B, "order_master")
+    ods, dwd = layers_of((spec,))
+    types = dict(empty_like(spark.table(f"{dwd}.fact_order_master")).dtypes)
+    assert {types[c] for c in ("create_time", "pay_time", "shipping_time", "dwd_insert_time")} == {"timestamp_ntz"}
