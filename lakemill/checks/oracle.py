@@ -104,6 +104,15 @@ JOIN (SELECT {p}, CAST(quantile_disc(order_money, 0.5) AS DOUBLE) AS pm FROM {so
 USING ({p})"""
 
 
+_CITY_AVERAGE = _average(
+    "city", "province", "year, month", "cities", "city AS cityname, province AS provincename",
+    "cityavgconsumption", "provinceavgconsumption")
+
+_CITY_MEDIAN = _median(
+    "city", "province", "year, month", "cities",
+    "city AS cityname, cm AS citymidconsumption, province AS provincename, pm AS provincemidconsumption, "
+    f"{_LABEL.format('cm', 'pm')} AS comparison")
+
 _HOURS = "events_m AS (SELECT ts, CAST(value AS DECIMAL(18,2)) AS order_money FROM events)"
 
 
@@ -159,7 +168,7 @@ SELECT {_LINE_COLUMNS}, CAST(year(modified_time) AS INTEGER) AS ship_year FROM l
 def statements() -> dict[str, str]:
     return {
         "catalog_scan": f"SELECT * REPLACE ({_text('o_orderdate')} AS o_orderdate) FROM orders",
-        "read_columns": "SELECT l_orderkey, l_partkey, l_quantity FROM lineitem",
+        "read_cols": "SELECT l_orderkey, l_partkey, l_quantity FROM lineitem",
         "keyed_scan": f"WITH {_ORDERS} SELECT {_ORDER_COLUMNS} FROM orders_m",
         "empty_like": f"{_CUSTOMERS}, {_STAMPS} FROM customer",
         "full_extract": f"SELECT * EXCLUDE (c_mktsegment), '{RUN_DAY}' AS etldate FROM customer",
@@ -179,7 +188,7 @@ FROM orders_m WHERE order_sn > (SELECT max(order_sn) FROM orders_m WHERE order_s
         "fill_operate_time": f"WITH {_ORDERS} SELECT {_ORDER_COLUMNS}, "
         f"{_text(f'coalesce({_OPERATED}, create_time)')} AS operate_time FROM orders_m",
         "audit_stamp": f"{_CUSTOMERS}, {_STAMPS} FROM customer",
-        "normalise": f"""SELECT event_id, event_type, CASE WHEN event_type IN ('click', 'view', 'purchase')
+        "normalise_times": f"""SELECT event_id, event_type, CASE WHEN event_type IN ('click', 'view', 'purchase')
 THEN {_text("date_trunc('second', ts)")} END AS event_time FROM events""",
         "dim_merge": f"""WITH {_LINES}, versions AS (
   SELECT *, CASE WHEN modified_time < TIMESTAMP '{SPLIT}' THEN '{FIRST_RUN}' ELSE '{SECOND_RUN}' END AS stamp FROM lines),
@@ -220,13 +229,12 @@ UNION ALL SELECT s_suppkey, s_name, s_nationkey FROM supplier""",
         "region_rollup": f"WITH {_PLACED} {_ROLLUP}",
         "region_rollup_keyed": f"""WITH {_PLACED}, r AS ({_ROLLUP})
 SELECT year, count(DISTINCT (province_id, region_id, month)) AS keys, count(*) AS rows FROM r GROUP BY year""",
-        "avg_vs_parent": f"WITH {_VALID_CITIES} " + _average(
-            "city", "province", "year, month", "cities", "city AS cityname, province AS provincename",
-            "cityavgconsumption", "provinceavgconsumption"),
-        "median_vs_parent": f"WITH {_VALID_CITIES} " + _median(
-            "city", "province", "year, month", "cities",
-            "city AS cityname, cm AS citymidconsumption, province AS provincename, pm AS provincemidconsumption, "
-            f"{_LABEL.format('cm', 'pm')} AS comparison"),
+        "avg_vs_parent": f"WITH {_VALID_CITIES} {_CITY_AVERAGE}",
+        "avg_vs_parent_top": f"WITH {_VALID_CITIES}, r AS ({_CITY_AVERAGE}) SELECT * FROM r "
+        "ORDER BY cityavgconsumption DESC, provinceavgconsumption DESC, cityname LIMIT 5",
+        "median_vs_parent": f"WITH {_VALID_CITIES} {_CITY_MEDIAN}",
+        "median_vs_parent_top": f"WITH {_VALID_CITIES}, r AS ({_CITY_MEDIAN}) SELECT * FROM r "
+        "ORDER BY citymidconsumption DESC, provincemidconsumption DESC, cityname LIMIT 5",
         "avg_vs_region": f"WITH {_PLACED} " + _average(
             "province_id, province_name", "region_id, region_name", "year, month", "placed",
             "province_id AS provinceid, province_name AS provincename, region_id AS regionid, region_name AS regionname",
@@ -268,6 +276,7 @@ FROM a LEFT JOIN b USING (sequence) WHERE sequence <= 10""",
         "pivot_counts": f"WITH {_VALID_CITIES} SELECT " + ", ".join(
             f"count(*) FILTER (WHERE city = 'NATION_{i}') AS \"NATION_{i}\"" for i in range(NATIONS)) + " FROM cities",
         "running_total": _running(),
+        "running_total_top": f"SELECT * FROM ({_running()}) ORDER BY consumptiontime LIMIT 5",
         "running_total_range": _running(
             "WHERE ts BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-20 09:59:59'"),
         "sliding_window": _sliding(),
@@ -307,10 +316,10 @@ FROM orders_m LEFT JOIN sums USING (order_sn)""",
         "ORDER BY customer_id, total_amount DESC, year, month, day LIMIT 5",
         "city_month_top": f"WITH {_VALID_CITIES}, m AS ({_CITY_MONTH.format('cities')}) "
         "SELECT * REPLACE (CAST(trunc(total_amount) AS BIGINT) AS total_amount) FROM "
-        "(SELECT * FROM m ORDER BY total_count DESC, total_amount DESC, city_name LIMIT 5)",
+        "(SELECT * FROM m ORDER BY total_count DESC, total_amount DESC, city_name, year, month LIMIT 5)",
         "region_rollup_top": f"WITH {_PLACED}, m AS ({_ROLLUP}) "
         "SELECT * REPLACE (CAST(trunc(total_amount) AS BIGINT) AS total_amount) FROM "
-        "(SELECT * FROM m ORDER BY total_count DESC, total_amount DESC, province_id DESC LIMIT 5)",
+        "(SELECT * FROM m ORDER BY total_count DESC, total_amount DESC, province_id DESC, year, month LIMIT 5)",
         "write_partitioned": f"WITH {_ORDERS} SELECT {_ORDER_COLUMNS}, CAST(year(create_time) AS INTEGER) AS year FROM orders_m",
         "append_partition": f"""WITH {_ORDERS} SELECT {_ORDER_COLUMNS},
 CASE WHEN create_time < TIMESTAMP '{SPLIT}' THEN '20240130' ELSE '{RUN_DAY}' END AS etl_date FROM orders_m""",

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType, TimestampNTZType, TimestampType
 
 from lakemill.functions.times import normalise_times
-from lakemill.operators import dedupe, incremental, merge, ranking, sequences, shape
-from lakemill.plans import behaviour, compare, consumption, jobs, model, series, toplists
+from lakemill.operators import dedupe, incremental, merge, sequences, shape
+from lakemill.plans import behaviour, compare, consumption, jobs, model, reports, series, toplists
 from lakemill.plans.feeds import RESULTS, TableSpec
 from lakemill.session import fresh_database, fresh_dir
 from lakemill.sinks import keyed, layers, tables
@@ -33,7 +33,8 @@ _REGISTRY: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    _REGISTRY[fn.__name__] = lambda spark, sf_dir: plain(fn(spark, sf_dir))
+    """Register under the function's name; a trailing underscore keeps it apart from an import."""
+    _REGISTRY[fn.__name__.rstrip("_")] = lambda spark, sf_dir: plain(fn(spark, sf_dir))
     return fn
 
 
@@ -83,7 +84,7 @@ def catalog_scan(spark, sf_dir):
 
 
 @query
-def read_columns(spark, sf_dir):
+def read_cols_(spark, sf_dir):
     return read_cols(spark, _catalog(spark, sf_dir, "lineitem"), ["l_orderkey", "l_partkey", "l_quantity"])
 
 
@@ -176,7 +177,7 @@ def audit_stamp(spark, sf_dir):
 
 
 @query
-def normalise(spark, sf_dir):
+def normalise_times_(spark, sf_dir):
     """Event times as text in five spellings, one per event type."""
     at, kind = F.col("ts"), F.col("event_type")
     text = (
@@ -317,20 +318,16 @@ def city_month_consumption(spark, sf_dir):
     return consumption.city_month_consumption(_valid_cities(spark, sf_dir))
 
 
-def _rollup(spark, sf_dir):
-    return consumption.region_rollup(
-        model.province_orders(spark, sf_dir), model.nations(spark, sf_dir), model.regions(spark, sf_dir))
-
-
 @query
 def region_rollup(spark, sf_dir):
-    return _rollup(spark, sf_dir)
+    return consumption.region_rollup(
+        model.province_orders(spark, sf_dir), model.nations(spark, sf_dir), model.regions(spark, sf_dir))
 
 
 @query
 def region_rollup_keyed(spark, sf_dir):
     """The record key is a digest; the check compares how many distinct keys there are per year."""
-    keyed_rows = consumption.keyed_rollup(_rollup(spark, sf_dir))
+    keyed_rows = consumption.keyed_rollup(region_rollup(spark, sf_dir))
     return keyed_rows.groupBy("year").agg(F.count_distinct("uuid").alias("keys"), F.count("*").alias("rows"))
 
 
@@ -467,24 +464,32 @@ def order_amount_diff(spark, sf_dir):
 
 @query
 def top_k(spark, sf_dir):
-    valid = _valid(spark, sf_dir, "customer_id", "order_money", "create_time")
-    days = consumption.user_day_consumption(valid, model.customers(spark, sf_dir))
-    order = [F.col("customer_id"), F.col("total_amount").desc(), F.col("year"), F.col("month"), F.col("day")]
-    return ranking.top_k(days, order, 5)
+    return reports.read_back(user_day_consumption(spark, sf_dir), "user_consumption_day_aggr")
 
 
 @query
 def city_month_top(spark, sf_dir):
-    months = consumption.city_month_consumption(_valid_cities(spark, sf_dir))
-    order = [F.col("total_count").desc(), F.col("total_amount").desc(), F.col("city_name")]
-    return ranking.top_k(months, order, 5).withColumn("total_amount", F.col("total_amount").cast("bigint"))
+    return reports.read_back(city_month_consumption(spark, sf_dir), "city_consumption_day_aggr")
 
 
 @query
 def region_rollup_top(spark, sf_dir):
-    order = [F.col("total_count").desc(), F.col("total_amount").desc(), F.col("province_id").desc()]
-    top = ranking.top_k(_rollup(spark, sf_dir), order, 5)
-    return top.withColumn("total_amount", F.col("total_amount").cast("bigint"))
+    return reports.read_back(region_rollup(spark, sf_dir), "province_consumption_day_aggr")
+
+
+@query
+def avg_vs_parent_top(spark, sf_dir):
+    return reports.read_back(avg_vs_parent(spark, sf_dir), "cityavgcmpprovince")
+
+
+@query
+def median_vs_parent_top(spark, sf_dir):
+    return reports.read_back(median_vs_parent(spark, sf_dir), "citymidcmpprovince")
+
+
+@query
+def running_total_top(spark, sf_dir):
+    return reports.read_back(running_total(spark, sf_dir), "accumulateconsumption")
 
 
 # --- sinks and maintenance ---------------------------------------------------------------------

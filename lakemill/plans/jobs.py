@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakemill.functions.times import normalise_times, partition_day, time_of
+from lakemill.functions.times import DAY_PATTERN, normalise_times, partition_day, time_of
 from lakemill.operators.incremental import incremental_pushed
 from lakemill.operators.merge import dim_merge
 from lakemill.operators.shape import (
@@ -98,7 +98,13 @@ def clean(spark: SparkSession, spec: TableSpec, ods: str, dwd: str, run_day: str
     day = partition_day(time_of(raw, spec.event_time))
     # Distinct days of one load: bounded by the calendar.
     days = [r[0] for r in raw.filter(F.col(spec.partition) == run_day).select(day).distinct().collect()]
-    touched = day.isin([d for d in days if d is not None])
+    known = sorted(d for d in days if d is not None)
+    touched = day.isin(known)
+    if known and raw.schema[spec.event_time].dataType.simpleString() != "string":
+        # The span of those days as plain bounds, which the scan can use to skip row groups.
+        start, end = (F.to_timestamp_ntz(F.lit(d), F.lit(DAY_PATTERN)) for d in (known[0], known[-1]))
+        at = F.col(spec.event_time)
+        touched = touched & (at >= start) & (at < end + F.expr("interval 1 day"))
     rows = rows.filter(touched | day.isNull() if None in days else touched)
     rules = [F.expr(rule) for rule in spec.rules]
     rows = fact_clean(rows, spec.event_time, list(spec.time_columns), run_ts, rules, partition_column=spec.partition)

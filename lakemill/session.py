@@ -24,6 +24,8 @@ def build_session(app: str = "lakemill", master: str | None = None, **conf: str)
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Rebalanced writes aim at this much shuffle data per file.
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
         OVERWRITE_MODE: "dynamic",
         **conf,
     }

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from lakemill.operators.dedupe import dedupe_latest
+from lakemill.operators.joins import broadcast_if_small
 from lakemill.operators.merge import latest_per_key
 from lakemill.operators.shape import conform
 from lakemill.session import fresh_dir, remove_dir
@@ -26,12 +27,18 @@ def precombine_write(
 
 
 def keyed_upsert(
-    df: DataFrame, table: str, keys: list[str], precombine: list[str], merge: Merge | None = None
+    df: DataFrame,
+    table: str,
+    keys: list[str],
+    precombine: list[str],
+    merge: Merge | None = None,
+    keys_move: bool = True,
 ) -> None:
     """Insert new keys and update known ones, rewriting only the partitions involved.
 
     ``merge(batch, stored)`` combines the batch with the stored rows of those partitions; by default
-    the latest row per key stays.
+    the latest row per key stays. ``keys_move=False`` promises that a key never changes partition and
+    saves looking up where the batch's keys are stored.
 
     Involved are the partitions of the batch and those where its keys are stored now, so a key that
     moves leaves its old partition. Merged rows are staged in full before any partition is
@@ -47,9 +54,13 @@ def keyed_upsert(
         raise ValueError(f"{table} is not partitioned")
     # Not reduced to one row per key yet: the merge below does that together with the stored rows.
     batch = conform(df, stored)
-    key_match = stored.select(*keys, *parts).join(batch.select(*keys), keys, "left_semi").select(*parts)
     # Distinct partition values only: as many as the catalog lists, not as many as there are rows.
-    touched = key_match.union(batch.select(*parts)).distinct().collect()
+    touched = set(batch.select(*parts).distinct().collect())
+    if keys_move and touched:
+        arriving = batch.select(*keys).distinct()
+        found = stored.select(*keys, *parts).join(broadcast_if_small(arriving), keys, "left_semi")
+        touched |= set(found.select(*parts).distinct().collect())
+        arriving.unpersist()
     if not touched:
         return
     affected = _in_partitions(stored, parts, touched)
@@ -64,7 +75,7 @@ def keyed_upsert(
     remove_dir(spark, stage)
 
 
-def _in_partitions(stored: DataFrame, parts: list[str], values: list[Row]) -> DataFrame:
+def _in_partitions(stored: DataFrame, parts: list[str], values: set[Row]) -> DataFrame:
     """Rows of the given partitions. The list of partition values is the broadcast side; it prunes the scan."""
     spark = stored.sparkSession
     schema = StructType([stored.schema[p] for p in parts])
