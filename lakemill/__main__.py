@@ -13,7 +13,7 @@ import argparse
 from lakemill.plans import feeds, jobs, measures
 from lakemill.session import build_session
 from lakemill.sinks.layers import create_layer
-from lakemill.sinks.tables import rebalanced
+from lakemill.sinks.tables import publish
 from lakemill.sources.relational import Connection, read_table
 
 FEEDS = {"retail_a": feeds.RETAIL_A, "retail_b": feeds.RETAIL_B, "manufacturing": feeds.MANUFACTURING}
@@ -57,8 +57,7 @@ def run(spark, args) -> None:
     else:
         create_layer(spark, args.results)
         for name in args.name or MEASURES[args.feed]:
-            result = MEASURES[args.feed][name](spark, args.dwd)
-            rebalanced(result, []).write.mode("overwrite").format("parquet").saveAsTable(f"{args.results}.{name}")
+            publish(MEASURES[args.feed][name](spark, args.dwd), f"{args.results}.{name}")
             spark.catalog.clearCache()
 
 

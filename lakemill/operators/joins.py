@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 BROADCAST_ROWS = 1_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a narrow side for broadcast after counting it; a longer side is returned for a shuffled join.
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a frame has at most ``max_rows`` rows (an action; every task stops counting at the limit)."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
-    Spark cannot know how selective a filter is before it runs and would shuffle the other, large
-    side. The count stops above ``max_rows``. The rows are persisted, so they are computed once.
+
+def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
+    """Mark a narrow side for broadcast if it has been measured small; else leave it to a shuffled join.
+
+    Spark cannot know how selective a filter is before it runs and would shuffle the other, large side.
     """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    small = kept.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(kept) if small else kept
+    return F.broadcast(df) if small else df

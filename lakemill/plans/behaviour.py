@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from lakemill.functions.money import as_double, percent_text
 from lakemill.functions.times import DAY_PATTERN
-from lakemill.operators.joins import broadcast_if_small
+from lakemill.operators.joins import broadcast_if, is_small
 from lakemill.operators.ranking import top_k
 
 
@@ -80,15 +80,19 @@ def item_overlap(
 ) -> DataFrame:
     """Known users who bought most of the known products the target user bought; ties go by id.
 
-    The target's orders, then the target's products, are found first (two actions) and broadcast if
-    their count allows, so that the lines are reduced without a shuffle before they meet the orders.
+    The target's orders, then the target's products, are found first so that the lines are reduced
+    before they meet the orders. Both sets are broadcast if they are small: the orders are counted,
+    the products are bounded by the product table (two actions); beyond the limit they are shuffled.
     Users are checked against the customers after counting, when they are one row each.
     """
-    own_orders = broadcast_if_small(orders.filter(F.col(user) == target).select(order))
-    wanted = broadcast_if_small(
+    own_orders = orders.filter(F.col(user) == target).select(order)
+    own_orders = broadcast_if(own_orders, is_small(own_orders))
+    catalogue = products.select(product)
+    wanted = (
         lines.join(own_orders, order, "left_semi").select(product).distinct()
-        .join(products.select(product), product, "left_semi")
+        .join(catalogue, product, "left_semi")
     )
+    wanted = broadcast_if(wanted, is_small(catalogue))
     bought = (
         lines.select(order, product).join(wanted, product, "left_semi")
         .join(orders.select(order, user), order)

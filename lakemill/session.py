@@ -26,6 +26,8 @@ def build_session(app: str = "lakemill", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # Rebalanced writes aim at this much shuffle data per file.
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        # Medians: keep that many groups' digests in memory before a task falls back to sorting its rows.
+        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "2048",
         OVERWRITE_MODE: "dynamic",
         **conf,
     }

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from lakemill.operators.dedupe import dedupe_latest
-from lakemill.operators.joins import broadcast_if_small
+from lakemill.operators.joins import broadcast_if, is_small
 from lakemill.operators.merge import latest_per_key
 from lakemill.operators.shape import conform
 from lakemill.session import fresh_dir, remove_dir
@@ -58,9 +58,9 @@ def keyed_upsert(
     touched = set(batch.select(*parts).distinct().collect())
     if keys_move and touched:
         arriving = batch.select(*keys).distinct()
-        found = stored.select(*keys, *parts).join(broadcast_if_small(arriving), keys, "left_semi")
+        arriving = broadcast_if(arriving, is_small(batch))
+        found = stored.select(*keys, *parts).join(arriving, keys, "left_semi")
         touched |= set(found.select(*parts).distinct().collect())
-        arriving.unpersist()
     if not touched:
         return
     affected = _in_partitions(stored, parts, touched)

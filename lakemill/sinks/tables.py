@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lakemill.operators.shape import conform
 from lakemill.session import dynamic_partitions
-from lakemill.sinks.layers import partition_columns
+from lakemill.sinks.layers import create_from_frame, partition_columns
 
 
 def rebalanced(df: DataFrame, partitions: list[str]) -> DataFrame:
@@ -48,6 +48,19 @@ def overwrite_partitions_sql(view: str, table: str, spark) -> None:
         )
 
 
+def publish(df: DataFrame, table: str) -> None:
+    """Store a result: by calendar partitions where it has calendar columns, else as a whole.
+
+    A partitioned result replaces the periods it covers and keeps the others.
+    """
+    parts = [c for c in ("year", "month", "day") if c in df.columns]
+    if not parts:
+        rebalanced(df, []).write.mode("overwrite").format("parquet").saveAsTable(table)
+        return
+    create_from_frame(df, table, parts)
+    overwrite_partitions(df, table)
+
+
 def write_folder(df: DataFrame, path: str, partitions: list[str], mode: str = "append") -> None:
     """Partitioned files without a catalog entry; ``repair_partitions`` makes a table see them."""
     rebalanced(df, partitions).write.mode(mode).partitionBy(*partitions).parquet(path)

@@ -126,8 +126,11 @@ def test_read_backs(spark, retail_b):
 def test_command_line(spark, retail_b):
     results = fresh_database(spark, "dws")
     run(spark, arguments().parse_args(
-        ["measure", "--feed", "retail_b", "--dwd", retail_b, "--results", results, "--name", "topten", "itemoverlap"]))
+        ["measure", "--feed", "retail_b", "--dwd", retail_b, "--results", results, "--name", "topten", "itemoverlap",
+         "city_consumption_day_aggr"]))
     assert rows(spark.table(f"{results}.itemoverlap")) == WANT_B["itemoverlap"]
+    months = spark.table(f"{results}.city_consumption_day_aggr")
+    assert months.columns[-2:] == ["year", "month"] and months.count() == 3
     ods, dwd = fresh_database(spark, "ods"), fresh_database(spark, "dwd")
     run(spark, arguments().parse_args(["set-up", "--feed", "manufacturing", "--ods", ods, "--dwd", dwd]))
     assert spark.catalog.tableExists(f"{ods}.changerecord")

@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from helpers import rows
 from pyspark.sql import functions as F
 
-from lakemill.operators.joins import broadcast_if_small
+from lakemill.operators.joins import broadcast_if, is_small
 from lakemill.operators.ranking import global_rank, magnitude_bucket, top_k, top_ranked
 from lakemill.operators.sequences import banded_pairs, best_average_run, id_bounds, prefix_sum
 
@@ -130,5 +130,7 @@ def test_best_run_corner_cases(spark):
 
 def test_broadcast_only_below_the_limit(spark):
     df = spark.range(100)
-    assert "strategy=broadcast" in broadcast_if_small(df, 100)._jdf.queryExecution().analyzed().toString()
-    assert "strategy=broadcast" not in broadcast_if_small(df, 99)._jdf.queryExecution().analyzed().toString()
+    assert is_small(df, 100) and not is_small(df, 99) and is_small(df.limit(0), 0)
+    plan = broadcast_if(df, True)._jdf.queryExecution().analyzed().toString()
+    assert "strategy=broadcast" in plan
+    assert broadcast_if(df, False) is df

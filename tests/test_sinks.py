@@ -107,6 +107,16 @@ def test_append_is_by_target_order(spark, db):
     assert rows(spark.table(f"{db}.a"), "k", "v", "t", "p") == [(1, "a", 1, "x"), (2, "b", 2, "x")]
 
 
+def test_publish_replaces_the_periods_it_covers(spark, db):
+    months = spark.createDataFrame([(1, 2023, 1), (2, 2023, 2)], "v int, year int, month int")
+    tables.publish(months, f"{db}.m")
+    tables.publish(spark.createDataFrame([(9, 2023, 2)], "v int, year int, month int"), f"{db}.m")
+    assert rows(spark.table(f"{db}.m"), "v", "month") == [(1, 1), (9, 2)]
+    for v in (1, 2):
+        tables.publish(spark.createDataFrame([(v,)], "v int"), f"{db}.flat")
+    assert rows(spark.table(f"{db}.flat")) == [(2,)]
+
+
 def test_a_failing_write_fails_the_job_and_keeps_the_rows(spark, db):
     tables.write_partitioned(frame(spark, [(1, "a", 1, "x")]), f"{db}.f", ["p"])
     broken = frame(spark, [(2, "b", 1, "x")]).withColumn("k", F.raise_error("no").cast("int"))
