@@ -6,7 +6,7 @@ Money is summed as ``decimal(18,2)`` and turned into a double once; times are co
 from __future__ import annotations
 
 from lakemill.checks.queries import (
-    FIRST_RUN, RUN_DAY, SECOND_RUN, SPLIT, STORED_ID, TARGET_USER, TOP_YEAR,
+    FIRST_RUN, RUN_DAY, SECOND_RUN, SPLIT, TARGET_USER, TOP_YEAR,
 )
 
 MONEY = "CAST(o_totalprice AS DECIMAL(18,2))"
@@ -181,9 +181,8 @@ high AS (SELECT max(greatest(create_time, coalesce(operate_time, create_time)))
          WHERE create_time < TIMESTAMP '{SPLIT}')
 SELECT {_ORDER_COLUMNS}, {_text('operate_time')} AS operate_time FROM src, high
 WHERE create_time > h OR operate_time > h""",
-        "incr_id": f"""WITH {_ORDERS} SELECT CAST(order_sn AS VARCHAR) AS order_sn, customer_id,
-CAST(order_money AS DOUBLE) AS order_money, {_text('create_time')} AS create_time, order_status
-FROM orders_m WHERE order_sn > (SELECT max(order_sn) FROM orders_m WHERE order_sn <= {STORED_ID})""",
+        "incr_id": """SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS customer_name, c_nationkey AS nation_id
+FROM customer WHERE c_custkey > (SELECT max(s_suppkey) FROM supplier)""",
         "stamp_load_time": f"{_CUSTOMERS}, '{SECOND_RUN}' AS create_time, '{RUN_DAY}' AS etl_date FROM customer",
         "fill_operate_time": f"WITH {_ORDERS} SELECT {_ORDER_COLUMNS}, "
         f"{_text(f'coalesce({_OPERATED}, create_time)')} AS operate_time FROM orders_m",

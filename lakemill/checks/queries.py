@@ -27,7 +27,6 @@ FIRST_RUN, SECOND_RUN = "2024-01-30 02:30:00", "2024-01-31 02:30:00"
 SPLIT = "2000-01-01 00:00:00"  # rows before it are stored already, later ones are new
 TOP_YEAR = 1997
 TARGET_USER = 1
-STORED_ID = 9999
 
 _REGISTRY: dict[str, Query] = {}
 
@@ -146,14 +145,11 @@ def incr_two_ts(spark, sf_dir):
 
 @query
 def incr_id(spark, sf_dir):
-    """Ids held as text compare as numbers: "10000" is above "9999"."""
-    orders = model.orders(spark, sf_dir)
-    stored = orders.filter(F.col("order_sn") <= STORED_ID)
-    as_text = F.col("order_sn").cast("string")
-    mark = incremental.Watermark("id", ("order_sn",))
-    return incremental.incremental(
-        orders.withColumn("order_sn", as_text), stored.withColumn("order_sn", as_text), mark
-    )
+    """Party ids held as text compare as numbers ("100" is above "99"): suppliers are stored, customers arrive."""
+    customers = model.customers(spark, sf_dir)
+    arriving = customers.withColumn("customer_id", F.col("customer_id").cast("string"))
+    stored = model.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("customer_id"))
+    return incremental.incremental(arriving, stored, incremental.Watermark("id", ("customer_id",)))
 
 
 @query
