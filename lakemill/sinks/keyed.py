@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.types import StructType
 
 from lakemill.operators.dedupe import dedupe_latest
@@ -13,7 +13,7 @@ from lakemill.operators.joins import broadcast_if, is_small
 from lakemill.operators.merge import latest_per_key
 from lakemill.operators.shape import conform
 from lakemill.session import fresh_dir, remove_dir
-from lakemill.sinks.layers import partition_columns, quoted
+from lakemill.sinks.layers import drop_partitions, partition_columns
 from lakemill.sinks.tables import overwrite_partitions, write_partitioned
 
 Merge = Callable[[DataFrame, DataFrame], DataFrame]
@@ -84,22 +84,3 @@ def _in_partitions(stored: DataFrame, parts: list[str], values: set[Row]) -> Dat
         lambda a, b: a & b, [stored[p].eqNullSafe(wanted[f"_p{i}"]) for i, p in enumerate(parts)]
     )
     return stored.join(F.broadcast(wanted), match, "left_semi")
-
-
-def drop_partitions(spark: SparkSession, table: str, values: list[Row]) -> None:
-    if values:
-        specs = ", ".join(f"PARTITION ({_spec(v)})" for v in values)
-        spark.sql(f"ALTER TABLE {quoted(table)} DROP IF EXISTS {specs}")
-
-
-def _spec(row: Row) -> str:
-    return ", ".join(f"{quoted(k)} = {_literal(v)}" for k, v in row.asDict().items())
-
-
-def _literal(value) -> str:
-    if value is None:
-        return "null"
-    if isinstance(value, (int, float)):
-        return str(value)
-    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{text}'"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
@@ -54,6 +54,26 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
+def drop_partitions(spark: SparkSession, table: str, values: list[Row]) -> None:
+    """Remove partitions given by rows of the partition columns."""
+    if values:
+        specs = ", ".join(f"PARTITION ({_spec(v)})" for v in values)
+        spark.sql(f"ALTER TABLE {quoted(table)} DROP IF EXISTS {specs}")
+
+
+def _spec(row: Row) -> str:
+    return ", ".join(f"{quoted(k)} = {_literal(v)}" for k, v in row.asDict().items())
+
+
+def _literal(value) -> str:
+    if value is None:
+        return "null"
+    if isinstance(value, (int, float)):
+        return str(value)
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
 def preview(spark: SparkSession, tables: list[str], n: int = 20) -> dict[str, DataFrame]:
     """The first ``n`` rows of each table, unevaluated."""
     return {t: spark.table(t).limit(n) for t in tables}

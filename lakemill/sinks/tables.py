@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from lakemill.operators.shape import conform
-from lakemill.session import dynamic_partitions
-from lakemill.sinks.layers import create_from_frame, partition_columns
+from lakemill.session import dynamic_partitions, fresh_dir, remove_dir
+from lakemill.sinks.layers import create_from_frame, drop_partitions, partition_columns
 
 
 def rebalanced(df: DataFrame, partitions: list[str]) -> DataFrame:
@@ -20,9 +20,35 @@ def rebalanced(df: DataFrame, partitions: list[str]) -> DataFrame:
 
 def write_partitioned(df: DataFrame, table: str, partitions: list[str], mode: str = "overwrite") -> None:
     """Create or replace (``overwrite``) or extend (``append``) a partitioned table by column name."""
+    if mode == "overwrite" and df.sparkSession.catalog.tableExists(table):
+        _replace(df, table, partitions)
+        return
     rebalanced(df, partitions).write.mode(mode).format("parquet").partitionBy(*partitions).saveAsTable(table)
 
 
+def _replace(df: DataFrame, table: str, partitions: list[str]) -> None:
+    """Replace a table whose rows must survive a failed load.
+
+    Spark's own overwrite deletes first. Here the new rows are written in full to a folder of their
+    own, replace the partitions they cover when that second write commits, and only then the
+    partitions they do not cover go. A table of another shape is created anew from the complete copy.
+    """
+    spark = df.sparkSession
+    stage = fresh_dir(spark, "stage")
+    rebalanced(df, partitions).write.partitionBy(*partitions).parquet(stage)
+    staged = spark.read.schema(df.schema).parquet(stage)
+    stored = spark.table(table)
+    if partitions and set(stored.dtypes) == set(df.dtypes) and partition_columns(spark, table) == list(partitions):
+        before = stored.select(*partitions).distinct().collect()
+        covered = set(staged.select(*partitions).distinct().collect())
+        overwrite_partitions(staged, table)
+        drop_partitions(spark, table, [p for p in before if p not in covered])
+    else:
+        write = rebalanced(staged, partitions).write.mode("overwrite").format("parquet")
+        write.partitionBy(*partitions).saveAsTable(table)
+    remove_dir(spark, stage)
+
+
 def append_rows(df: DataFrame, table: str) -> None:
     """Append by position after projecting to the table's columns."""
     spark = df.sparkSession
@@ -55,7 +81,7 @@ def publish(df: DataFrame, table: str) -> None:
     """
     parts = [c for c in ("year", "month", "day") if c in df.columns]
     if not parts:
-        rebalanced(df, []).write.mode("overwrite").format("parquet").saveAsTable(table)
+        write_partitioned(df, table, [])
         return
     create_from_frame(df, table, parts)
     overwrite_partitions(df, table)

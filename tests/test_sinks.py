@@ -115,6 +115,9 @@ def test_publish_replaces_the_periods_it_covers(spark, db):
     for v in (1, 2):
         tables.publish(spark.createDataFrame([(v,)], "v int"), f"{db}.flat")
     assert rows(spark.table(f"{db}.flat")) == [(2,)]
+    with pytest.raises(Exception):
+        tables.publish(spark.range(1).select(F.raise_error("no").cast("int").alias("v")), f"{db}.flat")
+    assert rows(spark.table(f"{db}.flat")) == [(2,)]
 
 
 def test_a_failing_write_fails_the_job_and_keeps_the_rows(spark, db):
@@ -125,6 +128,26 @@ def test_a_failing_write_fails_the_job_and_keeps_the_rows(spark, db):
     assert rows(spark.table(f"{db}.f"), "k") == [(1,)]
 
 
+def test_a_failing_replacement_keeps_the_rows(spark, db):
+    tables.write_partitioned(frame(spark, [(1, "a", 1, "x")]), f"{db}.r", ["p"])
+    broken = frame(spark, [(2, "b", 1, "x")]).withColumn("k", F.raise_error("no").cast("int"))
+    with pytest.raises(Exception):
+        tables.write_partitioned(broken, f"{db}.r", ["p"])
+    assert rows(spark.table(f"{db}.r"), "k") == [(1,)]
+
+
+def test_replacement_drops_what_it_does_not_cover(spark, db):
+    t = f"{db}.r"
+    tables.write_partitioned(frame(spark, [(1, "a", 1, "x"), (2, "b", 1, "y"), (3, "c", 1, None)]), t, ["p"])
+    tables.write_partitioned(spark.table(t).filter("k > 1").withColumn("t", F.lit(9)), t, ["p"])
+    assert rows(spark.table(t), "k", "t", "p") == [(2, 9, "y"), (3, 9, None)]
+    assert spark.sql(f"show partitions {t}").count() == 2
+    tables.write_partitioned(frame(spark, []), t, ["p"])
+    assert spark.table(t).count() == 0
+    tables.write_partitioned(frame(spark, [(7, "z", 1, "x")]).drop("v"), t, ["p"])
+    assert rows(spark.table(t)) == [(7, 1, "x")]
+
+
 def test_hot_partition_is_split_over_tasks(spark):
     plan = tables.rebalanced(frame(spark, [(1, "a", 1, "x")]), ["p"])._jdf.queryExecution().executedPlan().toString()
     assert "REBALANCE_PARTITIONS_BY_COL" in plan
