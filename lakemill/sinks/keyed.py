@@ -52,8 +52,12 @@ def keyed_upsert(
     parts = partition_columns(spark, table)
     if not parts:
         raise ValueError(f"{table} is not partitioned")
-    # Not reduced to one row per key yet: the merge below does that together with the stored rows.
-    batch = conform(df, stored)
+    stage = fresh_dir(spark, "stage")
+    # The batch is read once and written down: a source that changes meanwhile must not hold other
+    # rows for the merge than for the list of partitions. The merge reduces it to one row per key.
+    rows = conform(df, stored)
+    rows.write.parquet(f"{stage}/batch")
+    batch = spark.read.schema(rows.schema).parquet(f"{stage}/batch")
     # Distinct partition values only: as many as the catalog lists, not as many as there are rows.
     touched = set(batch.select(*parts).distinct().collect())
     if keys_move and touched:
@@ -62,12 +66,12 @@ def keyed_upsert(
         found = stored.select(*keys, *parts).join(arriving, keys, "left_semi")
         touched |= set(found.select(*parts).distinct().collect())
     if not touched:
+        remove_dir(spark, stage)
         return
     affected = _in_partitions(stored, parts, touched)
-    stage = fresh_dir(spark, "stage")
     merged = merge(batch, affected) if merge else latest_per_key(batch, affected, keys, precombine)
-    merged.write.parquet(stage)
-    staged = spark.read.schema(stored.schema).parquet(stage)
+    merged.write.parquet(f"{stage}/merged")
+    staged = spark.read.schema(merged.schema).parquet(f"{stage}/merged")
 
     kept = {tuple(r) for r in staged.select(*parts).distinct().collect()}
     overwrite_partitions(staged, table)

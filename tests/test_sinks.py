@@ -181,3 +181,15 @@ def test_reading_hides_bookkeeping_by_name(spark, db):
     assert read_keyed(spark, t).columns == ["k", "v", "t", "p"]
     plan = read_cols(spark, t, ["v"])._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<v:string>" in plan
+
+
+def test_upsert_reads_a_changing_source_once(spark, db):
+    """Every evaluation of the batch gives other partitions, as its clock moves; only one may count."""
+    t = keyed_table(spark, db, [(k, "stored", 1, str(k)) for k in range(40)])
+    slot = (F.unix_micros(F.current_timestamp()) + F.col("id")) % 40
+    drifting = spark.range(5).select(
+        (F.col("id") + 100).cast("int").alias("k"), F.lit("new").alias("v"), F.lit(2).alias("t"),
+        slot.cast("string").alias("p"))
+    keyed.keyed_upsert(drifting, t, ["k"], ["t"])
+    out = spark.table(t)
+    assert out.filter("v = 'stored'").count() == 40 and out.filter("v = 'new'").count() == 5
