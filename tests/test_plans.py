@@ -15,7 +15,7 @@ READING = sorted(set(registry()) - WRITING)
 
 # Windows over the whole input that run in one task, and what bounds their input.
 ONE_TASK_WINDOWS = {
-    "running_total": "hours", "running_total_range": "hours",
+    "running_total": "hours", "running_total_range": "hours", "running_total_top": "hours",
     "prefix_sum": "id ranges", "range_self_join": "id ranges",
     "city_month_consumption": "magnitude buckets", "city_month_top": "magnitude buckets",
     "region_rollup": "magnitude buckets", "region_rollup_top": "magnitude buckets",
