@@ -25,14 +25,12 @@ component has no other id). Shingles are compared by 64-bit hashes.
 
 from __future__ import annotations
 
-from itertools import combinations
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemill.llm.components import connected
-from lakemill.llm.frames import free_prefix, staged, text_bytes
+from lakemill.llm.frames import Scratch, free_prefix, staged, text_bytes
 from lakemill.llm.shingles import WordHashes, digest, mixed, shingle_set
 
 BUCKETS = 1 << 18
@@ -40,6 +38,7 @@ HISTOGRAM = 128
 SMALL = 8
 FIRST_BAND = 5  # below 32 shingles every shingle counts as rare
 GROUP_SPREAD = 80
+DIFFERENCE_SPREAD = 144
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -62,6 +61,25 @@ def bands(n: int, percent: int) -> range:
     return range(least.bit_length(), most.bit_length() + 1)
 
 
+def prefix_signatures(ranked: np.ndarray, heavy: np.ndarray, groups: int, need: int, salt: np.uint64) -> tuple[np.ndarray, bool]:
+    """Signatures of the shortest prefix worth ``need`` credits, and whether there is one; else of all of ``ranked``.
+
+    A light element is worth one credit; of the heavy ones of a group, all but the first are.
+    """
+    group = np.where(heavy, (ranked % np.uint64(groups)).astype(np.int64), -1)
+    first = np.zeros(len(ranked), bool)
+    at = np.flatnonzero(heavy)
+    first[at[np.unique(group[at], return_index=True)[1]]] = True
+    end = int(np.searchsorted(np.cumsum(~first), need)) + 1
+    ranked, heavy, group = ranked[:end], heavy[:end], group[:end]
+    out = [mixed(ranked[~heavy] ^ salt)]
+    for g in np.unique(group[heavy]):
+        members = np.sort(ranked[group == g])
+        i, j = np.triu_indices(len(members), 1)
+        out.append(mixed((members[i] * _GOLD + mixed(members[j])) ^ ~salt))
+    return np.concatenate(out), end <= len(first)
+
+
 def signatures(values: np.ndarray, load: np.ndarray, frequent: int, percent: int) -> np.ndarray:
     """Signature hashes of one set; ``load`` has the counter of each shingle."""
     n = len(values)
@@ -73,19 +91,8 @@ def signatures(values: np.ndarray, load: np.ndarray, frequent: int, percent: int
         salt = mixed(np.array([band], np.uint64))[0]
         if band <= FIRST_BAND or not heavy.any():
             out.append(mixed(ranked[:need] ^ salt))
-            continue
-        groups = max(1, (1 << band) // GROUP_SPREAD)
-        group = np.where(heavy, (ranked % np.uint64(groups)).astype(np.int64), -1)
-        first = np.zeros(n, bool)
-        at = np.flatnonzero(heavy)
-        first[at[np.unique(group[at], return_index=True)[1]]] = True
-        end = int(np.searchsorted(np.cumsum(~first), need)) + 1
-        light = ranked[:end][~heavy[:end]]
-        out.append(mixed(light ^ salt))
-        for g in np.unique(group[:end][heavy[:end]]):
-            members = np.sort(ranked[:end][group[:end] == g])
-            i, j = np.triu_indices(len(members), 1)
-            out.append(mixed((members[i] * _GOLD + mixed(members[j])) ^ ~salt))
+        else:
+            out.append(prefix_signatures(ranked, heavy, max(1, (1 << band) // GROUP_SPREAD), need, salt)[0])
     return np.unique(np.concatenate(out))
 
 
@@ -148,11 +155,11 @@ def _classes(rows: DataFrame, *columns: str) -> DataFrame:
         F.min(F.struct("doc_id", "xxh")).alias("rep"), *[F.first(c).alias(c) for c in columns])
 
 
-def _candidates(spark: SparkSession, classes: DataFrame) -> DataFrame:
+def _candidates(work: Scratch, classes: DataFrame) -> DataFrame:
     """Pairs of class keys to verify: (a, b, star); ``star`` marks the pivot ``b`` of a large group."""
     signed = classes.select("key", "typical", F.explode("sigs").alias("sig"))
     sizes = signed.groupBy("sig").agg(F.count("*").alias("size")).filter("size > 1")
-    member = staged(spark, signed.join(sizes, "sig"), "members")
+    member = work.staged(signed.join(sizes, "sig"), "members")
     few = member.filter(F.col("size") <= SMALL).select("sig", "key")
     pairs = few.select("sig", F.col("key").alias("a")).join(few.select("sig", F.col("key").alias("b")), "sig").filter("a < b")
     many = member.filter(F.col("size") > SMALL)
@@ -179,7 +186,7 @@ def _within_bound(percent: int):
     return run
 
 
-def _sets(spark: SparkSession, docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+def _sets(work: Scratch, docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(key, shingles) of the wanted classes, recomputed from the text of their representatives."""
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("xxh"), F.col("text"))
     found = rows.join(
@@ -193,7 +200,7 @@ def _sets(spark: SparkSession, docs: DataFrame, wanted: DataFrame, width: int) -
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.binary())], names=["key", "shingles"])
 
     sets = found.select("key", text_bytes().alias("t")).mapInArrow(run, "key binary, shingles binary")
-    return staged(spark, sets, "sets").dropDuplicates(["key"])
+    return work.staged(sets, "sets").dropDuplicates(["key"])
 
 
 def _verified(percent: int):
@@ -220,85 +227,80 @@ def _verified(percent: int):
     return run
 
 
-def difference_signatures(lacks: np.ndarray, adds: np.ndarray, n: int, of: int, percent: int, probe: bool):
-    """Signatures of a member's difference from its pivot of ``of`` shingles.
+def difference_signatures(lacks: np.ndarray, adds: np.ndarray, n: int, of: int, percent: int):
+    """Signatures of a member's difference from its pivot of ``of`` shingles: (pair signatures, single ones).
 
-    All of them for the index. A probe needs ``e + 1`` credits, e the greatest difference from any partner:
-    added shingles first, then pairs of lacking ones within blocks; single lacking ones where pairs do not suffice.
+    Linked members differ in at most ``need - 1`` elements, so prefixes of ``need`` credits will do: added
+    shingles are rare, lacking ones are frequent and sign in pairs. A difference too small for that signs whole,
+    which still meets any partner that has the credits; single signatures, returned for these alone, serve
+    pairs of which neither has.
     """
-    blocks = np.uint64(max(1, of // 1024))
-    group = (lacks % blocks).astype(np.int64)
-    pair = lambda m: mixed(m[(t := np.triu_indices(len(m), 1))[0]] * _GOLD + mixed(m[t[1]]))
-    if not probe:
-        return np.concatenate([adds, lacks, *(pair(lacks[group == g]) for g in np.unique(group))])
     need = most_difference(n, n * 100 // percent, percent) + 1
-    if len(adds) >= need:
-        return adds[:need]
-    taken, credit = [adds], len(adds)
-    for g in np.unique(group):
-        members = lacks[group == g][:max(0, need - credit) + 1]
-        if len(members) > 1 and credit < need:
-            taken.append(pair(members))
-            credit += len(members) - 1
-    if credit >= need:
-        return np.concatenate(taken)
-    return np.concatenate([adds, lacks])[:need]
-
-
-def _difference_pairs(spark: SparkSession, stars: DataFrame, percent: int) -> DataFrame:
+    ranked = np.concatenate([np.sort(adds), np.sort(lacks)])
+    heavy = np.arange(len(ranked)) >= len(adds)
+    pairs, enough = prefix_signatures(ranked, heavy, max(1, of // DIFFERENCE_SPREAD), need, np.uint64(1))
+    return pairs, ranked[:0] if enough else mixed(ranked[:need] ^ np.uint64(2))
+
+
+def _difference_pairs(work: Scratch, stars: DataFrame, percent: int) -> DataFrame:
     """Linked pairs (a, b) of members of one pivot of which at least one is not linked with the pivot."""
 
     def run(batches):
         for batch in batches:
-            cols = [batch.column(i).to_pylist() for i in range(7)]
-            pivots, keys, sigs, probes = [], [], [], []
-            for a, b, linked, na, nb, lacks, adds in zip(*cols):
+            out = [[] for _ in range(5)]
+            for a, b, linked, na, nb, lacks, adds in zip(*(batch.column(i).to_pylist() for i in range(7))):
                 lack, add = (np.array(v, np.int64).view(np.uint64) for v in (lacks, adds))
-                sides = [False] if linked else [False, True]
-                for probe in sides:
-                    found = np.unique(difference_signatures(lack, add, na, nb, percent, probe)).view(np.int64)
-                    pivots.append(b), keys.append(a), sigs.append(found), probes.append(probe)
+                for kind, found in enumerate(difference_signatures(lack, add, na, nb, percent)):
+                    if len(found):
+                        for column, value in zip(out, (b, a, not linked, kind, found.view(np.int64))):
+                            column.append(value)
+            types = (pa.binary(), pa.binary(), pa.bool_(), pa.int32(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(pivots, pa.binary()), pa.array(keys, pa.binary()), pa.array(sigs, pa.list_(pa.int64())), pa.array(probes, pa.bool_())],
-                names=["pivot", "key", "sigs", "probe"])
+                [pa.array(c, t) for c, t in zip(out, types)], names=["pivot", "key", "far", "kind", "sigs"])
 
     far = stars.filter("NOT linked").select(F.col("b").alias("pivot")).distinct()
-    around = stars.join(far, stars.b == far.pivot, "left_semi")
+    around = work.staged(stars.join(far, stars.b == far.pivot, "left_semi"), "around")
     signed = around.select("a", "b", "linked", "na", "nb", "lacks", "adds").mapInArrow(
-        run, "pivot binary, key binary, sigs array<bigint>, probe boolean")
-    signed = staged(spark, signed.select("pivot", "key", "probe", F.explode("sigs").alias("sig")), "differences")
-    probe = signed.filter("probe").select("pivot", "sig", F.col("key").alias("a"))
-    index = signed.filter("NOT probe").select("pivot", "sig", F.col("key").alias("b"))
-    pairs = probe.join(index, ["pivot", "sig"]).filter("a != b").select("pivot", "a", "b").distinct()
+        run, "pivot binary, key binary, far boolean, kind int, sigs array<bigint>")
+    signed = work.staged(signed.select("pivot", "key", "far", "kind", F.explode("sigs").alias("sig")), "differences")
+    common = ["pivot", "kind", "sig"]
+    often = signed.groupBy(*common).agg(F.count("*").alias("n"), F.max("far").alias("any_far")).filter("n > 1 AND any_far").select(*common)
+    shared = work.staged(signed.join(often, common), "shared-differences")
+    probe = shared.filter("far").select(*common, F.col("key").alias("a"))
+    pairs = probe.join(shared.select(*common, F.col("key").alias("b"), F.col("far").alias("b_far")), common)
+    pairs = pairs.filter("a != b AND (NOT b_far OR a < b)").select("pivot", "a", "b").distinct()
     side = lambda of, size: around.select(
         F.col("b").alias("pivot"), F.col("a").alias(of), F.col("na").alias(size), F.col("lacks").alias(f"l{of}"), F.col("adds").alias(f"p{of}"))
     sized = pairs.join(side("a", "n"), ["pivot", "a"]).join(side("b", "m"), ["pivot", "b"])
-    shared = F.size(F.array_intersect("la", "lb")) + F.size(F.array_intersect("pa", "pb"))
-    differ = F.size("la") + F.size("pa") + F.size("lb") + F.size("pb") - 2 * shared
+    shared_size = F.size(F.array_intersect("la", "lb")) + F.size(F.array_intersect("pa", "pb"))
+    differ = F.size("la") + F.size("pa") + F.size("lb") + F.size("pb") - 2 * shared_size
     both = (F.col("n") + F.col("m") - differ) / 2
     return sized.filter(100 * both >= percent * (F.col("n") + F.col("m") - both)).select("a", "b").distinct()
 
 
 def links(spark: SparkSession, docs: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
     """Links between classes, enough of them to connect every component: (u, v) of class keys; staged."""
-    classes = staged(spark, _classes(rows, "n", "typical", "hist", "sigs"), "classes")
+    work = Scratch(spark)
+    classes = work.staged(_classes(rows, "n", "typical", "hist", "sigs"), "classes")
     hist = classes.select("key", "n", "hist")
-    pairs = staged(spark, _candidates(spark, classes), "pairs")
+    pairs = work.staged(_candidates(work, classes), "pairs")
     sized = pairs.join(hist.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("hist").alias("ha")), "a").join(
         hist.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("hist").alias("hb")), "b")
     near = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent) | F.col("star")
-    open_pairs = staged(spark, sized.filter(near).select("a", "b", "na", "nb", "ha", "hb", "star").mapInArrow(
+    open_pairs = work.staged(sized.filter(near).select("a", "b", "na", "nb", "ha", "hb", "star").mapInArrow(
         _within_bound(percent), "a binary, b binary, star boolean"), "open")
     wanted = open_pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    sets = _sets(spark, docs, classes.join(wanted, "key", "left_semi"), width)
+    sets = _sets(work, docs, classes.join(wanted, "key", "left_semi"), width)
     whole = open_pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa")), "a").join(
         sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb")), "b")
-    verified = staged(spark, whole.select("a", "b", "star", "sa", "sb").mapInArrow(
+    verified = work.staged(whole.select("a", "b", "star", "sa", "sb").mapInArrow(
         _verified(percent),
         "a binary, b binary, star boolean, linked boolean, na bigint, nb bigint, lacks array<bigint>, adds array<bigint>"), "verified")
     direct = verified.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
-    rest = _difference_pairs(spark, verified.filter("star"), percent)
-    return staged(spark, direct.unionAll(rest.select(F.col("a").alias("u"), F.col("b").alias("v"))).distinct(), "class-links")
+    rest = _difference_pairs(work, verified.filter("star"), percent)
+    found = staged(spark, direct.unionAll(rest.select(F.col("a").alias("u"), F.col("b").alias("v"))).distinct(), "class-links")
+    work.clear()
+    return found
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from lakemill.session import fresh_dir
+from lakemill.session import fresh_dir, remove_dir
 
 Batches = Iterator[pa.RecordBatch]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -25,6 +25,23 @@ def staged(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Staged tables of one operator that are deleted once a later staged table no longer needs them."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, []
+
+    def staged(self, df: DataFrame, label: str) -> DataFrame:
+        self.paths.append(path := fresh_dir(self.spark, label))
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        for path in self.paths:
+            remove_dir(self.spark, path)
+        self.paths.clear()
+
+
 def text_bytes(text: str | Column = "text") -> Column:
     """The text as UTF-8 bytes, empty for null, so that Python splits it without decoding."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")).cast("binary")
