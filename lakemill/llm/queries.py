@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakemill.llm import combination_join, quality_rules
+from lakemill.llm import combination_join, latent_retrieval, quality_rules, sentence_spans
 from lakemill.llm.frames import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,22 @@ def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
 
 
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut, p = sentence_spans.without_repeats(spark, documents(spark, sf_dir))
+    return cut.select(
+        "doc_id", "text", F.col(f"{p}sentences").alias("n_sentences"), F.col(f"{p}removed").alias("n_removed_sentences"),
+        F.col(f"{p}words").alias("n_removed_words"))
+
+
+@query
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found, p = latent_retrieval.searched(spark, documents(spark, sf_dir), benchmark)
+    return found.select("doc_id", *[F.col(f"{p}{c}").alias(c) for c in (
+        "candidates", "hits", "item_id", "cosine", "ordered_share", "contaminated")])
+
+
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
