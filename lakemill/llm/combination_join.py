@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemill.llm.components import connected
 from lakemill.llm.frames import Scratch, free_prefix, staged, text_bytes
-from lakemill.llm.shingles import WordHashes, digest, mixed, shingle_set
+from lakemill.llm.shingles import WordHasher, digest, mixed, shingle_set
 
 BUCKETS = 1 << 18
 HISTOGRAM = 128
@@ -39,6 +39,7 @@ SMALL = 8
 FIRST_BAND = 5  # below 32 shingles every shingle counts as rare
 GROUP_SPREAD = 80
 DIFFERENCE_SPREAD = 144
+MASKS = ("lacks_a", "lacks_b", "adds_a", "adds_b")
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -100,9 +101,9 @@ def _counters(docs: DataFrame, width: int) -> np.ndarray:
     """How often the shingles of each counter occur; ``BUCKETS`` numbers whatever the input."""
 
     def run(batches):
-        cache, total = WordHashes(), np.zeros(BUCKETS, np.int64)
+        hasher, total = WordHasher(), np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            found = [shingle_set(v.as_py(), width, cache) for v in batch.column(0)]
+            found = [shingle_set(v.as_py(), width, hasher) for v in batch.column(0)]
             if found:
                 total += np.bincount(bucket(np.concatenate(found)), minlength=BUCKETS)
         at = np.flatnonzero(total)
@@ -128,11 +129,11 @@ def shingled(spark: SparkSession, docs: DataFrame, width: int, percent: int) ->
     shared = spark.sparkContext.broadcast(load)
 
     def run(batches):
-        cache, counters = WordHashes(), shared.value
+        hasher, counters = WordHasher(), shared.value
         for batch in batches:
             columns = [[] for _ in range(7)]
             for doc_id, xxh, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                values = shingle_set(data, width, cache)
+                values = shingle_set(data, width, hasher)
                 row = (doc_id, xxh, 0, None, None, None, None)
                 if len(values):
                     seen = counters[bucket(values)]
@@ -194,9 +195,9 @@ def _sets(work: Scratch, docs: DataFrame, wanted: DataFrame, width: int) -> Data
         F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("xxh") == F.col("x")))
 
     def run(batches):
-        cache = WordHashes()
+        hasher = WordHasher()
         for batch in batches:
-            values = [shingle_set(v.as_py(), width, cache).tobytes() for v in batch.column(1)]
+            values = [shingle_set(v.as_py(), width, hasher).tobytes() for v in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.binary())], names=["key", "shingles"])
 
     sets = found.select("key", text_bytes().alias("t")).mapInArrow(run, "key binary, shingles binary")
@@ -243,32 +244,45 @@ def difference_signatures(lacks: np.ndarray, adds: np.ndarray, n: int, of: int,
 
 
 def _difference_pairs(work: Scratch, stars: DataFrame, percent: int) -> DataFrame:
-    """Linked pairs (a, b) of members of one pivot of which at least one is not linked with the pivot."""
+    """Linked pairs (a, b) of members of one pivot of which at least one is not linked with the pivot.
+
+    Every signature carries its member's size and two 128-bit masks of what it lacks and adds; a bit that only one
+    side has stands for a difference at least, so most pairs end in the join itself.
+    """
+    names = ["pivot", "key", "far", "kind", "sigs", "n", *MASKS]
+
+    def mask(values: np.ndarray) -> list[int]:
+        bits = np.bincount((values >> np.uint64(9)).astype(np.int64) & 127, minlength=128) > 0
+        return np.packbits(bits).view(np.int64).tolist()
 
     def run(batches):
         for batch in batches:
-            out = [[] for _ in range(5)]
+            out = [[] for _ in names]
             for a, b, linked, na, nb, lacks, adds in zip(*(batch.column(i).to_pylist() for i in range(7))):
                 lack, add = (np.array(v, np.int64).view(np.uint64) for v in (lacks, adds))
+                bits = [*mask(lack), *mask(add)]
                 for kind, found in enumerate(difference_signatures(lack, add, na, nb, percent)):
                     if len(found):
-                        for column, value in zip(out, (b, a, not linked, kind, found.view(np.int64))):
+                        for column, value in zip(out, (b, a, not linked, kind, found.view(np.int64), na, *bits)):
                             column.append(value)
-            types = (pa.binary(), pa.binary(), pa.bool_(), pa.int32(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(out, types)], names=["pivot", "key", "far", "kind", "sigs"])
+            types = (pa.binary(), pa.binary(), pa.bool_(), pa.int32(), pa.list_(pa.int64()), *[pa.int64()] * 5)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=names)
 
     far = stars.filter("NOT linked").select(F.col("b").alias("pivot")).distinct()
     around = work.staged(stars.join(far, stars.b == far.pivot, "left_semi"), "around")
     signed = around.select("a", "b", "linked", "na", "nb", "lacks", "adds").mapInArrow(
-        run, "pivot binary, key binary, far boolean, kind int, sigs array<bigint>")
-    signed = work.staged(signed.select("pivot", "key", "far", "kind", F.explode("sigs").alias("sig")), "differences")
+        run, "pivot binary, key binary, far boolean, kind int, sigs array<bigint>, n bigint, " + ", ".join(f"{m} bigint" for m in MASKS))
+    signed = work.staged(signed.withColumn("sig", F.explode("sigs")).drop("sigs"), "differences")
     common = ["pivot", "kind", "sig"]
     often = signed.groupBy(*common).agg(F.count("*").alias("n"), F.max("far").alias("any_far")).filter("n > 1 AND any_far").select(*common)
     shared = work.staged(signed.join(often, common), "shared-differences")
-    probe = shared.filter("far").select(*common, F.col("key").alias("a"))
-    pairs = probe.join(shared.select(*common, F.col("key").alias("b"), F.col("far").alias("b_far")), common)
-    pairs = pairs.filter("a != b AND (NOT b_far OR a < b)").select("pivot", "a", "b").distinct()
+    probe, index = shared.filter("far").alias("x"), shared.alias("y")
+    at_least = sum((F.bit_count(F.col(f"x.{m}").bitwiseXOR(F.col(f"y.{m}"))) for m in MASKS), F.lit(0))
+    total = F.col("x.n") + F.col("y.n")
+    pairs = probe.join(index, common).filter(
+        (F.col("x.key") != F.col("y.key")) & (~F.col("y.far") | (F.col("x.key") < F.col("y.key")))
+        & (at_least * (100 + percent) <= total * (100 - percent)))
+    pairs = pairs.select("pivot", F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
     side = lambda of, size: around.select(
         F.col("b").alias("pivot"), F.col("a").alias(of), F.col("na").alias(size), F.col("lacks").alias(f"l{of}"), F.col("adds").alias(f"p{of}"))
     sized = pairs.join(side("a", "n"), ["pivot", "a"]).join(side("b", "m"), ["pivot", "b"])
