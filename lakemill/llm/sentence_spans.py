@@ -18,44 +18,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemill.llm.frames import extended, free_prefix, staged, text_bytes
-from lakemill.llm.shingles import WordHashes, mixed
+from lakemill.llm.shingles import Powers, WordHasher
 
 LONG, CUT = 12, np.uint64(7)
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
 _STOP = np.zeros(256, bool)
 _STOP[[ord("."), ord("!"), ord("?")]] = True
 
 
-class Powers:
-    """Powers of an odd number and of its inverse modulo 2^64, as many as the longest text needs."""
-
-    def __init__(self) -> None:
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > len(self.up):
-            size = 2 * n
-            self.up = np.cumprod(np.r_[np.uint64(1), np.full(size, _BASE, np.uint64)])
-            self.down = np.cumprod(np.r_[np.uint64(1), np.full(size, _INVERSE, np.uint64)])
-        return self.up[:n], self.down[:n]
-
-
-def sentences(data: bytes, cache: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def sentences(data: bytes, hasher: WordHasher) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word hashes, the first word of each sentence, and the byte at which each sentence begins."""
-    hashes = cache.of(data.split())
+    begin, end, hashes = hasher.words(data)
     n = len(hashes)
     if not n:
         return hashes, np.zeros(0, np.int64), np.zeros(0, np.int64)
     raw = np.frombuffer(data, np.uint8)
-    inside = ~_SPACE[raw]
-    edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
-    begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    breaks = np.concatenate([[0], np.cumsum(raw == 10)])
     last = _STOP[raw[end - 1]]
-    last[:-1] |= breaks[begin[1:]] > breaks[end[:-1]]
+    before = np.searchsorted(begin, np.flatnonzero(raw == 10)) - 1
+    last[before[before >= 0]] = True
     last[-1] = True
     ends = np.flatnonzero(last)
     length = np.diff(ends, prepend=-1)
@@ -76,21 +55,17 @@ def spans(hashes: np.ndarray, first: np.ndarray, powers: Powers, least_sentences
     bounds = np.append(first, n)
     stop = np.maximum(np.searchsorted(bounds, first + least_words), np.arange(k) + least_sentences)
     stop = stop[stop <= k]
-    start = first[: len(stop)]
-    up, down = powers.of(n)
-    prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up)])
-    value = (prefix[bounds[stop]] - prefix[start]) * down[start]
-    return mixed(value + (bounds[stop] - start).astype(np.uint64)), stop
+    return powers.ranges(hashes, first[: len(stop)], bounds[stop]), stop
 
 
 def _hashed(docs: DataFrame, least_sentences: int, least_words: int) -> DataFrame:
     def run(batches):
-        cache, powers = WordHashes(), Powers()
+        hasher = WordHasher()
         for batch in batches:
             found = []
             for v in batch.column(2):
-                hashes, first, _ = sentences(v.as_py(), cache)
-                found.append(spans(hashes, first, powers, least_sentences, least_words)[0].view(np.int64))
+                hashes, first, _ = sentences(v.as_py(), hasher)
+                found.append(spans(hashes, first, hasher, least_sentences, least_words)[0].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "xxh", "spans"])
 
@@ -121,15 +96,15 @@ def without_repeats(spark: SparkSession, docs: DataFrame, least_sentences: int =
     schema = extended(docs, f"`{p}sentences` bigint, `{p}removed` bigint, `{p}words` bigint")
 
     def run(batches):
-        cache, powers = WordHashes(), Powers()
+        hasher = WordHasher()
         for batch in batches:
             texts, counts = [], []
             for text, starts in zip(batch.column(at).to_pylist(), batch.column(keep).to_pylist()):
                 data = (text or "").encode()
-                hashes, first, begin = sentences(data, cache)
+                hashes, first, begin = sentences(data, hasher)
                 gone = np.zeros(len(first) + 1, np.int64)
                 if starts:
-                    stop = spans(hashes, first, powers, least_sentences, least_words)[1]
+                    stop = spans(hashes, first, hasher, least_sentences, least_words)[1]
                     np.add.at(gone, np.array(starts), 1)
                     np.add.at(gone, stop[np.array(starts)], -1)
                 covered = np.cumsum(gone)[:-1] > 0
