@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakemill.llm import combination_join, latent_retrieval, quality_rules, sentence_spans
+from lakemill.llm import combination_join, latent_retrieval, piece_lattice, quality_rules, sentence_spans
 from lakemill.llm.frames import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,14 @@ def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
 
 
+@query
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, p = piece_lattice.encoded(spark, documents(spark, sf_dir), piece_lattice.load_pieces())
+    return found.select(
+        "doc_id", F.size(f"{p}ids").alias("n_pieces"), F.col(f"{p}ids").alias("ids"),
+        F.col("text").eqNullSafe(F.col(f"{p}decoded")).alias("round_trip"))
+
+
 @query
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut, p = sentence_spans.without_repeats(spark, documents(spark, sf_dir))
