@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from lakemill.llm.license_join import PHRASES, TEMPLATES, THRESHOLD, template_words
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 _SQL: dict[str, str] = {}
@@ -11,7 +13,7 @@ WITH RECURSIVE
 words AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
 shingles AS (
   SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, least(i + 2, len(w))), ' ') AS s
-  FROM words, LATERAL (SELECT unnest(range(1, greatest(len(w) - 2, least(len(w), 1)) + 1)) AS i) AS at),
+  FROM words, LATERAL (SELECT unnest(range(1, greatest(len(w) - 2, least(len(w), 1)) + 1)) AS i) AS p),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 common AS (
   SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
@@ -19,15 +21,64 @@ common AS (
 linked AS (
   SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
   WHERE 100 * k >= 90 * (x.n + y.n - k)),
-both AS (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked),
+two_way AS (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked),
 reach(doc_id, other) AS (
   SELECT doc_id, doc_id FROM documents
-  UNION SELECT r.doc_id, e.b FROM reach r JOIN both e ON r.other = e.a)
+  UNION SELECT r.doc_id, e.b FROM reach r JOIN two_way e ON r.other = e.a)
 SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id
 FROM documents d LEFT JOIN sizes s USING (doc_id)
 JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r USING (doc_id)
 """
 
 
+_TEMPLATES = ", ".join(f"({i}, '{label}', {sorted(set(template_words(text)))})" for i, (label, text) in enumerate(TEMPLATES))
+_PLACES = " UNION ALL ".join(
+    f"""SELECT doc_id, i, '{label}' AS label FROM words, LATERAL (SELECT unnest(range(len(w))) AS i) AS p
+    WHERE list_slice(w, i + 1, i + {len(phrase.split())}) = {phrase.split()}""" for phrase, label in PHRASES)
+
+_SQL["op7_license_scan"] = rf"""
+WITH lowered AS (SELECT doc_id, {_LOWER} AS t FROM documents),
+words AS (SELECT doc_id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM lowered),
+places AS ({_PLACES}),
+base AS (
+  SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list(DISTINCT label) AS labels
+  FROM places GROUP BY doc_id),
+templates(template, label, words) AS (VALUES {_TEMPLATES}),
+lines AS (
+  SELECT doc_id, list_distinct(regexp_extract_all(l, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS held
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM lowered)),
+met AS (
+  SELECT doc_id, label, len(list_intersect(held, words)) / len(words) AS share FROM lines, templates
+  WHERE len(held) >= {THRESHOLD} * len(words) AND len(list_intersect(held, words)) >= {THRESHOLD} * len(words) - 1e-9),
+found AS (SELECT doc_id, list(DISTINCT label) AS labels, max(share) AS best FROM met GROUP BY doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(b.n_base, 0) AS n_base, b.first_word, b.last_word,
+  coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(f.labels, [])))), ','), '') AS labels,
+  CASE WHEN b.n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(f.best, 0.0)::DOUBLE END AS score
+FROM words d LEFT JOIN base b USING (doc_id) LEFT JOIN found f USING (doc_id)
+"""
+
+_DRAWS = ", ".join(f"('0x' || substr(md5(doc_id || ':{s}'), 1, 13))::BIGINT AS d{s}" for s in range(9))
+_SQL["op4_rendezvous_shards"] = f"""
+WITH crc_table AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, _: xor(c >> 1, 3988292384 * (c & 1)))) AS t),
+hexed AS (SELECT doc_id, regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS b FROM documents),
+bytes AS (SELECT doc_id, list_transform(b, lambda h: ('0x' || h)::BIGINT) AS b FROM hexed),
+sums AS (
+  SELECT doc_id, len(b) + 1 AS size,
+    xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS text_crc32
+  FROM bytes, crc_table),
+drawn AS (SELECT *, {_DRAWS} FROM sums),
+owned AS (
+  SELECT doc_id, size, text_crc32,
+    list_position([{", ".join(f"d{s}" for s in range(8))}], greatest({", ".join(f"d{s}" for s in range(8))})) - 1 AS shard,
+    list_position([{", ".join(f"d{s}" for s in range(9))}], greatest({", ".join(f"d{s}" for s in range(9))})) - 1 AS grown_shard
+  FROM drawn)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard::INTEGER AS shard, grown_shard::INTEGER AS grown_shard,
+  row_number() OVER (PARTITION BY shard ORDER BY substr(md5(concat_ws(':', doc_id, size, text_crc32)), 1, 3), doc_id, size, text_crc32) - 1 AS slot
+FROM owned
+"""
+
+
 def statements() -> dict[str, str]:
     return dict(_SQL)

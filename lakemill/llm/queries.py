@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakemill.llm import combination_join, latent_retrieval, piece_lattice, quality_rules, sentence_spans
+from lakemill.llm import (
+    combination_join, latent_retrieval, license_join, piece_lattice, quality_rules, rendezvous, sentence_spans,
+)
 from lakemill.llm.frames import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +32,20 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").eqNullSafe(F.col(f"{p}decoded")).alias("round_trip"))
 
 
+@query
+def op4_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    records = documents(spark, sf_dir).select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    shards = rendezvous.sharded(records, "doc_id", weights=[1.0] * 8, grown=[1.0] * 9)
+    return shards.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@query
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_join.scanned(spark, documents(spark, sf_dir))
+
+
 @query
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut, p = sentence_spans.without_repeats(spark, documents(spark, sf_dir))
