@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemill.llm import (
-    combination_join, latent_retrieval, license_join, piece_lattice, quality_rules, rendezvous, sentence_spans,
+    combination_join, latent_retrieval, license_join, piece_lattice, quality_rules, rendezvous, rule_ensemble,
+    sentence_spans,
 )
 from lakemill.llm.frames import documents
 
@@ -46,6 +47,14 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_join.scanned(spark, documents(spark, sf_dir))
 
 
+@query
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = rule_ensemble.trained(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    found, p = rule_ensemble.scored(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", *[F.col(f"{p}{c}").alias(c) for c in ("held_out", "score", "predicted")])
+
+
 @query
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut, p = sentence_spans.without_repeats(spark, documents(spark, sf_dir))
