@@ -35,7 +35,7 @@ from lakemill.llm.shingles import WordHasher, digest, mixed, shingle_set
 
 BUCKETS = 1 << 18
 HISTOGRAM = 128
-SMALL = 8
+SMALL = 4
 FIRST_BAND = 5  # below 32 shingles every shingle counts as rare
 GROUP_SPREAD = 80
 DIFFERENCE_SPREAD = 144
@@ -157,17 +157,17 @@ def _classes(rows: DataFrame, *columns: str) -> DataFrame:
 
 
 def _candidates(work: Scratch, classes: DataFrame) -> DataFrame:
-    """Pairs of class keys to verify: (a, b, star); ``star`` marks the pivot ``b`` of a large group."""
-    signed = classes.select("key", "typical", F.explode("sigs").alias("sig"))
+    """Pairs of class ids to verify: (a, b, star); ``star`` marks the pivot ``b`` of a large group."""
+    signed = classes.select("id", F.explode("sigs").alias("sig"))
     sizes = signed.groupBy("sig").agg(F.count("*").alias("size")).filter("size > 1")
     member = work.staged(signed.join(sizes, "sig"), "members")
-    few = member.filter(F.col("size") <= SMALL).select("sig", "key")
-    pairs = few.select("sig", F.col("key").alias("a")).join(few.select("sig", F.col("key").alias("b")), "sig").filter("a < b")
-    many = member.filter(F.col("size") > SMALL)
-    pivots = many.groupBy("sig").agg(F.min(F.struct("typical", "key")).getField("key").alias("pivot"))
-    stars = many.join(pivots, "sig").filter("key != pivot")
+    few = member.filter(F.col("size") <= SMALL).select("sig", "id")
+    pairs = few.select("sig", F.col("id").alias("a")).join(few.select("sig", F.col("id").alias("b")), "sig").filter("a < b")
+    many = member.filter(F.col("size") > SMALL).join(classes.select("id", "typical"), "id")
+    pivots = many.groupBy("sig").agg(F.min(F.struct("typical", "id")).getField("id").alias("pivot"))
+    stars = many.join(pivots, "sig").filter("id != pivot")
     return pairs.select("a", "b", F.lit(False).alias("star")).unionAll(
-        stars.select(F.col("key").alias("a"), F.col("pivot").alias("b"), F.lit(True).alias("star"))
+        stars.select(F.col("id").alias("a"), F.col("pivot").alias("b"), F.lit(True).alias("star"))
     ).groupBy("a", "b").agg(F.max("star").alias("star"))
 
 
@@ -188,20 +188,20 @@ def _within_bound(percent: int):
 
 
 def _sets(work: Scratch, docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(key, shingles) of the wanted classes, recomputed from the text of their representatives."""
+    """(id, shingles) of the wanted classes, recomputed from the text of their representatives."""
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("xxh"), F.col("text"))
     found = rows.join(
-        wanted.select(F.col("rep.doc_id").alias("i"), F.col("rep.xxh").alias("x"), "key"),
+        wanted.select(F.col("rep.doc_id").alias("i"), F.col("rep.xxh").alias("x"), "id"),
         F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("xxh") == F.col("x")))
 
     def run(batches):
         hasher = WordHasher()
         for batch in batches:
             values = [shingle_set(v.as_py(), width, hasher).tobytes() for v in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.binary())], names=["key", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.binary())], names=["id", "shingles"])
 
-    sets = found.select("key", text_bytes().alias("t")).mapInArrow(run, "key binary, shingles binary")
-    return work.staged(sets, "sets").dropDuplicates(["key"])
+    sets = found.select("id", text_bytes().alias("t")).mapInArrow(run, "id bigint, shingles binary")
+    return work.staged(sets, "sets").dropDuplicates(["id"])
 
 
 def _verified(percent: int):
@@ -221,7 +221,7 @@ def _verified(percent: int):
                     adds = np.setdiff1d(x, common, assume_unique=True).view(np.int64)
                 for column, value in zip(out, (a, b, star, linked, len(x), len(y), lacks, adds)):
                     column.append(value)
-            types = (pa.binary(), pa.binary(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            types = (pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(out, types)], names=["a", "b", "star", "linked", "na", "nb", "lacks", "adds"])
 
@@ -243,13 +243,13 @@ def difference_signatures(lacks: np.ndarray, adds: np.ndarray, n: int, of: int,
     return pairs, ranked[:0] if enough else mixed(ranked[:need] ^ np.uint64(2))
 
 
-def _difference_pairs(work: Scratch, stars: DataFrame, percent: int) -> DataFrame:
-    """Linked pairs (a, b) of members of one pivot of which at least one is not linked with the pivot.
+def _difference_pairs(work: Scratch, stars: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Linked pairs (a, b) of members of one pivot that no path connects yet (``roots``: node, root of the links so far).
 
     Every signature carries its member's size and two 128-bit masks of what it lacks and adds; a bit that only one
     side has stands for a difference at least, so most pairs end in the join itself.
     """
-    names = ["pivot", "key", "far", "kind", "sigs", "n", *MASKS]
+    names = ["pivot", "key", "far", "kind", "sigs", "root", "n", *MASKS]
 
     def mask(values: np.ndarray) -> list[int]:
         bits = np.bincount((values >> np.uint64(9)).astype(np.int64) & 127, minlength=128) > 0
@@ -258,20 +258,23 @@ def _difference_pairs(work: Scratch, stars: DataFrame, percent: int) -> DataFram
     def run(batches):
         for batch in batches:
             out = [[] for _ in names]
-            for a, b, linked, na, nb, lacks, adds in zip(*(batch.column(i).to_pylist() for i in range(7))):
+            for a, b, far, root, na, nb, lacks, adds in zip(*(batch.column(i).to_pylist() for i in range(8))):
                 lack, add = (np.array(v, np.int64).view(np.uint64) for v in (lacks, adds))
                 bits = [*mask(lack), *mask(add)]
                 for kind, found in enumerate(difference_signatures(lack, add, na, nb, percent)):
                     if len(found):
-                        for column, value in zip(out, (b, a, not linked, kind, found.view(np.int64), na, *bits)):
+                        for column, value in zip(out, (b, a, far, kind, found.view(np.int64), root, na, *bits)):
                             column.append(value)
-            types = (pa.binary(), pa.binary(), pa.bool_(), pa.int32(), pa.list_(pa.int64()), *[pa.int64()] * 5)
+            types = (pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.list_(pa.int64()), *[pa.int64()] * 6)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=names)
 
-    far = stars.filter("NOT linked").select(F.col("b").alias("pivot")).distinct()
-    around = work.staged(stars.join(far, stars.b == far.pivot, "left_semi"), "around")
-    signed = around.select("a", "b", "linked", "na", "nb", "lacks", "adds").mapInArrow(
-        run, "pivot binary, key binary, far boolean, kind int, sigs array<bigint>, n bigint, " + ", ".join(f"{m} bigint" for m in MASKS))
+    root_of = lambda node, name: roots.select(F.col("node").alias(node), F.col("root").alias(name))
+    placed = stars.join(root_of("a", "root"), "a", "left").join(root_of("b", "pivot_root"), "b", "left").withColumns({
+        "root": F.coalesce("root", "a"), "pivot_root": F.coalesce("pivot_root", "b")}).withColumn("far", F.col("root") != F.col("pivot_root"))
+    placed = work.staged(placed, "placed")
+    around = work.staged(placed.join(placed.filter("far").select("b").distinct(), "b", "left_semi"), "around")
+    signed = around.select("a", "b", "far", "root", "na", "nb", "lacks", "adds").mapInArrow(
+        run, "pivot bigint, key bigint, far boolean, kind int, sigs array<bigint>, root bigint, n bigint, " + ", ".join(f"{m} bigint" for m in MASKS))
     signed = work.staged(signed.withColumn("sig", F.explode("sigs")).drop("sigs"), "differences")
     common = ["pivot", "kind", "sig"]
     often = signed.groupBy(*common).agg(F.count("*").alias("n"), F.max("far").alias("any_far")).filter("n > 1 AND any_far").select(*common)
@@ -280,7 +283,7 @@ def _difference_pairs(work: Scratch, stars: DataFrame, percent: int) -> DataFram
     at_least = sum((F.bit_count(F.col(f"x.{m}").bitwiseXOR(F.col(f"y.{m}"))) for m in MASKS), F.lit(0))
     total = F.col("x.n") + F.col("y.n")
     pairs = probe.join(index, common).filter(
-        (F.col("x.key") != F.col("y.key")) & (~F.col("y.far") | (F.col("x.key") < F.col("y.key")))
+        (F.col("x.root") != F.col("y.root")) & (~F.col("y.far") | (F.col("x.key") < F.col("y.key")))
         & (at_least * (100 + percent) <= total * (100 - percent)))
     pairs = pairs.select("pivot", F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
     side = lambda of, size: around.select(
@@ -292,29 +295,31 @@ def _difference_pairs(work: Scratch, stars: DataFrame, percent: int) -> DataFram
     return sized.filter(100 * both >= percent * (F.col("n") + F.col("m") - both)).select("a", "b").distinct()
 
 
-def links(spark: SparkSession, docs: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links between classes, enough of them to connect every component: (u, v) of class keys; staged."""
+def links(spark: SparkSession, docs: DataFrame, rows: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links between classes, enough of them to connect every component, as (u, v) of class ids; and the classes (id, key)."""
     work = Scratch(spark)
-    classes = work.staged(_classes(rows, "n", "typical", "hist", "sigs"), "classes")
-    hist = classes.select("key", "n", "hist")
+    classes = work.staged(_classes(rows, "n", "typical", "hist", "sigs").withColumn("id", F.monotonically_increasing_id()), "classes")
     pairs = work.staged(_candidates(work, classes), "pairs")
-    sized = pairs.join(hist.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("hist").alias("ha")), "a").join(
-        hist.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("hist").alias("hb")), "b")
+    side = lambda of: classes.select(F.col("id").alias(of), F.col("n").alias(f"n{of}"), F.col("hist").alias(f"h{of}"))
+    sizes = lambda of: classes.select(F.col("id").alias(of), F.col("n").alias(f"n{of}"))
     near = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent) | F.col("star")
-    open_pairs = work.staged(sized.filter(near).select("a", "b", "na", "nb", "ha", "hb", "star").mapInArrow(
-        _within_bound(percent), "a binary, b binary, star boolean"), "open")
-    wanted = open_pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    sets = _sets(work, docs, classes.join(wanted, "key", "left_semi"), width)
-    whole = open_pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa")), "a").join(
-        sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb")), "b")
+    fitting = pairs.join(sizes("a"), "a").join(sizes("b"), "b").filter(near).select("a", "b", "star")
+    open_pairs = work.staged(fitting.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ha", "hb", "star").mapInArrow(
+        _within_bound(percent), "a bigint, b bigint, star boolean"), "open")
+    wanted = open_pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    sets = _sets(work, docs, classes.select("id", "rep").join(wanted, "id", "left_semi"), width)
+    whole = open_pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").join(
+        sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
     verified = work.staged(whole.select("a", "b", "star", "sa", "sb").mapInArrow(
         _verified(percent),
-        "a binary, b binary, star boolean, linked boolean, na bigint, nb bigint, lacks array<bigint>, adds array<bigint>"), "verified")
-    direct = verified.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
-    rest = _difference_pairs(work, verified.filter("star"), percent)
+        "a bigint, b bigint, star boolean, linked boolean, na bigint, nb bigint, lacks array<bigint>, adds array<bigint>"), "verified")
+    direct = staged(spark, verified.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v")), "direct-links")
+    stars = verified.filter("star").select("a", "b", "na", "nb", "lacks", "adds")
+    rest = _difference_pairs(work, stars, connected(spark, direct), percent)
     found = staged(spark, direct.unionAll(rest.select(F.col("a").alias("u"), F.col("b").alias("v"))).distinct(), "class-links")
+    names = staged(spark, classes.select("id", "key"), "class-names")
     work.clear()
-    return found
+    return found, names
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
@@ -324,14 +329,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 3, percen
     the component but are not all of its pairs. A document without shingles is its own component.
     """
     rows = shingled(spark, docs, width, percent)
-    edges = links(spark, docs, rows, width, percent)
+    edges, names = links(spark, docs, rows, width, percent)
     roots = connected(spark, edges)
     classes = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"))
-    classes = classes.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    degree = edges.select(F.explode(F.array("u", "v")).alias("key")).groupBy("key").agg(F.count("*").alias("n_links"))
-    classes = classes.join(degree, "key", "left")
-    names = classes.groupBy("root").agg(F.min("least").alias("component"))
-    placed = classes.join(names, "root").select("key", "component", "n_links")
+    classes = classes.join(names, "key").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    degree = edges.select(F.explode(F.array("u", "v")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
+    classes = classes.join(degree, "id", "left")
+    components = classes.groupBy("root").agg(F.min("least").alias("component"))
+    placed = classes.join(components, "root").select("key", "component", "n_links")
     return rows.select("doc_id", "xxh", "n", "key").join(placed, "key", "left").select(
         "doc_id", "xxh", F.col("n").alias("n_shingles"), F.col("key").alias("class_key"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
