@@ -33,6 +33,7 @@ from lakemill.llm.shingles import WordHasher
 
 HEAD = 1 << 22
 FOLD = 62
+OUTSIDE = (1 << 26) - 1  # stands for the id of a character outside the table
 BROADCAST_PIECES = 1 << 18
 PIECE_FILE = "piece_bpe_32k.model"
 _MARK = "▁"
@@ -127,28 +128,43 @@ def merged(segment: str, rank: dict[str, float]) -> list[str]:
     return [segment[i:stop[i]] for i in range(n) if alive[i]]
 
 
-def lattice(distinct: DataFrame, pieces: Pieces) -> DataFrame:
-    """(hash, segment, edges): each edge has s, e, id (-1: a character outside the table), score and its bytes' ids.
-
-    Substrings stay in their segment's task; the grouping reuses the partitioning that made segments distinct.
-    """
-    spark = distinct.sparkSession
-    table = spark.createDataFrame(pieces.pieces, "sub string, id int, score double")
+def _substrings(distinct: DataFrame, pieces: Pieces) -> DataFrame:
+    """(hash, segment, s, e, id, score) of every substring that is a piece; id is null for characters outside the table."""
+    table = distinct.sparkSession.createDataFrame(pieces.pieces, "sub string, id int, score double")
     table = F.broadcast(table) if len(pieces.pieces) <= BROADCAST_PIECES else table
     size = F.length("segment")
     spans = F.flatten(F.transform(F.sequence(F.lit(0), size - 1), lambda s: F.transform(
         F.sequence(F.lit(1), F.least(F.lit(pieces.longest), size - s)),
         lambda k: F.struct(s.alias("s"), (s + k).alias("e"), F.substring(F.col("segment"), s + 1, k).alias("sub")))))
     subs = distinct.select("hash", "segment", F.explode(spans).alias("x")).select("hash", "segment", "x.s", "x.e", "x.sub")
-    found = subs.join(table, "sub", "left").filter("id IS NOT NULL OR e = s + 1")
-    code = F.hex("sub")
-    as_bytes = F.transform(F.sequence(F.lit(0), F.octet_length("sub") - 1), lambda k: (
+    return subs.join(table, "sub", "left").filter("id IS NOT NULL OR e = s + 1").drop("sub")
+
+
+def _byte_ids(character: Column, pieces: Pieces) -> Column:
+    code = F.hex(character)
+    return F.transform(F.sequence(F.lit(0), F.octet_length(character) - 1), lambda k: (
         F.conv(F.substring(code, k * 2 + 1, F.lit(2)), 16, 10).cast("int") + pieces.first_byte))
-    ids = F.when(F.col("id").isNull(), as_bytes).otherwise(F.array("id"))
-    low, high = (F.call_function("shiftleft", F.lit(1).cast("long"), F.col(c)) for c in ("s", "e"))
-    edge = F.struct(F.coalesce(-F.col("score"), F.lit(float("inf"))).alias("cost"), "s", "e", ids.alias("ids"),
-                    low.bitwiseOR(high).alias("ends"), (high - low * 2).alias("inner"))
-    return found.groupBy("hash", "segment").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+
+
+def lattice(distinct: DataFrame, pieces: Pieces) -> DataFrame:
+    """(hash, segment, edges): each edge has s, e, cost and ids (those of its bytes for a character outside the table).
+
+    Substrings stay in their segment's task; the grouping reuses the partitioning that made segments distinct.
+    """
+    ids = F.when(F.col("id").isNull(), _byte_ids(F.substring("segment", F.col("s") + 1, F.lit(1)), pieces)).otherwise(F.array("id"))
+    edge = F.struct(F.coalesce(-F.col("score"), F.lit(float("inf"))).alias("cost"), "s", "e", ids.alias("ids"))
+    return _substrings(distinct, pieces).groupBy("hash", "segment").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+
+
+def packed_lattice(distinct: DataFrame, pieces: Pieces) -> DataFrame:
+    """The same with an edge in one long: rank of its score, start, end and id, from the highest bits down."""
+    scores = sorted({-score for _, _, score in pieces.pieces})
+    rank = {cost: i for i, cost in enumerate(scores)}
+    ranked = Pieces(pieces.kind, [(piece, i, float(rank[-score])) for piece, i, score in pieces.pieces], pieces.first_byte, pieces.unknown)
+    shifted = lambda c, n: F.call_function("shiftleft", c.cast("long"), F.lit(n))
+    edge = (shifted(F.coalesce(F.col("score"), F.lit(len(scores))), 38) + shifted(F.col("s"), 32) + shifted(F.col("e"), 26)
+            + F.coalesce("id", F.lit(OUTSIDE)))
+    return _substrings(distinct, ranked).groupBy("hash", "segment").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -156,22 +172,33 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), 0)
 
 
-def merge_fold(edges: Column, size: Column) -> Column:
+def merge_fold(packed: Column, segment: Column, pieces: Pieces) -> Column:
     """Ids of the path by merges: a bit per boundary; each step drops the boundary inside the best applicable edge.
 
-    Edges are in the order of cost, then place; ``ends`` masks an edge's two boundaries, ``inner`` those between.
+    Edges come in the order of rank, then place. ``ends`` masks an edge's two boundaries, ``inner`` those between.
     """
+    size, one = F.length(segment), F.lit(1).cast("long")
+    shift = lambda c, n: F.call_function("shiftleft", c, n)
+    field = lambda x, n, width: F.call_function("shiftright", x, F.lit(n)).bitwiseAND(F.lit((1 << width) - 1)).cast("int")
     ends_hold = lambda mask, x: mask.bitwiseAND(x["ends"]) == x["ends"]
 
-    def step(mask: Column, _: Column) -> Column:
-        applies = F.filter(edges, lambda x: (x["inner"] != 0) & ends_hold(mask, x) & (F.bit_count(mask.bitwiseAND(x["inner"])) == 1))
-        return F.coalesce(mask.bitwiseAND(F.bitwise_not(F.get(applies, 0)["inner"])), mask)
+    def unpacked(x: Column) -> Column:
+        s, e = field(x, 32, 6), field(x, 26, 6)
+        return F.struct(s.alias("s"), field(x, 0, 26).alias("id"), shift(one, s).bitwiseOR(shift(one, e)).alias("ends"),
+                        (shift(one, e) - shift(one, s) * 2).alias("inner"))
+
+    def path(edges: Column) -> Column:
+        def step(mask: Column, _: Column) -> Column:
+            applies = F.filter(edges, lambda x: (x["inner"] != 0) & ends_hold(mask, x) & (F.bit_count(mask.bitwiseAND(x["inner"])) == 1))
+            return F.coalesce(mask.bitwiseAND(F.bitwise_not(F.get(applies, 0)["inner"])), mask)
+
+        last = F.aggregate(F.slice(edges, 1, F.greatest(size - 1, F.lit(0))), shift(one, size + 1) - 1, step)
+        return _let(last, lambda mask: F.filter(edges, lambda x: ends_hold(mask, x) & (mask.bitwiseAND(x["inner"]) == 0)))
 
-    start = F.call_function("shiftleft", F.lit(1).cast("long"), size + 1) - 1
-    last = F.aggregate(F.slice(edges, 1, F.greatest(size - 1, F.lit(0))), start, step)
-    path = _let(last, lambda mask: F.filter(edges, lambda x: ends_hold(mask, x) & (mask.bitwiseAND(x["inner"]) == 0)))
-    by_place = F.sort_array(F.transform(path, lambda x: F.struct(x["s"], x["ids"])))
-    return F.flatten(F.transform(by_place, lambda x: x["ids"]))
+    chosen = _let(F.transform(packed, unpacked), path)
+    by_place = F.sort_array(F.transform(chosen, lambda x: F.struct(x["s"], x["id"])))
+    return F.flatten(F.transform(by_place, lambda x: F.when(
+        x["id"] == OUTSIDE, _byte_ids(F.substring(segment, x["s"] + 1, F.lit(1)), pieces)).otherwise(F.array(x["id"]))))
 
 
 def viterbi_fold(edges: Column, size: Column) -> Column:
@@ -201,11 +228,10 @@ def viterbi_fold(edges: Column, size: Column) -> Column:
 def encode_segments(distinct: DataFrame, pieces: Pieces) -> DataFrame:
     """(hash, ids) for distinct (hash, segment) rows."""
     size = F.length("segment")
-    fold = merge_fold if pieces.kind == "bpe" else viterbi_fold
-    short = distinct.filter(size <= FOLD) if pieces.kind == "bpe" else distinct
-    encoded = lattice(short, pieces).select("hash", fold(F.col("edges"), size).alias("ids"))
     if pieces.kind != "bpe":
-        return encoded
+        return lattice(distinct, pieces).select("hash", viterbi_fold(F.col("edges"), size).alias("ids"))
+    short = packed_lattice(distinct.filter(size <= FOLD), pieces)
+    encoded = short.select("hash", merge_fold(F.col("edges"), F.col("segment"), pieces).alias("ids"))
     shared = distinct.sparkSession.sparkContext.broadcast(([(p, s, i) for p, i, s in pieces.pieces], pieces.first_byte))
 
     def run(batches):
