@@ -21,7 +21,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def staged(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once under the shared folder and read it back: cuts lineage, survives lost executors."""
     path = fresh_dir(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -33,7 +33,7 @@ class Scratch:
 
     def staged(self, df: DataFrame, label: str) -> DataFrame:
         self.paths.append(path := fresh_dir(self.spark, label))
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def clear(self) -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemill.llm import (
     combination_join, latent_retrieval, license_join, piece_lattice, quality_rules, rendezvous, rule_ensemble,
-    sentence_spans,
+    sentence_spans, separator_scan,
 )
 from lakemill.llm.frames import documents
 
@@ -25,6 +25,11 @@ def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
 
 
+@query
+def op1_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return separator_scan.token_counts(spark, documents(spark, sf_dir)).select("doc_id", "n_tokens")
+
+
 @query
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, p = piece_lattice.encoded(spark, documents(spark, sf_dir), piece_lattice.load_pieces())
