@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemill.llm import (
-    combination_join, latent_retrieval, license_join, piece_lattice, quality_rules, rendezvous, rule_ensemble,
-    sentence_spans, separator_scan,
+    combination_join, latent_retrieval, license_join, piece_lattice, quality_rules, recurrent_lm, rendezvous,
+    rule_ensemble, sentence_spans, separator_scan,
 )
 from lakemill.llm.frames import documents
 
@@ -38,6 +38,11 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").eqNullSafe(F.col(f"{p}decoded")).alias("round_trip"))
 
 
+@query
+def op3_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent_lm.scored(spark, documents(spark, sf_dir))
+
+
 @query
 def op4_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit("")).cast("binary")
