@@ -1,0 +1,141 @@
+"""Near-duplicate components, sentence spans and decontamination against brute force."""
+
+import random
+
+import numpy as np
+import pytest
+
+from lakemill.llm import combination_join, latent_retrieval, sentence_spans
+from lakemill.llm.components import connected
+from lakemill.llm.shingles import WordHasher, shingle_set
+
+
+def words(r, n, of=400):
+    return [f"v{r.randrange(of)}" for _ in range(n)]
+
+
+def changed(r, w, k):
+    w = list(w)
+    for i in r.sample(range(len(w)), k):
+        w[i] = f"new{r.randrange(10**6)}"
+    return w
+
+
+def brute_components(pairs, width, percent):
+    sets = {i: {tuple(w[k:k + width]) for k in range(max(1, len(w) - width + 1))} if (w := (t or "").lower().split()) else set() for i, t in pairs}
+    parent = {i: i for i in sets}
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    ids = sorted(sets)
+    for a in ids:
+        for b in ids:
+            if a < b and sets[a] and sets[b]:
+                n = len(sets[a] & sets[b])
+                if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
+                    x, y = sorted((find(a), find(b)))
+                    parent[y] = x
+    return {i: (len(sets[i]), find(i)) for i in ids}
+
+
+@pytest.mark.parametrize("width,percent", [(3, 90), (5, 80)])
+def test_components_equal_brute_force_with_a_large_group_of_near_copies(spark, docs_of, width, percent):
+    r = random.Random(4)
+    base, other = words(r, 160), words(r, 60, 30)
+    texts = [" ".join(changed(r, base, r.randrange(0, 9))) for _ in range(150)]
+    texts += [" ".join(changed(r, other, r.randrange(0, 3))) for _ in range(40)]
+    texts += [" ".join(base + words(r, k)) for k in range(0, 40, 4)] + [" ".join(words(r, r.randrange(0, 90))) for _ in range(40)]
+    texts += ["a", "A", "a b", "b a", "", None, " ".join(base), " ".join(base).upper()]
+    pairs = list(enumerate(texts, start=10))
+    got = combination_join.near_duplicates(spark, docs_of(pairs), width, percent).collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == brute_components(pairs, width, percent)
+    kept = combination_join.one_per_group(spark, docs_of(pairs), width, percent)
+    assert sorted(x.doc_id for x in kept.collect()) == sorted({x.component_id for x in got})
+
+
+def test_prefixes_of_linked_sets_share_a_signature():
+    r = np.random.default_rng(2)
+    for n in (1, 5, 31, 32, 40, 200, 1500):
+        x = np.unique(r.integers(0, 2**63, n).astype(np.uint64))
+        drop = len(x) // 19
+        y = np.unique(np.concatenate([x[drop:], r.integers(0, 2**63, drop).astype(np.uint64)]))
+        load = {int(v): int(r.integers(0, 100)) for v in np.concatenate([x, y])}
+        both = len(np.intersect1d(x, y))
+        if 100 * both < 90 * (len(x) + len(y) - both):
+            continue
+        sign = lambda s: combination_join.signatures(s, np.array([load[int(v)] for v in s]), 50, 90)
+        assert len(np.intersect1d(sign(x), sign(y)))
+
+
+def test_hashes_depend_on_the_word_alone():
+    h = WordHasher()
+    a = h.words(b"Alpha beta  alpha\nBETA", lower=True)[2]
+    assert a[0] == a[2] and a[1] == a[3] and a[0] != a[1]
+    assert len(shingle_set(b"x y", 3, h)) == 1 and len(shingle_set(b"", 3, h)) == 0
+
+
+def test_components_of_a_long_path(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "u long, v long")
+    assert {r.node: r.root for r in connected(spark, edges).collect()} == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
+
+
+def sentence(r, n=9):
+    return " ".join(words(r, n, 5000)) + "."
+
+
+def test_later_copies_of_a_passage_go_wherever_they_stand(spark, docs_of):
+    r = random.Random(7)
+    passage = " ".join(sentence(r) for _ in range(8))
+    lead = " ".join(words(r, 5, 5000))
+    pairs = [(1, f"{sentence(r)} {passage} {sentence(r)}"), (2, f"{sentence(r)} {lead} {passage} {sentence(r)}"), (3, " ".join(sentence(r) for _ in range(9)))]
+    out, p = sentence_spans.without_repeats(spark, docs_of(pairs))
+    text = {x.doc_id: x.text for x in out.collect()}
+    assert text[1] == pairs[0][1] and text[3] == pairs[2][1]
+    left = set(text[2].split()) & set(passage.split())
+    assert len(left) <= 10 and all(w in text[2] for w in pairs[1][1].split()[:9])
+
+
+def test_spans_equal_brute_force(spark, docs_of):
+    r = random.Random(9)
+    pool = [sentence(r, r.randrange(1, 7)) for _ in range(25)]
+    pairs = [(i, " ".join(r.choice(pool) for _ in range(12))) for i in range(20)]
+    split = {i: [s + "." for s in t.replace(". ", ".").split(".")[:-1]] for i, t in pairs}
+    first, gone = {}, {}
+    for i, s in sorted(split.items()):
+        for a in range(len(s)):
+            b = a + 3
+            while b <= len(s) and sum(len(x.split()) for x in s[a:b]) < 12:
+                b += 1
+            if b <= len(s):
+                if first.setdefault(" ".join(s[a:b]), (i, a)) != (i, a):
+                    gone.setdefault(i, set()).update(range(a, b))
+    want = {i: " ".join(x for k, x in enumerate(s) if k not in gone.get(i, ())) for i, s in split.items()}
+    out, _ = sentence_spans.without_repeats(spark, docs_of(pairs))
+    assert {x.doc_id: x.text.strip() for x in out.collect()} == want
+
+
+def test_leaked_items_are_found_and_clean_documents_left(spark, docs_of):
+    r = random.Random(3)
+    items = [(i, " ".join(words(r, r.randrange(20, 50), 3000))) for i in range(60)]
+    pairs, dirty = [], set()
+    for i in range(200):
+        w = words(r, r.randrange(40, 400), 3000)
+        if i % 4 == 0:
+            item = items[i % 60][1].split()
+            if i % 8 == 0:
+                item = [x for k, x in enumerate(item) if k % 7]  # a paraphrase drops words
+            at = r.randrange(len(w))
+            w[at:at] = item
+            dirty.add(i)
+        pairs.append((i, " ".join(w)))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    out, p = latent_retrieval.searched(spark, docs_of(pairs), bench)
+    found = {x.doc_id for x in out.filter(f"{p}contaminated").select("doc_id").collect()}
+    assert len(found & dirty) >= 0.9 * len(dirty) and not found - dirty
+
+
+def test_common_subsequence():
+    assert latent_retrieval.common_subsequence(list("abcbdab"), list("bdcaba")) == 4
