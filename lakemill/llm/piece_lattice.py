@@ -32,6 +32,7 @@ from lakemill.llm.frames import Scratch, extended, free_prefix
 from lakemill.llm.shingles import WordHasher
 
 HEAD = 1 << 22
+PER_TASK = 20_000
 FOLD = 62
 OUTSIDE = (1 << 26) - 1  # stands for the id of a character outside the table
 BROADCAST_PIECES = 1 << 18
@@ -308,7 +309,8 @@ def encoded(spark: SparkSession, docs: DataFrame, pieces: Pieces, head: int = HE
     p, work = free_prefix(docs, "sp_"), Scratch(spark)
     distinct = distinct_segments(docs, pieces)
     counts = work.staged(distinct, "segments")
-    dictionary = work.staged(encode_segments(counts.repartition("hash", "segment"), pieces).join(counts.select("hash", "n"), "hash"), "segment-ids")
+    spread_out = counts.repartition(1 + counts.count() // PER_TASK, "hash", "segment")  # a task's edges are grouped in memory
+    dictionary = work.staged(encode_segments(spread_out, pieces).join(counts.select("hash", "n"), "hash"), "segment-ids")
     shared = spark.sparkContext.broadcast((pieces.cuts(), pieces.table(), *_head(dictionary, head)))
     at, keep = docs.columns.index("text"), len(docs.columns)
     schema = extended(docs, f"`{p}ids` array<int>, `{p}decoded` string, `{p}holes` array<bigint>")
