@@ -227,7 +227,7 @@ UNION ALL SELECT s_suppkey, s_name, s_nationkey FROM supplier""",
         "city_month_consumption": f"WITH {_VALID_CITIES} {_CITY_MONTH.format('cities')}",
         "region_rollup": f"WITH {_PLACED} {_ROLLUP}",
         "region_rollup_keyed": f"""WITH {_PLACED}, r AS ({_ROLLUP})
-SELECT year, count(DISTINCT (province_id, region_id, month)) AS keys, count(*) AS rows FROM r GROUP BY year""",
+SELECT *, sha256(concat_ws(chr(31), province_id, region_id, year, month)) AS uuid FROM r""",
         "avg_vs_parent": f"WITH {_VALID_CITIES} {_CITY_AVERAGE}",
         "avg_vs_parent_top": f"WITH {_VALID_CITIES}, r AS ({_CITY_AVERAGE}) SELECT * FROM r "
         "ORDER BY cityavgconsumption DESC, provinceavgconsumption DESC, cityname LIMIT 5",
@@ -293,12 +293,13 @@ dense AS (
   LEFT JOIN valid ON order_sn = id),
 sums AS (SELECT id, m, sum(m) OVER (ORDER BY id) AS s FROM dense),
 runs AS (
-  SELECT a.id AS first, b.id AS last, CAST(b.s - a.s + a.m AS DOUBLE) / (d + 1) AS avg
+  SELECT a.id AS first, b.id AS last, CAST(b.s - a.s + a.m AS DOUBLE) / (d + 1) AS avg,
+    CAST(100 * (b.s - a.s + a.m) AS HUGEINT) * (219060189739591200 // (d + 1)) AS exact
   FROM sums a, range(20, 41) t(d), sums b WHERE b.id = a.id + d),
-best AS (SELECT max(avg) AS top FROM runs)
+best AS (SELECT max(exact) AS top FROM runs)
 SELECT 1 AS seq_index, any_value(avg) AS avg_order_price,
   arg_min(first || '-' || last, (first, last)) AS id_range, count(*) AS matchnum
-FROM runs, best WHERE avg = top""",
+FROM runs, best WHERE exact = top""",
         "item_overlap": _overlap(keep_self=False),
         "item_overlap_with_self": _overlap(keep_self=True),
         "consecutive_day_users": f"""WITH {_ORDERS}, days AS (

@@ -70,3 +70,10 @@ def calendar(time: Column, *parts: str) -> list[Column]:
     """``year``, ``month``, ``day`` columns of a time, in the order asked for."""
     known = {"year": F.year, "month": F.month, "day": F.dayofmonth}
     return [known[p](time).alias(p) for p in parts]
+
+
+def in_year(df: DataFrame, column: str, year: int) -> Column:
+    """Times of one year as two bounds of the column's own type, which reach the scan."""
+    kind = df.schema[column].dataType
+    at = lambda y: F.lit(f"{y}-01-01 00:00:00").cast(kind)
+    return (F.col(column) >= at(year)) & (F.col(column) < at(year + 1))

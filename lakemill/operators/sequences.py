@@ -6,6 +6,9 @@ receives more, however the rows are spread; repeated ids are summed before the e
 
 from __future__ import annotations
 
+import math
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 WIDTH = 1 << 18  # prefix sums: few ranges, as their totals are ordered in one task
@@ -133,22 +136,26 @@ def best_average_run(
     })
     native = starts.filter(F.col("_range") == _range_of(end, width)).withColumn("_last", F.size("_priors") - 1)
 
-    def average(prior: Column, back) -> Column:
-        mean = (F.col("_sum") - prior).cast("double") / 100 / (back + 1)
-        return F.when(end - back >= F.col("_island"), mean)
+    # An average s/n is compared as the whole number s * (common / n), with no rounding.
+    common = math.lcm(*range(k, 2 * k))
+    if common * (1 << 63) >= 10**38:
+        raise ValueError(f"averages over {k} to {2 * k - 1} ids cannot be compared exactly")
+    whole = [F.lit(Decimal(common // (k + j))).cast("decimal(18,0)") for j in range(k)]
+
+    def average(prior: Column, j: int) -> Column:
+        mean = ((F.col("_sum") - prior).cast("decimal(19,0)") * whole[j]).cast("decimal(38,0)")
+        return F.when(end - (min_distance + j) >= F.col("_island"), mean)
 
     # Plain expressions over array positions stay in generated code, a lambda over the array would not.
-    averages = [average(F.get("_priors", F.col("_last") - j), F.lit(min_distance + j)) for j in range(k)]
+    averages = [average(F.get("_priors", F.col("_last") - j), j) for j in range(k)]
     best = native.withColumn("_best", F.greatest(*averages))
     # Only right ends that reach their range's best go on to the comparison of single runs.
     top = F.max("_best").over(Window.partitionBy("_range"))
     ends = best.withColumn("_top", top).filter(F.col("_best") == F.col("_top"))
-    runs = ends.select("*", F.posexplode("_priors").alias("_at", "_prior"))
-    back = F.col("_last") - F.col("_at") + min_distance
-    tied = runs.filter(average(F.col("_prior"), back) == F.col("_best")).select(
-        "_range", "_best", F.lit(1).alias("_ties"),
-        F.struct((end - back).alias("first"), end.alias("last")).alias("_span"),
-    )
+    hits = F.array(*[F.when(a == F.col("_best"), F.struct(
+        (end - (min_distance + j)).alias("first"), end.alias("last"),
+        (F.col("_sum") - F.get("_priors", F.col("_last") - j)).alias("cents"))) for j, a in enumerate(averages)])
+    tied = ends.select("_range", "_best", F.lit(1).alias("_ties"), F.explode(F.array_compact(hits)).alias("_span"))
     per_range = tied.groupBy("_range", "_best").agg(F.sum("_ties").alias("_ties"), F.min("_span").alias("_span"))
     winner = (
         per_range.groupBy("_best")
@@ -158,7 +165,7 @@ def best_average_run(
     )
     return winner.select(
         F.lit(1).alias("seq_index"),
-        F.col("_best").alias("avg_order_price"),
+        (F.col("_span.cents").cast("double") / 100 / (F.col("_span.last") - F.col("_span.first") + 1)).alias("avg_order_price"),
         F.concat_ws("-", "_span.first", "_span.last").alias("id_range"),
         "matchnum",
     )

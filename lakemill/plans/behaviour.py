@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from lakemill.functions.money import as_double, percent_text
 from lakemill.functions.times import DAY_PATTERN
-from lakemill.operators.joins import broadcast_if, is_small
 from lakemill.operators.ranking import top_k
 
 
@@ -81,18 +80,16 @@ def item_overlap(
     """Known users who bought most of the known products the target user bought; ties go by id.
 
     The target's orders, then the target's products, are found first so that the lines are reduced
-    before they meet the orders. Both sets are broadcast if they are small: the orders are counted,
-    the products are bounded by the product table (two actions); beyond the limit they are shuffled.
-    Users are checked against the customers after counting, when they are one row each.
+    before they meet the orders; how both sets travel is left to Spark's size check at run time. A target who is no
+    known customer has no orders. Other users are checked against the customers after counting, when they are one row each.
     """
-    own_orders = orders.filter(F.col(user) == target).select(order)
-    own_orders = broadcast_if(own_orders, is_small(own_orders))
+    customer = customers.select(user)
+    own_orders = orders.filter(F.col(user) == target).join(customer.filter(F.col(user) == target), user, "left_semi").select(order)
     catalogue = products.select(product)
     wanted = (
         lines.join(own_orders, order, "left_semi").select(product).distinct()
         .join(catalogue, product, "left_semi")
     )
-    wanted = broadcast_if(wanted, is_small(catalogue))
     bought = (
         lines.select(order, product).join(wanted, product, "left_semi")
         .join(orders.select(order, user), order)
@@ -101,7 +98,7 @@ def item_overlap(
     if exclude_self:
         bought = bought.filter(F.col(user) != target)
     counts = bought.groupBy(user).agg(F.count("*").alias("num_products"))
-    known = counts.join(customers.select(user), user, "left_semi")
+    known = counts.join(customer, user, "left_semi")
     return top_k(known, [F.col("num_products").desc(), F.col(user).asc()], n)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakemill.functions.money import as_double
-from lakemill.functions.times import calendar
+from lakemill.functions.times import calendar, in_year
 
 # Labels above / below / same.
 ABOVE, BELOW, SAME = "高", "低", "相同"
@@ -116,7 +116,7 @@ def province_avg_vs_all(orders: DataFrame, amount: str = "final_total_amount") -
 
 def nation_median(orders: DataFrame, year: int, amount: str = "final_total_amount") -> DataFrame:
     """Median order amount of each province beside that of its region, for one year."""
-    wanted = orders.filter(F.year("create_time") == year)
+    wanted = orders.filter(in_year(orders, "create_time", year))
     levels = median_levels(
         wanted, ["province_id", "province_name"], ["region_id", "region_name"], ["year"], amount
     )

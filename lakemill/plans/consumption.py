@@ -12,6 +12,7 @@ from lakemill.operators.ranking import global_rank
 
 # Fixed value: status text of a refunded order in the source feed.
 REFUNDED = ("已退款",)
+VERSION_ORDER = ("modified_time", "order_id")
 
 
 def valid_orders(
@@ -20,11 +21,13 @@ def valid_orders(
     """Orders not refunded, one row per order number, the latest by ``create_time``.
 
     The status filter comes first: a refunded row never shadows a kept one, and a NULL status drops
-    out. Naming ``columns`` prunes the scan to them.
+    out. Of several rows with the latest time the last modified stays, then the greatest row id; which one does
+    not depend on ``columns``, so all metrics of a night see the same version. Frames without either
+    column decide by all their columns.
     """
-    needed = [key, "create_time", "order_status", *columns] if columns else orders.columns
-    kept = orders.select(*dict.fromkeys(needed)).filter(~F.col("order_status").isin(*excluded))
-    latest = dedupe_latest(kept, [key], ["create_time"])
+    kept = orders.filter(~F.col("order_status").isin(*excluded))
+    ties = [c for c in VERSION_ORDER if c in orders.columns] or None
+    latest = dedupe_latest(kept, [key], ["create_time"], ties)
     return latest.select(*columns) if columns else latest
 
 

@@ -65,7 +65,9 @@ def repurchase(spark, dwd):
 
 
 def province_counts(spark, dwd):
-    return series.pivot_counts(_valid(spark, dwd, "province"), "province")
+    orders = _valid(spark, dwd, "province")
+    provinces = series.counts_by_value(orders, "province").select("province").collect()
+    return series.pivot_counts(orders, [r[0] for r in provinces], "province")
 
 
 def hours_running(spark, dwd, start: str = HOURS_FROM, end: str = HOURS_TO):

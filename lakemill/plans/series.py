@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakemill.functions.money import as_double
@@ -68,20 +67,19 @@ def sliding_window(
     return labelled
 
 
-def pivot_counts(orders: DataFrame, column: str = "province") -> DataFrame:
+def counts_by_value(orders: DataFrame, column: str = "province") -> DataFrame:
+    """Orders per value, one row each, however many values there are; a NULL value has no row."""
+    return orders.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+
+
+def pivot_counts(orders: DataFrame, values: list[str], column: str = "province") -> DataFrame:
     """Orders per value as one wide row, columns by falling count, then by name.
 
-    Column names depend on the data, so the distinct values come to the driver (an action). Spark's
-    own pivot limit bounds them and a longer list is an error. The counts are persisted for the
-    second use; the orders are read once. A NULL value has no column.
+    ``values`` names the columns, usually the place dimension; a value without orders counts 0 and values outside
+    the list have no column. The order of columns depends on the data, so the one row of counts is looked at first.
     """
-    spark = orders.sparkSession
-    limit = int(spark.conf.get("spark.sql.pivotMaxValues"))
-    counts = orders.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n"))
-    counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
-    names = counts.orderBy(F.col("_n").desc(), F.col(column).asc()).select(column).limit(limit + 1).collect()
-    if len(names) > limit:
-        raise ValueError(f"{column} has more than {limit} values (spark.sql.pivotMaxValues)")
-    values = [row[0] for row in names]
-    wide = counts.groupBy().pivot(column, values).agg(F.first("_n")).na.fill(0)
-    return wide.select(*[F.col(f"`{v}`") for v in values])
+    held = F.col(column)
+    wide = orders.agg(*[F.count_if(held == v).alias(f"c{i}") for i, v in enumerate(values)])
+    counts = wide.first()
+    order = sorted(range(len(values)), key=lambda i: (-counts[i], values[i]))
+    return wide.select(*[F.col(f"c{i}").alias(values[i]) for i in order])

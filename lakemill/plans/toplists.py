@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from lakemill.functions.times import in_year
 from lakemill.operators.ranking import top_ranked
 
 
 def _ranked_totals(orders: DataFrame, group: list[str], member: list[str], amount: str, year: int, k: int):
-    wanted = orders.filter(F.year("create_time") == year)
+    wanted = orders.filter(in_year(orders, "create_time", year))
     totals = wanted.groupBy(*group, *member).agg(F.sum(amount).alias("_amount"))
     return top_ranked(totals, group, "_amount", k)
 

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.types import StructType
 
 from lakemill.operators.dedupe import dedupe_latest
-from lakemill.operators.joins import broadcast_if, is_small
 from lakemill.operators.merge import latest_per_key
 from lakemill.operators.shape import conform
 from lakemill.session import fresh_dir, remove_dir
@@ -61,9 +60,11 @@ def keyed_upsert(
     # Distinct partition values only: as many as the catalog lists, not as many as there are rows.
     touched = set(batch.select(*parts).distinct().collect())
     if keys_move and touched:
-        arriving = batch.select(*keys).distinct()
-        arriving = broadcast_if(arriving, is_small(batch))
-        found = stored.select(*keys, *parts).join(arriving, keys, "left_semi")
+        low, high = batch.agg(F.struct(*[F.min(k) for k in keys]), F.struct(*[F.max(k) for k in keys])).first()
+        within = [F.col(k).between(F.lit(a).cast(stored.schema[k].dataType), F.lit(b).cast(stored.schema[k].dataType))
+                  for k, a, b in zip(keys, low, high)]
+        found = stored.filter(reduce(lambda a, b: a & b, within)).select(*keys, *parts).join(
+            batch.select(*keys).distinct(), keys, "left_semi")
         touched |= set(found.select(*parts).distinct().collect())
     if not touched:
         remove_dir(spark, stage)
@@ -80,9 +81,15 @@ def keyed_upsert(
 
 
 def _in_partitions(stored: DataFrame, parts: list[str], values: set[Row]) -> DataFrame:
-    """Rows of the given partitions. The list of partition values is the broadcast side; it prunes the scan."""
+    """Rows of the given partitions: a literal list per column prunes the scan, an exact join picks the combinations."""
     spark = stored.sparkSession
     schema = StructType([stored.schema[p] for p in parts])
+    for i, p in enumerate(parts):
+        listed = [v[i] for v in values if v[i] is not None]
+        in_list = F.col(p).isin(listed)
+        stored = stored.filter(in_list | F.col(p).isNull() if len(listed) < len(values) and any(v[i] is None for v in values) else in_list)
+    if len(parts) == 1:
+        return stored
     wanted = spark.createDataFrame([tuple(v) for v in values], schema).toDF(*[f"_p{i}" for i in range(len(parts))])
     match = reduce(
         lambda a, b: a & b, [stored[p].eqNullSafe(wanted[f"_p{i}"]) for i, p in enumerate(parts)]

@@ -151,16 +151,18 @@ def test_order_difference(spark):
     assert rows(behaviour.order_amount_diff(om, od)) == [(1, 0.25), (2, 4.0)]
 
 
-def test_pivot_orders_columns_and_refuses_too_many(spark):
-    df = spark.createDataFrame([(p,) for p in ["b", "a", "c.d", "c.d", "e", "e", None]], "province string")
-    wide = series.pivot_counts(df)
-    assert wide.columns == ["c.d", "e", "a", "b"] and rows(wide) == [(2, 2, 1, 1)]
-    spark.conf.set("spark.sql.pivotMaxValues", "3")
-    try:
-        with pytest.raises(ValueError, match="more than 3"):
-            series.pivot_counts(df)
-    finally:
-        spark.conf.unset("spark.sql.pivotMaxValues")
+def test_pivot_takes_its_columns_from_the_caller(spark):
+    df = spark.createDataFrame([(p,) for p in ["b", "a", "c.d", "c.d", "e", "e", None, "other"]], "province string")
+    wide = series.pivot_counts(df, ["a", "b", "c.d", "e", "none"])
+    assert wide.columns == ["c.d", "e", "a", "b", "none"] and rows(wide) == [(2, 2, 1, 1, 0)]
+    assert rows(series.counts_by_value(df)) == [("a", 1), ("b", 1), ("c.d", 2), ("e", 2), ("other", 1)]
+
+
+def test_valid_orders_keep_one_version_for_every_projection(spark):
+    data = [("n1", "2022-01-01 00:00:00", "2022-01-03 00:00:00", "x", 5, "ok"), ("n1", "2022-01-01 00:00:00", "2022-01-02 00:00:00", "y", 10, "ok")]
+    df = spark.createDataFrame(data, "order_sn string, create_time string, modified_time string, city string, order_money int, order_status string")
+    assert rows(consumption.valid_orders(df, "order_money")) == [(5,)]
+    assert rows(consumption.valid_orders(df, "city", "order_money")) == [("x", 5)]
 
 
 TIMED = [("2022-04-26 00:00:00", 1), ("2022-04-26 00:59:59", 2), ("2022-04-26 03:00:00", 4), ("2022-04-26 09:59:59", 8),

@@ -5,7 +5,6 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from helpers import rows
 from pyspark.sql import functions as F
 
-from lakemill.operators.joins import broadcast_if, is_small
 from lakemill.operators.ranking import global_rank, magnitude_bucket, top_k, top_ranked
 from lakemill.operators.sequences import banded_pairs, best_average_run, id_bounds, prefix_sum
 
@@ -126,11 +125,3 @@ def test_best_run_corner_cases(spark):
     assert best_run(spark, [(1, 3.0), (2, 4.0)], 4, 16) is None
     df = amounts(spark, CASES["dense"])
     assert best_run(spark, CASES["dense"], 4, 16, bounds=id_bounds(df, "id")) == brute_best(CASES["dense"], 4)
-
-
-def test_broadcast_only_below_the_limit(spark):
-    df = spark.range(100)
-    assert is_small(df, 100) and not is_small(df, 99) and is_small(df.limit(0), 0)
-    plan = broadcast_if(df, True)._jdf.queryExecution().analyzed().toString()
-    assert "strategy=broadcast" in plan
-    assert broadcast_if(df, False) is df
