@@ -95,5 +95,5 @@ def test_license_blocks_and_phrases(spark, docs_of):
     rows = {r.doc_id: r for r in license_join.scanned(spark, docs_of(pairs)).collect()}
     assert (rows[1].labels, rows[1].base_labels, rows[1].n_base) == ("mit", "", 0) and rows[1].score == 1.0
     assert (rows[2].base_labels, rows[2].n_base, rows[2].first_word, rows[2].last_word, rows[2].n_words) == ("cc-by,reserved", 3, 0, 5, 9)
-    assert rows[3].labels == "" and rows[3].score == 0.0 and rows[4].labels == "apache-2.0" and rows[4].score == 6 / 7
+    assert rows[3].labels == "" and rows[3].score == 0.0 and rows[4].labels == "apache-2.0" and rows[4].score == 7 / 8
     assert rows[5].n_words == 0 and rows[5].first_word is None and rows[6].labels == ""
