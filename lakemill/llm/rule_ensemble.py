@@ -140,7 +140,7 @@ def lasso_logistic(z: np.ndarray, y: np.ndarray, penalty: float = PENALTY, steps
 
 def fit(x: np.ndarray, y: np.ndarray, features: tuple[str, ...]) -> RuleModel:
     share = float(y.mean()) if len(y) else 0.5
-    if not 0 < share < 1:
+    if not len(y) or not 0 < share < 1:
         share = min(max(share, 1e-3), 1 - 1e-3)
         return RuleModel(features, float(np.log(share / (1 - share))), ())
     rules = tree_rules(x, y)
