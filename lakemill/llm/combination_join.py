@@ -118,16 +118,17 @@ def _counters(docs: DataFrame, width: int) -> np.ndarray:
 
 
 def _histogram(values: np.ndarray) -> bytes:
-    return np.bincount((values & np.uint64(HISTOGRAM - 1)).astype(np.int64), minlength=HISTOGRAM).astype("<u4").tobytes()
+    """Bucket sizes, 255 for more: cutting them off only brings two histograms closer, so the bound below still holds."""
+    return np.minimum(np.bincount((values & np.uint64(HISTOGRAM - 1)).astype(np.int64), minlength=HISTOGRAM), 255).astype(np.uint8).tobytes()
 
 
-def shingled(spark: SparkSession, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def shingled(work: Scratch, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Per row: doc_id, xxh (hash of the text), n, key, typical, hist and sigs (null key without shingles); staged."""
     load = _counters(docs, width)
     used = load[load > 0]
     mean = float(used.mean()) if len(used) else 0.0
     frequent = int(mean + 6 * mean ** 0.5 + 16)
-    shared = spark.sparkContext.broadcast(load)
+    shared = docs.sparkSession.sparkContext.broadcast(load)
 
     def run(batches):
         hasher, counters = WordHasher(), shared.value
@@ -147,7 +148,7 @@ def shingled(spark: SparkSession, docs: DataFrame, width: int, percent: int) ->
                                              names=["doc_id", "xxh", "n", "key", "typical", "hist", "sigs"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("xxh"), text_bytes().alias("t"))
-    return staged(spark, rows.mapInArrow(
+    return work.staged(rows.mapInArrow(
         run, "doc_id bigint, xxh bigint, n bigint, key binary, typical double, hist binary, sigs array<bigint>"), "shingled")
 
 
@@ -178,7 +179,7 @@ def _within_bound(percent: int):
     def run(batches):
         for batch in batches:
             na, nb = (batch.column(i).to_numpy() for i in (2, 3))
-            ha, hb = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u4").reshape(-1, HISTOGRAM).astype(np.int64) for i in (4, 5))
+            ha, hb = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, HISTOGRAM).astype(np.int64) for i in (4, 5))
             fits = np.abs(ha - hb).sum(1) <= (na + nb) * (100 - percent) // (100 + percent)
             star = batch.column(6).to_numpy(zero_copy_only=False)
             mask = pa.array(fits | star)
@@ -206,13 +207,13 @@ def _sets(work: Scratch, docs: DataFrame, wanted: DataFrame, width: int) -> Data
 
     Only texts whose hash shares one of ``SLOTS`` slots with a wanted one are shuffled; the slots are at most that many.
     """
-    slot = lambda c: F.pmod(F.col(c), F.lit(SLOTS))
-    slots = F.broadcast(wanted.select(slot("rep.xxh").alias("slot")).distinct())
+    slot = lambda i, x: F.pmod(F.xxhash64(i, x), F.lit(SLOTS))
+    slots = F.broadcast(wanted.select(slot("rep.doc_id", "rep.xxh").alias("slot")).distinct())
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("xxh"), F.col("text"))
-    rows = rows.withColumn("slot", slot("xxh")).join(slots, "slot", "left_semi")
+    rows = rows.withColumn("slot", slot("doc_id", "xxh")).join(slots, "slot", "left_semi")
     found = rows.join(
         wanted.select(F.col("rep.doc_id").alias("i"), F.col("rep.xxh").alias("x"), "id"),
-        F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("xxh") == F.col("x")))
+        (F.col("xxh") == F.col("x")) & F.col("doc_id").eqNullSafe(F.col("i")))
 
     def run(batches):
         hasher = WordHasher()
@@ -220,7 +221,7 @@ def _sets(work: Scratch, docs: DataFrame, wanted: DataFrame, width: int) -> Data
             values = [packed(shingle_set(v.as_py(), width, hasher)) for v in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.binary())], names=["id", "shingles"])
 
-    once = found.select("id", "text").dropDuplicates(["id"])
+    once = found.select("xxh", "id", "text").dropDuplicates(["xxh", "id"])  # lies as the join has dealt it
     sets = once.select("id", text_bytes().alias("t")).mapInArrow(run, "id bigint, shingles binary")
     return work.staged(sets, "sets")
 
@@ -316,10 +317,14 @@ def _difference_pairs(work: Scratch, stars: DataFrame, roots: DataFrame, percent
     return sized.filter(100 * both >= percent * (F.col("n") + F.col("m") - both)).select("a", "b").distinct()
 
 
-def links(spark: SparkSession, docs: DataFrame, rows: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Links between classes, enough of them to connect every component, as (u, v) of class ids; and the classes (id, key)."""
-    work = Scratch(spark)
+def links(spark: SparkSession, docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links between classes, enough of them to connect every component, as (u, v) of class ids; the classes (id, key); and
+    (doc_id, xxh, n, key) of every row."""
+    work, wide = Scratch(spark), Scratch(spark)
+    rows = shingled(wide, docs, width, percent)
     classes = work.staged(_classes(rows, "n", "typical", "hist", "sigs").withColumn("id", F.monotonically_increasing_id()), "classes")
+    slim = staged(spark, rows.select("doc_id", "xxh", "n", "key"), "document-classes")
+    wide.clear()
     pairs = work.staged(_candidates(work, classes), "pairs")
     side = lambda of: classes.select(F.col("id").alias(of), F.col("n").alias(f"n{of}"), F.col("hist").alias(f"h{of}"))
     sizes = lambda of: classes.select(F.col("id").alias(of), F.col("n").alias(f"n{of}"))
@@ -340,7 +345,7 @@ def links(spark: SparkSession, docs: DataFrame, rows: DataFrame, width: int, per
     found = staged(spark, direct.unionAll(rest.select(F.col("a").alias("u"), F.col("b").alias("v"))).distinct(), "class-links")
     names = staged(spark, classes.select("id", "key"), "class-names")
     work.clear()
-    return found, names
+    return found, names, slim
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
@@ -349,8 +354,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 3, percen
     ``n_links`` counts the links found for the class; inside a large group they are the pivot's, so they connect
     the component but are not all of its pairs. A document without shingles is its own component.
     """
-    rows = shingled(spark, docs, width, percent)
-    edges, names = links(spark, docs, rows, width, percent)
+    edges, names, rows = links(spark, docs, width, percent)
     roots = connected(spark, edges)
     classes = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"))
     classes = classes.join(names, "key").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
