@@ -33,7 +33,7 @@ from lakemill.llm.shingles import WordHasher
 
 HEAD = 1 << 22
 PER_TASK = 20_000
-FOLD = 62
+FOLD = 60
 OUTSIDE = (1 << 26) - 1  # stands for the id of a character outside the table
 BROADCAST_PIECES = 1 << 18
 PIECE_FILE = "piece_bpe_32k.model"
@@ -188,12 +188,15 @@ def merge_fold(packed: Column, segment: Column, pieces: Pieces) -> Column:
         return F.struct(s.alias("s"), field(x, 0, 26).alias("id"), shift(one, s).bitwiseOR(shift(one, e)).alias("ends"),
                         (shift(one, e) - shift(one, s) * 2).alias("inner"))
 
-    def path(edges: Column) -> Column:
+    def merged_mask(longer: Column) -> Column:
         def step(mask: Column, _: Column) -> Column:
-            applies = F.filter(edges, lambda x: (x["inner"] != 0) & ends_hold(mask, x) & (F.bit_count(mask.bitwiseAND(x["inner"])) == 1))
+            applies = F.filter(longer, lambda x: ends_hold(mask, x) & (F.bit_count(mask.bitwiseAND(x["inner"])) == 1))
             return F.coalesce(mask.bitwiseAND(F.bitwise_not(F.get(applies, 0)["inner"])), mask)
 
-        last = F.aggregate(F.slice(edges, 1, F.greatest(size - 1, F.lit(0))), shift(one, size + 1) - 1, step)
+        return F.aggregate(F.slice(longer, 1, size - 1), shift(one, size + 1) - 1, step)  # no more merges than edges
+
+    def path(edges: Column) -> Column:
+        last = _let(F.filter(edges, lambda x: x["inner"] != 0), merged_mask)
         return _let(last, lambda mask: F.filter(edges, lambda x: ends_hold(mask, x) & (mask.bitwiseAND(x["inner"]) == 0)))
 
     chosen = _let(F.transform(packed, unpacked), path)
