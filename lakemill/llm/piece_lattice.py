@@ -320,7 +320,7 @@ def encoded(spark: SparkSession, docs: DataFrame, pieces: Pieces, head: int = HE
 
     def run(batches):
         cuts, table, known, starts, flat = shared.value
-        hasher = WordHasher()
+        hasher, padded = WordHasher(), np.append(known, np.uint64(0))
         for batch in batches:
             ids, decoded, holes = [], [], []
             for text in batch.column(at).to_pylist():
@@ -328,7 +328,7 @@ def encoded(spark: SparkSession, docs: DataFrame, pieces: Pieces, head: int = HE
                 if text is not None:
                     seen = segments(prepared(text), cuts, hasher)[2]
                     place = np.searchsorted(known, seen)
-                    hit = np.append(known, 0)[place] == seen
+                    hit = padded[place] == seen
                     hit &= place < len(known)
                     found = flat[spread(starts, np.where(hit, place, len(known)))]
                     if hit.all():
