@@ -7,12 +7,15 @@ result unevaluated (``provinceordercount`` and ``itemoverlap`` excepted, see the
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemill.functions.money import money
+from lakemill.operators.dedupe import dedupe_latest
 from lakemill.operators.sequences import best_average_run, id_bounds
 from lakemill.plans import behaviour, compare, consumption, series, toplists
+from lakemill.plans.feeds import RETAIL_A as RETAIL_A_FEED, RETAIL_B as RETAIL_B_FEED, TableSpec
 from lakemill.sources.tables import read_cols
 
 # Parameters the metrics are asked for by default.
@@ -23,10 +26,23 @@ LABEL_FROM, LABEL_TO = "2022-04-26 04", "2022-04-26 09"
 Measure = Callable[..., DataFrame]
 
 
+def current_facts(spark: SparkSession, dwd: str, feed: tuple[TableSpec, ...], target: str) -> DataFrame:
+    """The last version of each fact: increments deliver a changed order again, and it must count once.
+
+    Versions are told apart by the feed's own key and order, then by the time of cleaning. Rows without a key all stay.
+    """
+    spec = next(s for s in feed if s.target == target)
+    facts = spark.table(f"{dwd}.{target}")
+    keyed = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in spec.keys))
+    ties = [c for c in ("dwd_modify_time", "create_time") if c in facts.columns and c not in spec.order]
+    return dedupe_latest(facts.filter(keyed), list(spec.keys), list(spec.order), ties).unionAll(facts.filter(~keyed))
+
+
 # --- second retail feed ------------------------------------------------------------------------
 
 
 def _valid(spark: SparkSession, dwd: str, *columns: str) -> DataFrame:
+    """A refunded version is no valid order and does not hide an earlier one, so versions are judged there."""
     return consumption.valid_orders(spark.table(f"{dwd}.fact_order_master"), *columns)
 
 
@@ -57,7 +73,7 @@ def city_top(spark, dwd, year: int = CITY_YEAR):
 
 def product_top(spark, dwd):
     columns = ["product_id", "product_name", "product_cnt", "product_price"]
-    return toplists.top_products(read_cols(spark, f"{dwd}.fact_order_detail", columns))
+    return toplists.top_products(current_facts(spark, dwd, RETAIL_B_FEED, "fact_order_detail").select(*columns))
 
 
 def repurchase(spark, dwd):
@@ -80,7 +96,8 @@ def hours_sliding(spark, dwd, first: str = LABEL_FROM, last: str = LABEL_TO):
 
 def overlap(spark, dwd, target: int = OVERLAP_USER, exclude_self: bool = True):
     return behaviour.item_overlap(
-        spark.table(f"{dwd}.fact_order_master"), spark.table(f"{dwd}.fact_order_detail"),
+        current_facts(spark, dwd, RETAIL_B_FEED, "fact_order_master"),
+        current_facts(spark, dwd, RETAIL_B_FEED, "fact_order_detail"),
         spark.table(f"{dwd}.dim_customer_inf"), spark.table(f"{dwd}.dim_product_info"), target, exclude_self)
 
 
@@ -114,7 +131,7 @@ def _regions(spark: SparkSession, dwd: str) -> DataFrame:
 
 
 def _orders(spark: SparkSession, dwd: str, *columns: str) -> DataFrame:
-    return spark.table(f"{dwd}.fact_order_info").select(*columns)
+    return current_facts(spark, dwd, RETAIL_A_FEED, "fact_order_info").select(*columns)
 
 
 def _placed(spark: SparkSession, dwd: str) -> DataFrame:
@@ -128,7 +145,7 @@ def _users(spark: SparkSession, dwd: str) -> DataFrame:
 
 def _skus(spark: SparkSession, dwd: str) -> DataFrame:
     """``sku_num`` is a number held as text."""
-    return spark.table(f"{dwd}.fact_order_detail").select(
+    return current_facts(spark, dwd, RETAIL_A_FEED, "fact_order_detail").select(
         "order_id", F.col("sku_id").alias("product_id"), F.col("sku_name").alias("product_name"),
         F.col("sku_num").try_cast("bigint").alias("product_cnt"), money(F.col("order_price")).alias("product_price"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakemill.functions.money import as_double
@@ -12,6 +14,10 @@ def _hour(moment: Column) -> Column:
     return F.date_trunc("hour", moment).cast("timestamp_ntz").alias("_hour")
 
 
+def _label_hour(label: str) -> dt.datetime:
+    return dt.datetime.strptime(label[:13], "%Y-%m-%d %H")
+
+
 def running_total(
     orders: DataFrame, start: str | None = None, end: str | None = None, amount: str = "order_money",
     time: str = "create_time",
@@ -44,8 +50,13 @@ def sliding_window(
 
     Orders are summed per hour first and the hourly sums are spread over the windows they belong to;
     spreading the orders themselves would multiply the input by ``hours``. ``first`` and ``last``
-    keep the labels between them, both included.
+    keep the labels between them, both included; only the hours of their windows are read.
     """
+    kind = orders.schema[time].dataType
+    if first is not None:
+        orders = orders.filter(F.col(time) >= F.lit(str(_label_hour(first) - dt.timedelta(hours=hours))).cast(kind))
+    if last is not None:
+        orders = orders.filter(F.col(time) < F.lit(str(_label_hour(last))).cast(kind))
     panes = orders.groupBy(_hour(F.col(time))).agg(
         F.sum(amount).alias("_sum"), F.count("*").alias("_n")
     )

@@ -1,3 +1,5 @@
+from decimal import Decimal
+
 import pytest
 from helpers import day, rows, ts
 from pyspark.sql.types import StructType
@@ -138,3 +140,17 @@ def test_cleaned_schema_turns_text_times_into_times(spark, layers_of):
     ods, dwd = layers_of((spec,))
     types = dict(empty_like(spark.table(f"{dwd}.fact_order_master")).dtypes)
     assert {types[c] for c in ("create_time", "pay_time", "shipping_time", "dwd_insert_time")} == {"timestamp_ntz"}
+
+
+def test_redelivered_order_counts_once(spark, layers_of):
+    from lakemill.plans.measures import current_facts
+
+    spec = spec_of(feeds.RETAIL_A, "order_info")
+    ods, dwd = layers_of((spec,))
+    order = lambda amount, at: {"id": 1, "final_total_amount": Decimal(amount), "create_time": ts("2024-01-01 08:00:00"), "operate_time": ts(at)}
+    for night, item in (("20240101", order(100, "2024-01-01 08:00:00")), ("20240102", order(100, "2024-01-02 08:00:00"))):
+        jobs.extract_increment(source(spark, spec, [item]), spec, ods, night, "2024-01-02 23:00:00")
+        jobs.clean(spark, spec, ods, dwd, night, f"2024-01-0{night[-1]} 23:00:00")
+    assert spark.table(f"{dwd}.fact_order_info").count() == 2
+    kept = current_facts(spark, dwd, feeds.RETAIL_A, "fact_order_info")
+    assert rows(kept, "id", "operate_time") == [(1, ts("2024-01-02 08:00:00"))]
