@@ -60,7 +60,8 @@ def _split(df: DataFrame, time: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _valid(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    return consumption.valid_orders(model.orders(spark, sf_dir), *columns, excluded=model.REFUNDED)
+    orders = model.orders(spark, sf_dir).withColumn("order_id", F.col("order_sn"))  # the row id of the test orders
+    return consumption.valid_orders(orders, *columns, excluded=model.REFUNDED)
 
 
 def _valid_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
