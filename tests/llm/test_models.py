@@ -52,6 +52,20 @@ def test_base_scores_and_held_out_gain(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_every_training_document_is_learnt_from_once(spark, docs_of):
+    docs = docs_of([(i, f"w{i % 50} text {i}") for i in range(600)] + [(None, None), (7, "")])
+    shares = [lm.share_of_round(docs, r).select("doc_id", "text").collect() for r in range(lm.ROUNDS)]
+    assert Counter(x for share in shares for x in share) == Counter(docs.select("doc_id", "text").collect())
+    assert all(150 < len(share) < 250 for share in shares)
+
+
+def test_the_vocabulary_grows_with_the_counts(spark, docs_of, monkeypatch):
+    known = []
+    monkeypatch.setattr(lm, "train", lambda spark, docs, v, n_docs: known.append(len(v.hashes)) or lm.starting_weights(v))
+    lm.scored(spark, docs_of([(i, " ".join(f"v{(i * 50 + k) % 3000}" for k in range(1500))) for i in range(600)])).count()
+    assert known == [3001]  # 3,000 words and the end, each at least 200 times
+
+
 def test_classifier_on_held_out_documents(spark):
     folder = "/root/testdata/sf0.01"
     truth = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
