@@ -1,9 +1,13 @@
 """Removes sentences that repeat: every run of several consecutive sentences is hashed and joined globally.
 
 A sentence ends with a word that ends in ``.``, ``!`` or ``?``, or at a line break. A sentence of more than
-``LONG`` words is cut further after words chosen by their own hash and, between these, after every ``LONG`` words,
-so that a passage pasted into the middle of other text is cut in the same places everywhere. A span starts at every sentence and takes ``least_sentences``
-sentences, and more until it has ``least_words`` words. Of the places where a span occurs, the one with the
+``LONG`` words is cut further after each word whose hash is the least of some ``NEAR`` consecutive words of the sentence
+(of equal ones the last), so that cuts are at most ``NEAR`` words apart and a passage pasted into other text is cut in
+the same places everywhere but for ``NEAR - 1`` words at its ends. A span starts at every sentence or piece and takes
+``least_sentences`` of them, or fewer if one is a piece of a cut sentence, and more until it has ``least_words`` words.
+So every passage of 50 words holds a whole span, wherever it stands, unless its sentences are uncut and fewer than
+``least_sentences``, which 50 words of running text cannot be: the first common cut lies in its first 13 words and the
+last in its last 13, and the 25 words or more between are a cut piece with others or at least three sentences. Of the places where a span occurs, the one with the
 smallest (id, text hash, position) is first; sentences covered by any other place are removed.
 
 Defined cases: null and empty texts have no sentence and stay as they are; a null id sorts last; repeated rows
@@ -20,17 +24,27 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lakemill.llm.frames import extended, free_prefix, staged, text_bytes
 from lakemill.llm.shingles import Powers, WordHasher
 
-LONG, CUT = 12, np.uint64(7)
+LONG, NEAR = 12, 7
 _STOP = np.zeros(256, bool)
 _STOP[[ord("."), ord("!"), ord("?")]] = True
 
 
-def sentences(data: bytes, hasher: WordHasher) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes, the first word of each sentence, and the byte at which each sentence begins."""
+def least_nearby(hashes: np.ndarray, sentence: np.ndarray) -> np.ndarray:
+    """Whether each word's hash is the least, and the last such, of some ``NEAR`` consecutive words of its sentence."""
+    out = np.zeros(len(hashes), bool)
+    if len(hashes) >= NEAR:
+        windows = np.lib.stride_tricks.sliding_window_view(hashes, NEAR)[sentence[NEAR - 1:] == sentence[:len(sentence) - NEAR + 1]]
+        starts = np.flatnonzero(sentence[NEAR - 1:] == sentence[:len(sentence) - NEAR + 1])
+        out[starts + NEAR - 1 - windows[:, ::-1].argmin(1)] = True
+    return out
+
+
+def sentences(data: bytes, hasher: WordHasher) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes, the first word of each sentence or piece, its first byte, and whether it is a piece of a cut sentence."""
     begin, end, hashes = hasher.words(data)
     n = len(hashes)
     if not n:
-        return hashes, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return hashes, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
     raw = np.frombuffer(data, np.uint8)
     last = _STOP[raw[end - 1]]
     before = np.searchsorted(begin, np.flatnonzero(raw == 10)) - 1
@@ -38,23 +52,25 @@ def sentences(data: bytes, hasher: WordHasher) -> tuple[np.ndarray, np.ndarray,
     last[-1] = True
     ends = np.flatnonzero(last)
     length = np.diff(ends, prepend=-1)
-    cut = last | ((hashes & CUT == 0) & np.repeat(length > LONG, length))
+    long = np.repeat(length > LONG, length)
+    cut = last.copy()
+    if long.any():
+        cut[long] |= least_nearby(hashes[long], np.repeat(np.arange(len(ends)), length)[long])
     first = np.concatenate([[0], np.flatnonzero(cut)[:-1] + 1])
-    length = np.diff(np.append(first, n))
-    if (length > LONG).any():
-        parts = -(-length // LONG)
-        first = np.repeat(first, parts) + LONG * (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts))
-    return hashes, first, begin[first]
+    return hashes, first, begin[first], long[first]
 
 
-def spans(hashes: np.ndarray, first: np.ndarray, powers: Powers, least_sentences: int, least_words: int):
+def spans(hashes: np.ndarray, first: np.ndarray, piece: np.ndarray, powers: Powers, least_sentences: int, least_words: int):
     """For each sentence that starts a span: the hash of the span's words and the sentence behind its end."""
     n, k = len(hashes), len(first)
-    if k < least_sentences or n < least_words:
+    if not k or n < least_words:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     bounds = np.append(first, n)
-    stop = np.maximum(np.searchsorted(bounds, first + least_words), np.arange(k) + least_sentences)
-    stop = stop[stop <= k]
+    # Behind the first piece of a cut sentence at or behind each place; behind everything without one.
+    pieces = np.append(np.flatnonzero(piece), k) + 1
+    cut = pieces[np.searchsorted(pieces - 1, np.arange(k))]
+    stop = np.maximum(np.searchsorted(bounds, first + least_words), np.minimum(np.arange(k) + least_sentences, cut))
+    stop = stop[:np.searchsorted(stop, k, "right")]
     return powers.ranges(hashes, first[: len(stop)], bounds[stop]), stop
 
 
@@ -64,8 +80,8 @@ def _hashed(docs: DataFrame, least_sentences: int, least_words: int) -> DataFram
         for batch in batches:
             found = []
             for v in batch.column(2):
-                hashes, first, _ = sentences(v.as_py(), hasher)
-                found.append(spans(hashes, first, hasher, least_sentences, least_words)[0].view(np.int64))
+                hashes, first, _, piece = sentences(v.as_py(), hasher)
+                found.append(spans(hashes, first, piece, hasher, least_sentences, least_words)[0].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "xxh", "spans"])
 
@@ -101,10 +117,10 @@ def without_repeats(spark: SparkSession, docs: DataFrame, least_sentences: int =
             texts, counts = [], []
             for text, starts in zip(batch.column(at).to_pylist(), batch.column(keep).to_pylist()):
                 data = (text or "").encode()
-                hashes, first, begin = sentences(data, hasher)
+                hashes, first, begin, piece = sentences(data, hasher)
                 gone = np.zeros(len(first) + 1, np.int64)
                 if starts:
-                    stop = spans(hashes, first, hasher, least_sentences, least_words)[1]
+                    stop = spans(hashes, first, piece, hasher, least_sentences, least_words)[1]
                     np.add.at(gone, np.array(starts), 1)
                     np.add.at(gone, stop[np.array(starts)], -1)
                 covered = np.cumsum(gone)[:-1] > 0

@@ -117,6 +117,27 @@ def test_spans_equal_brute_force(spark, docs_of):
     assert {x.doc_id: x.text.strip() for x in out.collect()} == want
 
 
+@pytest.mark.parametrize("stops", [False, True])
+def test_every_passage_of_51_words_holds_a_span_at_every_offset(stops):
+    r, hasher = random.Random(11), WordHasher()
+    found = lambda text: set(sentence_spans.spans(*[(x := sentence_spans.sentences(text.encode(), hasher))[i] for i in (0, 1, 3)], hasher, 3, 12)[0].tolist())
+    text = lambda n: [w + "." * (stops and r.random() < 0.08) for w in words(r, n, 5000)]
+    for _ in range(1500):
+        passage = text(51)
+        first, second = (" ".join(text(r.randrange(30)) + passage + text(r.randrange(30))) for _ in range(2))
+        assert found(first) & found(second)
+
+
+def test_unpunctuated_copies_go_at_every_offset(spark, docs_of):
+    r = random.Random(12)
+    passage = words(r, 51, 5000)
+    pairs = [(i, " ".join(words(r, 40 + i, 10**6) + passage + words(r, 30, 10**6))) for i in range(60)]
+    out, p = sentence_spans.without_repeats(spark, docs_of(pairs))
+    rows = {x.doc_id: x for x in out.collect()}
+    assert rows[0].text == pairs[0][1] and all(rows[i][f"{p}words"] >= 12 for i in range(1, 60))
+    assert all(rows[i].text.startswith(" ".join(t.split()[:20])) for i, t in pairs)
+
+
 def test_leaked_items_are_found_and_clean_documents_left(spark, docs_of):
     r = random.Random(3)
     items = [(i, " ".join(words(r, r.randrange(20, 50), 3000))) for i in range(60)]
