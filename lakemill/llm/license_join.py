@@ -1,14 +1,18 @@
 """License scan by an exact set-similarity join of text blocks with license templates.
 
-Blocks are the lines of a text, as sets of lower-cased words. A block meets a template when it contains at least
-``threshold`` of the template's distinct words. Template words are ordered by how many documents hold them, rarest
-first; a block keeps only template words, in that order. A block that meets a template must contain one of the
+A block is a run of consecutive lower-cased words, as many as the template has and a quarter more, wherever lines break,
+so a notice may be wrapped, and words scattered over a long text do not count. A block meets a template when it contains
+at least ``threshold`` of the template's distinct words and all of its ``TELLING`` ones, which name the license.
+
+A text can only hold such a block if its whole set of words meets the template, so these sets are joined first.
+Template words are ordered by how many documents hold them, rarest
+first; a text keeps only template words, in that order. A text that meets a template must contain one of the
 template's first ``|T| - needed + 1`` words (prefix), have at least ``needed`` words (length), and enough words must
-follow the first common one on both sides (position); pairs that pass are counted exactly. Templates are a
-short fixed list, so their index is broadcast.
+follow the first common one on both sides (position); for pairs that pass, the blocks that begin at each template
+word of the text are counted exactly. Templates are a short fixed list, so their index is broadcast.
 
 Defined cases: null and empty texts have no words and no label; repeated rows get the same result each; ids may be
-null; lines without template words take no part.
+null; texts without template words take no part.
 """
 
 from __future__ import annotations
@@ -34,6 +38,8 @@ TEMPLATES = (
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction"),
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
 )
+# The words of each template, in the same order, without which it is another license's notice or none's.
+TELLING = ((),) * 10
 # Phrases that always count, with their labels.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 THRESHOLD = 0.8
@@ -80,8 +86,8 @@ def word_order(docs: DataFrame, words: list[str]) -> list[str]:
     return sorted(words, key=lambda w: (n.get(w, 0), w))
 
 
-def block_matches(spark: SparkSession, docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, xxh, block, template, label, containment) of every block that meets a template."""
+def block_matches(spark: SparkSession, docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, telling=TELLING) -> DataFrame:
+    """(doc_id, xxh, block, template, label, containment): the best block, by its first word, of every text and template that meet."""
     sets = [(label, set(template_words(text))) for label, text in templates]
     order = word_order(docs, sorted({w for _, words in sets for w in words}))
     place = {w: i for i, w in enumerate(order)}
@@ -89,23 +95,37 @@ def block_matches(spark: SparkSession, docs: DataFrame, templates=TEMPLATES, thr
     for t, (label, words) in enumerate(sets):
         ranked = sorted(words, key=place.__getitem__)
         needed = math.ceil(threshold * len(ranked) - 1e-9)
+        span = math.ceil(len(template_words(templates[t][1])) / threshold - 1e-9)
         for i, w in enumerate(ranked[:len(ranked) - needed + 1]):
-            index.append((w, t, label, i, len(ranked), needed, ranked))
+            index.append((w, t, label, i, len(ranked), needed, ranked, list(telling[t]), span))
     prefix = F.broadcast(spark.createDataFrame(
-        index, "word string, template int, label string, at int, size int, needed int, words array<string>"))
+        index, "word string, template int, label string, at int, size int, needed int, words array<string>, telling array<string>, span int"))
     least = min(row[5] for row in index)
-    lines = F.split(lower_ascii(F.col("text")), "\n")
-    kept = F.transform(lines, lambda line: F.array_intersect(F.lit(order), F.split(line, _NO_WORD)))
-    blocks = docs.filter(F.col("text").isNotNull()).select(
-        F.col("doc_id").cast("long"), F.xxhash64("text").alias("xxh"), F.posexplode(kept).alias("block", "held"))
-    blocks = blocks.filter(F.size("held") >= least)
-    ranked = blocks.select("*", F.posexplode("held").alias("pos", "word")).join(prefix, "word")
+    firsts = F.lit(sorted({row[0] for row in index}))
+    lowered = docs.filter(F.col("text").isNotNull()).select(
+        F.col("doc_id").cast("long"), F.xxhash64("text").alias("xxh"), lower_ascii(F.col("text")).alias("lowered"))
+    texts = lowered.withColumn("held", F.array_intersect(F.lit(order), F.split("lowered", _NO_WORD))).filter(F.size("held") >= least)
+    asked = F.filter(F.transform("held", lambda w, i: F.struct(i.alias("pos"), w.alias("word"))), lambda x: F.array_contains(firsts, x["word"]))
+    ranked = texts.withColumn("asked", F.explode(asked)).select("doc_id", "xxh", "lowered", "held", "asked.*").join(prefix, "word")
+    has_all = lambda held: F.size(F.array_intersect(held, F.col("telling"))) == F.size("telling")
     enough = (F.size("held") >= F.col("needed")) & (
         F.least(F.col("size") - F.col("at"), F.size("held") - F.col("pos")) >= F.col("needed"))
     first = F.get(F.array_intersect("held", "words"), 0) == F.col("word")
     overlap = F.size(F.array_intersect("held", "words"))
-    found = ranked.filter(enough).filter(first & (overlap >= F.col("needed")))
-    return found.select("doc_id", "xxh", "block", "template", "label", (overlap / F.col("size")).alias("containment"))
+    pairs = ranked.filter(enough).filter(first & (overlap >= F.col("needed")) & has_all(F.col("held")))
+
+    numbered = F.transform(F.split("lowered", _NO_WORD), lambda w, i: F.struct(i.alias("i"), w.alias("w")))
+    placed = pairs.withColumn("placed", F.filter(numbered, lambda x: F.array_contains(F.col("words"), x["w"])))
+
+    def block(x: Column, k: Column) -> Column:
+        near = F.filter(F.slice(F.col("placed"), k + 1, F.col("span")), lambda y: y["i"] < x["i"] + F.col("span"))
+        return F.struct(F.array_distinct(F.transform(near, lambda y: y["w"])).alias("held"), (-x["i"]).alias("back"))
+
+    blocks = F.filter(F.transform("placed", block), lambda b: (F.size(b["held"]) >= F.col("needed")) & has_all(b["held"]))
+    best = F.array_max(F.transform(blocks, lambda b: F.struct(F.size(b["held"]).alias("n"), b["back"].alias("back"))))
+    found = placed.withColumn("best", best).filter(F.col("best").isNotNull())
+    return found.select(
+        "doc_id", "xxh", (-F.col("best.back")).alias("block"), "template", "label", (F.col("best.n") / F.col("size")).alias("containment"))
 
 
 def scanned(spark: SparkSession, docs: DataFrame) -> DataFrame:

@@ -1,7 +1,9 @@
 """Piece ids against the public library, token counts against direct ones, shards and licenses against their rules."""
 
 import random
+import textwrap
 
+import duckdb
 import numpy as np
 import pytest
 import sentencepiece
@@ -97,3 +99,40 @@ def test_license_blocks_and_phrases(spark, docs_of):
     assert (rows[2].base_labels, rows[2].n_base, rows[2].first_word, rows[2].last_word, rows[2].n_words) == ("cc-by,reserved", 3, 0, 5, 9)
     assert rows[3].labels == "" and rows[3].score == 0.0 and rows[4].labels == "apache-2.0" and rows[4].score == 7 / 8
     assert rows[5].n_words == 0 and rows[5].first_word is None and rows[6].labels == ""
+
+
+def licenses(spark, docs_of, texts):
+    return [tuple(r[:2]) for r in license_join.scanned(spark, docs_of(list(enumerate(texts)))).orderBy("doc_id").select("labels", "score").collect()]
+
+
+def wrapped(text, columns, mark=""):
+    return "\n".join(mark + line for line in textwrap.wrap(text, columns))
+
+
+def test_wrapped_notices(spark, docs_of):
+    notices = [(label, text) for label, text in license_join.TEMPLATES]
+    texts = [f"x y\n{wrapped(text, columns, mark)}\nz" for _, text in notices for columns, mark in ((72, ""), (40, "# "), (24, " * "))]
+    for (labels, score), (label, _) in zip(licenses(spark, docs_of, texts), [n for n in notices for _ in range(3)], strict=True):
+        assert label in labels.split(",") and score == 1.0
+
+
+def test_blocks_equal_sql(spark, docs_of):
+    r = random.Random(8)
+    texts = []
+    for _ in range(80):
+        words = [w for _, text in r.sample(license_join.TEMPLATES, 2) for w in text.split() if r.random() < 0.93]
+        texts.append("".join(w + r.choice((" ", " ", " ", "\n", " und ")) for w in words))
+    rows = ", ".join(
+        f"({t}, '{label}', {sorted(set(w))}, {list(license_join.TELLING[t])}::VARCHAR[], {-(-len(w) * 5 // 4)})"
+        for t, (label, text) in enumerate(license_join.TEMPLATES) for w in [license_join.template_words(text)])
+    con = duckdb.connect()
+    con.execute("CREATE TABLE docs (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO docs VALUES (?, ?)", list(enumerate(texts)))
+    want = con.execute(f"""WITH templates(template, label, words, telling, span) AS (VALUES {rows}),
+        w AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM docs),
+        blocks AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+        met AS (SELECT doc_id, template, len(list_distinct(list_intersect(words, list_slice(w, i, i + span - 1)))) AS n, len(words) AS size,
+          list_has_all(list_slice(w, i, i + span - 1), telling) AS named FROM blocks, templates)
+        SELECT doc_id, template, max(n / size) FROM met WHERE named AND n >= 0.8 * size - 1e-9 GROUP BY ALL ORDER BY ALL""").fetchall()
+    got = license_join.block_matches(spark, docs_of(list(enumerate(texts)))).select("doc_id", "template", "containment").orderBy("doc_id", "template").collect()
+    assert len(want) > 60 and [tuple(x) for x in got] == want
