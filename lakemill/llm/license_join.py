@@ -39,7 +39,7 @@ TEMPLATES = (
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
 )
 # The words of each template, in the same order, without which it is another license's notice or none's.
-TELLING = ((),) * 10
+TELLING = (("apache",), (), (), ("cc", "by", "nc"), ("cc", "by", "sa"), ("general", "public", "3"), ("general", "public", "3"), ("mit",), (), ("mozilla",))
 # Phrases that always count, with their labels.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 THRESHOLD = 0.8
