@@ -423,7 +423,7 @@ def max_avg_run(spark, sf_dir):
     ids = model.orders(spark, sf_dir).filter(~F.col("order_status").isin(*model.REFUNDED))
     return sequences.best_average_run(
         _valid(spark, sf_dir, "order_sn", "order_money"), "order_sn", "order_money",
-        bounds=sequences.id_bounds(ids, "order_sn"))
+        bounds=sequences.id_bounds(ids, "order_sn"), every_length=True)
 
 
 @query

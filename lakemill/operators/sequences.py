@@ -92,6 +92,60 @@ def id_bounds(df: DataFrame, id_col: str) -> DataFrame:
     return df.agg(F.struct(F.min(id_col).alias("low"), F.max(id_col).alias("high")).alias("bounds"))
 
 
+def _before_ranges(ranges: DataFrame, total: str) -> DataFrame:
+    """``ranges`` (one row per ``_range``) with the sum of ``total`` over all smaller ranges as ``_before``.
+
+    Ranges are added up in groups of 2^18, these in groups of 2^18 again, and so on, so no task orders more than 2^18
+    rows, however ids are spread. Range numbers have at most 54 bits; the last level is their sign.
+    """
+    placed = ranges.withColumns({"_up0": F.col("_range")} | {f"_up{k}": F.shiftright("_range", 18 * k) for k in range(1, 4)})
+    negative = ranges.agg(F.coalesce(F.sum(F.when(F.col("_range") < 0, F.col(total))), F.lit(0)).alias("t")).scalar()
+    parts = []
+    for k in range(3):
+        table = placed.groupBy(f"_up{k}", f"_up{k + 1}").agg(F.sum(total).alias("_t"))
+        order = Window.partitionBy(f"_up{k + 1}").orderBy(f"_up{k}").rowsBetween(Window.unboundedPreceding, -1)
+        parts.append(table.select(f"_up{k}", F.coalesce(F.sum("_t").over(order), F.lit(0)).alias(f"_b{k}")))
+    for k, part in enumerate(parts):
+        placed = placed.join(part, f"_up{k}")
+    return placed.select(*ranges.columns, (F.col("_b0") + F.col("_b1") + F.col("_b2") + F.when(F.col("_range") < 0, 0).otherwise(negative)).cast("decimal(38,0)").alias("_before"))
+
+
+def _long_ties(tied: DataFrame, winner: DataFrame, totals: DataFrame, id_col: str, k: int, reach: int, width: int) -> DataFrame:
+    """One row ``_long``: how many runs of ``2k`` or more ids have the best average s/n.
+
+    Such a run splits after its first ``k`` ids, and before its last ``k``, into runs of the best average, so it begins
+    and ends with tied runs of ``k`` ids. With P the running total, a run from ``first`` to ``last`` is tied if
+    n P(first - 1) - s (first - 1) = n P(last) - s last: starts and ends are grouped by this number, and each end counts
+    the starts at least ``2k - 1`` ids before it, first inside id ranges, then over the ranges of a number.
+    """
+    span = F.col("_span")
+    best = winner.select(F.col("_best").alias("_most"), (F.col("_span.last") - F.col("_span.first") + 1).alias("_n"), F.col("_span.cents").alias("_s"))
+    short = tied.filter(span["last"] - span["first"] == k - 1).join(F.broadcast(best), F.col("_best") == F.col("_most"))
+    # Running totals inside a range begin with the halo, the last ids of the range before.
+    last = (_range_of(F.col(id_col), width) + 1) * width - 1
+    sums = totals.groupBy(_range_of(F.col(id_col), width).alias("_range")).agg(
+        F.sum("_cents").alias("_total"), F.sum(F.when(F.col(id_col) > last - reach, F.col("_cents")).otherwise(0)).alias("_tail"))
+    halo = sums.select((F.col("_range") + 1).alias("_range"), (-F.col("_tail")).alias("_less"), F.lit(0).cast("bigint").alias("_more"))
+    every = sums.select("_range", F.lit(0).cast("bigint").alias("_less"), F.col("_total").alias("_more")).unionAll(halo)
+    ranges = every.groupBy("_range").agg(F.sum("_less").alias("_less"), F.sum("_more").alias("_more"))
+    offsets = _before_ranges(ranges, "_more").select("_range", (F.col("_before") + F.col("_less")).alias("_before"))
+    placed = short.join(offsets, "_range")
+    number = lambda running, at: (
+        F.col("_n").cast("decimal(18,0)") * (F.col("_before") + running).cast("decimal(20,0)")
+        - F.col("_s").cast("decimal(19,0)") * at.cast("decimal(19,0)")).cast("decimal(38,0)")
+    events = placed.select(F.explode(F.array(
+        F.struct(number(F.col("_upto") - span["cents"], span["first"] - 1).alias("value"), (span["first"] + 2 * k - 1).alias("at"), F.lit(1).alias("start")),
+        F.struct(number(F.col("_upto"), span["last"]).alias("value"), span["last"].alias("at"), F.lit(0).alias("start")))).alias("e")).select("e.*")
+    events = events.withColumn("part", _range_of(F.col("at"), WIDTH))
+    inside = Window.partitionBy("value", "part").orderBy("at", F.col("start").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    across = Window.partitionBy("value").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    near = events.withColumn("seen", F.sum("start").over(inside)).groupBy("value", "part").agg(
+        F.sum(F.when(F.col("start") == 0, F.coalesce("seen", F.lit(0))).otherwise(0)).alias("near"),
+        F.sum("start").alias("starts"), F.sum(1 - F.col("start")).alias("ends"))
+    far = F.col("ends") * F.coalesce(F.sum("starts").over(across), F.lit(0))
+    return near.select((F.col("near") + far).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("_long"))
+
+
 def best_average_run(
     df: DataFrame,
     id_col: str,
@@ -99,6 +153,7 @@ def best_average_run(
     min_distance: int = 20,
     width: int = BAND_WIDTH,
     bounds: DataFrame | None = None,
+    every_length: bool = False,
 ) -> DataFrame:
     """The run of consecutive ids with the greatest average amount.
 
@@ -108,7 +163,8 @@ def best_average_run(
     and each right end meets ``k`` candidates.
 
     One row: ``seq_index`` 1, the average, ``id_range`` ``first-last`` of the first best run (lowest
-    start, then shortest) and ``matchnum``, how many runs of those lengths tie with it.
+    start, then shortest) and ``matchnum``, how many runs of those lengths tie with it; with ``every_length``
+    how many of any length from ``k`` on.
 
     ``bounds`` may bring the result of :func:`id_bounds` from a cheaper frame with the same ids, for
     instance the rows before a dedupe by id.
@@ -155,7 +211,7 @@ def best_average_run(
     hits = F.array(*[F.when(a == F.col("_best"), F.struct(
         (end - (min_distance + j)).alias("first"), end.alias("last"),
         (F.col("_sum") - F.get("_priors", F.col("_last") - j)).alias("cents"))) for j, a in enumerate(averages)])
-    tied = ends.select("_range", "_best", F.lit(1).alias("_ties"), F.explode(F.array_compact(hits)).alias("_span"))
+    tied = ends.select("_range", "_best", F.col("_sum").alias("_upto"), F.lit(1).alias("_ties"), F.explode(F.array_compact(hits)).alias("_span"))
     per_range = tied.groupBy("_range", "_best").agg(F.sum("_ties").alias("_ties"), F.min("_span").alias("_span"))
     winner = (
         per_range.groupBy("_best")
@@ -163,6 +219,13 @@ def best_average_run(
         .orderBy(F.col("_best").desc())
         .limit(1)
     )
+    if every_length:
+        # Where the best average is zero all runs tie; elsewhere zeros at either end make a run longer than k no best one.
+        ids = F.col("_bounds.high") - F.col("_bounds.low") + 1
+        all_runs = ((ids - k + 1).cast("decimal(19,0)") * (ids - k + 2).cast("decimal(19,0)") / 2).cast("bigint")
+        long = _long_ties(tied, winner, totals, id_col, k, reach, width)
+        winner = winner.withColumns({"_bounds": bounds.scalar(), "_long": long.scalar()}).withColumn(
+            "matchnum", F.when(F.col("_best") == 0, all_runs).otherwise(F.col("matchnum") + F.col("_long")))
     return winner.select(
         F.lit(1).alias("seq_index"),
         (F.col("_span.cents").cast("double") / 100 / (F.col("_span.last") - F.col("_span.first") + 1)).alias("avg_order_price"),

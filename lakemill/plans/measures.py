@@ -201,7 +201,7 @@ def amount_difference(spark, dwd):
 
 def best_run(spark, dwd, min_distance: int = RUN_DISTANCE):
     orders = _orders(spark, dwd, "id", "final_total_amount")
-    return best_average_run(orders, "id", "final_total_amount", min_distance, bounds=id_bounds(orders, "id"))
+    return best_average_run(orders, "id", "final_total_amount", min_distance, bounds=id_bounds(orders, "id"), every_length=True)
 
 
 RETAIL_A: dict[str, Measure] = {

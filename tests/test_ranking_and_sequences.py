@@ -1,5 +1,6 @@
 import random
 
+import duckdb
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from helpers import rows
@@ -125,3 +126,29 @@ def test_best_run_corner_cases(spark):
     assert best_run(spark, [(1, 3.0), (2, 4.0)], 4, 16) is None
     df = amounts(spark, CASES["dense"])
     assert best_run(spark, CASES["dense"], 4, 16, bounds=id_bounds(df, "id")) == brute_best(CASES["dense"], 4)
+
+
+LONG_TIES = {
+    "flat": [(i, 3.0) for i in range(100)],
+    "flat over gaps": [(i, 3.0) for i in range(100) if i not in (40, 41, 77)],
+    "pattern": [(i, float(1 + i % 3)) for i in range(90)],
+    "zeros": [(i, 0.0) for i in range(-20, 40, 3)],
+    "negative ids": [(i, 2.5) for i in range(-60, 30)],
+    "two stretches": [(i, 7.0) for i in [*range(5, 45), *range(60, 100)]],
+}
+
+
+@pytest.mark.parametrize("case", [*LONG_TIES, "sparse"])
+@pytest.mark.parametrize("distance,width", [(4, 16)])
+def test_ties_of_every_length_equal_sql(spark, case, distance, width):
+    items = (LONG_TIES | CASES)[case]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (id BIGINT, c BIGINT)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", [(i, round(100 * m)) for i, m in items])
+    want = con.execute(f"""WITH dense AS (
+          SELECT r.id, coalesce(t.c, 0) AS c FROM (SELECT unnest(range(min(id), max(id) + 1)) AS id FROM t) r LEFT JOIN t USING (id)),
+        sums AS (SELECT id, c, sum(c) OVER (ORDER BY id) AS s FROM dense),
+        runs AS (SELECT b.s - a.s + a.c AS s, b.id - a.id + 1 AS n FROM sums a JOIN sums b ON b.id - a.id >= {distance}),
+        best AS (SELECT s, n FROM runs ORDER BY s::DOUBLE / n DESC LIMIT 1)
+        SELECT count(*) FROM runs, best WHERE runs.s * best.n = best.s * runs.n""").fetchone()[0]
+    assert best_run(spark, items, distance, width, every_length=True)[2] == want
