@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemill.llm import (
     combination_join, latent_retrieval, license_join, piece_lattice, quality_rules, recurrent_lm, rendezvous,
-    rule_ensemble, sentence_spans, separator_scan,
+    rule_ensemble, sentence_spans, separator_scan, simhash_grid,
 )
 from lakemill.llm.frames import documents
 
@@ -94,3 +94,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return combination_join.near_duplicates(spark, documents(spark, sf_dir), width=3, percent=90).select(
         "doc_id", "n_shingles", "component_id")
+
+
+@query
+def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_grid.near_duplicates(spark, documents(spark, sf_dir), width=4, distance=4)
