@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemill.llm import (
     combination_join, latent_retrieval, license_join, piece_lattice, quality_rules, recurrent_lm, rendezvous,
-    rule_ensemble, sentence_spans, separator_scan, simhash_grid,
+    rule_ensemble, sentence_spans, separator_scan, simhash_grid, whitening,
 )
 from lakemill.llm.frames import documents
 
@@ -99,3 +99,9 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_grid.near_duplicates(spark, documents(spark, sf_dir), width=4, distance=4)
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whitened(spark, spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
