@@ -1,11 +1,12 @@
 """SimHash near duplicates: fingerprints as points of bit counts, joined on a grid under Manhattan distance.
 
 A fingerprint's 64 bits are cut into segments of two, and each segment keeps only how many of its bits are set. Between
-two such points the Manhattan distance is never above the Hamming distance of the fingerprints. So if two
-fingerprints differ in ``distance`` bits at most, then of ``distance // 3 + 1`` parts of the segments one has a Manhattan
-distance of 2 or less, and there a grid point lies within one step of both: every point is dealt to its own cell
-and the cells one step away (about 25 a part), and linked points always meet in a cell. There the fingerprints
-themselves are compared, so links are exact.
+two such points the Manhattan distance is never above the Hamming distance of the fingerprints. The segments are dealt to a few
+parts, and a grid is laid over some of the parts, over every choice of so many (:func:`grids`): with 4 bits, over every two of
+three parts. If two fingerprints differ in 4 bits at most, the two parts of least difference have a Manhattan
+distance of 2 or less, and a grid point lies within one step of both. So every point is dealt to its own cell and the
+cells one step away, about 100 over all grids, and linked points always meet in a cell. There the
+fingerprints themselves are compared, so links are exact; unrelated ones meet at a rate of 1.4 in a million.
 
 * Equal fingerprints are one class before anything is joined, so copies cost no comparison.
 * A cell of up to ``CELL`` classes is a join on the cell. In a larger one, classes near the cell's pivot (that of most
@@ -22,13 +23,16 @@ the id and the text are not read, so their names cannot clash. An empty table gi
 
 from __future__ import annotations
 
+import math
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemill.llm.components import connected
-from lakemill.llm.frames import Batches, map_arrow, staged, text_bytes
+from lakemill.llm.frames import map_arrow, staged, text_bytes
 
 SEED = 42
 PART = 1 << 16  # shingles hashed at once
@@ -73,21 +77,39 @@ def points(values: np.ndarray) -> np.ndarray:
     return ((values & shifted & _ODD_BITS) << np.uint64(1)) | ((values ^ shifted) & _ODD_BITS)
 
 
+def grids(distance: int) -> list[np.ndarray]:
+    """The segments of each grid: all choices of ``kept`` of ``parts`` parts.
+
+    Of ``distance`` steps spread over the parts the ``kept`` least hold most when they are spread evenly; that must be 2 at
+    most. Taken is what keeps the greatest share of the segments with ten choices at most.
+    """
+    def most(parts: int, kept: int) -> int:
+        each, more = divmod(distance, parts)
+        return kept * each + max(0, kept - (parts - more))
+
+    options = [(parts, kept) for parts in range(1, 33) for kept in range(1, parts + 1)
+               if most(parts, kept) <= 2 and (math.comb(parts, kept) <= 10 or kept == 1)]
+    parts, kept = max(options, key=lambda o: (o[1] / o[0], -o[0]))
+    dealt = np.array_split(np.arange(32), parts)
+    return [np.concatenate(choice) for choice in combinations(dealt, kept)]
+
+
 def cells_of(values: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per fingerprint and part, its own grid cell and those one step away: (index of the fingerprint, cell)."""
+    """Per fingerprint and grid, its own cell and those one step away: (index of the fingerprint, cell).
+
+    A cell is the counts of the grid's segments; those outside the grid read 3, which no count does, and tell grids apart.
+    """
     point, every = points(values), np.arange(len(values))
-    parts = np.array_split(np.arange(32), distance // 3 + 1)
     index, cells = [], []
-    for number, segments in enumerate(parts):
-        low = np.uint64(2 * segments[0])
-        own = (point >> low) & np.uint64((1 << 2 * len(segments)) - 1)
-        mark = np.uint64(number << 40)  # a part of several has 32 bits at most
-        index.append(every), cells.append(own | mark)
-        for j in range(len(segments)):
-            step = np.uint64(1 << 2 * j)
-            count = (own >> np.uint64(2 * j)) & np.uint64(3)
+    for segments in grids(distance):
+        inside = np.uint64(sum(3 << 2 * int(j) for j in segments))
+        own = (point & inside) | ~inside
+        index.append(every), cells.append(own)
+        for j in segments:
+            step = np.uint64(1 << 2 * int(j))
+            count = (point >> np.uint64(2 * j)) & np.uint64(3)
             for fits, moved in ((count < 2, own + step), (count > 0, own - step)):
-                index.append(every[fits]), cells.append(moved[fits] | mark)
+                index.append(every[fits]), cells.append(moved[fits])
     return np.concatenate(index), np.concatenate(cells)
 
 
@@ -100,7 +122,9 @@ def in_cells(classes: DataFrame, distance: int) -> DataFrame:
         taken = batch.take(pa.array(index))
         return pa.RecordBatch.from_arrays([pa.array(cells.view(np.int64)), *taken.columns], names=["cell", "fp", "n"])
 
-    return map_arrow(classes.select("fp", "n"), "cell long, fp long, n long", each)
+    # A class becomes a hundred rows: few tasks read the classes, many deal them.
+    spread = classes.select("fp", "n").repartition(4 * classes.sparkSession.sparkContext.defaultParallelism)
+    return map_arrow(spread, "cell long, fp long, n long", each)
 
 
 def forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
