@@ -79,6 +79,35 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard::INTEGER AS shard, grown_sh
 FROM owned
 """
 
+_SQL["op12_phrase_collocations"] = rf"""
+WITH pieces AS (
+  SELECT lang, doc, piece, regexp_extract_all(p, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS doc, regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]') AS ps FROM documents),
+  LATERAL (SELECT unnest(ps) AS p, unnest(range(len(ps))) AS piece) AS s),
+places AS (
+  SELECT lang, k, w[i:i + k - 1] AS words FROM pieces,
+  LATERAL (SELECT unnest(range(1, 6)) AS k) AS ks, LATERAL (SELECT unnest(range(1, len(w) - k + 2)) AS i) AS p),
+totals AS (SELECT lang, count(*) AS n FROM places WHERE k = 1 GROUP BY lang),
+f AS (SELECT lang, k, array_to_string(words, ' ') AS phrase, any_value(words) AS words, count(*) AS c
+  FROM places GROUP BY ALL HAVING count(*) >= 100),
+candidates AS (SELECT * FROM f WHERE k > 1),
+inner_phrases AS (
+  SELECT lang, array_to_string(words[i:i + m - 1], ' ') AS phrase, c
+  FROM candidates, LATERAL (SELECT unnest(range(2, k)) AS m) AS ms, LATERAL (SELECT unnest(range(1, k - m + 2)) AS i) AS p),
+open_phrases AS (
+  SELECT c.* FROM candidates c LEFT JOIN (SELECT lang, phrase, max(c) AS most FROM inner_phrases GROUP BY ALL) o USING (lang, phrase)
+  WHERE most IS NULL OR 100 * most < 100 * c.c),
+cuts AS (
+  SELECT p.lang, p.phrase, p.c AS a, j, x.c AS l, y.c AS r, t.n,
+    (1000::HUGEINT * p.c * t.n) // (x.c::HUGEINT * y.c) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM open_phrases) p JOIN totals t USING (lang)
+  JOIN f x ON x.lang = p.lang AND x.phrase = array_to_string(p.words[1:j], ' ')
+  JOIN f y ON y.lang = p.lang AND y.phrase = array_to_string(p.words[j + 1:], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM best)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM numbered WHERE rank <= 2000
+"""
+
 
 def statements() -> dict[str, str]:
     return dict(_SQL)

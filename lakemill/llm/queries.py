@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemill.llm import (
-    combination_join, latent_retrieval, license_join, piece_lattice, quality_rules, recurrent_lm, rendezvous,
+    collocations, combination_join, latent_retrieval, license_join, piece_lattice, quality_rules, recurrent_lm, rendezvous,
     rule_ensemble, sentence_spans, separator_scan, simhash_grid, whitening,
 )
 from lakemill.llm.frames import documents
@@ -105,3 +105,8 @@ def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whitening.whitened(spark, spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
     return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+@query
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(spark, documents(spark, sf_dir), least=100, top=2000)
