@@ -4,7 +4,7 @@ A phrase is frequent in a language if it stands at least ``least`` times there,
 must be counted only if the two phrases that lack its last and its first word are known; phrases that
 are known, and those that are not though both of these are (the negative border), are counted together.
 
-1. A sample of documents, by hash of the id, proposes the phrases that reach a lowered count in it.
+1. A sample of documents, by hash of the id, proposes the phrases that reach a lowered count in it, mined length by length.
 2. One full pass counts the proposed phrases and their negative border, words always, and spells the proposed.
 3. A frequent phrase of the border is one the sample missed, and phrases that contain it may not have been counted. The
    next pass adds those to the known phrases, spells them and counts what they add to the border. Passes go on until
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,9 @@ from lakemill.llm.shingles import Powers, mixed
 LONGEST = 5
 SAMPLE = 8  # the sample is every document whose hash is divisible by this
 BITS = 27
-PART = 1 << 22
-HELD = 1 << 21
+PART = 1 << 20
+HELD = 1 << 20
+ROWS = 1 << 16  # rows handed to Spark at once
 SPELT = 1 << 18  # phrases a worker remembers as spelt; it begins anew beyond that
 
 _DELIMITER = np.zeros(256, bool)
@@ -145,13 +147,15 @@ class _Counter:
         self.kept.append((h1, h2))
         self.size += len(h1)
 
-    def taken(self) -> pa.RecordBatch:
+    def taken(self) -> Iterator[pa.RecordBatch]:
         h1, h2 = (np.concatenate(c) for c in zip(*self.kept))
         self.kept, self.size = [], 0
         order = np.argsort(h1)
         h1, h2 = h1[order], h2[order]
         first = np.flatnonzero(np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
-        return _rows(h1[first], h2[first], np.diff(np.r_[first, len(h1)]))
+        h1, h2, n = h1[first], h2[first], np.diff(np.r_[first, len(h1)])
+        for i in range(0, len(n), ROWS):
+            yield _rows(h1[i:i + ROWS], h2[i:i + ROWS], n[i:i + ROWS])
 
 
 SCHEMA = "h1 long, h2 long, n long, lang string, phrase string"
@@ -191,27 +195,11 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(text_bytes().alias("text"), F.coalesce("lang", F.lit("und")).alias("lang"))
 
 
-def all_counts(texts: DataFrame, longest: int) -> DataFrame:
-    """Every phrase, added up per block of places: for the sample."""
-
-    def run(batches: Batches) -> Batches:
-        hasher, counter = _Hasher(), _Counter()
-        for block, names in _blocks(batches):
-            for _, inside, h1, h2 in _hashed(block, names, hasher, longest):
-                counter.add(h1[inside], h2[inside])
-                if counter.size >= HELD:
-                    yield counter.taken()
-        if counter.size:
-            yield counter.taken()
-
-    return texts.mapInArrow(run, SCHEMA)
-
-
-def border_counts(texts: DataFrame, longest: int, known: Table, before: Table | None) -> DataFrame:
+def border_counts(texts: DataFrame, longest: int, known: Table, before: Table | None, spell: bool = True) -> DataFrame:
     """Counts of known phrases and their negative border, without those counted when ``before`` was known.
 
-    A row of count 0 per worker and newly known phrase tells its language and words. The first pass (no ``before``)
-    adds the number of words per language, as that of the phrase of no words.
+    With ``spell`` a row of count 0 per worker and newly known phrase tells its language and words, and the first pass (no
+    ``before``) adds the number of words per language, as that of the phrase of no words.
     """
 
     def run(batches: Batches) -> Batches:
@@ -219,7 +207,7 @@ def border_counts(texts: DataFrame, longest: int, known: Table, before: Table |
         held = before.worker() if before else None
         totals, seen = {}, np.zeros(0, np.uint64)
         for block, names in _blocks(batches):
-            if held is None:
+            if spell and held is None:
                 for number, n in zip(*np.unique(block.lang, return_counts=True)):
                     totals[names[number]] = totals.get(names[number], 0) + int(n)
             spelt = []
@@ -240,18 +228,17 @@ def border_counts(texts: DataFrame, longest: int, known: Table, before: Table |
                     then[at] = was
                 now = np.zeros(m, bool)
                 now[at] = here
-                _, first = np.unique(h1[at[new]], return_index=True)
-                first = at[new][first]
+                first = at[new][np.unique(h1[at[new]], return_index=True)[1]] if spell else at[:0]
                 spelt += [(h1[i], h2[i], names[block.lang[i]], block.spelt(i, k).decode("utf-8", "replace"))
                           for i in first[~np.isin(h1[first], seen)].tolist()]
                 if counter.size >= HELD:
-                    yield counter.taken()
+                    yield from counter.taken()
             if spelt:
                 h1, h2, langs, phrases = zip(*spelt)
                 seen = np.union1d(seen if len(seen) < SPELT else seen[:0], np.array(h1, np.uint64))
                 yield _rows(h1, h2, np.zeros(len(h1)), langs, phrases)
         if counter.size:
-            yield counter.taken()
+            yield from counter.taken()
         if totals:
             zero = np.zeros(len(totals), np.uint64)
             yield _rows(zero, zero, list(totals.values()), list(totals), [""] * len(totals))
@@ -275,8 +262,7 @@ def frequent_phrases(
     work, tables = Scratch(spark), []
     texts = _texts(docs)
     drawn = _texts(docs.filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(sample)) == 0))
-    proposed = all_counts(drawn, longest).groupBy("h1", "h2").agg(F.sum("n").alias("n"))
-    known = work.staged(proposed.filter(F.col("n") >= lowered(least, 1 / sample)).select("h1", "h2"), "proposed")
+    known = _proposed(spark, work, tables, drawn, lowered(least, 1 / sample), longest)
     counted, before = None, None
     while True:
         tables.append(table := Table(spark, known))
@@ -297,6 +283,20 @@ def frequent_phrases(
     return found
 
 
+def _proposed(spark: SparkSession, work: Scratch, tables: list[Table], texts: DataFrame, least: int, longest: int) -> DataFrame:
+    """(h1, h2) of the phrases with ``least`` places in the sample, found length by length: a phrase is counted once
+    the two inside it that are a word shorter are known."""
+    known, before = spark.createDataFrame([], "h1 long, h2 long"), None
+    for _ in range(longest):
+        tables.append(table := Table(spark, known))
+        rows = border_counts(texts, longest, table, before, spell=False).groupBy("h1", "h2").agg(F.sum("n").alias("n"))
+        more = work.staged(rows.filter(F.col("n") >= least).select("h1", "h2"), "proposed")
+        if more.isEmpty():
+            break
+        known, before = known.unionAll(more), table
+    return work.staged(known, "known")
+
+
 def ranked(phrases: DataFrame, top: int = 2000) -> DataFrame:
     """The first ``top`` phrases of each language by association.
 

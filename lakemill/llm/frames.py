@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -35,8 +34,6 @@ class Scratch:
     def staged(self, df: DataFrame, label: str) -> DataFrame:
         self.paths.append(path := fresh_dir(self.spark, label))
         df.write.option("compression", "zstd").parquet(path)
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()  # Spark deletes a finished job's shuffle files when its plan is collected
         return self.spark.read.schema(df.schema).parquet(path)
 
     def clear(self) -> None:
