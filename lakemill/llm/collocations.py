@@ -169,7 +169,7 @@ def _rows(h1, h2, n, lang=None, phrase=None) -> pa.RecordBatch:
 
 
 class Table:
-    """The bit table of a set of phrases, on the driver; ``None`` knows none."""
+    """The bit table of a set of phrases; it travels compressed, so a few phrases are a few bytes."""
 
     def __init__(self, spark: SparkSession, phrases: DataFrame) -> None:
         at = (F.col("h1").bitwiseAND((1 << BITS) - 1) + 1).alias("at")
@@ -178,10 +178,10 @@ class Table:
         table = np.zeros((1 << BITS) >> 3, np.uint8)
         for bucket, bits in filled:
             table[(bucket - 1) * 4096:(bucket - 1) * 4096 + len(bits)] = np.frombuffer(bits, np.uint8)
-        self.shared = spark.sparkContext.broadcast(table)
+        self.shared = spark.sparkContext.broadcast(zlib.compress(table, 1))
 
     def worker(self):
-        table = self.shared.value
+        table = np.frombuffer(zlib.decompress(self.shared.value), np.uint8)
         low = np.uint64((1 << BITS) - 1)
 
         def holds(h1: np.ndarray) -> np.ndarray:
@@ -259,41 +259,47 @@ def frequent_phrases(
 
     The empty phrase stands for all words of a language.
     """
-    work, tables = Scratch(spark), []
+    work = Scratch(spark)
     texts = _texts(docs)
     drawn = _texts(docs.filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(sample)) == 0))
-    known = _proposed(spark, work, tables, drawn, lowered(least, 1 / sample), longest)
+    known = _proposed(spark, work, drawn, lowered(least, 1 / sample), longest)
     counted, before = None, None
     while True:
-        tables.append(table := Table(spark, known))
+        table = Table(spark, known)
         rows = border_counts(texts, longest, table, before).groupBy("h1", "h2", "lang", "phrase").agg(F.sum("n").alias("n"))
         more = work.staged(rows.filter(F.col("phrase").isNotNull() | (F.col("n") >= least)), "counted")
         counted = more if counted is None else counted.unionAll(more)
+        if before:
+            before.shared.destroy()
+        before = table
         missed = more.filter("phrase is null").select("h1", "h2").join(known, ["h1", "h2"], "left_anti")
         if missed.isEmpty():
             break
-        known, before = work.staged(known.unionAll(missed), "known"), table
+        known = work.staged(known.unionAll(missed), "known")
+    before.shared.destroy()
     numbers = counted.filter("phrase is null").select("h1", "h2", "n")
     names = counted.filter("phrase != ''").select("h1", "h2", "lang", "phrase").dropDuplicates(["h1", "h2"])
     found = numbers.join(names, ["h1", "h2"]).select("lang", "phrase", "n")
     found = staged(spark, found.unionAll(counted.filter("phrase = ''").select("lang", "phrase", "n")), "phrases")
     work.clear()
-    for table in tables:
-        table.shared.unpersist()
     return found
 
 
-def _proposed(spark: SparkSession, work: Scratch, tables: list[Table], texts: DataFrame, least: int, longest: int) -> DataFrame:
+def _proposed(spark: SparkSession, work: Scratch, texts: DataFrame, least: int, longest: int) -> DataFrame:
     """(h1, h2) of the phrases with ``least`` places in the sample, found length by length: a phrase is counted once
     the two inside it that are a word shorter are known."""
     known, before = spark.createDataFrame([], "h1 long, h2 long"), None
     for _ in range(longest):
-        tables.append(table := Table(spark, known))
+        table = Table(spark, known)
         rows = border_counts(texts, longest, table, before, spell=False).groupBy("h1", "h2").agg(F.sum("n").alias("n"))
         more = work.staged(rows.filter(F.col("n") >= least).select("h1", "h2"), "proposed")
+        if before:
+            before.shared.destroy()
+        before = table
         if more.isEmpty():
             break
-        known, before = known.unionAll(more), table
+        known = known.unionAll(more)
+    before.shared.destroy()
     return work.staged(known, "known")
 
 
