@@ -5,13 +5,15 @@ must be counted only if the two phrases that lack its last and its first word ar
 are known, and those that are not though both of these are (the negative border), are counted together.
 
 1. A sample of documents, by hash of the id, proposes the phrases that reach a lowered count in it, mined length by length.
-2. One full pass counts the proposed phrases and their negative border, words always, and spells the proposed.
+2. One full pass counts the proposed phrases and their negative border, words always.
 3. A frequent phrase of the border is one the sample missed, and phrases that contain it may not have been counted. The
-   next pass adds those to the known phrases, spells them and counts what they add to the border. Passes go on until
-   none brings a frequent phrase that was not known: by induction over the length every frequent phrase is
-   counted then, whatever the sample held.
+   next pass adds those to the known phrases and counts what they add to the border. Passes go on until none brings a
+   frequent phrase that was not known: by induction over the length every frequent phrase is counted then, whatever
+   the sample held.
+4. A last pass spells the frequent phrases and counts each by itself.
 
-Phrases travel as 128-bit hashes of language and words; a pass adds up its own counts ``HELD`` places at a time before anything is
+Up to then phrases are 64-bit hashes of language and words: two that share one can only be counted too high, so no frequent phrase is
+lost, and the last pass tells them apart by 128 bits. A pass adds up its own counts ``HELD`` places at a time before anything is
 shuffled. Workers look phrases up in a bit table of fixed size (2^``BITS`` bits, sent to each worker): a wrongly set bit only makes
 them count a phrase more, so results do not depend on it, and with more phrases than bits the passes count more and stay exact.
 Frequent phrases are never gathered: cuts, scores, containment and ranks are joins on the phrase.
@@ -38,10 +40,10 @@ from lakemill.llm.shingles import Powers, mixed
 LONGEST = 5
 SAMPLE = 8  # the sample is every document whose hash is divisible by this
 BITS = 27
-PART = 1 << 20
-HELD = 1 << 20
-ROWS = 1 << 16  # rows handed to Spark at once
-SPELT = 1 << 18  # phrases a worker remembers as spelt; it begins anew beyond that
+PART = 1 << 19
+HELD = 1 << 19
+ROWS = 1 << 15  # rows handed to Spark at once
+SPELT = 1 << 20  # phrases a worker remembers as spelt; it begins anew beyond that
 
 _DELIMITER = np.zeros(256, bool)
 _DELIMITER[list(b".,;:!?\n\x0b\x0c\r")] = True
@@ -57,10 +59,10 @@ class _Hasher(Powers):
     def __init__(self) -> None:
         super().__init__()
         rng = np.random.default_rng(20_011)
-        self.bytes1, self.bytes2 = (rng.integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))
+        self.tables = [rng.integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2)]
 
-    def words(self, raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return self.ranges(self.bytes1[raw], begin, end), self.ranges(self.bytes2[raw], begin, end)
+    def words(self, raw: np.ndarray, begin: np.ndarray, end: np.ndarray, which: int) -> np.ndarray:
+        return self.ranges(self.tables[which][raw], begin, end)
 
 
 def lang_number(lang: str) -> tuple[np.uint64, np.uint64]:
@@ -109,7 +111,8 @@ def _blocks(batches: Batches):
     """Blocks of about ``PART`` bytes, with the names of their languages."""
     texts, numbers, names, size = [], [], {}, 0
     for batch in batches:
-        for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for value, lang in zip(batch.column(0), batch.column(1).to_pylist()):
+            text = value.as_py()  # one at a time: a batch holds thousands
             for part in parts(text) if len(text) > PART else [text]:
                 texts.append(part)
                 numbers.append(names.setdefault(lang, len(names)))
@@ -121,50 +124,52 @@ def _blocks(batches: Batches):
         yield _Block(texts, numbers), list(names)
 
 
-def _hashed(block: _Block, names: list[str], hasher: _Hasher, longest: int):
-    """Per length k: which places hold a phrase (inside one piece), and both its hashes."""
-    word1, word2 = hasher.words(block.raw, block.begin, block.end)
-    marks = np.array([lang_number(n) for n in names], np.uint64).reshape(-1, 2)
-    mark1, mark2 = marks[block.lang, 0], marks[block.lang, 1]
-    sum1, sum2 = np.zeros(len(word1), np.uint64), np.zeros(len(word1), np.uint64)
+def _hashed(block: _Block, names: list[str], hasher: _Hasher, longest: int, which: int = 0):
+    """Per length k: which places hold a phrase (inside one piece), and a hash of each."""
+    word = hasher.words(block.raw, block.begin, block.end, which)
+    mark = np.array([lang_number(n)[which] for n in names], np.uint64)[block.lang]
+    total = np.zeros(len(word), np.uint64)
     for k in range(1, longest + 1):
-        m = len(word1) - k + 1
+        m = len(word) - k + 1
         if m <= 0:
             return
-        sum1 = sum1[:m] + word1[k - 1:] * _ODD[k - 1]
-        sum2 = sum2[:m] + mixed(word2[k - 1:] + _ODD[k - 1])
-        inside = block.piece[k - 1:] == block.piece[:m]
-        yield k, inside, mixed(sum1 + mark1[:m] * _SECOND + np.uint64(k)), mixed(sum2 + mark2[:m] + np.uint64(k))
+        total = total[:m] + word[k - 1:] * _ODD[k - 1]
+        yield k, block.piece[k - 1:] == block.piece[:m], mixed(total + mark[:m] * _SECOND + np.uint64(k))
 
 
 class _Counter:
-    """Places collected and added up ``HELD`` at a time."""
+    """Places collected and added up ``HELD`` at a time: by their first hash, or by both."""
 
     def __init__(self) -> None:
         self.kept, self.size = [], 0
 
-    def add(self, h1: np.ndarray, h2: np.ndarray) -> None:
-        self.kept.append((h1, h2))
-        self.size += len(h1)
+    def add(self, *hashes: np.ndarray) -> None:
+        self.kept.append(hashes)
+        self.size += len(hashes[0])
 
     def taken(self) -> Iterator[pa.RecordBatch]:
-        h1, h2 = (np.concatenate(c) for c in zip(*self.kept))
+        hashes = [np.concatenate(c) for c in zip(*self.kept)]
         self.kept, self.size = [], 0
-        order = np.argsort(h1)
-        h1, h2 = h1[order], h2[order]
-        first = np.flatnonzero(np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
-        h1, h2, n = h1[first], h2[first], np.diff(np.r_[first, len(h1)])
-        for i in range(0, len(n), ROWS):
-            yield _rows(h1[i:i + ROWS], h2[i:i + ROWS], n[i:i + ROWS])
-
-
-SCHEMA = "h1 long, h2 long, n long, lang string, phrase string"
-
-
-def _rows(h1, h2, n, lang=None, phrase=None) -> pa.RecordBatch:
-    texts = [pa.nulls(len(h1), pa.string()) if t is None else pa.array(t, pa.string()) for t in (lang, phrase)]
+        if len(hashes) == 1:
+            found, n = np.unique(hashes[0], return_counts=True)
+            columns, names = [found, n], ["h1", "n"]
+        else:
+            order = np.argsort(hashes[0])
+            h1, h2 = (h[order] for h in hashes)
+            first = np.flatnonzero(np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
+            columns, names = [h1[first], h2[first], np.diff(np.r_[first, len(h1)])], ["h1", "h2", "n"]
+        for i in range(0, len(columns[0]), ROWS):
+            arrays = [pa.array(c[i:i + ROWS].view(np.int64)) for c in columns]
+            if len(arrays) == 3:
+                arrays += [pa.nulls(len(arrays[0]), pa.string())] * 2
+                names = ["h1", "h2", "n", "lang", "phrase"]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+
+def _named(h1, h2, n, lang, phrase) -> pa.RecordBatch:
+    hashes = [pa.array(np.asarray(h, np.uint64).view(np.int64)) for h in (h1, h2)]
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.asarray(h1, np.uint64).view(np.int64)), pa.array(np.asarray(h2, np.uint64).view(np.int64)), pa.array(np.asarray(n, np.int64)), *texts],
+        [*hashes, pa.array(n, pa.int64()), pa.array(lang, pa.string()), pa.array(phrase, pa.string())],
         names=["h1", "h2", "n", "lang", "phrase"])
 
 
@@ -195,55 +200,72 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(text_bytes().alias("text"), F.coalesce("lang", F.lit("und")).alias("lang"))
 
 
-def border_counts(texts: DataFrame, longest: int, known: Table, before: Table | None, spell: bool = True) -> DataFrame:
-    """Counts of known phrases and their negative border, without those counted when ``before`` was known.
-
-    With ``spell`` a row of count 0 per worker and newly known phrase tells its language and words, and the first pass (no
-    ``before``) adds the number of words per language, as that of the phrase of no words.
-    """
+def border_counts(texts: DataFrame, longest: int, known: Table, before: Table | None) -> DataFrame:
+    """(h1, n): counts of known phrases and their negative border, without those counted when ``before`` was known."""
 
     def run(batches: Batches) -> Batches:
         hasher, counter, holds = _Hasher(), _Counter(), known.worker()
         held = before.worker() if before else None
-        totals, seen = {}, np.zeros(0, np.uint64)
         for block, names in _blocks(batches):
-            if spell and held is None:
-                for number, n in zip(*np.unique(block.lang, return_counts=True)):
-                    totals[names[number]] = totals.get(names[number], 0) + int(n)
-            spelt = []
             now = then = None  # per place, whether the phrase of k - 1 words that begins there is, and was, known
-            for k, inside, h1, h2 in _hashed(block, names, hasher, longest):
+            for k, inside, h1 in _hashed(block, names, hasher, longest):
                 m = len(h1)
                 at = np.flatnonzero(inside if k == 1 else inside & now[:m] & now[1:m + 1])
-                here = holds(h1[at])
-                new = here
                 if held is None:
-                    counter.add(h1[at], h2[at])
+                    counter.add(h1[at])
                 else:
                     done = np.ones(len(at), bool) if k == 1 else then[at] & then[at + 1]
-                    counter.add(h1[at[~done]], h2[at[~done]])
-                    was = done & held(h1[at])
-                    new = here & ~was
+                    counter.add(h1[at[~done]])
                     then = np.zeros(m, bool)
-                    then[at] = was
+                    then[at] = done & held(h1[at])
                 now = np.zeros(m, bool)
-                now[at] = here
-                first = at[new][np.unique(h1[at[new]], return_index=True)[1]] if spell else at[:0]
-                spelt += [(h1[i], h2[i], names[block.lang[i]], block.spelt(i, k).decode("utf-8", "replace"))
-                          for i in first[~np.isin(h1[first], seen)].tolist()]
-                if counter.size >= HELD:
-                    yield from counter.taken()
-            if spelt:
-                h1, h2, langs, phrases = zip(*spelt)
-                seen = np.union1d(seen if len(seen) < SPELT else seen[:0], np.array(h1, np.uint64))
-                yield _rows(h1, h2, np.zeros(len(h1)), langs, phrases)
+                now[at] = holds(h1[at])
+            if counter.size >= HELD:
+                yield from counter.taken()
+        if counter.size:
+            yield from counter.taken()
+
+    return texts.mapInArrow(run, "h1 long, n long")
+
+
+def spelt_counts(texts: DataFrame, longest: int, wanted: Table) -> DataFrame:
+    """(h1, h2, n, lang, phrase): counts of the wanted phrases by both hashes, and rows of count 0 that spell them.
+
+    The empty phrase, spelt at once, has the number of words of its language.
+    """
+
+    def run(batches: Batches) -> Batches:
+        hasher, counter, holds = _Hasher(), _Counter(), wanted.worker()
+        totals, seen = {}, np.zeros(0, np.uint64)
+        for block, names in _blocks(batches):
+            for number, n in zip(*np.unique(block.lang, return_counts=True)):
+                totals[names[number]] = totals.get(names[number], 0) + int(n)
+            rows = []
+            for (k, inside, h1), (_, _, h2) in zip(_hashed(block, names, hasher, longest), _hashed(block, names, hasher, longest, 1)):
+                at = np.flatnonzero(inside)
+                at = at[holds(h1[at])]
+                counter.add(h1[at], h2[at])
+                # Phrases that share their first hash are told apart by the second, so that is what is remembered.
+                first = at[np.unique(h2[at], return_index=True)[1]]
+                rows += [(h1[i], h2[i], names[block.lang[i]], block.spelt(i, k).decode("utf-8", "replace")) for i in first[~_among(h2[first], seen)].tolist()]
+            if rows:
+                h1, h2, langs, phrases = zip(*rows)
+                seen = np.union1d(seen if len(seen) < SPELT else seen[:0], np.array(h2, np.uint64))
+                yield _named(h1, h2, [0] * len(rows), langs, phrases)
+            if counter.size >= HELD:
+                yield from counter.taken()
         if counter.size:
             yield from counter.taken()
         if totals:
-            zero = np.zeros(len(totals), np.uint64)
-            yield _rows(zero, zero, list(totals.values()), list(totals), [""] * len(totals))
+            yield _named([0] * len(totals), [0] * len(totals), list(totals.values()), list(totals), [""] * len(totals))
+
+    return texts.mapInArrow(run, "h1 long, h2 long, n long, lang string, phrase string")
+
 
-    return texts.mapInArrow(run, SCHEMA)
+def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    if not len(ordered):
+        return np.zeros(len(values), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
 
 
 def lowered(least: int, share: float) -> int:
@@ -262,45 +284,40 @@ def frequent_phrases(
     work = Scratch(spark)
     texts = _texts(docs)
     drawn = _texts(docs.filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(sample)) == 0))
-    known = _proposed(spark, work, drawn, lowered(least, 1 / sample), longest)
-    counted, before = None, None
-    while True:
-        table = Table(spark, known)
-        rows = border_counts(texts, longest, table, before).groupBy("h1", "h2", "lang", "phrase").agg(F.sum("n").alias("n"))
-        more = work.staged(rows.filter(F.col("phrase").isNotNull() | (F.col("n") >= least)), "counted")
-        counted = more if counted is None else counted.unionAll(more)
-        if before:
-            before.shared.destroy()
-        before = table
-        missed = more.filter("phrase is null").select("h1", "h2").join(known, ["h1", "h2"], "left_anti")
-        if missed.isEmpty():
-            break
-        known = work.staged(known.unionAll(missed), "known")
-    before.shared.destroy()
-    numbers = counted.filter("phrase is null").select("h1", "h2", "n")
-    names = counted.filter("phrase != ''").select("h1", "h2", "lang", "phrase").dropDuplicates(["h1", "h2"])
-    found = numbers.join(names, ["h1", "h2"]).select("lang", "phrase", "n")
-    found = staged(spark, found.unionAll(counted.filter("phrase = ''").select("lang", "phrase", "n")), "phrases")
+    nothing = spark.createDataFrame([], "h1 long")
+    proposed = _grown(spark, work, drawn, nothing, lowered(least, 1 / sample), longest, rounds=longest)
+    frequent = _grown(spark, work, texts, proposed, least, longest)
+    table = Table(spark, frequent)
+    rows = work.staged(spelt_counts(texts, longest, table).groupBy("h1", "h2", "lang", "phrase").agg(F.sum("n").alias("n")).filter(
+        F.col("phrase").isNotNull() | (F.col("n") >= least)), "spelt")
+    table.shared.destroy()
+    names = rows.filter("phrase != ''").select("h1", "h2", "lang", "phrase").dropDuplicates(["h1", "h2"])
+    found = rows.filter("phrase is null").select("h1", "h2", "n").join(names, ["h1", "h2"]).select("lang", "phrase", "n")
+    found = staged(spark, found.unionAll(rows.filter("phrase = ''").select("lang", "phrase", "n")), "phrases")
     work.clear()
     return found
 
 
-def _proposed(spark: SparkSession, work: Scratch, texts: DataFrame, least: int, longest: int) -> DataFrame:
-    """(h1, h2) of the phrases with ``least`` places in the sample, found length by length: a phrase is counted once
-    the two inside it that are a word shorter are known."""
-    known, before = spark.createDataFrame([], "h1 long, h2 long"), None
-    for _ in range(longest):
+def _grown(spark: SparkSession, work: Scratch, texts: DataFrame, known: DataFrame, least: int, longest: int, rounds: int | None = None) -> DataFrame:
+    """First hashes of all phrases with ``least`` places, and of no other, up to chance: passes go on until none brings a phrase that was not known.
+
+    With ``rounds`` passes end there: from nothing known each finds the phrases of one more word.
+    """
+    found, before = spark.createDataFrame([], "h1 long"), None
+    while rounds is None or rounds > 0:
         table = Table(spark, known)
-        rows = border_counts(texts, longest, table, before, spell=False).groupBy("h1", "h2").agg(F.sum("n").alias("n"))
-        more = work.staged(rows.filter(F.col("n") >= least).select("h1", "h2"), "proposed")
+        counts = border_counts(texts, longest, table, before).groupBy("h1").agg(F.sum("n").alias("n"))
+        more = work.staged(counts.filter(F.col("n") >= least).select("h1"), "counted")
         if before:
             before.shared.destroy()
-        before = table
-        if more.isEmpty():
+        before, found = table, found.unionAll(more)
+        missed = more.join(known, "h1", "left_anti")
+        if missed.isEmpty():
             break
-        known = known.unionAll(more)
+        known = work.staged(known.unionAll(missed), "known")
+        rounds = rounds and rounds - 1
     before.shared.destroy()
-    return work.staged(known, "known")
+    return found
 
 
 def ranked(phrases: DataFrame, top: int = 2000) -> DataFrame:

@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from lakemill.llm import collocations
@@ -87,16 +88,25 @@ def test_frequent_phrases_are_exact_and_complete(spark):
 def test_the_border_finds_what_the_sample_missed(spark, monkeypatch):
     passes = []
     counts = collocations.border_counts
-
-    def counting(*args, **more):
-        passes.extend([] if more else [args])  # those of the sample do not spell
-        return counts(*args, **more)
-
-    monkeypatch.setattr(collocations, "border_counts", counting)
+    monkeypatch.setattr(collocations, "border_counts", lambda *a: passes.append(a) or counts(*a))
     docs = [("one two three four five six", "en")] * 30
     got = {r.phrase: r.n for r in collocations.frequent_phrases(spark, frame(spark, docs), 30, sample=1 << 40).collect()}
     assert got["one two three four five"] == got["two three four five six"] == 30 and got[""] == 180 and len(got) == 1 + 6 + 5 + 4 + 3 + 2
-    assert len(passes) == 6
+    assert len(passes) == 1 + 6  # one over the empty sample, then one per length and one to see that nothing is missed
+
+
+def test_phrases_that_share_a_first_hash_are_told_apart(spark, monkeypatch):
+    hashed = collocations._hashed
+
+    def few(block, names, hasher, longest, which=0):
+        for k, inside, h in hashed(block, names, hasher, longest, which):
+            yield k, inside, h % np.uint64(50) if which == 0 else h
+
+    monkeypatch.setattr(collocations, "_hashed", few)
+    docs = made(5, 60, words=15)
+    counts, totals = slow_counts(docs)
+    want = {(lang, " ".join(w), n) for (lang, w), n in counts.items() if n >= 9} | {(lang, "", n) for lang, n in totals.items() if n}
+    assert {tuple(r) for r in collocations.frequent_phrases(spark, frame(spark, docs), 9, sample=2).collect()} == want
 
 
 def test_odd_tables(spark):
