@@ -41,9 +41,9 @@ LONGEST = 5
 SAMPLE = 8  # the sample is every document whose hash is divisible by this
 BITS = 27
 PART = 1 << 19
-HELD = 1 << 19
+HELD = 1 << 18
 ROWS = 1 << 15  # rows handed to Spark at once
-SPELT = 1 << 20  # phrases a worker remembers as spelt; it begins anew beyond that
+SPELT = 1 << 20  # phrases a worker counts and remembers as spelt; it begins anew beyond that
 
 _DELIMITER = np.zeros(256, bool)
 _DELIMITER[list(b".,;:!?\n\x0b\x0c\r")] = True
@@ -138,7 +138,7 @@ def _hashed(block: _Block, names: list[str], hasher: _Hasher, longest: int, whic
 
 
 class _Counter:
-    """Places collected and added up ``HELD`` at a time: by their first hash, or by both."""
+    """Places collected and added up ``HELD`` at a time."""
 
     def __init__(self) -> None:
         self.kept, self.size = [], 0
@@ -148,22 +148,40 @@ class _Counter:
         self.size += len(hashes[0])
 
     def taken(self) -> Iterator[pa.RecordBatch]:
-        hashes = [np.concatenate(c) for c in zip(*self.kept)]
+        found, n = np.unique(np.concatenate([h for h, in self.kept]), return_counts=True)
         self.kept, self.size = [], 0
-        if len(hashes) == 1:
-            found, n = np.unique(hashes[0], return_counts=True)
-            columns, names = [found, n], ["h1", "n"]
-        else:
-            order = np.argsort(hashes[0])
-            h1, h2 = (h[order] for h in hashes)
-            first = np.flatnonzero(np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
-            columns, names = [h1[first], h2[first], np.diff(np.r_[first, len(h1)])], ["h1", "h2", "n"]
-        for i in range(0, len(columns[0]), ROWS):
-            arrays = [pa.array(c[i:i + ROWS].view(np.int64)) for c in columns]
-            if len(arrays) == 3:
-                arrays += [pa.nulls(len(arrays[0]), pa.string())] * 2
-                names = ["h1", "h2", "n", "lang", "phrase"]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+        yield from _sliced([found, n], ["h1", "n"])
+
+
+class _Totals(_Counter):
+    """The same for pairs of hashes, kept over a whole task as far as they are ``SPELT`` at most."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.columns = [np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)]
+
+    def settle(self) -> None:
+        if not self.size:
+            return
+        h1, h2 = (np.concatenate([old, *new]) for old, new in zip(self.columns, zip(*self.kept)))
+        n = np.concatenate([self.columns[2], np.ones(self.size, np.int64)])
+        self.kept, self.size = [], 0
+        order = np.lexsort((h2, h1))
+        h1, h2, n = h1[order], h2[order], n[order]
+        first = np.flatnonzero(np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
+        self.columns = [h1[first], h2[first], np.add.reduceat(n, first)]
+
+    def taken(self) -> Iterator[pa.RecordBatch]:
+        self.settle()
+        columns, self.columns = self.columns, [c[:0] for c in self.columns]
+        for batch in _sliced(columns, ["h1", "h2", "n"]):
+            nothing = pa.nulls(batch.num_rows, pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, nothing, nothing], names=["h1", "h2", "n", "lang", "phrase"])
+
+
+def _sliced(columns: list[np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(columns[0]), ROWS):
+        yield pa.RecordBatch.from_arrays([pa.array(c[i:i + ROWS].view(np.int64)) for c in columns], names=names)
 
 
 def _named(h1, h2, n, lang, phrase) -> pa.RecordBatch:
@@ -235,7 +253,7 @@ def spelt_counts(texts: DataFrame, longest: int, wanted: Table) -> DataFrame:
     """
 
     def run(batches: Batches) -> Batches:
-        hasher, counter, holds = _Hasher(), _Counter(), wanted.worker()
+        hasher, counter, holds = _Hasher(), _Totals(), wanted.worker()
         totals, seen = {}, np.zeros(0, np.uint64)
         for block, names in _blocks(batches):
             for number, n in zip(*np.unique(block.lang, return_counts=True)):
@@ -253,9 +271,10 @@ def spelt_counts(texts: DataFrame, longest: int, wanted: Table) -> DataFrame:
                 seen = np.union1d(seen if len(seen) < SPELT else seen[:0], np.array(h2, np.uint64))
                 yield _named(h1, h2, [0] * len(rows), langs, phrases)
             if counter.size >= HELD:
-                yield from counter.taken()
-        if counter.size:
-            yield from counter.taken()
+                counter.settle()
+                if len(counter.columns[0]) >= SPELT:
+                    yield from counter.taken()
+        yield from counter.taken()
         if totals:
             yield _named([0] * len(totals), [0] * len(totals), list(totals.values()), list(totals), [""] * len(totals))
 

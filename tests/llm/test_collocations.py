@@ -70,6 +70,7 @@ def test_equals_brute_force(spark, monkeypatch, sample, bits, held):
     """A sample of everything, of next to nothing, so that passes must expand five times, and a table too small for its phrases."""
     monkeypatch.setattr(collocations, "BITS", max(bits, 15))
     monkeypatch.setattr(collocations, "HELD", held)
+    monkeypatch.setattr(collocations, "SPELT", min(held, 900))
     monkeypatch.setattr(collocations, "PART", 3000)
     docs = made(sample, 250)
     want = slow_ranks(docs, 6, 40)
