@@ -4,7 +4,8 @@ A block is a run of consecutive lower-cased words, as many as the template has a
 so a notice may be wrapped, and words scattered over a long text do not count. A block meets a template when it contains
 at least ``threshold`` of the template's distinct words and all of its ``TELLING`` ones, which name the license.
 
-A text can only hold such a block if its whole set of words meets the template, so these sets are joined first.
+A text can only hold such a block if its whole set of words meets the template, so these sets are joined first, and only
+of texts in which the prefix and naming words of some template can be found at all.
 Template words are ordered by how many documents hold them, rarest
 first; a text keeps only template words, in that order. A text that meets a template must contain one of the
 template's first ``|T| - needed + 1`` words (prefix), have at least ``needed`` words (length), and enough words must
@@ -20,6 +21,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -44,6 +46,7 @@ TELLING = (("apache",), (), (), ("cc", "by", "nc"), ("cc", "by", "sa"), ("genera
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 THRESHOLD = 0.8
 _NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_NO_WORD_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def template_words(text: str) -> list[str]:
@@ -60,6 +63,13 @@ def _words_in(spaced_text: Column) -> Column:
     return ((F.length(spaced_text) - F.length(F.replace(spaced_text, F.lit(" "), F.lit("")))) / 2).cast("long")
 
 
+def n_words(text: Column) -> Column:
+    """How many words a text has: its parts between runs of other characters, less the empty ones at either end."""
+    parts = F.split(text, _NO_WORD_ANY_CASE)
+    empty = F.when(F.get(parts, F.lit(0)) == "", 1).otherwise(0) + F.when((F.size(parts) > 1) & (F.get(parts, F.size(parts) - 1) == ""), 1).otherwise(0)
+    return (F.size(parts) - empty).cast("long")
+
+
 def phrase_columns(spaced_text: Column, phrases: Sequence[tuple[str, str]] = PHRASES) -> dict[str, Column]:
     """n_words, n_base, first_word, last_word and base (labels) of the phrases' places."""
     counts, firsts, lasts, labels = [], [], [], []
@@ -86,6 +96,24 @@ def word_order(docs: DataFrame, words: list[str]) -> list[str]:
     return sorted(words, key=lambda w: (n.get(w, 0), w))
 
 
+def holds(text: Column, asked: Sequence[tuple[Sequence[str], Sequence[str]]]) -> Column:
+    """Whether the text can meet any of the conditions: all words of the first list, and one of the second if there are any.
+
+    Words are looked for as plain substrings of the lower-cased text, before anything is split: a text without them is done with.
+    (The lambda holds the lower-cased text so that it is made once.)
+    """
+    def any_of(lowered: Column) -> Column:
+        every = []
+        for needed, one_of in asked:
+            tests = [lowered.contains(w) for w in needed]
+            if one_of:
+                tests.append(reduce(lambda a, b: a | b, (lowered.contains(w) for w in one_of)))
+            every.append(reduce(lambda a, b: a & b, tests))
+        return reduce(lambda a, b: a | b, every)
+
+    return text.isNotNull() & F.exists(F.array(F.lower(text)), any_of)
+
+
 def block_matches(spark: SparkSession, docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, telling=TELLING) -> DataFrame:
     """(doc_id, xxh, block, template, label, containment): the best block, by its first word, of every text and template that meet."""
     sets = [(label, set(template_words(text))) for label, text in templates]
@@ -102,7 +130,8 @@ def block_matches(spark: SparkSession, docs: DataFrame, templates=TEMPLATES, thr
         index, "word string, template int, label string, at int, size int, needed int, words array<string>, telling array<string>, span int"))
     least = min(row[5] for row in index)
     firsts = F.lit(sorted({row[0] for row in index}))
-    lowered = docs.filter(F.col("text").isNotNull()).select(
+    asked_for = [(telling[t], [row[0] for row in index if row[1] == t]) for t in range(len(sets))]
+    lowered = docs.filter(holds(F.col("text"), asked_for)).select(
         F.col("doc_id").cast("long"), F.xxhash64("text").alias("xxh"), lower_ascii(F.col("text")).alias("lowered"))
     texts = lowered.withColumn("held", F.array_intersect(F.lit(order), F.split("lowered", _NO_WORD))).filter(F.size("held") >= least)
     asked = F.filter(F.transform("held", lambda w, i: F.struct(i.alias("pos"), w.alias("word"))), lambda x: F.array_contains(firsts, x["word"]))
@@ -132,8 +161,11 @@ def scanned(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, words and base phrases, all labels, and the greatest containment (1 with a base phrase)."""
     matches = block_matches(spark, docs).groupBy(F.col("doc_id").alias("id"), F.col("xxh").alias("x")).agg(
         F.collect_set("label").alias("found"), F.max("containment").alias("best"))
-    rows = docs.select(F.col("doc_id"), F.xxhash64("text").alias("xxh"), spaced(F.coalesce("text", F.lit(""))).alias("spaced"))
-    base = rows.select("doc_id", "xxh", *[c.alias(n) for n, c in phrase_columns(F.col("spaced")).items()])
+    text = F.coalesce("text", F.lit(""))
+    phrased = holds(text, [(phrase.split(), ()) for phrase, _ in PHRASES])
+    rows = docs.select(F.col("doc_id"), F.xxhash64("text").alias("xxh"), n_words(text).alias("n_words"),
+                       F.when(phrased, spaced(text)).otherwise("").alias("spaced"))
+    base = rows.select("doc_id", "xxh", "n_words", *[c.alias(n) for n, c in phrase_columns(F.col("spaced")).items() if n != "n_words"])
     joined = base.join(matches, F.col("doc_id").cast("long").eqNullSafe(F.col("id")) & (F.col("xxh") == F.col("x")), "left")
     listed = lambda a: F.array_join(F.array_sort(F.array_distinct(a)), ",")
     return joined.select(

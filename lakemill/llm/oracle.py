@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakemill.llm.license_join import PHRASES, TEMPLATES, THRESHOLD, template_words
+from lakemill.llm.license_join import PHRASES, TELLING, TEMPLATES, THRESHOLD, template_words
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -31,7 +31,9 @@ JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r US
 """
 
 
-_TEMPLATES = ", ".join(f"({i}, '{label}', {sorted(set(template_words(text)))})" for i, (label, text) in enumerate(TEMPLATES))
+_TEMPLATES = ", ".join(
+    f"({t}, '{label}', {sorted(set(w))}, {list(TELLING[t])}::VARCHAR[], {-(-len(w) * 5 // 4)})"
+    for t, (label, text) in enumerate(TEMPLATES) for w in [template_words(text)])
 _PLACES = " UNION ALL ".join(
     f"""SELECT doc_id, i, '{label}' AS label FROM words, LATERAL (SELECT unnest(range(len(w))) AS i) AS p
     WHERE list_slice(w, i + 1, i + {len(phrase.split())}) = {phrase.split()}""" for phrase, label in PHRASES)
@@ -43,13 +45,17 @@ places AS ({_PLACES}),
 base AS (
   SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list(DISTINCT label) AS labels
   FROM places GROUP BY doc_id),
-templates(template, label, words) AS (VALUES {_TEMPLATES}),
-lines AS (
-  SELECT doc_id, list_distinct(regexp_extract_all(l, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS held
-  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM lowered)),
+templates(template, label, words, telling, span) AS (VALUES {_TEMPLATES}),
+-- A block can only meet a template if its whole text does.
+pairs AS (
+  SELECT doc_id, w, label, words, telling, span FROM (SELECT doc_id, w, list_distinct(w) AS held FROM words), templates
+  WHERE list_has_all(held, telling) AND len(list_intersect(words, held)) >= {THRESHOLD} * len(words) - 1e-9),
+blocks AS (
+  SELECT doc_id, label, words, telling, list_slice(w, i, i + span - 1) AS block
+  FROM pairs, LATERAL (SELECT unnest(range(1, len(w) + 1)) AS i) AS p WHERE list_contains(words, w[i])),
 met AS (
-  SELECT doc_id, label, len(list_intersect(held, words)) / len(words) AS share FROM lines, templates
-  WHERE len(held) >= {THRESHOLD} * len(words) AND len(list_intersect(held, words)) >= {THRESHOLD} * len(words) - 1e-9),
+  SELECT doc_id, label, len(list_intersect(words, list_distinct(block))) / len(words) AS share FROM blocks
+  WHERE list_has_all(block, telling) AND len(list_intersect(words, list_distinct(block))) >= {THRESHOLD} * len(words) - 1e-9),
 found AS (SELECT doc_id, list(DISTINCT label) AS labels, max(share) AS best FROM met GROUP BY doc_id)
 SELECT d.doc_id, len(d.w) AS n_words, coalesce(b.n_base, 0) AS n_base, b.first_word, b.last_word,
   coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
