@@ -16,27 +16,39 @@ pivot and is compared with each member. Two members linked with the pivot need n
 the shared part cancels out: members are joined on their *difference* from the pivot, by the rare shingles
 they add and by pairs of the frequent ones they lack. No pair is dropped, nothing is capped.
 
-*Verification* takes the whole sets, after an exact lower bound on their difference from bucket histograms.
+*Verification* compares the whole sets, computed from the texts, after an exact lower bound on their difference from bucket
+histograms. Texts travel compressed; a pivot's goes out once per ``CHUNK`` members, which a task walks through in order.
+
+Signatures and differences that occur once are not shuffled at all: a bit table of fixed size tells which may occur twice
+(:mod:`~lakemill.llm.bit_tables`). Signatures with one in ``HOT`` of all places or more, ``HOT`` at most, are looked up in a broadcast
+table, so no task holds all members of one.
 
 Defined cases: null and empty texts have no shingle and link with nothing, fewer words than a shingle are
 one shingle, repeated rows are one class, a null id takes part but never names a component (null if the
-component has no other id). Equal sets are found by 128-bit digests of 64-bit hashes, and pairs are verified by 40 bits of them.
+component has no other id). Very long texts are hashed a part at a time. Equal sets are found by 128-bit digests of 64-bit hashes, and
+pairs are verified by 64-bit hashes of their shingles. Columns other than the id and the text are not read by the join.
 """
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lakemill.llm.bit_tables import Repeated
 from lakemill.llm.components import connected
-from lakemill.llm.frames import Scratch, free_prefix, staged, text_bytes
+from lakemill.llm.frames import Batches, Scratch, free_prefix, staged, text_bytes
 from lakemill.llm.shingles import WordHasher, digest, mixed, shingle_set
 
 BUCKETS = 1 << 18
 HISTOGRAM = 128
 SMALL = 4
 SLOTS = 1 << 20
+CHUNK = 64
+HOT = 1000
 FIRST_BAND = 5  # below 32 shingles every shingle counts as rare
 GROUP_SPREAD = 80
 DIFFERENCE_SPREAD = 144
@@ -158,16 +170,44 @@ def _classes(rows: DataFrame, *columns: str) -> DataFrame:
         F.min(F.struct("doc_id", "xxh")).alias("rep"), *[F.first(c).alias(c) for c in columns])
 
 
-def _candidates(work: Scratch, classes: DataFrame) -> DataFrame:
-    """Pairs of class ids to verify: (a, b, star); ``star`` marks the pivot ``b`` of a large group."""
-    signed = classes.select("id", F.explode("sigs").alias("sig"))
-    sizes = signed.groupBy("sig").agg(F.count("*").alias("size")).filter("size > 1")
-    member = work.staged(signed.join(sizes, "sig"), "members")
+def _lists(column: str) -> Callable[[pa.RecordBatch], Iterator[np.ndarray]]:
+    def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        yield batch.column(batch.schema.get_field_index(column)).flatten().to_numpy().view(np.uint64)
+
+    return hashes
+
+
+def _exploded(rows: DataFrame, column: str, name: str, kept: list[str]) -> DataFrame:
+    """One row per element of the list ``column`` that may occur twice, with the columns ``kept``."""
+    repeated = Repeated(rows.select(column), _lists(column))
+    schema = ", ".join([*(f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept), f"{name} bigint"])
+
+    def run(batches: Batches) -> Batches:
+        may = repeated.worker()
+        for batch in batches:
+            lists = batch.column(len(kept))
+            sizes = lists.value_lengths().fill_null(0).to_numpy()
+            values = lists.flatten().to_numpy()
+            found = may(values.view(np.uint64))
+            row = pa.array(np.repeat(np.arange(len(sizes)), sizes)[found])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(row) for i in range(len(kept))), pa.array(values[found])], names=[*kept, name])
+
+    return rows.select(*kept, column).mapInArrow(run, schema)
+
+
+def _grouped(signed: DataFrame, key: str, *aggregates, least: int = 2) -> DataFrame:
+    """``signed`` with aggregates per ``key`` for keys with ``least`` rows or more; common keys are looked up in a small broadcast table."""
+    counted = signed.groupBy(key).agg(F.count("*").alias("size"), *aggregates).filter(F.col("size") >= least)
+    common = F.broadcast(counted.filter(F.col("size") * HOT > signed.agg(F.count("*")).scalar()))
+    return signed.join(common, key).unionByName(signed.join(common.select(key), key, "left_anti").join(counted, key))
+
+
+def _candidates(work: Scratch, signed: DataFrame) -> DataFrame:
+    """Pairs of class ids to verify: (a, b, star); ``star`` marks the pivot ``b`` of a large group. ``signed`` has sig, id, typical."""
+    member = work.staged(_grouped(signed, "sig", F.min_by("id", "typical").alias("pivot")), "members")
     few = member.filter(F.col("size") <= SMALL).select("sig", "id")
     pairs = few.select("sig", F.col("id").alias("a")).join(few.select("sig", F.col("id").alias("b")), "sig").filter("a < b")
-    many = member.filter(F.col("size") > SMALL).join(classes.select("id", "typical"), "id")
-    pivots = many.groupBy("sig").agg(F.min(F.struct("typical", "id")).getField("id").alias("pivot"))
-    stars = many.join(pivots, "sig").filter("id != pivot")
+    stars = member.filter((F.col("size") > SMALL) & (F.col("id") != F.col("pivot")))
     return pairs.select("a", "b", F.lit(False).alias("star")).unionAll(
         stars.select(F.col("id").alias("a"), F.col("pivot").alias("b"), F.lit(True).alias("star"))
     ).groupBy("a", "b").agg(F.max("star").alias("star"))
@@ -189,21 +229,8 @@ def _within_bound(percent: int):
     return run
 
 
-def packed(values: np.ndarray) -> bytes:
-    """The upper 40 bits of sorted hashes as differences, byte planes one after the other: half the size when compressed."""
-    steps = np.diff(values >> np.uint64(24), prepend=np.uint64(0))
-    return steps.astype("<u8").view(np.uint8).reshape(-1, 8).T[:5].tobytes()
-
-
-def unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(5, -1)
-    steps = np.zeros((planes.shape[1], 8), np.uint8)
-    steps[:, :5] = planes.T
-    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
-
-
-def _sets(work: Scratch, docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(id, shingles) of the wanted classes, recomputed from the text of their representatives.
+def _texts(work: Scratch, docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, text) of the wanted classes: their representatives' texts, compressed.
 
     Only texts whose hash shares one of ``SLOTS`` slots with a wanted one are shuffled; the slots are at most that many.
     """
@@ -211,43 +238,66 @@ def _sets(work: Scratch, docs: DataFrame, wanted: DataFrame, width: int) -> Data
     slots = F.broadcast(wanted.select(slot("rep.doc_id", "rep.xxh").alias("slot")).distinct())
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("xxh"), F.col("text"))
     rows = rows.withColumn("slot", slot("doc_id", "xxh")).join(slots, "slot", "left_semi")
-    found = rows.join(
-        wanted.select(F.col("rep.doc_id").alias("i"), F.col("rep.xxh").alias("x"), "id"),
-        (F.col("xxh") == F.col("x")) & F.col("doc_id").eqNullSafe(F.col("i")))
 
-    def run(batches):
-        hasher = WordHasher()
+    def run(batches: Batches) -> Batches:
         for batch in batches:
-            values = [packed(shingle_set(v.as_py(), width, hasher)) for v in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.binary())], names=["id", "shingles"])
+            packed = [zlib.compress(v.as_py(), 1) for v in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], names=["doc_id", "xxh", "text"])
 
+    small = rows.select("doc_id", "xxh", text_bytes().alias("text")).mapInArrow(run, "doc_id bigint, xxh bigint, text binary")
+    found = small.join(
+        wanted.select(F.col("rep.doc_id").alias("i"), F.col("rep.xxh").alias("x"), "id"),
+        (F.col("xxh") == F.col("x")) & F.col("doc_id").eqNullSafe(F.col("i")))
     once = found.select("xxh", "id", "text").dropDuplicates(["xxh", "id"])  # lies as the join has dealt it
-    sets = once.select("id", text_bytes().alias("t")).mapInArrow(run, "id bigint, shingles binary")
-    return work.staged(sets, "sets")
+    return work.staged(once.select("id", "text"), "texts")
 
 
-def _verified(percent: int):
-    """(a, b, star, linked, na, nb, lacks, adds) of pairs with whole sets; differences only for star pairs."""
+Compared = Callable[[tuple, np.ndarray, np.ndarray], tuple | None]
 
-    def run(batches):
+
+def _walked(pairs: DataFrame, texts: DataFrame, width: int, each: Compared, schema: str, types: list[pa.DataType]) -> DataFrame:
+    """``each(pair, set of a, set of b)`` as a row per pair (a, b, ...), or none.
+
+    Pairs are dealt by ``b`` and, within, into chunks of about ``CHUNK``; the text of ``b`` goes out once per chunk and comes first there.
+    """
+    more = [c for c in pairs.columns if c not in ("a", "b")]
+    sized = _grouped(pairs, "b", least=1)
+    chunk = F.pmod(F.xxhash64("a"), F.ceil(F.col("size") / CHUNK)).cast("int").alias("chunk")
+    dealt = sized.select("b", chunk, "a", *more)
+    heads = dealt.select("b", "chunk").distinct().join(texts.withColumnRenamed("id", "b"), "b")
+    dealt = dealt.join(texts.withColumnRenamed("id", "a"), "a")
+    both = dealt.select("b", "chunk", "a", "text", *more).unionByName(
+        heads.select("b", "chunk", F.lit(None).cast("bigint").alias("a"), "text"), allowMissingColumns=True)
+    names = [part.split()[0] for part in schema.split(", ")]
+
+    def run(batches: Batches) -> Batches:
+        hasher, head, other = WordHasher(), None, None
         for batch in batches:
-            out = [[] for _ in range(8)]
-            for a, b, star, sa, sb in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                x, y = unpacked(sa), unpacked(sb)
-                common = np.intersect1d(x, y, assume_unique=True)
-                both = len(common)
-                linked = 100 * both >= percent * (len(x) + len(y) - both)
-                lacks = adds = None
-                if star:
-                    lacks = np.setdiff1d(y, common, assume_unique=True).view(np.int64)
-                    adds = np.setdiff1d(x, common, assume_unique=True).view(np.int64)
-                for column, value in zip(out, (a, b, star, linked, len(x), len(y), lacks, adds)):
-                    column.append(value)
-            types = (pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(out, types)], names=["a", "b", "star", "linked", "na", "nb", "lacks", "adds"])
+            rows = []
+            values = batch.select(["b", "a", *more]).to_pylist()
+            texts_ = batch.column(3)
+            for i, row in enumerate(values):
+                found = shingle_set(zlib.decompress(texts_[i].as_py()), width, hasher)
+                if row["a"] is None:
+                    head, other = row["b"], found
+                elif head == row["b"] and (result := each(tuple(row.values()), found, other)) is not None:
+                    rows.append(result)
+            columns = list(zip(*rows)) if rows else [()] * len(types)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
-    return run
+    return both.repartition("b", "chunk").sortWithinPartitions("b", "chunk", F.col("a").asc_nulls_first()).mapInArrow(run, schema)
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """(a, b, star, linked) of the pairs (a, b, star), by their whole sets."""
+
+    def each(pair: tuple, x: np.ndarray, y: np.ndarray) -> tuple:
+        b, a, star = pair
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return a, b, star, 100 * both >= percent * (len(x) + len(y) - both)
+
+    return _walked(pairs.select("a", "b", "star"), texts, width, each, "a bigint, b bigint, star boolean, linked boolean",
+                   [pa.int64(), pa.int64(), pa.bool_(), pa.bool_()])
 
 
 def difference_signatures(lacks: np.ndarray, adds: np.ndarray, n: int, of: int, percent: int):
@@ -265,85 +315,76 @@ def difference_signatures(lacks: np.ndarray, adds: np.ndarray, n: int, of: int,
     return pairs, ranked[:0] if enough else mixed(ranked[:need] ^ np.uint64(2))
 
 
-def _difference_pairs(work: Scratch, stars: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Linked pairs (a, b) of members of one pivot that no path connects yet (``roots``: node, root of the links so far).
-
-    Every signature carries its member's size and two 128-bit masks of what it lacks and adds; a bit that only one
-    side has stands for a difference at least, so most pairs end in the join itself.
-    """
-    names = ["pivot", "key", "far", "kind", "sigs", "root", "n", *MASKS]
+def _differences(work: Scratch, around: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Per member ``a`` of a pivot ``b``: its size, masks of what it lacks and adds, and the signatures of these (of both kinds, for this pivot)."""
 
     def mask(values: np.ndarray) -> list[int]:
         bits = np.bincount((values >> np.uint64(9)).astype(np.int64) & 127, minlength=128) > 0
         return np.packbits(bits).view(np.int64).tolist()
 
-    def run(batches):
-        for batch in batches:
-            out = [[] for _ in names]
-            for a, b, far, root, na, nb, lacks, adds in zip(*(batch.column(i).to_pylist() for i in range(8))):
-                lack, add = (mixed(np.array(v, np.int64).view(np.uint64)) for v in (lacks, adds))
-                bits = [*mask(lack), *mask(add)]
-                for kind, found in enumerate(difference_signatures(lack, add, na, nb, percent)):
-                    if len(found):
-                        for column, value in zip(out, (b, a, far, kind, found.view(np.int64), root, na, *bits)):
-                            column.append(value)
-            types = (pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.list_(pa.int64()), *[pa.int64()] * 6)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=names)
+    def each(pair: tuple, x: np.ndarray, y: np.ndarray) -> tuple:
+        b, a, far, root = pair
+        lack, add = (mixed(np.setdiff1d(u, v, assume_unique=True)) for u, v in ((y, x), (x, y)))
+        pairs, single = difference_signatures(lack, add, len(x), len(y), percent)
+        here = mixed(np.array([b], np.int64).view(np.uint64))[0]
+        groups = np.concatenate([mixed(pairs ^ here), mixed(single ^ ~here)]).view(np.int64)
+        return a, b, far, root, len(x), *mask(lack), *mask(add), groups
 
+    schema = "a bigint, b bigint, far boolean, root bigint, n bigint, " + ", ".join(f"{m} bigint" for m in MASKS) + ", sigs array<bigint>"
+    types = [pa.int64(), pa.int64(), pa.bool_(), *[pa.int64()] * 6, pa.list_(pa.int64())]
+    return work.staged(_walked(around.select("a", "b", "far", "root"), texts, width, each, schema, types), "differences")
+
+
+def _difference_pairs(work: Scratch, stars: DataFrame, roots: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Linked pairs (a, b) of members of one pivot that no path connects yet (``roots``: node, root of the links so far).
+
+    Every signature carries its member's size and two 128-bit masks of what it lacks and adds; a bit that only one
+    side has stands for a difference at least, so most pairs end in the join itself.
+    """
     root_of = lambda node, name: roots.select(F.col("node").alias(node), F.col("root").alias(name))
     placed = stars.join(root_of("a", "root"), "a", "left").join(root_of("b", "pivot_root"), "b", "left").withColumns({
         "root": F.coalesce("root", "a"), "pivot_root": F.coalesce("pivot_root", "b")}).withColumn("far", F.col("root") != F.col("pivot_root"))
     placed = work.staged(placed, "placed")
-    around = work.staged(placed.join(placed.filter("far").select("b").distinct(), "b", "left_semi"), "around")
-    signed = around.select("a", "b", "far", "root", "na", "nb", "lacks", "adds").mapInArrow(
-        run, "pivot bigint, key bigint, far boolean, kind int, sigs array<bigint>, root bigint, n bigint, " + ", ".join(f"{m} bigint" for m in MASKS))
-    signed = work.staged(signed.withColumn("sig", F.explode("sigs")).drop("sigs"), "differences")
-    common = ["pivot", "kind", "sig"]
-    often = signed.groupBy(*common).agg(F.count("*").alias("n"), F.max("far").alias("any_far")).filter("n > 1 AND any_far").select(*common)
-    shared = work.staged(signed.join(often, common), "shared-differences")
+    around = placed.join(placed.filter("far").select("b").distinct(), "b", "left_semi")
+    differences = _differences(work, around, texts, width, percent)
+    signed = work.staged(_exploded(differences, "sigs", "sig", ["a", "b", "far", "root", "n", *MASKS]), "signed-differences")
+    shared = work.staged(_grouped(signed, "sig", F.max("far").alias("any_far")).filter("any_far"), "shared-differences")
     probe, index = shared.filter("far").alias("x"), shared.alias("y")
     at_least = sum((F.bit_count(F.col(f"x.{m}").bitwiseXOR(F.col(f"y.{m}"))) for m in MASKS), F.lit(0))
     total = F.col("x.n") + F.col("y.n")
-    pairs = probe.join(index, common).filter(
-        (F.col("x.root") != F.col("y.root")) & (~F.col("y.far") | (F.col("x.key") < F.col("y.key")))
+    pairs = probe.join(index, "sig").filter(
+        (F.col("x.b") == F.col("y.b")) & (F.col("x.root") != F.col("y.root")) & (~F.col("y.far") | (F.col("x.a") < F.col("y.a")))
         & (at_least * (100 + percent) <= total * (100 - percent)))
-    pairs = pairs.select("pivot", F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
-    side = lambda of, size: around.select(
-        F.col("b").alias("pivot"), F.col("a").alias(of), F.col("na").alias(size), F.col("lacks").alias(f"l{of}"), F.col("adds").alias(f"p{of}"))
-    sized = pairs.join(side("a", "n"), ["pivot", "a"]).join(side("b", "m"), ["pivot", "b"])
-    shared_size = F.size(F.array_intersect("la", "lb")) + F.size(F.array_intersect("pa", "pb"))
-    differ = F.size("la") + F.size("pa") + F.size("lb") + F.size("pb") - 2 * shared_size
-    both = (F.col("n") + F.col("m") - differ) / 2
-    return sized.filter(100 * both >= percent * (F.col("n") + F.col("m") - both)).select("a", "b").distinct()
+    pairs = pairs.select(F.least("x.a", "y.a").alias("a"), F.greatest("x.a", "y.a").alias("b"), F.lit(False).alias("star")).distinct()
+    return _verified(work.staged(pairs, "difference-pairs"), texts, width, percent).filter("linked").select("a", "b")
 
 
 def links(spark: SparkSession, docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Links between classes, enough of them to connect every component, as (u, v) of class ids; the classes (id, key); and
-    (doc_id, xxh, n, key) of every row."""
-    work, wide = Scratch(spark), Scratch(spark)
+    (doc_id, xxh, n, key) of every row. Staged tables go as soon as their last reader is done."""
+    wide, narrow, work = Scratch(spark), Scratch(spark), Scratch(spark)
     rows = shingled(wide, docs, width, percent)
-    classes = work.staged(_classes(rows, "n", "typical", "hist", "sigs").withColumn("id", F.monotonically_increasing_id()), "classes")
     slim = staged(spark, rows.select("doc_id", "xxh", "n", "key"), "document-classes")
+    classes = narrow.staged(_classes(rows, "n", "typical", "hist").withColumn("id", F.monotonically_increasing_id()), "classes")
+    keyed = _exploded(rows.filter("key IS NOT NULL"), "sigs", "sig", ["key"]).distinct().join(classes.select("key", "id", "typical"), "key")
+    signed = work.staged(keyed.select("sig", "id", "typical"), "signed")
     wide.clear()
-    pairs = work.staged(_candidates(work, classes), "pairs")
+    pairs = narrow.staged(_candidates(work, signed), "pairs")
+    work.clear()
     side = lambda of: classes.select(F.col("id").alias(of), F.col("n").alias(f"n{of}"), F.col("hist").alias(f"h{of}"))
     sizes = lambda of: classes.select(F.col("id").alias(of), F.col("n").alias(f"n{of}"))
     near = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent) | F.col("star")
     fitting = pairs.join(sizes("a"), "a").join(sizes("b"), "b").filter(near).select("a", "b", "star")
-    open_pairs = work.staged(fitting.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ha", "hb", "star").mapInArrow(
+    open_pairs = narrow.staged(fitting.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ha", "hb", "star").mapInArrow(
         _within_bound(percent), "a bigint, b bigint, star boolean"), "open")
     wanted = open_pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = _sets(work, docs, classes.select("id", "rep").join(wanted, "id", "left_semi"), width)
-    whole = open_pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").join(
-        sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
-    verified = work.staged(whole.select("a", "b", "star", "sa", "sb").mapInArrow(
-        _verified(percent),
-        "a bigint, b bigint, star boolean, linked boolean, na bigint, nb bigint, lacks array<bigint>, adds array<bigint>"), "verified")
+    texts = _texts(narrow, docs, classes.select("id", "rep").join(wanted, "id", "left_semi"))
+    verified = narrow.staged(_verified(open_pairs, texts, width, percent), "verified")
     direct = staged(spark, verified.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v")), "direct-links")
-    stars = verified.filter("star").select("a", "b", "na", "nb", "lacks", "adds")
-    rest = _difference_pairs(work, stars, connected(spark, direct), percent)
+    rest = _difference_pairs(narrow, verified.filter("star").select("a", "b"), connected(spark, direct), texts, width, percent)
     found = staged(spark, direct.unionAll(rest.select(F.col("a").alias("u"), F.col("b").alias("v"))).distinct(), "class-links")
     names = staged(spark, classes.select("id", "key"), "class-names")
+    narrow.clear()
     work.clear()
     return found, names, slim
 
@@ -356,13 +397,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 3, percen
     """
     edges, names, rows = links(spark, docs, width, percent)
     roots = connected(spark, edges)
-    classes = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"))
+    classes = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
     classes = classes.join(names, "key").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     degree = edges.select(F.explode(F.array("u", "v")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
     classes = classes.join(degree, "id", "left")
     components = classes.groupBy("root").agg(F.min("least").alias("component"))
-    placed = classes.join(components, "root").select("key", "component", "n_links")
-    return rows.select("doc_id", "xxh", "n", "key").join(placed, "key", "left").select(
+    placed = staged(spark, classes.join(components, "root").select("key", "copies", "component", "n_links"), "placed-classes")
+    # Classes with a large share of all rows, HOT at most, need not meet their copies in one task.
+    common = F.broadcast(placed.filter(F.col("copies") * HOT > rows.agg(F.count("*")).scalar()))
+    found = rows.join(common, "key").unionByName(rows.join(common.select("key"), "key", "left_anti").join(placed, "key", "left"))
+    return found.select(
         "doc_id", "xxh", F.col("n").alias("n_shingles"), F.col("key").alias("class_key"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakemill.llm.frames import staged
+from lakemill.llm.frames import Scratch
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -27,15 +27,20 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def connected(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """``edges`` has ``u`` and ``v`` of any ordered type; returns (node, root), root the least node reachable.
 
-    Nodes without an edge are absent. Each round is written to the shared folder; the number of rounds
-    grows with the logarithm of the longest path, and no round gathers a component in one place.
+    Nodes without an edge are absent. Each round is written to the shared folder, where it replaces the one before; the number of
+    rounds grows with the logarithm of the longest path, and no round gathers a component in one place.
     """
     directed = edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    current = staged(spark, directed, "links")
+    before = Scratch(spark)
+    current = before.staged(directed, "links")
+    state_of = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    state = state_of(current)
     while True:
-        state = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        current = staged(spark, _small_star(_large_star(current)), "links")
-        if current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first() == state:
+        after = Scratch(spark)
+        current = after.staged(_small_star(_large_star(current)), "links")
+        before.clear()
+        before, last, state = after, state, state_of(current)
+        if state == last:
             break
     return current.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(
         current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -119,8 +119,12 @@ def test_spans_equal_brute_force(spark, docs_of):
 
 @pytest.mark.parametrize("stops", [False, True])
 def test_every_passage_of_51_words_holds_a_span_at_every_offset(stops):
-    r, hasher = random.Random(11), WordHasher()
-    found = lambda text: set(sentence_spans.spans(*[(x := sentence_spans.sentences(text.encode(), hasher))[i] for i in (0, 1, 3)], hasher, 3, 12)[0].tolist())
+    r, hasher = random.Random(11), sentence_spans.Hasher()
+
+    def found(text):
+        cut = sentence_spans.Cut(text.encode(), hasher)
+        return set(zip(*(h.tolist() for h in cut.span_hashes(hasher, *cut.spans(3, 12)))))
+
     text = lambda n: [w + "." * (stops and r.random() < 0.08) for w in words(r, n, 5000)]
     for _ in range(1500):
         passage = text(51)
@@ -128,6 +132,63 @@ def test_every_passage_of_51_words_holds_a_span_at_every_offset(stops):
         assert found(first) & found(second)
 
 
+def test_one_long_sentence_is_no_run_of_several(spark, docs_of):
+    """Two documents share a single sentence of 23 words between sentences of their own: it stays in both."""
+    r = random.Random(21)
+    shared = sentence(r, 23)
+    pairs = [(i, " ".join([sentence(r) for _ in range(4)] + [shared] + [sentence(r) for _ in range(4)])) for i in range(2)]
+    out, p = sentence_spans.without_repeats(spark, docs_of(pairs))
+    assert {x.doc_id: x.text for x in out.collect()} == dict(pairs)
+
+
+def brute_spans(pairs, r):
+    """Places by the documented rules from plain word lists, and the words that go."""
+    hasher = sentence_spans.Hasher()
+    first, gone = {}, {}
+    for i, t in sorted(pairs):
+        cut = sentence_spans.Cut(t.encode(), hasher)
+        w, bounds = t.split(), [*cut.first.tolist(), len(t.split())]
+        k = len(cut.first)
+        for a in range(k):
+            stop = None
+            for b in range(a + 1, k + 1):
+                n, pieces = bounds[b] - bounds[a], cut.piece[a:b].any()
+                if (pieces and n >= 24) or (not pieces and n >= 12 and b - a >= 3):
+                    stop = b
+                    break
+            if stop and first.setdefault(tuple(w[bounds[a]:bounds[stop]]), (i, a)) != (i, a):
+                gone.setdefault(i, set()).update(range(a, stop))
+    left = {}
+    for i, t in pairs:
+        bounds = [*sentence_spans.Cut(t.encode(), hasher).first.tolist(), len(t.split())]
+        left[i] = [w for k in range(len(bounds) - 1) if k not in gone.get(i, ()) for w in t.split()[bounds[k]:bounds[k + 1]]]
+    return left
+
+
+@pytest.mark.parametrize("hot", [1000, 2])
+def test_spans_with_pieces_equal_brute_force(spark, docs_of, monkeypatch, hot):
+    """Long and short sentences, passages at any offset, many copies of some; with ``hot`` 2 no span, or any, is dealt over salts."""
+    monkeypatch.setattr(sentence_spans, "SAMPLE", 1)
+    monkeypatch.setattr(sentence_spans, "HOT", hot)
+    r = random.Random(31)
+    passages = [" ".join(sentence(r, r.choice([3, 8, 20, 40])) for _ in range(r.randint(1, 5))) for _ in range(8)]
+    pairs = []
+    for i in range(90):
+        parts = [r.choice(passages) if r.random() < 0.5 else sentence(r, r.choice([2, 7, 13, 30])) for _ in range(r.randint(0, 7))]
+        pairs.append((i, " ".join(parts)))
+    pairs += [(100 + i, pairs[5][1]) for i in range(30)]
+    out, p = sentence_spans.without_repeats(spark, docs_of(pairs))
+    assert {x.doc_id: x.text.split() for x in out.collect()} == brute_spans(pairs, r)
+
+
+def test_sentences_are_counted_as_written(spark, docs_of):
+    r = random.Random(41)
+    body = " ".join(sentence(r, 40) for _ in range(3))
+    out, p = sentence_spans.without_repeats(spark, docs_of([(1, body), (2, f"{sentence(r)} {body} {sentence(r)}")]))
+    rows = {x.doc_id: x for x in out.collect()}
+    assert (rows[1][f"{p}sentences"], rows[1][f"{p}removed"]) == (3, 0) and (rows[2][f"{p}sentences"], rows[2][f"{p}removed"]) == (5, 3)
+
+
 def test_unpunctuated_copies_go_at_every_offset(spark, docs_of):
     r = random.Random(12)
     passage = words(r, 51, 5000)
