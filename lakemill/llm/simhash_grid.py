@@ -172,7 +172,7 @@ def _block_links(rows: DataFrame, distance: int) -> DataFrame:
     sent = dealt.select("cell", "fp", F.explode(as_base).alias("m"), F.lit(False).alias("probes")).unionAll(
         dealt.filter("not near").select("cell", "fp", F.explode(as_probe).alias("m"), F.lit(True).alias("probes")))
 
-    def links(group: pa.Table) -> pa.Table:
+    def links(group):
         values, probes = group.column("fp").to_numpy(), group.column("probes").to_numpy()
         a, b = np.sort(values[probes]), np.sort(values[~probes])
         linked = np.bitwise_count(a.view(np.uint64)[:, None] ^ b.view(np.uint64)[None, :]) <= distance
