@@ -2,51 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DecimalType, FractionalType, IntegralType
 
-_STEPS = 64  # buckets per power of two
-_SHIFT = 1100  # lifts the smallest double exponent above zero
+from lakemill.operators.radix import decimal_code, double_code, totals_before
 
 
-def magnitude_bucket(value: Column) -> Column:
-    """Monotone bucket number of a double: power of two, then 64 equal steps inside it.
-
-    A pure function of the value (no sampling), so a recomputed task agrees with the first run, and
-    at most about 280,000 different numbers exist whatever the data holds. Rounding of the logarithm
-    next to a power of two moves a value to the neighbouring end of the previous power, which keeps
-    the order.
-    """
-    x = F.abs(value.cast("double"))
-    power = F.floor(F.log2(x))
-    step = F.floor((x / F.pow(F.lit(2.0), power) - 1) * _STEPS)
-    size = ((power + _SHIFT) * _STEPS + step).cast("bigint")
-    return F.when(value.isNull(), F.lit(-(1 << 40))).when(x == 0, F.lit(0)).otherwise(
-        F.when(value < 0, -size).otherwise(size)
-    )
+def order_code(df: DataFrame, column: str) -> Column:
+    """A number column as a 64-bit integer of the same order."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, IntegralType):
+        return F.col(column).cast("bigint")
+    if isinstance(kind, DecimalType):
+        return decimal_code(F.col(column), kind.scale)
+    if isinstance(kind, FractionalType):
+        return double_code(F.col(column).cast("double"))
+    raise TypeError(f"{column} is no number but {kind.simpleString()}")
 
 
 def global_rank(df: DataFrame, column: str, out: str = "sequence") -> DataFrame:
     """``rank()`` by ``column`` descending over all rows, NULLs last, spread over many tasks.
 
-    Rows are ranked inside their magnitude bucket and shifted by the number of rows in higher
-    buckets. The bucket counts are broadcast: their number is bounded by the bucket function, not by
-    the data. The input, itself a small aggregate of the facts, is persisted so that the facts are
-    read once; losing a cached block only recomputes it.
+    Rows are counted per distinct value; how many are greater comes from a tree over the values' integer codes, where no
+    task orders more than 2^18 of them, however close they are. Decimals are compared exactly. A value
+    shared by many rows is counted before the exchange.
     """
-    rows = df.withColumn("_bucket", magnitude_bucket(F.col(column))).persist(StorageLevel.MEMORY_AND_DISK)
-    higher = Window.orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    ahead = (
-        rows.groupBy("_bucket")
-        .agg(F.count("*").alias("_n"))
-        .select("_bucket", F.coalesce(F.sum("_n").over(higher), F.lit(0)).alias("_ahead"))
-    )
-    inside = Window.partitionBy("_bucket").orderBy(F.col(column).desc_nulls_last())
-    return (
-        rows.join(F.broadcast(ahead), "_bucket")
-        .withColumn(out, (F.rank().over(inside) + F.col("_ahead")).cast("bigint"))
-        .drop("_bucket", "_ahead")
-    )
+    coded = df.withColumn("_code", order_code(df, column))
+    counts = coded.filter("_code is not null").groupBy("_code").agg(F.count("*").alias("_n"))
+    ahead = totals_before(counts, "_code", "_n", "_ahead", descending=True)
+    known = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
+    ranked = coded.join(ahead, "_code", "left")
+    return ranked.withColumn(out, (F.coalesce("_ahead", known) + 1).cast("bigint")).drop("_code", "_ahead")
 
 
 def top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:

@@ -9,9 +9,12 @@ from __future__ import annotations
 import math
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
-WIDTH = 1 << 18  # prefix sums: few ranges, as their totals are ordered in one task
+from lakemill.operators.radix import totals_before
+from lakemill.session import stages
+
+WIDTH = 1 << 18  # prefix sums
 BAND_WIDTH = 1 << 14  # bands: many small ranges, each overlapping the next by the band only
 
 
@@ -24,21 +27,20 @@ def _range_of(id_col: Column, width: int) -> Column:
 
 
 def prefix_sum(df: DataFrame, id_col: str, amount: str, out: str = "sum", width: int = WIDTH) -> DataFrame:
-    """Running total in id order over the whole table, in two levels.
+    """Running total in id order over the whole table.
 
-    Range totals are summed over the short list of ranges; each range then runs its own window and
-    adds the total of the ranges before it. Only the list of range totals is ordered in one task.
+    Each range of ids runs its own window and adds the total of the ranges before it, which comes from a tree over the ranges:
+    no task orders more than ``width`` ids or 2^18 ranges, also where ids are scattered over 64 bits.
     """
     ranges = (
         df.groupBy(_range_of(F.col(id_col), width).alias("_range"))
-        .agg(F.sum(amount).alias("_total"))
+        .agg(F.sum(amount).cast("decimal(38,2)").alias("_total"))
     )
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = ranges.select("_range", F.sum("_total").over(before).alias("_before"))
+    offsets = totals_before(ranges, "_range", "_total", "_before")
     inside = Window.partitionBy("_range").orderBy(id_col).rowsBetween(Window.unboundedPreceding, 0)
     rows = per_id(df, id_col, amount).withColumn("_range", _range_of(F.col(id_col), width))
     running = rows.withColumn("_inside", F.sum(amount).over(inside))
-    total = F.col("_inside") + F.coalesce(F.col("_before"), F.lit(0).cast("decimal(38,2)"))
+    total = F.col("_inside") + F.col("_before")
     return running.join(offsets, "_range").select(id_col, amount, total.cast("decimal(38,2)").alias(out))
 
 
@@ -92,26 +94,8 @@ def id_bounds(df: DataFrame, id_col: str) -> DataFrame:
     return df.agg(F.struct(F.min(id_col).alias("low"), F.max(id_col).alias("high")).alias("bounds"))
 
 
-def _before_ranges(ranges: DataFrame, total: str) -> DataFrame:
-    """``ranges`` (one row per ``_range``) with the sum of ``total`` over all smaller ranges as ``_before``.
-
-    Ranges are added up in groups of 2^18, these in groups of 2^18 again, and so on, so no task orders more than 2^18
-    rows, however ids are spread. Range numbers have at most 54 bits; the last level is their sign.
-    """
-    placed = ranges.withColumns({"_up0": F.col("_range")} | {f"_up{k}": F.shiftright("_range", 18 * k) for k in range(1, 4)})
-    negative = ranges.agg(F.coalesce(F.sum(F.when(F.col("_range") < 0, F.col(total))), F.lit(0)).alias("t")).scalar()
-    parts = []
-    for k in range(3):
-        table = placed.groupBy(f"_up{k}", f"_up{k + 1}").agg(F.sum(total).alias("_t"))
-        order = Window.partitionBy(f"_up{k + 1}").orderBy(f"_up{k}").rowsBetween(Window.unboundedPreceding, -1)
-        parts.append(table.select(f"_up{k}", F.coalesce(F.sum("_t").over(order), F.lit(0)).alias(f"_b{k}")))
-    for k, part in enumerate(parts):
-        placed = placed.join(part, f"_up{k}")
-    return placed.select(*ranges.columns, (F.col("_b0") + F.col("_b1") + F.col("_b2") + F.when(F.col("_range") < 0, 0).otherwise(negative)).cast("decimal(38,0)").alias("_before"))
-
-
-def _long_ties(tied: DataFrame, winner: DataFrame, totals: DataFrame, id_col: str, k: int, reach: int, width: int) -> DataFrame:
-    """One row ``_long``: how many runs of ``2k`` or more ids have the best average s/n.
+def _long_ties(tied: DataFrame, totals: DataFrame, best: Row, id_col: str, k: int, reach: int, width: int) -> int:
+    """How many runs of ``2k`` or more ids have the best average s/n, that of the run ``best``.
 
     Such a run splits after its first ``k`` ids, and before its last ``k``, into runs of the best average, so it begins
     and ends with tied runs of ``k`` ids. With P the running total, a run from ``first`` to ``last`` is tied if
@@ -119,20 +103,21 @@ def _long_ties(tied: DataFrame, winner: DataFrame, totals: DataFrame, id_col: st
     the starts at least ``2k - 1`` ids before it, first inside id ranges, then over the ranges of a number.
     """
     span = F.col("_span")
-    best = winner.select(F.col("_best").alias("_most"), (F.col("_span.last") - F.col("_span.first") + 1).alias("_n"), F.col("_span.cents").alias("_s"))
-    short = tied.filter(span["last"] - span["first"] == k - 1).join(F.broadcast(best), F.col("_best") == F.col("_most"))
+    n, s = best._span.last - best._span.first + 1, best._span.cents
+    short = tied.filter((span["last"] - span["first"] == k - 1) & (F.col("_best") == F.lit(best._best)))
     # Running totals inside a range begin with the halo, the last ids of the range before.
     last = (_range_of(F.col(id_col), width) + 1) * width - 1
     sums = totals.groupBy(_range_of(F.col(id_col), width).alias("_range")).agg(
         F.sum("_cents").alias("_total"), F.sum(F.when(F.col(id_col) > last - reach, F.col("_cents")).otherwise(0)).alias("_tail"))
     halo = sums.select((F.col("_range") + 1).alias("_range"), (-F.col("_tail")).alias("_less"), F.lit(0).cast("bigint").alias("_more"))
     every = sums.select("_range", F.lit(0).cast("bigint").alias("_less"), F.col("_total").alias("_more")).unionAll(halo)
-    ranges = every.groupBy("_range").agg(F.sum("_less").alias("_less"), F.sum("_more").alias("_more"))
-    offsets = _before_ranges(ranges, "_more").select("_range", (F.col("_before") + F.col("_less")).alias("_before"))
+    ranges = every.groupBy("_range").agg(F.sum("_less").alias("_less"), F.sum("_more").cast("decimal(38,0)").alias("_more"))
+    offsets = totals_before(ranges, "_range", "_more", "_ahead").join(ranges, "_range").select(
+        "_range", (F.col("_ahead") + F.col("_less")).alias("_before"))
     placed = short.join(offsets, "_range")
     number = lambda running, at: (
-        F.col("_n").cast("decimal(18,0)") * (F.col("_before") + running).cast("decimal(20,0)")
-        - F.col("_s").cast("decimal(19,0)") * at.cast("decimal(19,0)")).cast("decimal(38,0)")
+        F.lit(n).cast("decimal(18,0)") * (F.col("_before") + running).cast("decimal(20,0)")
+        - F.lit(s).cast("decimal(19,0)") * at.cast("decimal(19,0)")).cast("decimal(38,0)")
     events = placed.select(F.explode(F.array(
         F.struct(number(F.col("_upto") - span["cents"], span["first"] - 1).alias("value"), (span["first"] + 2 * k - 1).alias("at"), F.lit(1).alias("start")),
         F.struct(number(F.col("_upto"), span["last"]).alias("value"), span["last"].alias("at"), F.lit(0).alias("start")))).alias("e")).select("e.*")
@@ -143,7 +128,7 @@ def _long_ties(tied: DataFrame, winner: DataFrame, totals: DataFrame, id_col: st
         F.sum(F.when(F.col("start") == 0, F.coalesce("seen", F.lit(0))).otherwise(0)).alias("near"),
         F.sum("start").alias("starts"), F.sum(1 - F.col("start")).alias("ends"))
     far = F.col("ends") * F.coalesce(F.sum("starts").over(across), F.lit(0))
-    return near.select((F.col("near") + far).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("_long"))
+    return near.select((F.col("near") + far).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint")).first()[0]
 
 
 def best_average_run(
@@ -167,15 +152,47 @@ def best_average_run(
     how many of any length from ``k`` on.
 
     ``bounds`` may bring the result of :func:`id_bounds` from a cheaper frame with the same ids, for
-    instance the rows before a dedupe by id.
+    instance the rows before a dedupe by id. The amounts per id and the tied runs are written down once, so ``df`` is read
+    once (and ``bounds`` once); the result, one row or none, is computed here.
     """
     k = min_distance + 1
-    reach = 2 * k - 2
+    common = math.lcm(*range(k, 2 * k))
+    if common * (1 << 63) >= 10**38:
+        raise ValueError(f"averages over {k} to {2 * k - 1} ids cannot be compared exactly")
+    spark = df.sparkSession
     # Whole cents in 64 bits: exact like decimals, and a range never sums more than its own ids.
     cents = (F.col("_amount").cast("decimal(18,2)") * 100).cast("bigint")
-    totals = df.groupBy(id_col).agg(F.sum(amount).alias("_amount")).select(id_col, cents.alias("_cents"))
-    bounds = id_bounds(df, id_col) if bounds is None else bounds
-    rows = _with_halo(totals, id_col, reach, width).withColumn("_bounds", bounds.scalar())
+    with stages(spark) as staged:
+        totals = staged(df.groupBy(id_col).agg(F.sum(amount).alias("_amount")).select(id_col, cents.alias("_cents")), "run-totals")
+        low, high = (id_bounds(totals, id_col) if bounds is None else bounds).first()[0]
+        found = []
+        if low is not None:
+            tied = staged(_best_per_range(totals, low, high, id_col, k, width, common), "run-ties")
+            per_range = tied.groupBy("_range", "_best").agg(F.count("*").alias("_ties"), F.min("_span").alias("_span"))
+            # One row per range and best of a range; the greatest best of all, with its ties and its first run.
+            found = per_range.groupBy("_best").agg(F.sum("_ties").alias("matchnum"), F.min("_span").alias("_span")).orderBy(
+                F.col("_best").desc()).limit(1).collect()
+        results = []
+        for best in found:
+            ties = best.matchnum
+            if every_length and best._best == 0:
+                # All runs tie; elsewhere zeros at either end make a run longer than k no best one.
+                ties = (high - low + 2 - k) * (high - low + 3 - k) // 2
+            elif every_length:
+                ties += _long_ties(tied, totals, best, id_col, k, 2 * k - 2, width)
+            n = best._span.last - best._span.first + 1
+            results.append((1, best._span.cents / 100 / n, f"{best._span.first}-{best._span.last}", ties))
+    return spark.createDataFrame(results, "seq_index int, avg_order_price double, id_range string, matchnum bigint")
+
+
+def _best_per_range(totals: DataFrame, low: int, high: int, id_col: str, k: int, width: int, common: int) -> DataFrame:
+    """The runs of ``k`` to ``2k - 1`` ids that have the best average of the id range they end in.
+
+    One row per run: its range, the average as a whole number (``_best``), the running total at its end, and ``_span`` (first id,
+    last id, cents).
+    """
+    reach, min_distance = 2 * k - 2, k - 1
+    rows = _with_halo(totals, id_col, reach, width).withColumn("_bounds", F.struct(F.lit(low).alias("low"), F.lit(high).alias("high")))
     dense = _fill_near_gaps(rows, id_col, "_cents", reach)
 
     order = Window.partitionBy("_range").orderBy(id_col)
@@ -193,9 +210,6 @@ def best_average_run(
     native = starts.filter(F.col("_range") == _range_of(end, width)).withColumn("_last", F.size("_priors") - 1)
 
     # An average s/n is compared as the whole number s * (common / n), with no rounding.
-    common = math.lcm(*range(k, 2 * k))
-    if common * (1 << 63) >= 10**38:
-        raise ValueError(f"averages over {k} to {2 * k - 1} ids cannot be compared exactly")
     whole = [F.lit(Decimal(common // (k + j))).cast("decimal(18,0)") for j in range(k)]
 
     def average(prior: Column, j: int) -> Column:
@@ -211,24 +225,4 @@ def best_average_run(
     hits = F.array(*[F.when(a == F.col("_best"), F.struct(
         (end - (min_distance + j)).alias("first"), end.alias("last"),
         (F.col("_sum") - F.get("_priors", F.col("_last") - j)).alias("cents"))) for j, a in enumerate(averages)])
-    tied = ends.select("_range", "_best", F.col("_sum").alias("_upto"), F.lit(1).alias("_ties"), F.explode(F.array_compact(hits)).alias("_span"))
-    per_range = tied.groupBy("_range", "_best").agg(F.sum("_ties").alias("_ties"), F.min("_span").alias("_span"))
-    winner = (
-        per_range.groupBy("_best")
-        .agg(F.sum("_ties").alias("matchnum"), F.min("_span").alias("_span"))
-        .orderBy(F.col("_best").desc())
-        .limit(1)
-    )
-    if every_length:
-        # Where the best average is zero all runs tie; elsewhere zeros at either end make a run longer than k no best one.
-        ids = F.col("_bounds.high") - F.col("_bounds.low") + 1
-        all_runs = ((ids - k + 1).cast("decimal(19,0)") * (ids - k + 2).cast("decimal(19,0)") / 2).cast("bigint")
-        long = _long_ties(tied, winner, totals, id_col, k, reach, width)
-        winner = winner.withColumns({"_bounds": bounds.scalar(), "_long": long.scalar()}).withColumn(
-            "matchnum", F.when(F.col("_best") == 0, all_runs).otherwise(F.col("matchnum") + F.col("_long")))
-    return winner.select(
-        F.lit(1).alias("seq_index"),
-        (F.col("_span.cents").cast("double") / 100 / (F.col("_span.last") - F.col("_span.first") + 1)).alias("avg_order_price"),
-        F.concat_ws("-", "_span.first", "_span.last").alias("id_range"),
-        "matchnum",
-    )
+    return ends.select("_range", "_best", F.col("_sum").alias("_upto"), F.explode(F.array_compact(hits)).alias("_span"))

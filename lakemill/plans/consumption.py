@@ -56,16 +56,16 @@ def user_day_consumption(
 
 
 def city_month_consumption(orders: DataFrame, amount: str = "order_money") -> DataFrame:
-    """Amount and order count per city and month, ranked over everything by amount."""
+    """Amount and order count per city and month, ranked over everything by the exact amount."""
     months = (
         orders.groupBy("city", "province", *calendar(F.col("create_time"), "year", "month"))
         .agg(*_totals(amount))
         .select(
             F.col("city").alias("city_name"), F.col("province").alias("province_name"),
-            as_double(F.col("_amount")).alias("total_amount"), "total_count", "year", "month",
+            as_double(F.col("_amount")).alias("total_amount"), "total_count", "year", "month", "_amount",
         )
     )
-    return global_rank(months, "total_amount")
+    return global_rank(months, "_amount").drop("_amount")
 
 
 def region_rollup(
@@ -80,9 +80,9 @@ def region_rollup(
     placed = months.join(provinces, "province_id", "left").join(regions, "region_id", "left")
     totals = placed.select(
         "province_id", "province_name", "region_id", "region_name",
-        as_double(F.col("_amount")).alias("total_amount"), "total_count", "year", "month",
+        as_double(F.col("_amount")).alias("total_amount"), "total_count", "year", "month", "_amount",
     )
-    return global_rank(totals, "total_amount")
+    return global_rank(totals, "_amount").drop("_amount")
 
 
 def keyed_rollup(rollup: DataFrame) -> DataFrame:

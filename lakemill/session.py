@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -71,6 +71,23 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/lakemill/{label}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def stages(spark: SparkSession):
+    """A function that writes a frame down under the shared root and reads it back; all it wrote goes at the end."""
+    paths: list[str] = []
+
+    def staged(df: DataFrame, label: str) -> DataFrame:
+        paths.append(path := fresh_dir(spark, label))
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield staged
+    finally:
+        for path in paths:
+            remove_dir(spark, path)
+
+
 def fresh_database(spark: SparkSession, label: str) -> str:
     """A new database whose tables live under the shared root."""
     from lakemill.sinks.layers import create_layer

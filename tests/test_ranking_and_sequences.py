@@ -1,4 +1,7 @@
 import random
+import re
+import struct
+from decimal import Decimal
 
 import duckdb
 import pytest
@@ -6,7 +9,8 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from helpers import rows
 from pyspark.sql import functions as F
 
-from lakemill.operators.ranking import global_rank, magnitude_bucket, top_k, top_ranked
+from lakemill.operators.radix import double_code, totals_before
+from lakemill.operators.ranking import global_rank, top_k, top_ranked
 from lakemill.operators.sequences import banded_pairs, best_average_run, id_bounds, prefix_sum
 
 EDGES = [0.0, -0.0, 1.0, 2.0, 4.0, 8.0, 0.5, 1e-300, 1e300, 5e-324, -1.0, -2.0, -1e300, 1.9999999999999998,
@@ -29,14 +33,49 @@ def test_global_rank_equals_rank(spark, seed):
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.floats(allow_nan=False, allow_infinity=False), min_size=2, max_size=60))
-def test_bucket_never_reverses_order(spark, values):
-    values = sorted(values)
+@given(st.lists(st.floats(allow_nan=False), min_size=2, max_size=60))
+def test_double_code_is_the_order(spark, values):
+    values += [v for v in EDGES if v is not None] + [float("inf"), -float("inf"), 2.0**-1022, 2.0**-1022 - 5e-324, 1.7976931348623157e308]
     df = spark.createDataFrame(list(enumerate(values)), "id int, v double")
-    buckets = [b for _, b in rows(df.select("id", magnitude_bucket(F.col("v")).alias("b")).orderBy("id"))]
-    by_id = dict(df.select("id", magnitude_bucket(F.col("v"))).collect())
-    ordered = [by_id[i] for i in range(len(values))]
-    assert ordered == sorted(ordered) and len(buckets) == len(values)
+    code = dict(df.select("id", double_code(F.col("v"))).collect())
+    for i, v in enumerate(values):
+        bits = struct.unpack("<q", struct.pack("<d", abs(v)))[0]
+        assert code[i] == (-bits if v < 0 else bits)
+
+
+def test_ranks_are_of_decimals_not_of_their_doubles(spark):
+    items = [(i, Decimal("90071992547409.91") + Decimal(i) / 100) for i in range(6)] + [(6, None), (7, None), (8, Decimal("-0.01"))]
+    df = spark.createDataFrame(items, "id int, v decimal(18,2)")
+    assert [r for _, r in rows(global_rank(df, "v", "r"), "id", "r")] == [6, 5, 4, 3, 2, 1, 8, 8, 7]
+    assert rows(global_rank(df.select("id", F.col("id").alias("v")), "v", "r"), "r")[0] == (1,)
+    with pytest.raises(TypeError):
+        global_rank(df.withColumn("v", F.lit("x")), "v")
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_totals_before_any_places(spark, descending):
+    rng = random.Random(9)
+    places = sorted({rng.randint(-2**63, 2**63 - 1) >> rng.choice([0, 9, 20, 40, 55]) for _ in range(400)} | {-2**63, 2**63 - 1, 0, -1})
+    items = [(p, rng.randint(-5, 50)) for p in places]
+    found = dict(rows(totals_before(spark.createDataFrame(items, "p long, n long"), "p", "n", "b", descending)))
+    want, running = {}, 0
+    for p, n in sorted(items, reverse=descending):
+        want[p], running = running, running + n
+    assert found == want
+
+
+def test_close_values_and_scattered_ids_never_meet_in_one_task(spark):
+    """100,000 values within half a percent, and 100,000 ids over 64 bits: windows see their own range and the few roots."""
+    close = spark.range(100_000).select((F.lit(2 << 40) + F.col("id") * 50_000).alias("v"))
+    scattered = spark.range(100_000).select(F.xxhash64("id").alias("id"), F.lit(1).cast("decimal(18,2)").alias("m"))
+    for df in (global_rank(close, "v", "r"), prefix_sum(scattered, "id", "m")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        single = re.findall(r"Window \[[^\n]*\n[^\n]*Sort[^\n]*\n[^\n]*Exchange SinglePartition", plan)
+        assert len(single) <= plan.count("windowspecdefinition(_r3") and single
+        assert "InMemoryTableScan" not in plan
+    assert global_rank(close, "v", "r").agg(F.sum("r")).first()[0] == 100_000 * 100_001 // 2
+    total = prefix_sum(scattered, "id", "m")
+    assert total.agg(F.max("sum"), F.countDistinct("sum")).first() == (100_000, 100_000)
 
 
 def test_ties_at_the_last_place_stay(spark):
