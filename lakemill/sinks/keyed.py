@@ -12,8 +12,9 @@ from lakemill.operators.dedupe import dedupe_latest
 from lakemill.operators.merge import latest_per_key
 from lakemill.operators.shape import conform
 from lakemill.session import fresh_dir, remove_dir
+from lakemill.sinks import ledger
 from lakemill.sinks.layers import drop_partitions, partition_columns
-from lakemill.sinks.tables import overwrite_partitions, write_partitioned
+from lakemill.sinks.tables import replace_covered, write_partitioned
 
 Merge = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -39,11 +40,19 @@ def keyed_upsert(
     the latest row per key stays. ``keys_move=False`` promises that a key never changes partition and
     saves looking up where the batch's keys are stored.
 
-    Involved are the partitions of the batch and those where its keys are stored now, so a key that
-    moves leaves its old partition. Merged rows are staged in full before any partition is
-    replaced; partitions left without rows are dropped last. Running the same batch again, also after
+    Involved are the partitions of the batch and those where its keys are stored now, which the table's key ledger
+    tells (:mod:`lakemill.sinks.ledger`), so a key that moves leaves its old partition. Merged rows are staged in full before any
+    partition is replaced; partitions left without rows are dropped last. Running the same batch again, also after
     a failure half-way, gives the same table.
     """
+    stage = fresh_dir(df.sparkSession, "stage")
+    try:
+        _upsert(df, table, keys, precombine, merge, keys_move, stage)
+    finally:
+        remove_dir(df.sparkSession, stage)
+
+
+def _upsert(df: DataFrame, table: str, keys: list[str], precombine: list[str], merge: Merge | None, keys_move: bool, stage: str) -> None:
     spark = df.sparkSession
     # Another session may have rewritten the table since this one listed its files.
     spark.catalog.refreshTable(table)
@@ -51,33 +60,40 @@ def keyed_upsert(
     parts = partition_columns(spark, table)
     if not parts:
         raise ValueError(f"{table} is not partitioned")
-    stage = fresh_dir(spark, "stage")
     # The batch is read once and written down: a source that changes meanwhile must not hold other
     # rows for the merge than for the list of partitions. The merge reduces it to one row per key.
     rows = conform(df, stored)
-    rows.write.parquet(f"{stage}/batch")
-    batch = spark.read.schema(rows.schema).parquet(f"{stage}/batch")
+    batch = _down(rows, f"{stage}/batch")
     # Distinct partition values only: as many as the catalog lists, not as many as there are rows.
     touched = set(batch.select(*parts).distinct().collect())
-    if keys_move and touched:
-        low, high = batch.agg(F.struct(*[F.min(k) for k in keys]), F.struct(*[F.max(k) for k in keys])).first()
-        within = [F.col(k).between(F.lit(a).cast(stored.schema[k].dataType), F.lit(b).cast(stored.schema[k].dataType))
-                  for k, a, b in zip(keys, low, high)]
-        found = stored.filter(reduce(lambda a, b: a & b, within)).select(*keys, *parts).join(
-            batch.select(*keys).distinct(), keys, "left_semi")
-        touched |= set(found.select(*parts).distinct().collect())
     if not touched:
-        remove_dir(spark, stage)
         return
+    if keys_move:
+        ledger.ensure(spark, table, keys, parts)
+        known = _down(ledger.located(spark, table, batch, keys, parts), f"{stage}/known")
+        touched |= set(known.select(*parts).distinct().collect())
     affected = _in_partitions(stored, parts, touched)
     merged = merge(batch, affected) if merge else latest_per_key(batch, affected, keys, precombine)
-    merged.write.parquet(f"{stage}/merged")
-    staged = spark.read.schema(merged.schema).parquet(f"{stage}/merged")
+    staged = _down(merged, f"{stage}/merged")
+    load = ledger.next_load()
+    if keys_move:
+        where = list(dict.fromkeys([*keys, *parts]))
+        placed = ledger.same_rows(staged.select(*where), batch.select(*keys).distinct(), keys, "left_semi")
+        moved = _down(ledger.same_rows(placed, known, where, "left_anti"), f"{stage}/moved")
+        some = not moved.isEmpty()
+        if some:
+            ledger.record(spark, table, moved, keys, parts, load, confirmed=False)
 
     kept = {tuple(r) for r in staged.select(*parts).distinct().collect()}
-    overwrite_partitions(staged, table)
+    replace_covered(staged, table)
     drop_partitions(spark, table, [r for r in touched if tuple(r) not in kept])
-    remove_dir(spark, stage)
+    if keys_move and some:
+        ledger.record(spark, table, moved, keys, parts, load, confirmed=True)
+
+
+def _down(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _in_partitions(stored: DataFrame, parts: list[str], values: set[Row]) -> DataFrame:

@@ -7,11 +7,15 @@ small ones.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from lakemill.operators.shape import conform
 from lakemill.session import dynamic_partitions, fresh_dir, remove_dir
-from lakemill.sinks.layers import create_from_frame, drop_partitions, partition_columns
+from lakemill.sinks import ledger
+from lakemill.sinks.layers import (
+    create_from_frame, create_table, drop_partitions, partition_columns, quoted, repair_partitions,
+)
 
 
 def rebalanced(df: DataFrame, partitions: list[str]) -> DataFrame:
@@ -20,7 +24,9 @@ def rebalanced(df: DataFrame, partitions: list[str]) -> DataFrame:
 
 def write_partitioned(df: DataFrame, table: str, partitions: list[str], mode: str = "overwrite") -> None:
     """Create or replace (``overwrite``) or extend (``append``) a partitioned table by column name."""
-    if mode == "overwrite" and df.sparkSession.catalog.tableExists(table):
+    spark = df.sparkSession
+    ledger.forget(spark, table)
+    if mode == "overwrite" and spark.catalog.tableExists(table):
         _replace(df, table, partitions)
         return
     rebalanced(df, partitions).write.mode(mode).format("parquet").partitionBy(*partitions).saveAsTable(table)
@@ -29,35 +35,86 @@ def write_partitioned(df: DataFrame, table: str, partitions: list[str], mode: st
 def _replace(df: DataFrame, table: str, partitions: list[str]) -> None:
     """Replace a table whose rows must survive a failed load.
 
-    Spark's own overwrite deletes first. Here the new rows are written in full to a folder of their
-    own, replace the partitions they cover when that second write commits, and only then the
-    partitions they do not cover go. A table of another shape is created anew from the complete copy.
+    Spark's own overwrite deletes first. Here the new rows are written in full to a folder of their own. Those of a
+    partitioned table of the same shape then replace the partitions they cover when a second write commits,
+    and only after that the partitions they do not cover go. In all other cases the folder becomes the
+    table's next version (:func:`_switch`) and there is no second write. Whatever fails, the folder does not stay behind.
     """
     spark = df.sparkSession
-    stage = fresh_dir(spark, "stage")
-    rebalanced(df, partitions).write.partitionBy(*partitions).parquet(stage)
-    staged = spark.read.schema(df.schema).parquet(stage)
     stored = spark.table(table)
-    if partitions and set(stored.dtypes) == set(df.dtypes) and partition_columns(spark, table) == list(partitions):
-        before = stored.select(*partitions).distinct().collect()
-        covered = set(staged.select(*partitions).distinct().collect())
-        overwrite_partitions(staged, table)
-        drop_partitions(spark, table, [p for p in before if p not in covered])
-    else:
-        write = rebalanced(staged, partitions).write.mode("overwrite").format("parquet")
-        write.partitionBy(*partitions).saveAsTable(table)
-    remove_dir(spark, stage)
+    same = set(stored.dtypes) == set(df.dtypes) and partition_columns(spark, table) == list(partitions)
+    stage = fresh_dir(spark, "version")
+    keep = False
+    try:
+        # Columns in the table's order, which a version of the same shape goes by.
+        rows = conform(df, stored) if same else df
+        rebalanced(rows, partitions).write.partitionBy(*partitions).parquet(stage)
+        if same and partitions:
+            staged = spark.read.schema(rows.schema).parquet(stage)
+            before = stored.select(*partitions).distinct().collect()
+            covered = set(staged.select(*partitions).distinct().collect())
+            replace_covered(staged, table)
+            drop_partitions(spark, table, [p for p in before if p not in covered])
+        else:
+            keep = True
+            _switch(spark, table, rows.schema, partitions, stage, same)
+    finally:
+        if not keep or not _is_at(spark, table, stage):
+            remove_dir(spark, stage)
+
+
+def _switch(spark: SparkSession, table: str, schema: StructType, partitions: list[str], folder: str, same: bool) -> None:
+    """Let a complete folder be the table: a change of the catalog alone, so the old rows are readable until the new ones are.
+
+    The same shape needs one ``SET LOCATION``. Another shape needs a table of its own, which takes the name over from the old one;
+    if the driver dies between the two renames, the old rows are under ``<table>__old`` and the new ones under ``<table>__new``.
+    The folder before is removed once nothing points to it.
+    """
+    before = location(spark, table)
+    if same:
+        spark.sql(f"ALTER TABLE {quoted(table)} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(table)
+        remove_dir(spark, before)
+        return
+    new, old = f"{table}__new", f"{table}__old"
+    for leftover in (new, old):
+        spark.sql(f"DROP TABLE IF EXISTS {quoted(leftover)}")
+    create_table(spark, new, schema, partitions, location=folder)
+    if partitions:
+        repair_partitions(spark, new)
+    spark.sql(f"ALTER TABLE {quoted(table)} RENAME TO {quoted(old)}")
+    spark.sql(f"ALTER TABLE {quoted(new)} RENAME TO {quoted(table)}")
+    spark.catalog.refreshTable(table)
+    gone = location(spark, old)
+    spark.sql(f"DROP TABLE IF EXISTS {quoted(old)}")
+    remove_dir(spark, gone)
+
+
+def location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE EXTENDED {quoted(table)}").collect()
+    return next(r.data_type for r in rows if r.col_name == "Location")
+
+
+def _is_at(spark: SparkSession, table: str, folder: str) -> bool:
+    return spark.catalog.tableExists(table) and location(spark, table).rstrip("/").endswith(folder.rstrip("/").split("/")[-1])
 
 
 def append_rows(df: DataFrame, table: str) -> None:
     """Append by position after projecting to the table's columns."""
     spark = df.sparkSession
+    ledger.forget(spark, table)
     rows = conform(df, spark.table(table))
     rebalanced(rows, partition_columns(spark, table)).write.mode("append").insertInto(table)
 
 
 def overwrite_partitions(df: DataFrame, table: str) -> None:
     """Replace exactly the partitions that occur in ``df``; all others stay as they are."""
+    ledger.forget(df.sparkSession, table)
+    replace_covered(df, table)
+
+
+def replace_covered(df: DataFrame, table: str) -> None:
+    """:func:`overwrite_partitions` for writers that keep the table's ledger themselves."""
     spark = df.sparkSession
     rows = conform(df, spark.table(table))
     with dynamic_partitions(spark):
@@ -66,6 +123,7 @@ def overwrite_partitions(df: DataFrame, table: str) -> None:
 
 def overwrite_partitions_sql(view: str, table: str, spark) -> None:
     """The same replacement in SQL, from a temporary view that holds the table's columns by name."""
+    ledger.forget(spark, table)
     parts = partition_columns(spark, table)
     columns = ", ".join(f"`{c}`" for c in spark.table(table).columns)
     with dynamic_partitions(spark):

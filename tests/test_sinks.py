@@ -1,9 +1,11 @@
+from pathlib import Path
+
 import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
 from lakemill.session import fresh_database, fresh_dir, shared_root
-from lakemill.sinks import keyed, layers, tables
+from lakemill.sinks import keyed, layers, ledger, tables
 from lakemill.sources.tables import from_rows, hide_meta, read_cols, read_keyed, read_path
 
 SCHEMA = "k int, v string, t int, p string"
@@ -193,3 +195,127 @@ def test_upsert_reads_a_changing_source_once(spark, db):
     keyed.keyed_upsert(drifting, t, ["k"], ["t"])
     out = spark.table(t)
     assert out.filter("v = 'stored'").count() == 40 and out.filter("v = 'new'").count() == 5
+
+
+def entries(spark, t):
+    return rows(spark.table(ledger.name_of(t)), "k", "_place0", "_confirmed")
+
+
+def test_the_ledger_follows_the_keys(spark, db):
+    t = keyed_table(spark, db, [(1, "a", 1, "x"), (2, "b", 1, "y"), (None, "n", 1, "x")])
+    keyed.keyed_upsert(frame(spark, [(2, "b", 2, "z"), (3, "c", 1, "x"), (None, "m", 2, "w")]), t, ["k"], ["t"])
+    assert rows(spark.table(t), "k", "v", "p") == [(1, "a", "x"), (2, "b", "z"), (3, "c", "x"), (None, "m", "w")]
+    moved = [(2, "z"), (3, "x"), (None, "w")]
+    want = [(1, "x", True), (2, "y", True), (None, "x", True)] + [(k, p, c) for k, p in moved for c in (False, True)]
+    assert entries(spark, t) == sorted(want, key=repr)
+    held = len(entries(spark, t))
+    keyed.keyed_upsert(frame(spark, [(1, "a2", 5, "x")]), t, ["k"], ["t"])
+    assert len(entries(spark, t)) == held  # nothing moved, nothing written
+
+
+def test_a_key_is_looked_for_where_it_was_confirmed_and_claimed(spark, db):
+    t = keyed_table(spark, db, [(1, "a", 1, "x"), (2, "b", 1, "x")])
+    ledger.ensure(spark, t, ["k"], ["p"])
+    batch = frame(spark, [(1, "", 0, "")])
+    where = lambda: rows(ledger.located(spark, t, batch, ["k"], ["p"]), "k", "p")
+    assert where() == [(1, "x")]
+    moved = frame(spark, [(1, "", 0, "y")]).select("k", "p")
+    ledger.record(spark, t, moved, ["k"], ["p"], 10, confirmed=False)
+    assert where() == [(1, "x"), (1, "y")]
+    ledger.record(spark, t, moved, ["k"], ["p"], 10, confirmed=True)
+    assert where() == [(1, "y")]
+
+
+def test_an_upsert_that_died_half_way_is_mended_by_the_next(spark, db, monkeypatch):
+    t = keyed_table(spark, db, [(1, "a", 1, "x"), (2, "b", 1, "x")])
+    batch = frame(spark, [(1, "a2", 2, "y")])
+    for broken in ("replace_covered", "drop_partitions"):
+        with monkeypatch.context() as m:
+            m.setattr(keyed, broken, lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+            with pytest.raises(RuntimeError):
+                keyed.keyed_upsert(batch, t, ["k"], ["t"])
+    keyed.keyed_upsert(frame(spark, [(1, "a3", 3, "z")]), t, ["k"], ["t"])
+    assert rows(spark.table(t), "k", "v", "p") == [(1, "a3", "z"), (2, "b", "x")]
+
+
+def test_where_scattered_keys_are_stored_is_told_without_reading_the_table(spark, db):
+    items = [(i * 7919 % 100_003, "v", 1, f"p{i % 5}") for i in range(400)]
+    t = keyed_table(spark, db, items)
+    ledger.ensure(spark, t, ["k"], ["p"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        batch = frame(spark, [(i * 7919 % 100_003, "w", 2, "q") for i in range(0, 400, 9)])
+        plan = ledger.located(spark, t, batch, ["k"], ["p"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 1 and "__keys" in scans[0] and "Bucketed: true" in scans[0]
+    assert plan.count("Exchange hashpartitioning(k") <= 2  # the batch's keys alone: distinct, then into the buckets
+
+
+def test_other_writes_drop_the_ledger(spark, db):
+    t = keyed_table(spark, db, [(1, "a", 1, "x")])
+    for write in (lambda: tables.append_rows(frame(spark, [(2, "b", 1, "y")]), t),
+                  lambda: tables.overwrite_partitions(frame(spark, [(3, "c", 1, "z")]), t),
+                  lambda: keyed.precombine_write(frame(spark, [(1, "a", 1, "x"), (4, "d", 1, "w")]), t, ["k"], ["t"], ["p"])):
+        ledger.ensure(spark, t, ["k"], ["p"])
+        write()
+        assert not spark.catalog.tableExists(ledger.name_of(t))
+    keyed.keyed_upsert(frame(spark, [(4, "d2", 2, "x")]), t, ["k"], ["t"])
+    assert rows(spark.table(t), "k", "v", "p") == [(1, "a", "x"), (4, "d2", "x")]
+
+
+def test_many_appended_files_make_the_ledger_new(spark, db, monkeypatch):
+    monkeypatch.setattr(ledger, "FILES_PER_BUCKET", 0)
+    t = keyed_table(spark, db, [(1, "a", 1, "x")])
+    for i in range(3):
+        keyed.keyed_upsert(frame(spark, [(1, "a", 2 + i, f"p{i}")]), t, ["k"], ["t"])
+    ledger.ensure(spark, t, ["k"], ["p"])
+    assert entries(spark, t) == [(1, "p2", True)]
+
+
+def folders(spark):
+    root = Path(shared_root(spark)) / "lakemill"
+    return {p.name for p in root.iterdir() if p.name.startswith(("stage-", "version-"))}
+
+
+def test_nothing_staged_stays_behind(spark, db, monkeypatch):
+    before = folders(spark)
+    t = keyed_table(spark, db, [(1, "a", 1, "x")])
+    broken = frame(spark, [(2, "b", 1, "x")]).withColumn("k", F.raise_error("no").cast("int"))
+    for write in (lambda: keyed.keyed_upsert(broken, t, ["k"], ["t"]), lambda: tables.write_partitioned(broken, t, ["p"]),
+                  lambda: tables.write_partitioned(broken.drop("v"), t, ["p"])):
+        with pytest.raises(Exception):
+            write()
+        assert folders(spark) == before
+    assert rows(spark.table(t), "k") == [(1,)]
+
+
+@pytest.mark.parametrize("step", ["create_table", "repair_partitions", "location"])
+def test_a_table_of_another_shape_survives_a_failing_switch(spark, db, monkeypatch, step):
+    t = f"{db}.s"
+    tables.write_partitioned(frame(spark, [(1, "a", 1, "x")]), t, ["p"])
+    other = frame(spark, [(2, "b", 1, "y")]).drop("v")
+    before = folders(spark)
+    with monkeypatch.context() as m:
+        m.setattr(tables, step, lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            tables.write_partitioned(other, t, ["p"])
+    assert rows(spark.table(t)) == [(1, "a", 1, "x")]
+    tables.write_partitioned(other, t, ["p"])
+    assert rows(spark.table(t), "k", "p") == [(2, "y")] and "v" not in spark.table(t).columns
+    tables.write_partitioned(frame(spark, [(3, "c", 1, "z")]), t, ["p"])
+    assert rows(spark.table(t), "k", "v", "p") == [(3, "c", "z")]
+
+
+def test_an_unpartitioned_table_is_switched_by_its_location(spark, db):
+    t = f"{db}.flat"
+    for i in range(3):
+        tables.write_partitioned(spark.createDataFrame([(i, "a")], "v int, w string"), t, [])
+        assert rows(spark.table(t)) == [(i, "a")]
+    broken = spark.range(1).select(F.raise_error("no").cast("int").alias("v"), F.lit("b").alias("w"))
+    with pytest.raises(Exception):
+        tables.write_partitioned(broken, t, [])
+    assert rows(spark.table(t)) == [(2, "a")]
+    tables.write_partitioned(spark.createDataFrame([("z", 9)], "w string, v int"), t, [])
+    assert rows(spark.table(t), "v", "w") == [(9, "z")]
