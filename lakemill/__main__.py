@@ -3,18 +3,24 @@
     set-up   --feed retail_a --ods ods --dwd dwd [--ods-path P --dwd-path P]
     extract  --feed retail_a --ods ods --url jdbc:... --run-day 20240131 --run-ts "2024-01-31 02:30:00" [--keyed]
     clean    --feed retail_a --ods ods --dwd dwd --run-day 20240131 --run-ts "2024-01-31 02:30:00"
-    measure  --feed retail_b --dwd dwd --results dws [--name topten ...]
+    measure  --feed retail_b --dwd dwd --results dws [--name topten ...] [--set year=2021 target=77 ...]
+    rebuild  --feed retail_b --dwd dwd [--table fact_order_master ...]
+
+``extract --split customer_inf=customer_id:16`` reads a source table in ranges of about as many rows; ``--inclusive order_master``
+takes rows at the stored high-water again, less those already stored.
 """
 
 from __future__ import annotations
 
 import argparse
+import dataclasses
+import inspect
 
 from lakemill.plans import feeds, jobs, measures
 from lakemill.session import build_session
 from lakemill.sinks.layers import create_layer
 from lakemill.sinks.tables import publish
-from lakemill.sources.relational import Connection, read_table
+from lakemill.sources.relational import Connection, Split, read_table
 
 FEEDS = {"retail_a": feeds.RETAIL_A, "retail_b": feeds.RETAIL_B, "manufacturing": feeds.MANUFACTURING}
 MEASURES = {"retail_a": measures.RETAIL_A, "retail_b": measures.RETAIL_B}
@@ -37,11 +43,46 @@ def arguments() -> argparse.ArgumentParser:
     extract = step("extract", "ods", "url", "run-day", "run-ts")
     extract.add_argument("--driver")
     extract.add_argument("--keyed", action="store_true")
+    extract.add_argument("--split", nargs="*", default=[], metavar="TABLE=COLUMN:PARTS")
+    extract.add_argument("--inclusive", nargs="*", default=[], metavar="TABLE")
     step("clean", "ods", "dwd", "run-day", "run-ts")
-    step("measure", "dwd", "results").add_argument("--name", nargs="*")
+    measure = step("measure", "dwd", "results")
+    measure.add_argument("--name", nargs="*")
+    measure.add_argument("--set", nargs="*", default=[], metavar="PARAMETER=VALUE")
+    step("rebuild", "dwd").add_argument("--table", nargs="*")
     return parser
 
 
+def parameters(names: list[str], known: dict, given: list[str]) -> dict[str, dict]:
+    """Per measure the given parameters it takes, as values of its defaults' types; one that none takes is an error."""
+    texts = dict(g.split("=", 1) for g in given)
+    found: dict[str, dict] = {}
+    for name in names:
+        takes = {p.name: p.default for p in inspect.signature(known[name]).parameters.values() if p.default is not p.empty}
+        found[name] = {k: _typed(takes[k], v) for k, v in texts.items() if k in takes}
+    unknown = set(texts) - {k for f in found.values() for k in f}
+    if unknown:
+        raise SystemExit(f"no measure asked for takes {', '.join(sorted(unknown))}")
+    return found
+
+
+def _typed(default, text: str):
+    if isinstance(default, bool):
+        if text.lower() not in ("true", "false"):
+            raise SystemExit(f"{text!r} is neither true nor false")
+        return text.lower() == "true"
+    return type(default)(text)
+
+
+def adjusted(specs: tuple[feeds.TableSpec, ...], splits: list[str], inclusive: list[str]) -> tuple[feeds.TableSpec, ...]:
+    """A feed whose named tables are read in ranges, or from the high-water on."""
+    cuts = {t: Split(c.rsplit(":", 1)[0], int(c.rsplit(":", 1)[1])) for t, c in (s.split("=", 1) for s in splits)}
+    unknown = ({*cuts, *inclusive}) - {s.source for s in specs}
+    if unknown:
+        raise SystemExit(f"the feed has no table {', '.join(sorted(unknown))}")
+    return tuple(dataclasses.replace(s, split=cuts.get(s.source, s.split), inclusive=s.inclusive or s.source in inclusive) for s in specs)
+
+
 def run(spark, args) -> None:
     specs = FEEDS[args.feed]
     if args.step == "set-up":
@@ -50,15 +91,22 @@ def run(spark, args) -> None:
         jobs.set_up(spark, specs, args.ods, args.dwd, cleaned=args.feed != "manufacturing")
     elif args.step == "extract":
         conn = Connection(args.url, args.driver)
+        specs = adjusted(specs, args.split, args.inclusive)
+        splits = {s.source: s.split for s in specs}
         jobs.extract_feed(
-            spark, specs, lambda name: read_table(spark, conn, name), args.ods, args.run_day, args.run_ts, args.keyed)
+            spark, specs, lambda name: read_table(spark, conn, name, splits[name]), args.ods, args.run_day, args.run_ts, args.keyed)
     elif args.step == "clean":
         jobs.clean_feed(spark, specs, args.ods, args.dwd, args.run_day, args.run_ts)
+    elif args.step == "rebuild":
+        for spec in specs:
+            if not args.table or spec.target in args.table:
+                jobs.rebuild_kept(spark, spec, args.dwd)
     else:
         create_layer(spark, args.results)
-        for name in args.name or MEASURES[args.feed]:
-            publish(MEASURES[args.feed][name](spark, args.dwd), f"{args.results}.{name}")
-            spark.catalog.clearCache()
+        known, names = MEASURES[args.feed], args.name or list(MEASURES[args.feed])
+        given = parameters(names, known, args.set)
+        for name in names:
+            publish(known[name](spark, args.dwd, **given[name]), f"{args.results}.{name}")
 
 
 def main() -> None:

@@ -55,6 +55,32 @@ def incremental(source: DataFrame, target: DataFrame, mark: Watermark, inclusive
     return source.filter(high.isNull() | mark.is_new(high, inclusive))
 
 
+def incremental_from(source: DataFrame, target: DataFrame, mark: Watermark, compared: list[str]) -> DataFrame:
+    """Rows from the high-water on, itself included, less those of the target that carry it already.
+
+    A row that was committed late with the same mark as the stored high-water is taken, and so is a stored row that changed
+    without a new mark; what is stored alike in all ``compared`` columns does not come twice. Only the target's
+    rows at the high-water are compared, by a digest, and both sides are filtered by a literal.
+    """
+    high = high_water(target, mark).first()["high"]
+    if high is None:
+        return source
+    fresh = source.filter(mark.is_new(_literal(high, source, mark), inclusive=True))
+    values = mark.values()
+    at = F.greatest(*values) if len(values) > 1 else values[0]
+    edge = target.filter(at == _literal(high, target, mark))
+    compared = [c for c in compared if c in target.columns]
+    # Each side as text of the target's types, so that a narrower source column compares alike.
+    kinds = dict(target.dtypes)
+    digest = F.sha2(F.to_json(F.struct(*[F.col(c).cast(kinds[c]).cast("string").alias(f"c{i}") for i, c in enumerate(compared)])), 256)
+    stored = edge.select(digest.alias("_stored")).distinct()
+    return fresh.withColumn("_digest", digest).join(stored, F.col("_digest") == F.col("_stored"), "left_anti").drop("_digest")
+
+
+def _literal(high, df: DataFrame, mark: Watermark) -> Column:
+    return F.lit(high) if mark.kind == "id" else F.lit(high).cast(dict(df.dtypes)[mark.columns[0]])
+
+
 def incremental_pushed(source: DataFrame, target: DataFrame, mark: Watermark, inclusive: bool = False) -> DataFrame:
     """Same rows as :func:`incremental`, with the high-water fetched first (an action, one value).
 
@@ -64,7 +90,4 @@ def incremental_pushed(source: DataFrame, target: DataFrame, mark: Watermark, in
     high = high_water(target, mark).first()["high"]
     if high is None:
         return source
-    literal = F.lit(high)
-    if mark.kind != "id":
-        literal = literal.cast(dict(source.dtypes)[mark.columns[0]])
-    return source.filter(mark.is_new(literal, inclusive))
+    return source.filter(mark.is_new(_literal(high, source, mark), inclusive))

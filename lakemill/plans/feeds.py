@@ -4,7 +4,20 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql.types import StructType
+
 from lakemill.operators.incremental import Watermark
+from lakemill.sources.relational import Split
+
+
+@dataclass(frozen=True)
+class Kept:
+    """Which version of a fact is kept beside its history: per ``keys`` the greatest by ``order`` of those that meet ``only``."""
+
+    name: str
+    keys: tuple[str, ...]
+    order: tuple[str, ...]
+    only: str | None = None
 
 
 @dataclass(frozen=True)
@@ -12,7 +25,9 @@ class TableSpec:
     """Everything the generic jobs need to know about one table.
 
     ``order`` sorts the versions of a key (dimensions) and decides upserts (``precombine``).
-    ``rules`` are SQL conditions that cleaned fact rows must meet.
+    ``rules`` are SQL conditions that cleaned fact rows must meet. ``kept`` names versions of a fact that are kept at write time
+    besides the last one of each key. ``inclusive`` takes rows whose mark equals the stored high-water again, less those
+    already stored. ``keys_move=False`` promises that a key stays in its partition. ``split`` cuts the source scan.
     """
 
     source: str
@@ -29,6 +44,18 @@ class TableSpec:
     drops: tuple[str, ...] = ()
     rules: tuple[str, ...] = ()
     partition: str = "etl_date"
+    kept: tuple[Kept, ...] = ()
+    inclusive: bool = False
+    keys_move: bool = True
+    split: Split | None = None
+
+    def versions(self) -> tuple[Kept, ...]:
+        """All versions kept of a fact; a dimension is one itself."""
+        if self.dimension or not self.keys:
+            return ()
+        held = {*StructType.fromDDL(self.columns).names, "dwd_modify_time"}
+        ties = [c for c in ("dwd_modify_time", "create_time") if c in held and c not in self.order]
+        return (Kept("last", self.keys, (*self.order, *ties)), *self.kept)
 
 
 def _ts(column: str) -> Watermark:
@@ -116,6 +143,8 @@ RETAIL_B = (
         _ts("modified_time"),
         time_columns=("modified_time", "shipping_time", "pay_time", "receive_time"),
         rules=("length(city) <= 8",),
+        # A refunded version is no valid order and does not hide an earlier one that was.
+        kept=(Kept("valid", ("order_sn",), ("create_time", "modified_time", "order_id"), "order_status not in ('已退款')"),),
     ),
     TableSpec(
         "order_detail", "fact_order_detail", ("order_detail_id",), ("modified_time",),

@@ -6,20 +6,22 @@ result unevaluated (``provinceordercount`` and ``itemoverlap`` excepted, see the
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemill.functions.money import money
-from lakemill.operators.dedupe import dedupe_latest
 from lakemill.operators.sequences import best_average_run, id_bounds
 from lakemill.plans import behaviour, compare, consumption, series, toplists
+from lakemill.plans.jobs import LOAD_DAY, kept_table
 from lakemill.plans.feeds import RETAIL_A as RETAIL_A_FEED, RETAIL_B as RETAIL_B_FEED, TableSpec
 from lakemill.sources.tables import read_cols
 
 # Parameters the metrics are asked for by default.
 CITY_YEAR, MEDIAN_YEAR, RUN_DISTANCE, OVERLAP_USER = 2022, 2020, 20, 9253
+MOST_PROVINCES = 1000
 HOURS_FROM, HOURS_TO = "2022-04-26 00:00:00", "2022-04-26 09:59:59"
 LABEL_FROM, LABEL_TO = "2022-04-26 04", "2022-04-26 09"
 
@@ -29,25 +31,41 @@ Measure = Callable[..., DataFrame]
 def current_facts(spark: SparkSession, dwd: str, feed: tuple[TableSpec, ...], target: str) -> DataFrame:
     """The last version of each fact: increments deliver a changed order again, and it must count once.
 
-    Versions are told apart by the feed's own key and order, then by the time of cleaning. Rows without a key all stay.
+    The versions are kept when a load is cleaned (:func:`lakemill.plans.jobs.clean`), so nothing is compared here and filters go down to
+    the scan. Rows without a key all stay; the fact's own scan looks for these by the key columns' null counts.
     """
     spec = next(s for s in feed if s.target == target)
-    facts = spark.table(f"{dwd}.{target}")
-    keyed = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in spec.keys))
-    ties = [c for c in ("dwd_modify_time", "create_time") if c in facts.columns and c not in spec.order]
-    return dedupe_latest(facts.filter(keyed), list(spec.keys), list(spec.order), ties).unionAll(facts.filter(~keyed))
+    keyless = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in spec.keys))
+    kept = spark.table(kept_table(dwd, spec, "last"))
+    return kept.unionByName(spark.table(f"{dwd}.{target}").filter(keyless).drop(LOAD_DAY))
+
+
+def valid_facts(spark: SparkSession, dwd: str, feed: tuple[TableSpec, ...], target: str) -> DataFrame:
+    """The last valid version of each order, kept like :func:`current_facts`."""
+    return spark.table(kept_table(dwd, next(s for s in feed if s.target == target), "valid"))
+
+
+def of_days(facts: DataFrame, first: str, last: str, partition: str = "etl_date") -> DataFrame:
+    """Only the partitions of the event days from ``first`` to ``last``, as ``yyyyMMdd``."""
+    return facts.filter(F.col(partition).between(first, last))
 
 
 # --- second retail feed ------------------------------------------------------------------------
 
 
 def _valid(spark: SparkSession, dwd: str, *columns: str) -> DataFrame:
-    """A refunded version is no valid order and does not hide an earlier one, so versions are judged there."""
-    return consumption.valid_orders(spark.table(f"{dwd}.fact_order_master"), *columns)
+    """A refunded version is no valid order and does not hide an earlier one: the valid ones are kept on their own."""
+    return valid_facts(spark, dwd, RETAIL_B_FEED, "fact_order_master").select(*columns)
 
 
-def _places(spark: SparkSession, dwd: str) -> DataFrame:
-    return _valid(spark, dwd, "order_money", "create_time", "city", "province")
+def _places(spark: SparkSession, dwd: str, *more: str) -> DataFrame:
+    return _valid(spark, dwd, "order_money", "create_time", "city", "province", *more)
+
+
+def _day(label: str, back: int = 0) -> str:
+    """The day of a time as partition value, some hours earlier."""
+    at = dt.datetime.strptime(label[:13], "%Y-%m-%d %H") - dt.timedelta(hours=back)
+    return at.strftime("%Y%m%d")
 
 
 def user_day(spark, dwd):
@@ -68,7 +86,7 @@ def city_median(spark, dwd):
 
 
 def city_top(spark, dwd, year: int = CITY_YEAR):
-    return toplists.top_cities(_places(spark, dwd), year)
+    return toplists.top_cities(of_days(_places(spark, dwd, "etl_date"), f"{year:04}0101", f"{year:04}1231"), year)
 
 
 def product_top(spark, dwd):
@@ -80,18 +98,23 @@ def repurchase(spark, dwd):
     return behaviour.repurchase_rate(_valid(spark, dwd, "customer_id", "create_time"))
 
 
-def province_counts(spark, dwd):
+def province_counts(spark, dwd, most: int = MOST_PROVINCES):
+    """One column per province. More than ``most`` of them are an error: a table has no room for any number of columns."""
     orders = _valid(spark, dwd, "province")
-    provinces = series.counts_by_value(orders, "province").select("province").collect()
-    return series.pivot_counts(orders, [r[0] for r in provinces], "province")
+    provinces = [r[0] for r in series.counts_by_value(orders, "province").select("province").limit(most + 1).collect()]
+    if len(provinces) > most:
+        raise ValueError(f"more than {most} provinces; series.counts_by_value gives a row each")
+    return series.pivot_counts(orders, provinces, "province")
 
 
 def hours_running(spark, dwd, start: str = HOURS_FROM, end: str = HOURS_TO):
-    return series.running_total(_valid(spark, dwd, "order_money", "create_time"), start, end)
+    orders = of_days(_valid(spark, dwd, "order_money", "create_time", "etl_date"), _day(start), _day(end))
+    return series.running_total(orders, start, end)
 
 
-def hours_sliding(spark, dwd, first: str = LABEL_FROM, last: str = LABEL_TO):
-    return series.sliding_window(_valid(spark, dwd, "order_money", "create_time"), first, last)
+def hours_sliding(spark, dwd, first: str = LABEL_FROM, last: str = LABEL_TO, hours: int = 5):
+    orders = of_days(_valid(spark, dwd, "order_money", "create_time", "etl_date"), _day(first, hours), _day(last))
+    return series.sliding_window(orders, first, last, hours)
 
 
 def overlap(spark, dwd, target: int = OVERLAP_USER, exclude_self: bool = True):
@@ -134,9 +157,11 @@ def _orders(spark: SparkSession, dwd: str, *columns: str) -> DataFrame:
     return current_facts(spark, dwd, RETAIL_A_FEED, "fact_order_info").select(*columns)
 
 
-def _placed(spark: SparkSession, dwd: str) -> DataFrame:
-    orders = _orders(spark, dwd, "final_total_amount", "create_time", "province_id")
-    return orders.join(_provinces(spark, dwd), "province_id", "left").join(_regions(spark, dwd), "region_id", "left")
+def _placed(spark: SparkSession, dwd: str, year: int | None = None) -> DataFrame:
+    orders = _orders(spark, dwd, "final_total_amount", "create_time", "province_id", "etl_date")
+    if year is not None:
+        orders = of_days(orders, f"{year:04}0101", f"{year:04}1231")
+    return orders.drop("etl_date").join(_provinces(spark, dwd), "province_id", "left").join(_regions(spark, dwd), "region_id", "left")
 
 
 def _users(spark: SparkSession, dwd: str) -> DataFrame:
@@ -169,7 +194,7 @@ def sku_top(spark, dwd):
 
 
 def province_median(spark, dwd, year: int = MEDIAN_YEAR):
-    return compare.nation_median(_placed(spark, dwd), year)
+    return compare.nation_median(_placed(spark, dwd, year), year)
 
 
 def province_average(spark, dwd):
@@ -181,7 +206,7 @@ def province_average_region(spark, dwd):
 
 
 def province_top(spark, dwd, year: int = MEDIAN_YEAR):
-    return toplists.top_provinces(_placed(spark, dwd), year)
+    return toplists.top_provinces(_placed(spark, dwd, year), year)
 
 
 def user_days_running(spark, dwd):

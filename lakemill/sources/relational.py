@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,29 +28,57 @@ class Connection:
 
 @dataclass(frozen=True)
 class Split:
-    """Numeric or time column that cuts a table into ``parts`` ranges read by as many tasks.
+    """A column that cuts a table into ``parts`` ranges of about as many rows each, read by as many tasks.
 
-    Bounds only place the cuts; rows outside them are still read.
+    The cuts are quantiles the store computes itself (:meth:`quantile_query`), so gaps and crowds in the column do not
+    leave some tasks empty and others with nearly all rows, as ranges of equal width would.
     """
 
     column: str
-    low: str
-    high: str
     parts: int
 
-    def options(self) -> dict[str, str]:
-        return {
-            "partitionColumn": self.column, "lowerBound": str(self.low), "upperBound": str(self.high),
-            "numPartitions": str(self.parts),
-        }
+    def quantile_query(self, table: str) -> str:
+        """The least value of each of ``parts`` groups of rows in the column's order, by a window the store evaluates."""
+        return (
+            f"SELECT part, MIN({self.column}) AS low FROM (SELECT {self.column}, NTILE({self.parts}) OVER (ORDER BY {self.column}) AS part "
+            f"FROM {table} WHERE {self.column} IS NOT NULL) ranked GROUP BY part"
+        )
+
+    def predicates(self, lows: list) -> list[str]:
+        """One condition per task. Every row meets exactly one, whatever has come to the table since the cuts were made.
+
+        Groups that begin with the same value are one, so a value with very many rows stays whole.
+        """
+        cuts = sorted(set(lows))[1:]
+        if not cuts:
+            return ["1 = 1"]
+        texts = [_sql_literal(c) for c in cuts]
+        first = f"{self.column} < {texts[0]} OR {self.column} IS NULL"
+        between = [f"{self.column} >= {a} AND {self.column} < {b}" for a, b in zip(texts, texts[1:])]
+        return [first, *between, f"{self.column} >= {texts[-1]}"]
+
+
+def _sql_literal(value) -> str:
+    if isinstance(value, bool) or value is None:
+        raise TypeError(f"cannot split by {value!r}")
+    if isinstance(value, (int, float, Decimal)):
+        return str(value)
+    if isinstance(value, dt.datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, dt.date):
+        return f"DATE '{value.isoformat()}'"
+    return "'" + str(value).replace("'", "''") + "'"
 
 
 def read_table(
     spark: SparkSession, conn: Connection, table: str, split: Split | None = None, fetch_size: int = 10000
 ) -> DataFrame:
-    """Scan a table; filters and column selection are evaluated by the store."""
-    options = conn.options(dbtable=table, fetchsize=str(fetch_size), **(split.options() if split else {}))
-    return spark.read.format("jdbc").options(**options).load()
+    """Scan a table; filters and column selection are evaluated by the store, ``split`` reads it in ranges at once."""
+    if split is None:
+        return spark.read.format("jdbc").options(**conn.options(dbtable=table, fetchsize=str(fetch_size))).load()
+    lows = [r.low for r in read_query(spark, conn, split.quantile_query(table)).collect()]
+    properties = conn.options(fetchsize=str(fetch_size))
+    return spark.read.jdbc(properties.pop("url"), table, predicates=split.predicates(lows), properties=properties)
 
 
 def read_query(spark: SparkSession, conn: Connection, query: str, alias: str = "q") -> DataFrame:

@@ -1,7 +1,7 @@
 import pytest
 from helpers import rows, ts
 
-from lakemill.operators.incremental import Watermark, high_water, incremental, incremental_pushed
+from lakemill.operators.incremental import Watermark, high_water, incremental, incremental_from, incremental_pushed
 
 ONE, TWO = Watermark("ts", ("c",)), Watermark("greatest", ("c", "o"))
 BOTH = [incremental, incremental_pushed]
@@ -49,6 +49,19 @@ def test_inclusive_repeats_the_high_water(spark, load):
     assert [r[0] for r in rows(new, "id")] == [2, 3, 4, 6, 8]
 
 
+def test_late_rows_at_the_high_water_come_once(spark):
+    """Rows 2 is stored with the greatest mark; 3 carries it too and was committed later, 2 comes again with other content."""
+    stored, source = frame(spark, STORED), frame(spark, SOURCE)
+    assert [r[0] for r in rows(incremental_from(source, stored, ONE, ["id", "c", "o"]), "id")] == [3, 4, 6, 8]
+    changed = frame(spark, SOURCE + [(2, "2024-01-02 00:00:00", "2024-01-01 00:00:00")])
+    assert [r[0] for r in rows(incremental_from(changed, stored, ONE, ["id", "c", "o"]), "id")] == [2, 3, 4, 6, 8]
+    assert [r[0] for r in rows(incremental_from(changed, stored, ONE, ["id", "c"]), "id")] == [3, 4, 6, 8]
+    again = stored.unionByName(incremental_from(source, stored, ONE, ["id", "c", "o"]))
+    assert incremental_from(source, again, ONE, ["id", "c", "o"]).count() == 0
+    assert [r[0] for r in rows(incremental_from(source, stored, TWO, ["id", "c", "o"]), "id")] == [5, 6, 8]
+    assert incremental_from(source, frame(spark, []), ONE, ["id"]).count() == len(SOURCE)
+
+
 def test_high_water_of_empty_is_null(spark):
     assert high_water(frame(spark, []), TWO).first()["high"] is None
 

@@ -42,6 +42,8 @@ def test_every_feed_sets_up(spark, feed):
         if cleaned:
             target = spark.table(f"{dwd}.{spec.target}").columns
             assert set(raw) < set(target) and target[-1] == spec.partition
+            for kept in spec.versions():
+                assert set(spark.table(f"{dwd}.{spec.target}_{kept.name}").columns) == set(target) - {"load_day"}
 
 
 def test_every_spec_names_real_columns():
@@ -154,3 +156,94 @@ def test_redelivered_order_counts_once(spark, layers_of):
     assert spark.table(f"{dwd}.fact_order_info").count() == 2
     kept = current_facts(spark, dwd, feeds.RETAIL_A, "fact_order_info")
     assert rows(kept, "id", "operate_time") == [(1, ts("2024-01-02 08:00:00"))]
+
+
+def orders_at(spark, spec, items):
+    """Orders of the second feed: (id, number, created, status, modified)."""
+    return source(spark, spec, [
+        {"order_id": i, "order_sn": sn, "city": "short", "create_time": c, "order_status": st, "modified_time": ts(m),
+         "order_money": Decimal(i or 0)} for i, sn, c, st, m in items])
+
+
+def night(spark, spec, ods, dwd, day, df):
+    jobs.extract_increment(df, spec, ods, day, "2024-01-09 23:00:00")
+    jobs.clean(spark, spec, ods, dwd, day, f"{day[:4]}-{day[4:6]}-{day[6:]} 23:00:00")
+
+
+def test_kept_versions_equal_a_dedupe_of_all_history(spark, layers_of):
+    """A redelivered, then refunded, then renamed order, over three nights and a rerun of the second."""
+    from lakemill.operators.dedupe import dedupe_latest
+    from lakemill.plans import consumption, measures
+
+    spec = spec_of(feeds.RETAIL_B, "order_master")
+    ods, dwd = layers_of((spec,))
+    nights = {
+        "20240101": [(1, "a", "20240101080000", "paid", "2024-01-01 09:00:00"), (2, "b", "20240101080000", "paid", "2024-01-01 09:00:00"),
+                     (None, "k", "20240101080000", "paid", "2024-01-01 09:00:00"), (None, "k2", "20240101080000", "paid", "2024-01-01 09:00:00")],
+        "20240102": [(1, "a", "20240101080000", "已退款", "2024-01-02 09:00:00"), (2, "b", "20240102080000", "paid", "2024-01-02 09:00:00")],
+        "20240103": [(3, "a", "20240101070000", "paid", "2024-01-03 09:00:00"), (2, "b2", "20240102080000", None, "2024-01-03 09:00:00")],
+    }
+    for day_, items in nights.items():
+        night(spark, spec, ods, dwd, day_, orders_at(spark, spec, items))
+    def agrees():
+        history = spark.table(f"{dwd}.fact_order_master")
+        seen = ["order_id", "order_sn", "create_time", "order_status", "modified_time", "etl_date"]
+        last = dedupe_latest(history.filter("order_id is not null"), ["order_id"], ["modified_time"], ["dwd_modify_time", "create_time"])
+        want = rows(last.unionByName(history.filter("order_id is null")), *seen)
+        assert rows(measures.current_facts(spark, dwd, feeds.RETAIL_B, "fact_order_master"), *seen) == want
+        assert rows(measures.valid_facts(spark, dwd, feeds.RETAIL_B, "fact_order_master"), *seen) == rows(consumption.valid_orders(history), *seen)
+        assert len(want) == 5
+        return want
+
+    want = agrees()
+    for day_ in ("20240102", "20240101"):
+        jobs.clean(spark, spec, ods, dwd, day_, f"{day_[:4]}-{day_[4:6]}-{day_[6:]} 23:00:00")
+        assert agrees() == want
+    jobs.rebuild_kept(spark, spec, dwd)
+    assert agrees() == want
+
+
+def test_a_load_is_cleaned_from_its_own_partition_alone(spark, layers_of):
+    spec = spec_of(feeds.RETAIL_B, "order_master")
+    ods, dwd = layers_of((spec,))
+    night(spark, spec, ods, dwd, "20240101", orders_at(spark, spec, [(1, "a", "20240101080000", "paid", "2024-01-01 09:00:00")]))
+    night(spark, spec, ods, dwd, "20240102", orders_at(spark, spec, [(2, "b", "20240101080000", "paid", "2024-01-02 09:00:00")]))
+    from pyspark.sql import functions as F
+
+    today = spark.table(f"{ods}.order_master").filter(F.col("etl_date") == "20240102")
+    plan = jobs.cleaned_load(today, spec, "20240102", "2024-01-02 23:00:00")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "PartitionFilters: [isnotnull(etl_date" in plan and "20240102" in plan
+    assert "Exchange" not in plan
+    # The first load's raw rows are no longer needed: its partition can go, and the second load is cleaned again as before.
+    want = rows(spark.table(f"{dwd}.fact_order_master"), "order_id", "load_day", "etl_date")
+    spark.sql(f"ALTER TABLE {ods}.order_master DROP PARTITION (etl_date = '20240101')")
+    jobs.clean(spark, spec, ods, dwd, "20240102", "2024-01-02 23:00:00")
+    assert rows(spark.table(f"{dwd}.fact_order_master"), "order_id", "load_day", "etl_date") == want == [
+        (1, "20240101", "20240101"), (2, "20240102", "20240101")]
+
+
+def test_a_replaced_load_leaves_no_event_day_behind(spark, layers_of):
+    from lakemill.sinks.tables import overwrite_partitions
+
+    spec = spec_of(feeds.RETAIL_B, "order_master")
+    ods, dwd = layers_of((spec,))
+    items = [(1, "a", "20240101080000", "paid", "2024-01-01 09:00:00"), (2, "b", "20231231080000", "paid", "2024-01-01 09:00:00"),
+             (3, "c", "never", "paid", "2024-01-01 09:00:00")]
+    night(spark, spec, ods, dwd, "20240101", orders_at(spark, spec, items))
+    assert rows(spark.table(f"{dwd}.fact_order_master"), "order_id", "etl_date") == [(1, "20240101"), (2, "20231231"), (3, None)]
+    kept = orders_at(spark, spec, items[:1])
+    overwrite_partitions(jobs._prepared(kept, spec, "20240101", "2024-01-01 23:00:00"), f"{ods}.order_master")
+    jobs.clean(spark, spec, ods, dwd, "20240101", "2024-01-01 23:00:00")
+    assert rows(spark.table(f"{dwd}.fact_order_master"), "order_id", "etl_date") == [(1, "20240101")]
+    jobs.rebuild_kept(spark, spec, dwd)
+    assert rows(spark.table(f"{dwd}.fact_order_master_last"), "order_id") == [(1,)]
+
+
+def test_measures_read_their_bounds_from_the_scan(spark, layers_of):
+    from lakemill.plans import measures
+
+    ods, dwd = layers_of(feeds.RETAIL_B)
+    plan_of = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    for plan in (plan_of(measures.city_top(spark, dwd, 2023)), plan_of(measures.hours_running(spark, dwd)), plan_of(measures.hours_sliding(spark, dwd))):
+        assert "PushedFilters: [IsNotNull(create_time), GreaterThanOrEqual(create_time" in plan
+        assert "PartitionFilters: [isnotnull(etl_date" in plan and "row_number" not in plan

@@ -6,7 +6,7 @@ import pytest
 from helpers import rows, ts
 from test_jobs import source
 
-from lakemill.__main__ import arguments, run
+from lakemill.__main__ import arguments, parameters, run
 from lakemill.plans import feeds, jobs, measures, reports
 from lakemill.session import fresh_database
 
@@ -138,3 +138,23 @@ def test_command_line(spark, retail_b):
     run(spark, arguments().parse_args(
         ["clean", "--feed", "retail_a", "--ods", ods, "--dwd", dwd, "--run-day", NIGHT, "--run-ts", RUN_TS]))
     assert spark.table(f"{dwd}.fact_order_info").count() == 0
+
+
+def test_parameters_from_the_command_line(spark, retail_b):
+    results = fresh_database(spark, "dws")
+    names = ["accumulateconsumption", "slidewindowconsumption", "itemoverlap", "regiontopthree"]
+    run(spark, arguments().parse_args(
+        ["measure", "--feed", "retail_b", "--dwd", retail_b, "--results", results, "--name", *names, "--set", "target=1", "exclude_self=false",
+         "start=2022-04-25 00:00:00", "end=2022-04-25 23:59:59", "year=2021", "hours=9"]))
+    assert rows(spark.table(f"{results}.accumulateconsumption")) == [("2022-04-25 23", 20.0, 20.0)]
+    assert rows(spark.table(f"{results}.itemoverlap")) == [(1, 2), (2, 1), (9253, 2)]
+    assert spark.table(f"{results}.regiontopthree").count() == 0
+    assert [r[0] for r in rows(spark.table(f"{results}.slidewindowconsumption"))] == [f"2022-04-26 0{h}" for h in range(4, 10)]
+    for wrong in (["nothing=1"], ["exclude_self=maybe"]):
+        with pytest.raises(SystemExit):
+            parameters(["itemoverlap"], measures.RETAIL_B, wrong)
+
+
+def test_too_many_columns_are_an_error(spark, retail_b):
+    with pytest.raises(ValueError):
+        measures.province_counts(spark, retail_b, most=1)

@@ -1,11 +1,13 @@
 from decimal import Decimal
 
+import pytest
 from helpers import rows, ts
 from pyspark.sql import functions as F
 
+from lakemill.operators import shape
 from lakemill.plans import series
 from lakemill.session import fresh_database, fresh_dir
-from lakemill.sinks import keyed
+from lakemill.sinks import keyed, tables
 from lakemill.streaming import ingest, sliding, upsert
 
 
@@ -58,3 +60,42 @@ def test_window_state_is_keyed_by_window_only(spark):
         F.col("timestamp").alias("create_time"), F.col("value").cast("decimal(18,2)").alias("order_money"))
     plan = sliding.sliding_stream(stream)
     assert plan.isStreaming and plan.columns == ["consumptiontime", "consumptionsum", "consumptioncount"]
+
+
+def test_dimension_merge_over_batches_and_redelivery(spark):
+    """The second batch dies after its merge was written, and comes again under a later clock."""
+    schema = "k int, v string, t int, p string"
+    folder, table = fresh_dir(spark, "in"), f"{fresh_database(spark, 's')}.dim"
+    tables.write_partitioned(shape.audit_stamp(spark.createDataFrame([], schema), "2024-01-01 00:00:00"), table, ["p"])
+    checkpoint = f"{fresh_dir(spark, 'cp')}/cp"
+    stream = lambda: ingest.file_stream(spark, folder, spark.read.parquet(folder).schema)
+    drop(spark, folder, [(1, "old", 1, "x"), (2, "b", 1, "y")], schema)
+    upsert.dim_merge_stream(stream(), table, ["k"], ["t"], checkpoint, lambda: "2024-01-01 02:00:00")
+    drop(spark, folder, [(1, "new", 2, "z"), (3, "c", 1, "y")], schema)
+    merged = upsert.keyed_upsert
+
+    def dies(*args):
+        merged(*args)
+        raise RuntimeError("lost after the write")
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(upsert, "keyed_upsert", dies)
+        with pytest.raises(Exception, match="lost after the write"):
+            upsert.dim_merge_stream(stream(), table, ["k"], ["t"], checkpoint, lambda: "2024-01-02 02:00:00")
+    upsert.dim_merge_stream(stream(), table, ["k"], ["t"], checkpoint, lambda: "2024-01-03 02:00:00")
+    first, second = ts("2024-01-01 02:00:00"), ts("2024-01-02 02:00:00")
+    assert rows(spark.table(table), "k", "v", "p", "dwd_insert_time", "dwd_modify_time") == [
+        (1, "new", "z", first, second), (2, "b", "y", first, first), (3, "c", "y", second, second)]
+    upsert.dim_merge_stream(stream(), table, ["k"], ["t"], checkpoint, lambda: "2024-01-04 02:00:00")
+    assert spark.table(table).count() == 3
+
+
+def test_upsert_stream_takes_a_merge(spark):
+    schema = "k int, v string, t int, p string"
+    folder, table = fresh_dir(spark, "in"), f"{fresh_database(spark, 's')}.t"
+    keyed.precombine_write(spark.createDataFrame([(1, "old", 1, "x")], schema), table, ["k"], ["t"], ["p"])
+    drop(spark, folder, [(1, "new", 5, "x")], schema)
+    keep_stored = lambda batch, stored: stored.unionByName(batch.join(stored, "k", "left_anti"))
+    stream = ingest.file_stream(spark, folder, spark.read.parquet(folder).schema)
+    upsert.upsert_stream(stream, table, ["k"], ["t"], f"{fresh_dir(spark, 'cp')}/cp", merge=keep_stored, keys_move=False)
+    assert rows(spark.table(table), "v") == [("old",)]
