@@ -165,8 +165,42 @@ _UPSERTED = f"""WITH {_LINES}, latest AS ({_LATEST_LINE.format('DESC')})
 SELECT {_LINE_COLUMNS}, CAST(year(modified_time) AS INTEGER) AS ship_year FROM latest"""
 
 
+_HISTORY = f"""{_ORDERS}, seen AS (
+  SELECT *, create_time AS modified_time, strftime(date_trunc('month', create_time), '%Y%m%d') AS etl_date FROM orders_m),
+early AS (SELECT * FROM seen WHERE create_time < TIMESTAMP '{SPLIT}' AND order_sn % 2 = 0),
+high AS (SELECT max(modified_time) AS h FROM early),
+history AS (
+  SELECT *, '20240130' AS load_day FROM early
+  UNION ALL SELECT seen.*, '{RUN_DAY}' FROM seen, high WHERE h IS NULL OR create_time > h OR (create_time = h AND order_sn % 2 = 1)
+  UNION ALL SELECT * REPLACE ('P' AS order_status, TIMESTAMP '{SECOND_RUN}' AS modified_time), '{RUN_DAY}' FROM seen WHERE order_sn % 3 = 0)"""
+
+_NIGHT_COLUMNS = f"""order_sn, customer_id, CAST(order_money AS DOUBLE) AS order_money, {_text('create_time')} AS create_time,
+  order_status, {_text('modified_time')} AS modified_time, etl_date"""
+
+
+_VERSIONS = f"""WITH {_LINES}, versions AS (
+  SELECT *, CASE WHEN modified_time < TIMESTAMP '{SPLIT}' THEN '{FIRST_RUN}' ELSE '{SECOND_RUN}' END AS stamp FROM lines),
+ranked AS (
+  SELECT *, max(stamp) OVER (PARTITION BY product_id) AS dwd_modify_time,
+    min(stamp) OVER (PARTITION BY product_id) AS dwd_insert_time,
+    row_number() OVER (PARTITION BY product_id ORDER BY modified_time DESC, stamp DESC, line_no DESC,
+      order_sn DESC, product_cnt DESC, product_price DESC) AS rn FROM versions)
+SELECT {_LINE_COLUMNS}, 'user1' AS dwd_insert_user, dwd_insert_time, 'user1' AS dwd_modify_user, dwd_modify_time"""
+
+
 def statements() -> dict[str, str]:
     return {
+        "raw_scan": f"WITH {_ORDERS} SELECT {_ORDER_COLUMNS}, CAST(order_sn AS VARCHAR) AS _hoodie_record_key FROM orders_m",
+        "rows_to_frame": "SELECT o_orderstatus AS order_status, count(*) AS n FROM orders GROUP BY o_orderstatus",
+        "layer_preview": " UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, least(20, count(*)) AS n FROM {t}" for t in ("orders", "customer", "region")),
+        "default_run_day": f"{_CUSTOMERS}, strftime(current_date - INTERVAL 1 DAY, '%Y%m%d') AS etl_date FROM customer",
+        "fact_history": f"WITH {_HISTORY} SELECT {_NIGHT_COLUMNS}, load_day FROM history",
+        "current_facts": f"""WITH {_HISTORY} SELECT {_NIGHT_COLUMNS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_sn ORDER BY modified_time DESC, load_day DESC) AS rn FROM history) WHERE rn = 1""",
+        "valid_facts": f"""WITH {_HISTORY} SELECT {_NIGHT_COLUMNS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_sn ORDER BY create_time DESC, modified_time DESC) AS rn
+  FROM history WHERE order_status <> 'P') WHERE rn = 1""",
         "catalog_scan": f"SELECT * REPLACE ({_text('o_orderdate')} AS o_orderdate) FROM orders",
         "read_cols": "SELECT l_orderkey, l_partkey, l_quantity FROM lineitem",
         "keyed_scan": f"WITH {_ORDERS} SELECT {_ORDER_COLUMNS} FROM orders_m",
@@ -189,15 +223,8 @@ FROM customer WHERE c_custkey > (SELECT max(s_suppkey) FROM supplier)""",
         "audit_stamp": f"{_CUSTOMERS}, {_STAMPS} FROM customer",
         "normalise_times": f"""SELECT event_id, event_type, CASE WHEN event_type IN ('click', 'view', 'purchase')
 THEN {_text("date_trunc('second', ts)")} END AS event_time FROM events""",
-        "dim_merge": f"""WITH {_LINES}, versions AS (
-  SELECT *, CASE WHEN modified_time < TIMESTAMP '{SPLIT}' THEN '{FIRST_RUN}' ELSE '{SECOND_RUN}' END AS stamp FROM lines),
-ranked AS (
-  SELECT *, max(stamp) OVER (PARTITION BY product_id) AS dwd_modify_time,
-    min(stamp) OVER (PARTITION BY product_id) AS dwd_insert_time,
-    row_number() OVER (PARTITION BY product_id ORDER BY modified_time DESC, stamp DESC, line_no DESC,
-      order_sn DESC, product_cnt DESC, product_price DESC) AS rn FROM versions)
-SELECT {_LINE_COLUMNS}, 'user1' AS dwd_insert_user, dwd_insert_time, 'user1' AS dwd_modify_user, dwd_modify_time
-FROM ranked WHERE rn = 1""",
+        "dim_merge": f"{_VERSIONS} FROM ranked WHERE rn = 1",
+        "stream_dim_merge": f"{_VERSIONS}, CAST(product_id % 4 AS INTEGER) AS line_group FROM ranked WHERE rn = 1",
         "dedupe_latest": f"WITH {_LINES}, latest AS ({_LATEST_LINE.format('DESC')}) SELECT {_LINE_COLUMNS} FROM latest",
         "dedupe_earliest": f"WITH {_LINES}, first AS ({_LATEST_LINE.format('ASC')}) SELECT {_LINE_COLUMNS} FROM first",
         "key_lifecycle": f"WITH {_LINES} SELECT product_id, {_text('max(modified_time)')} AS modified_time, "
@@ -293,13 +320,17 @@ dense AS (
   LEFT JOIN valid ON order_sn = id),
 sums AS (SELECT id, m, sum(m) OVER (ORDER BY id) AS s FROM dense),
 runs AS (
-  SELECT a.id AS first, b.id AS last, CAST(b.s - a.s + a.m AS DOUBLE) / (d + 1) AS avg,
-    CAST(100 * (b.s - a.s + a.m) AS HUGEINT) * (219060189739591200 // (d + 1)) AS exact
+  SELECT a.id AS first, b.id AS last, d + 1 AS n, CAST(100 * (b.s - a.s + a.m) AS HUGEINT) AS cents,
+    CAST(b.s - a.s + a.m AS DOUBLE) / (d + 1) AS avg, cents * (219060189739591200 // (d + 1)) AS exact
   FROM sums a, range(20, 41) t(d), sums b WHERE b.id = a.id + d),
-best AS (SELECT max(exact) AS top FROM runs)
-SELECT 1 AS seq_index, any_value(avg) AS avg_order_price,
-  arg_min(first || '-' || last, (first, last)) AS id_range, count(*) AS matchnum
-FROM runs, best WHERE exact = top""",
+best AS (SELECT max(exact) AS top FROM runs),
+winner AS (SELECT * FROM runs, best WHERE exact = top ORDER BY first, last LIMIT 1),
+-- A run from first to last has the best average c/n where n P(last) - c last equals n P(first - 1) - c (first - 1).
+prefix AS (SELECT id, CAST(100 * s AS HUGEINT) AS p FROM sums UNION ALL SELECT lo - 1, 0 FROM bounds),
+level AS (SELECT id, n * p - cents * id AS v FROM prefix, winner)
+SELECT 1 AS seq_index, avg AS avg_order_price, first || '-' || last AS id_range,
+  (SELECT count(*) FROM level x JOIN level y ON x.v = y.v AND y.id - x.id > 20) AS matchnum
+FROM winner""",
         "item_overlap": _overlap(keep_self=False),
         "item_overlap_with_self": _overlap(keep_self=True),
         "consecutive_day_users": f"""WITH {_ORDERS}, days AS (

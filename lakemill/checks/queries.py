@@ -11,13 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType, TimestampNTZType, TimestampType
 
+from lakemill.functions import times
 from lakemill.functions.times import normalise_times
 from lakemill.operators import dedupe, incremental, merge, sequences, shape
 from lakemill.plans import behaviour, compare, consumption, jobs, model, reports, series, toplists
-from lakemill.plans.feeds import RESULTS, TableSpec
+from lakemill.plans.feeds import Kept, RESULTS, TableSpec
 from lakemill.session import fresh_database, fresh_dir
 from lakemill.sinks import keyed, layers, tables
-from lakemill.sources.tables import META_PREFIX, hide_meta, read_cols, read_keyed
+from lakemill.sources.tables import META_PREFIX, from_rows, hide_meta, read_cols, read_keyed, read_path
 from lakemill.streaming import ingest, sliding, upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -593,6 +594,7 @@ _E2E_SPECS = (
         "order_sn bigint, customer_id bigint, order_money decimal(18,2), create_time timestamp_ntz, "
         "order_status string, month_start string",
         incremental.Watermark("ts", ("create_time",)), event_time="month_start",
+        kept=(Kept("valid", ("order_sn",), ("create_time",), "order_status not in ('P')"),),
     ),
 )
 
@@ -613,11 +615,63 @@ def warehouse_e2e(spark, sf_dir):
         sources = {"customer": model.customers(spark, sf_dir), "orders": seen}
         jobs.extract_feed(spark, _E2E_SPECS, sources.__getitem__, ods, day, run_ts)
         jobs.clean_feed(spark, _E2E_SPECS, ods, dwd, day, run_ts)
-    valid = consumption.valid_orders(
-        spark.table(f"{dwd}.fact_orders"), "customer_id", "order_money", "create_time", excluded=model.REFUNDED)
+    valid = spark.table(f"{dwd}.fact_orders_valid").select("customer_id", "order_money", "create_time")
     return consumption.user_day_consumption(valid, spark.table(f"{dwd}.dim_customer"))
 
 
+_NIGHTS = (
+    TableSpec(
+        "orders", "fact_orders", ("order_sn",), ("modified_time",),
+        "order_sn bigint, customer_id bigint, order_money decimal(18,2), create_time timestamp_ntz, "
+        "order_status string, modified_time timestamp_ntz, month_start string",
+        incremental.Watermark("ts", ("modified_time",)), event_time="month_start", inclusive=True,
+        kept=(Kept("valid", ("order_sn",), ("create_time", "modified_time"), "order_status not in ('P')"),),
+    ),
+)
+
+
+def _two_nights(spark: SparkSession, sf_dir: str) -> str:
+    """A fact layer after two nights; orders whose number divides by three are refunded in the second.
+
+    A refund is stamped with the second night. Of the orders up to the split only those with an even number are
+    seen in the first night; the odd ones of the last moment seen arrive late, with the very time the high-water has.
+    """
+    month = F.date_format(F.date_trunc("month", F.col("create_time")), "yyyy-MM-dd HH:mm:ss")
+    orders = model.orders(spark, sf_dir).withColumns({"modified_time": F.col("create_time"), "month_start": month})
+    names = [f.split()[0] for f in _NIGHTS[0].columns.split(", ")]
+    early = orders.filter((F.col("create_time") < F.lit(SPLIT).cast("timestamp_ntz")) & (F.col("order_sn") % 2 == 0))
+    refunded = orders.filter(F.col("order_sn") % 3 == 0).withColumns({
+        "order_status": F.lit("P"), "modified_time": F.lit(SECOND_RUN).cast("timestamp_ntz")})
+    ods, dwd = fresh_database(spark, "ods"), fresh_database(spark, "dwd")
+    jobs.set_up(spark, _NIGHTS, ods, dwd)
+    for day, run_ts, seen in (("20240130", FIRST_RUN, early), (RUN_DAY, SECOND_RUN, orders.unionByName(refunded))):
+        jobs.extract_feed(spark, _NIGHTS, lambda _: seen.select(*names), ods, day, run_ts)
+        jobs.clean_feed(spark, _NIGHTS, ods, dwd, day, run_ts)
+    jobs.clean_feed(spark, _NIGHTS, ods, dwd, RUN_DAY, SECOND_RUN)  # a rerun changes nothing
+    return dwd
+
+
+_NIGHT_COLUMNS = ("order_sn", "customer_id", "order_money", "create_time", "order_status", "modified_time", "etl_date")
+
+
+@query
+def current_facts(spark, sf_dir):
+    """The last version of each order, refunds included."""
+    return spark.table(f"{_two_nights(spark, sf_dir)}.fact_orders_last").select(*_NIGHT_COLUMNS)
+
+
+@query
+def valid_facts(spark, sf_dir):
+    """The last valid version of each order: a refund hides no earlier version that was valid."""
+    return spark.table(f"{_two_nights(spark, sf_dir)}.fact_orders_valid").select(*_NIGHT_COLUMNS)
+
+
+@query
+def fact_history(spark, sf_dir):
+    """Every version received, by load and event day; the one at the high-water neither lost nor doubled."""
+    return spark.table(f"{_two_nights(spark, sf_dir)}.fact_orders").select(*_NIGHT_COLUMNS, "load_day")
+
+
 # --- streams -----------------------------------------------------------------------------------
 
 
@@ -660,3 +714,54 @@ def stream_upsert(spark, sf_dir):
     upsert.upsert_stream(
         arriving, table, ["order_sn", "line_no"], ["modified_time"], f"{fresh_dir(spark, 'upsert')}/checkpoint")
     return hide_meta(spark.table(table))
+
+
+@query
+def stream_dim_merge(spark, sf_dir):
+    """Order lines as versions of a product, two files, a micro-batch each: the streamed form of ``dim_merge``."""
+    lines = model.lines(spark, sf_dir).withColumn("line_group", (F.col("product_id") % 4).cast("int"))
+    old, new = _split(lines, "modified_time")
+    folder, table = fresh_dir(spark, "versions"), f"{fresh_database(spark, 'stream')}.products"
+    tables.write_partitioned(shape.audit_stamp(shape.empty_like(lines), FIRST_RUN), table, ["line_group"])
+    # The first run takes up what lies there, the next one what came since.
+    for rows, run_ts in ((old, FIRST_RUN), (new, SECOND_RUN)):
+        rows.coalesce(1).write.mode("append").parquet(folder)
+        stream = ingest.file_stream(spark, folder, lines.schema)
+        upsert.dim_merge_stream(stream, table, ["product_id"], ["modified_time"], f"{folder}-checkpoint", lambda: run_ts)
+    return spark.table(table)
+
+
+# --- reading and looking -----------------------------------------------------------------------
+
+
+@query
+def raw_scan(spark, sf_dir):
+    """A keyed table by its location, bookkeeping columns and partition included."""
+    rows = model.orders(spark, sf_dir).withColumn(f"{META_PREFIX}record_key", F.col("order_sn").cast("string"))
+    folder = fresh_dir(spark, "orders")
+    tables.write_folder(rows, folder, ["order_status"])
+    return read_path(spark, folder)
+
+
+@query
+def rows_to_frame(spark, sf_dir):
+    """Orders per status, looked at on the driver (a row per status) and turned into a frame again."""
+    counts = model.orders(spark, sf_dir).groupBy("order_status").agg(F.count("*").alias("n"))
+    return from_rows(spark, [tuple(r) for r in counts.collect()], counts.schema)
+
+
+@query
+def layer_preview(spark, sf_dir):
+    """The first rows of each table of a layer, as many as the preview shows, told by their number."""
+    database = fresh_database(spark, "scan")
+    for name in ("orders", "customer", "region"):
+        spark.catalog.createTable(f"{database}.{name}", path=f"{sf_dir}/{name}.parquet", source="parquet")
+    shown = layers.preview(spark, [f"{database}.{n}" for n in ("orders", "customer", "region")], 20)
+    counts = [df.agg(F.lit(t.split(".")[-1]).alias("table_name"), F.count("*").alias("n")) for t, df in shown.items()]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+@query
+def default_run_day(spark, sf_dir):
+    """Customers stamped with yesterday, the day a job takes when none is given."""
+    return model.customers(spark, sf_dir).withColumn("etl_date", times.default_run_day())

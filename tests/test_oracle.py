@@ -1,5 +1,7 @@
 """Every registered query against its SQL on the smallest data."""
 
+import re
+
 import duckdb
 import pytest
 from oracle_check import differences, duck
@@ -14,11 +16,17 @@ def con(small):
     return duck(small)
 
 
+def text_queries():
+    """Queries of the text operators: those SQL cannot say are tested against brute force in their own folder."""
+    return {n for n in QUERIES if re.match(r"op\d+_", n) or n == "pipeline"}
+
+
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) - text_queries() <= set(SQL)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, small, con, name):
     assert differences(QUERIES[name](spark, small), SQL[name], con) == []
 

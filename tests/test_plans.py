@@ -9,17 +9,16 @@ from lakemill.checks.queries import registry
 WRITING = {
     "keyed_scan", "full_extract", "full_extract_keyed", "write_partitioned", "append_partition", "precombine_write",
     "keyed_upsert", "dynamic_overwrite", "layer_bootstrap", "repair_partitions", "warehouse_e2e",
-    "stream_sliding", "stream_extract", "stream_upsert",
+    "stream_sliding", "stream_extract", "stream_upsert", "stream_dim_merge", "current_facts", "valid_facts", "fact_history",
+    "max_avg_run", "raw_scan", "rows_to_frame",
 }
 READING = sorted(set(registry()) - WRITING)
 
 # Windows over the whole input that run in one task, and what bounds their input.
 ONE_TASK_WINDOWS = {
     "running_total": "hours", "running_total_range": "hours", "running_total_top": "hours",
-    "prefix_sum": "id ranges", "range_self_join": "id ranges",
-    "city_month_consumption": "magnitude buckets", "city_month_top": "magnitude buckets",
-    "region_rollup": "magnitude buckets", "region_rollup_top": "magnitude buckets",
-    "region_rollup_keyed": "magnitude buckets",
+    "prefix_sum": "roots", "range_self_join": "roots", "city_month_consumption": "roots", "city_month_top": "roots",
+    "region_rollup": "roots", "region_rollup_top": "roots", "region_rollup_keyed": "roots",
 }
 
 
