@@ -26,7 +26,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without sentences that repeat; a document of which nothing is left goes, ``n_chars`` follows the text."""
     cut, p = sentence_spans.without_repeats(spark, docs)
-    left = cut.filter((F.col(f"{p}removed") == 0) | (F.trim("text") != ""))
+    left = cut.filter((F.col(f"{p}removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     changed = F.col(f"{p}removed") > 0
     columns = [
         F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType).alias(c) if c == "n_chars" else F.col(f"`{c}`")
