@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DecimalType
 
 from lakemill.functions.money import as_double
 from lakemill.functions.times import calendar, in_year
+from lakemill.operators.quantiles import lower_medians
+from lakemill.operators.radix import decimal_code
 
 # Labels above / below / same.
 ABOVE, BELOW, SAME = "高", "低", "相同"
 
-# Fixed value: accuracy of the approximate median (rank error at most 1 / accuracy).
-MEDIAN_ACCURACY = 10000
-
 
 def compare_label(value: Column, other: Column) -> Column:
     return F.when(value > other, ABOVE).when(value < other, BELOW).otherwise(SAME)
@@ -49,21 +49,25 @@ def average_levels(
 def median_levels(
     df: DataFrame, child: list[str], parent: list[str], period: list[str], amount: str
 ) -> DataFrame:
-    """Median per child and per parent in each period, as ``child_mid`` and ``parent_mid``.
+    """Median per child and per parent in each period, as ``child_mid`` and ``parent_mid``: the lower of the two middle ones.
 
-    Medians do not add up, so both groupings are computed in one pass as grouping sets; only the
-    partial digests are shuffled. The parent median then reaches its children through a window over
-    the grouped rows instead of a second scan and a join.
+    Orders shrink to counts per child and amount, the only pass over them. A parent's counts are those of its children, so
+    both levels are found from these together, exactly. The parent median then reaches its children through a
+    window over the groups instead of a join.
     """
-    rows = _period_rows(df, parent, period)
-    upper = [*parent, *period]
-    keys = [*parent, *child, *period]
-    both = rows.groupingSets([keys, upper], *keys).agg(
-        F.grouping_id().alias("_level"),
-        as_double(F.percentile_approx(amount, 0.5, MEDIAN_ACCURACY)).alias("child_mid"),
-    )
-    above = F.max(F.when(F.col("_level") > 0, F.col("child_mid"))).over(Window.partitionBy(*upper))
-    return both.withColumn("parent_mid", above).filter("_level = 0").drop("_level")
+    rows = _period_rows(df, parent, period).filter(F.col(amount).isNotNull())
+    kind = rows.schema[amount].dataType
+    scale = kind.scale if isinstance(kind, DecimalType) else 2
+    upper, keys = [*parent, *period], [*parent, *child, *period]
+    counts = rows.groupBy(*keys, decimal_code(F.col(amount), scale).alias("_code")).agg(F.count("*").alias("_rows"))
+    levels = F.explode(F.array(
+        F.struct(F.lit(0).alias("_level"), *[F.col(c) for c in child]),
+        F.struct(F.lit(1).alias("_level"), *[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in child]))).alias("_at")
+    both = counts.select(*upper, levels, "_code", "_rows").select(*upper, "_at.*", "_code", "_rows")
+    medians = lower_medians(both, [*upper, "_level", *child], "_code", "_rows", "_mid")
+    value = (F.col("_mid").cast("decimal(20,0)") / F.lit(10**scale)).cast("double")
+    above = F.max(F.when(F.col("_level") == 1, F.col("child_mid"))).over(Window.partitionBy(*upper))
+    return medians.withColumn("child_mid", value).withColumn("parent_mid", above).filter("_level = 0").drop("_level", "_mid")
 
 
 def avg_vs_parent(orders: DataFrame, amount: str = "order_money") -> DataFrame:
