@@ -13,7 +13,8 @@ follow the first common one on both sides (position); for pairs that pass, the b
 word of the text are counted exactly. Templates are a short fixed list, so their index is broadcast.
 
 Defined cases: null and empty texts have no words and no label; repeated rows get the same result each; ids may be
-null; texts without template words take no part.
+null; texts without template words take no part. Very long texts are split whole, and only those that may hold a template; of equal blocks the
+first counts. Columns other than the id and the text are not read, so their names cannot clash; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ becomes U+FFFD; other texts come back exactly.
 
 Defined cases: null stays null with null ids; an empty text has no ids; characters outside the table become byte
 pieces; segments of more than ``FOLD`` characters (no 64-bit mask holds them) take the same merges from a heap in
-Python; repeated rows and null ids are encoded like any other.
+Python; repeated rows and null ids are encoded like any other; of merges of equal rank the leftmost goes first; a very long text is cut into
+segments as one value. Results stand behind a prefix that no column has.
 """
 
 from __future__ import annotations

@@ -10,7 +10,9 @@ of them at once, the most useful one may be picked afterwards. Each rule gets an
 
 Defined cases: a null or empty text has no words and fails the base rules; a missing stratum is a stratum
 of its own; a document labelled twice counts with its lowest label; labels without a document, and
-documents without a label, do not count; without labels no cutoff is admissible and only the base rules hold.
+documents without a label, do not count; without labels no cutoff is admissible and only the base rules hold. Repeated rows are
+judged alike and count as often as they stand there; very long texts are counted whole; of equally useful cutoffs the first listed is taken.
+Results stand behind a prefix that no column has. Strata are meant to be few: a row per stratum reaches the driver.
 """
 
 from __future__ import annotations

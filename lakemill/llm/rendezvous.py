@@ -7,7 +7,8 @@ records are counted first, hash buckets are numbered on their own, and a table o
 times ``BUCKETS``, shifts them.
 
 Defined cases: a null key counts as the empty text; a null text has no bytes and the checksum of none; repeated
-records share a shard and get slots one after the other; an empty table gives no rows.
+records share a shard and get slots one after the other; equal draws go to the shard of the least number; a text's length does not
+matter, as only its size and checksum travel; the query reads no other columns, so their names cannot clash; an empty table gives no rows.
 """
 
 from __future__ import annotations

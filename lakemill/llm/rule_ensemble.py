@@ -7,7 +7,8 @@ every document is scored by Spark.
 
 Defined cases: null and empty texts have all statistics 0 and are scored like any other; a document labelled twice
 counts with its lowest label; missing ids and labels are not learned from; without both labels the score is the
-share of label 1 (0.5 without any).
+share of label 1 (0.5 without any). Repeated rows are scored alike, and a labelled one counts as often as it stands there; very long texts are
+counted whole; equally good splits go to the first statistic and least cutoff. Results stand behind a prefix that no column has.
 """
 
 from __future__ import annotations

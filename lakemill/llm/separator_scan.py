@@ -8,7 +8,9 @@ each block the number of its first document and the tokens carried into it, whic
 cross blocks, or span many.
 
 Defined cases: an empty document has 0 tokens; tokens behind the last separator of a stream are one more document,
-marked unfinished; a stream without tokens has no document.
+marked unfinished; a stream without tokens has no document. As documents, null and empty texts are empty documents, repeated rows are
+documents each, a very long text is tokenised as one value and spans as many blocks as it needs, and no order of equal ids matters, as rows are
+told apart by their place. Columns other than the id and the text are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
