@@ -2,6 +2,11 @@
 
 A stage takes (spark, docs, sf_dir) and returns a frame, which is written and reread as the next one's docs.
 All but the last return the columns of their input.
+
+Defined cases, as each operator has them: a null or empty text fails the quality rules and goes first; repeated rows (same id,
+same text) are one document from the second stage on; rows without an id are kept by their text; an empty table passes
+through empty; very long texts are handled whole; of a group of near copies the one with the least id stays. Working columns of a
+stage stand behind a prefix that no column has; columns named like the last stage's results are replaced.
 """
 
 from __future__ import annotations
