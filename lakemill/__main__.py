@@ -4,6 +4,7 @@
     extract  --feed retail_a --ods ods --url jdbc:... --run-day 20240131 --run-ts "2024-01-31 02:30:00" [--keyed]
     clean    --feed retail_a --ods ods --dwd dwd --run-day 20240131 --run-ts "2024-01-31 02:30:00"
     measure  --feed retail_b --dwd dwd --results dws [--name topten ...] [--set year=2021 target=77 ...]
+    measure  --feed retail_b --dwd dwd --url jdbc:... [--mode truncate|append] [--connections 8] ...
     rebuild  --feed retail_b --dwd dwd [--table fact_order_master ...]
 
 ``extract --split customer_inf=customer_id:16`` reads a source table in ranges of about as many rows; ``--inclusive order_master``
@@ -19,6 +20,7 @@ import inspect
 from lakemill.plans import feeds, jobs, measures
 from lakemill.session import build_session
 from lakemill.sinks.layers import create_layer
+from lakemill.sinks.relational import truncate_load, write_table
 from lakemill.sinks.tables import publish
 from lakemill.sources.relational import Connection, Split, read_table
 
@@ -46,7 +48,13 @@ def arguments() -> argparse.ArgumentParser:
     extract.add_argument("--split", nargs="*", default=[], metavar="TABLE=COLUMN:PARTS")
     extract.add_argument("--inclusive", nargs="*", default=[], metavar="TABLE")
     step("clean", "ods", "dwd", "run-day", "run-ts")
-    measure = step("measure", "dwd", "results")
+    measure = step("measure", "dwd")
+    target = measure.add_mutually_exclusive_group(required=True)
+    target.add_argument("--results", help="database of the result tables")
+    target.add_argument("--url", help="relational store whose tables of the same names take the results")
+    measure.add_argument("--driver")
+    measure.add_argument("--mode", choices=("truncate", "append"), default="truncate")
+    measure.add_argument("--connections", type=int, help="how many tasks write to the store at once")
     measure.add_argument("--name", nargs="*")
     measure.add_argument("--set", nargs="*", default=[], metavar="PARAMETER=VALUE")
     step("rebuild", "dwd").add_argument("--table", nargs="*")
@@ -83,6 +91,16 @@ def adjusted(specs: tuple[feeds.TableSpec, ...], splits: list[str], inclusive: l
     return tuple(dataclasses.replace(s, split=cuts.get(s.source, s.split), inclusive=s.inclusive or s.source in inclusive) for s in specs)
 
 
+def deliver(result, name: str, args) -> None:
+    """A result into its table of the result layer, or of a relational store."""
+    if args.results:
+        publish(result, f"{args.results}.{name}")
+    elif args.mode == "truncate":
+        truncate_load(result, Connection(args.url, args.driver), name, args.connections)
+    else:
+        write_table(result, Connection(args.url, args.driver), name, "append", args.connections)
+
+
 def run(spark, args) -> None:
     specs = FEEDS[args.feed]
     if args.step == "set-up":
@@ -102,11 +120,12 @@ def run(spark, args) -> None:
             if not args.table or spec.target in args.table:
                 jobs.rebuild_kept(spark, spec, args.dwd)
     else:
-        create_layer(spark, args.results)
         known, names = MEASURES[args.feed], args.name or list(MEASURES[args.feed])
         given = parameters(names, known, args.set)
+        if args.results:
+            create_layer(spark, args.results)
         for name in names:
-            publish(known[name](spark, args.dwd, **given[name]), f"{args.results}.{name}")
+            deliver(known[name](spark, args.dwd, **given[name]), name, args)
 
 
 def main() -> None:

@@ -7,8 +7,8 @@ from types import SimpleNamespace
 import duckdb
 import pytest
 
-from lakemill.__main__ import adjusted
-from lakemill.plans import feeds
+from lakemill.__main__ import adjusted, arguments, run
+from lakemill.plans import feeds, measures
 from lakemill.sources.relational import Connection, Split, read_table
 
 
@@ -93,3 +93,48 @@ def test_a_feed_is_split_from_the_command_line():
     assert by["order_master"].split == Split("order_id", 16) and by["order_detail"].inclusive and not by["order_master"].inclusive
     with pytest.raises(SystemExit):
         adjusted(feeds.RETAIL_B, ["nothing=id:2"], [])
+
+
+class Frame:
+    """Stands in for a result: keeps how it was asked to be written."""
+
+    def __init__(self):
+        self.asked = {}
+        self.write = self
+
+    def coalesce(self, tasks):
+        self.asked["tasks"] = tasks
+        return self
+
+    def format(self, name):
+        self.asked["format"] = name
+        return self
+
+    def options(self, **options):
+        self.asked |= options
+        return self
+
+    def mode(self, mode):
+        self.asked["mode"] = mode
+        return self
+
+    def save(self):
+        self.asked["saved"] = True
+
+
+@pytest.mark.parametrize("more, want", [
+    ([], {"mode": "overwrite", "truncate": "true"}), (["--mode", "append", "--connections", "3"], {"mode": "append", "tasks": 3})])
+def test_results_go_to_a_relational_store(monkeypatch, more, want):
+    """Truncating keeps the table's definition; its own overwrite would drop the table."""
+    for name in ("LAKEMILL_JDBC_USER", "LAKEMILL_JDBC_PASSWORD"):
+        monkeypatch.delenv(name, raising=False)
+    frame = Frame()
+    monkeypatch.setitem(measures.RETAIL_B, "topten", lambda spark, dwd: frame)
+    args = arguments().parse_args(["measure", "--feed", "retail_b", "--dwd", "d", "--url", "jdbc:x", "--name", "topten", *more])
+    run(None, args)
+    assert frame.asked == {"format": "jdbc", "url": "jdbc:x", "dbtable": "topten", "saved": True, **want}
+
+
+def test_results_need_one_target():
+    with pytest.raises(SystemExit):
+        arguments().parse_args(["measure", "--feed", "retail_b", "--dwd", "d"])
