@@ -12,14 +12,16 @@ prefix ends first then shares a signature with the other. Groups depend on the s
 the bands of all sizes a partner may have.
 
 *Large groups.* A signature with more than ``SMALL`` classes emits no pairs. Its most typical class is the
-pivot and is compared with each member. Two members linked with the pivot need no comparison. For the others
-the shared part cancels out: members are joined on their *difference* from the pivot, by the rare shingles
-they add and by pairs of the frequent ones they lack. No pair is dropped, nothing is capped.
+pivot and is compared with each member. Two members linked with the pivot need no comparison. The others are compared
+among each other, ``BLOCK`` by ``BLOCK``, by vectors of bucket counts whose distance is never above the sets' difference: first
+in stars, which connect groups of near copies, then in all pairs that may be linked and are not connected yet. Such a
+comparison emits only pairs that pass the bound. No pair is dropped, nothing is capped; the comparisons in a group grow with its members
+times those its pivot does not connect.
 
 *Verification* compares the whole sets, computed from the texts, after an exact lower bound on their difference from bucket
 histograms. Texts travel compressed; a pivot's goes out once per ``CHUNK`` members, which a task walks through in order.
 
-Signatures and differences that occur once are not shuffled at all: a bit table of fixed size tells which may occur twice
+Signatures that occur once are not shuffled at all: a bit table of fixed size tells which may occur twice
 (:mod:`~lakemill.llm.bit_tables`). Signatures with one in ``HOT`` of all places or more, ``HOT`` at most, are looked up in a broadcast
 table, so no task holds all members of one.
 
@@ -51,8 +53,8 @@ CHUNK = 64
 HOT = 1000
 FIRST_BAND = 5  # below 32 shingles every shingle counts as rare
 GROUP_SPREAD = 80
-DIFFERENCE_SPREAD = 144
-MASKS = ("lacks_a", "lacks_b", "adds_a", "adds_b")
+VECTOR = 4096
+BLOCK = 512
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -65,11 +67,6 @@ def allowed_missing(n: int, percent: int) -> int:
     return n - -(-n * percent // 100)
 
 
-def most_difference(a: int, b: int, percent: int) -> int:
-    """Greatest symmetric difference of linked sets with ``a`` and ``b`` shingles."""
-    return (a + b) * (100 - percent) // (100 + percent)
-
-
 def bands(n: int, percent: int) -> range:
     least, most = -(-n * percent // 100), n * 100 // percent
     return range(least.bit_length(), most.bit_length() + 1)
@@ -300,63 +297,82 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
                    [pa.int64(), pa.int64(), pa.bool_(), pa.bool_()])
 
 
-def difference_signatures(lacks: np.ndarray, adds: np.ndarray, n: int, of: int, percent: int):
-    """Signatures of a member's difference from its pivot of ``of`` shingles: (pair signatures, single ones).
-
-    Linked members differ in at most ``need - 1`` elements, so prefixes of ``need`` credits will do: added
-    shingles are rare, lacking ones are frequent and sign in pairs. A difference too small for that signs whole,
-    which still meets any partner that has the credits; single signatures, returned for these alone, serve
-    pairs of which neither has.
-    """
-    need = most_difference(n, n * 100 // percent, percent) + 1
-    ranked = np.concatenate([np.sort(adds), np.sort(lacks)])
-    heavy = np.arange(len(ranked)) >= len(adds)
-    pairs, enough = prefix_signatures(ranked, heavy, max(1, of // DIFFERENCE_SPREAD), need, np.uint64(1))
-    return pairs, ranked[:0] if enough else mixed(ranked[:need] ^ np.uint64(2))
-
-
-def _differences(work: Scratch, around: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Per member ``a`` of a pivot ``b``: its size, masks of what it lacks and adds, and the signatures of these (of both kinds, for this pivot)."""
+def _vectors(work: Scratch, texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(a, vector): how many shingles of a set fall into each of ``VECTOR`` buckets, compressed; 255 stands for more."""
 
-    def mask(values: np.ndarray) -> list[int]:
-        bits = np.bincount((values >> np.uint64(9)).astype(np.int64) & 127, minlength=128) > 0
-        return np.packbits(bits).view(np.int64).tolist()
-
-    def each(pair: tuple, x: np.ndarray, y: np.ndarray) -> tuple:
-        b, a, far, root = pair
-        lack, add = (mixed(np.setdiff1d(u, v, assume_unique=True)) for u, v in ((y, x), (x, y)))
-        pairs, single = difference_signatures(lack, add, len(x), len(y), percent)
-        here = mixed(np.array([b], np.int64).view(np.uint64))[0]
-        groups = np.concatenate([mixed(pairs ^ here), mixed(single ^ ~here)]).view(np.int64)
-        return a, b, far, root, len(x), *mask(lack), *mask(add), groups
+    def run(batches: Batches) -> Batches:
+        hasher = WordHasher()
+        for batch in batches:
+            found = []
+            for v in batch.column(1):
+                values = shingle_set(zlib.decompress(v.as_py()), width, hasher)
+                counts = np.bincount((values >> np.uint64(20)).astype(np.int64) & (VECTOR - 1), minlength=VECTOR)
+                found.append(zlib.compress(np.minimum(counts, 255).astype(np.uint8).tobytes(), 1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["a", "vector"])
 
-    schema = "a bigint, b bigint, far boolean, root bigint, n bigint, " + ", ".join(f"{m} bigint" for m in MASKS) + ", sigs array<bigint>"
-    types = [pa.int64(), pa.int64(), pa.bool_(), *[pa.int64()] * 6, pa.list_(pa.int64())]
-    return work.staged(_walked(around.select("a", "b", "far", "root"), texts, width, each, schema, types), "differences")
+    rows = texts.join(wanted.select(F.col("a").alias("id")).distinct(), "id")
+    return work.staged(rows.select("id", "text").mapInArrow(run, "a bigint, vector binary"), "vectors")
 
 
-def _difference_pairs(work: Scratch, stars: DataFrame, roots: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Linked pairs (a, b) of members of one pivot that no path connects yet (``roots``: node, root of the links so far).
+def near_pairs(ids: np.ndarray, roots: np.ndarray, sizes: np.ndarray, vectors: np.ndarray, side: np.ndarray, percent: int, every: bool):
+    """Pairs of unconnected members whose vectors allow a link: all of them, or a star around each member no star has reached.
 
-    Every signature carries its member's size and two 128-bit masks of what it lacks and adds; a bit that only one
-    side has stands for a difference at least, so most pairs end in the join itself.
+    Cutting counts off at 255 only brings vectors closer, so no linked pair is missed. Members of two blocks (``side``) are compared across.
+    """
+    cross, free, out = side.min() != side.max(), np.ones(len(ids), bool), []
+    for i in range(len(ids)):
+        if not every and not free[i]:
+            continue
+        free[i] = False
+        others = np.flatnonzero((roots != roots[i]) & ((side != side[i]) if cross else np.arange(len(ids)) > i if every else np.arange(len(ids)) != i))
+        if cross and every:
+            others = others[others > i]
+        apart = np.abs(vectors[others] - vectors[i]).sum(axis=1)
+        near = others[apart <= (sizes[others] + sizes[i]) * (100 - percent) // (100 + percent)]
+        free[near] = False
+        out.append(np.stack([np.minimum(ids[near], ids[i]), np.maximum(ids[near], ids[i])]))
+    return np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+
+
+def _group_pairs(work: Scratch, members: DataFrame, vectors: DataFrame, percent: int, every: bool) -> DataFrame:
+    """Pairs (a, b) to verify among the members (b, a, root, n) of each pivot, ``BLOCK`` by ``BLOCK``."""
+    sized = _grouped(members, "b", least=1)
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("a"), blocks).cast("int")
+    meets = F.explode(F.transform(F.sequence(F.lit(0), blocks - 1), lambda other: F.struct(F.least(own, other).alias("lo"), F.greatest(own, other).alias("hi"))))
+    dealt = sized.select("b", "a", "root", "n", own.alias("own"), meets.alias("m")).select("b", "m.lo", "m.hi", "a", "root", "n", "own").join(vectors, "a")
+
+    def pairs(group):
+        ids, roots, sizes, side = (group.column(c).to_numpy() for c in ("a", "root", "n", "own"))
+        lists = [np.frombuffer(zlib.decompress(v.as_py()), np.uint8) for v in group.column("vector")]
+        one, two = near_pairs(ids, roots, sizes, np.stack(lists).astype(np.int16), side, percent, every)
+        return pa.table({"a": pa.array(one, pa.int64()), "b": pa.array(two, pa.int64())})
+
+    found = dealt.groupBy("b", "lo", "hi").applyInArrow(pairs, "a bigint, b bigint")
+    return work.staged(found.distinct().withColumn("star", F.lit(False)), "near-pairs")
+
+
+def _member_links(spark: SparkSession, work: Scratch, stars: DataFrame, direct: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Linked pairs (u, v) among the members of large groups that links with the pivots do not connect.
+
+    First stars inside each group, which settle groups of near copies, then every pair that may be linked and is not
+    connected yet.
     """
-    root_of = lambda node, name: roots.select(F.col("node").alias(node), F.col("root").alias(name))
-    placed = stars.join(root_of("a", "root"), "a", "left").join(root_of("b", "pivot_root"), "b", "left").withColumns({
-        "root": F.coalesce("root", "a"), "pivot_root": F.coalesce("pivot_root", "b")}).withColumn("far", F.col("root") != F.col("pivot_root"))
-    placed = work.staged(placed, "placed")
-    around = placed.join(placed.filter("far").select("b").distinct(), "b", "left_semi")
-    differences = _differences(work, around, texts, width, percent)
-    signed = work.staged(_exploded(differences, "sigs", "sig", ["a", "b", "far", "root", "n", *MASKS]), "signed-differences")
-    shared = work.staged(_grouped(signed, "sig", F.max("far").alias("any_far")).filter("any_far"), "shared-differences")
-    probe, index = shared.filter("far").alias("x"), shared.alias("y")
-    at_least = sum((F.bit_count(F.col(f"x.{m}").bitwiseXOR(F.col(f"y.{m}"))) for m in MASKS), F.lit(0))
-    total = F.col("x.n") + F.col("y.n")
-    pairs = probe.join(index, "sig").filter(
-        (F.col("x.b") == F.col("y.b")) & (F.col("x.root") != F.col("y.root")) & (~F.col("y.far") | (F.col("x.a") < F.col("y.a")))
-        & (at_least * (100 + percent) <= total * (100 - percent)))
-    pairs = pairs.select(F.least("x.a", "y.a").alias("a"), F.greatest("x.a", "y.a").alias("b"), F.lit(False).alias("star")).distinct()
-    return _verified(work.staged(pairs, "difference-pairs"), texts, width, percent).filter("linked").select("a", "b")
+    sizes = classes.select(F.col("id").alias("a"), "n")
+    links_, vectors = direct, None
+    for every in (False, True):
+        roots = connected(spark, links_)
+        root_of = lambda node, name: roots.select(F.col("node").alias(node), F.col("root").alias(name))
+        placed = stars.join(root_of("a", "root"), "a", "left").join(root_of("b", "pivot_root"), "b", "left").select(
+            "a", "b", F.coalesce("root", "a").alias("root"), (F.coalesce("root", "a") != F.coalesce("pivot_root", "b")).alias("far"))
+        placed = work.staged(placed, "placed")
+        members = work.staged(placed.join(placed.filter("far").select("b").distinct(), "b", "left_semi").join(sizes, "a").select(
+            "b", "a", "root", "n"), "group-members")
+        vectors = _vectors(work, texts, members, width) if vectors is None else vectors
+        pairs = _group_pairs(work, members, vectors, percent, every)
+        more = _verified(pairs, texts, width, percent).filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
+        links_ = work.staged(links_.unionAll(more).distinct(), "member-links")
+    return links_
 
 
 def links(spark: SparkSession, docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -381,8 +397,8 @@ def links(spark: SparkSession, docs: DataFrame, width: int, percent: int) -> tup
     texts = _texts(narrow, docs, classes.select("id", "rep").join(wanted, "id", "left_semi"))
     verified = narrow.staged(_verified(open_pairs, texts, width, percent), "verified")
     direct = staged(spark, verified.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v")), "direct-links")
-    rest = _difference_pairs(narrow, verified.filter("star").select("a", "b"), connected(spark, direct), texts, width, percent)
-    found = staged(spark, direct.unionAll(rest.select(F.col("a").alias("u"), F.col("b").alias("v"))).distinct(), "class-links")
+    stars = verified.filter("star").select("a", "b")
+    found = staged(spark, _member_links(spark, narrow, stars, direct, classes, texts, width, percent), "class-links")
     names = staged(spark, classes.select("id", "key"), "class-names")
     narrow.clear()
     work.clear()

@@ -221,3 +221,35 @@ def test_leaked_items_are_found_and_clean_documents_left(spark, docs_of):
 
 def test_common_subsequence():
     assert latent_retrieval.common_subsequence(list("abcbdab"), list("bdcaba")) == 4
+
+
+@pytest.mark.parametrize("width,percent", [(3, 90)])
+def test_members_far_from_every_pivot_are_still_linked(spark, docs_of, monkeypatch, width, percent):
+    """A chain of near copies, each a little further from the first, and blocks smaller than the group."""
+    monkeypatch.setattr(combination_join, "BLOCK", 12)
+    r = random.Random(14)
+    base, texts = words(r, 120, 10**6), []
+    for _ in range(90):
+        texts.append(" ".join(base))
+        base = changed(r, base, 1)
+    apart = words(r, 150, 10**6)
+    texts += [" ".join(apart[:60] + words(r, 90, 10**6)) for _ in range(60)]
+    r.shuffle(texts)
+    pairs = list(enumerate(texts, start=5))
+    got = combination_join.near_duplicates(spark, docs_of(pairs), width, percent).collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == brute_components(pairs, width, percent)
+
+
+def test_bounds_of_member_pairs_lose_no_link():
+    r = np.random.default_rng(3)
+    sets = [np.unique(r.integers(0, 2**63, 400).astype(np.uint64))]
+    for _ in range(40):
+        base = sets[r.integers(len(sets))]
+        keep = base[r.random(len(base)) > r.random() * 0.12]
+        sets.append(np.unique(np.concatenate([keep, r.integers(0, 2**63, r.integers(0, 30)).astype(np.uint64)])))
+    vectors = np.stack([np.bincount((s >> np.uint64(20)).astype(np.int64) & 4095, minlength=4096) for s in sets]).astype(np.int16)
+    ids, sizes = np.arange(len(sets)), np.array([len(s) for s in sets])
+    linked = {(i, j) for i in ids for j in ids if i < j and 100 * (n := len(np.intersect1d(sets[i], sets[j]))) >= 90 * (sizes[i] + sizes[j] - n)}
+    for side in (np.zeros(len(sets), int), ids % 2):
+        found = set(zip(*combination_join.near_pairs(ids, ids, sizes, vectors, side, 90, True).tolist()))
+        assert {p for p in linked if side.max() == 0 or side[p[0]] != side[p[1]]} <= found and all(i < j for i, j in found)
