@@ -98,13 +98,14 @@ class Cut:
         starts = np.flatnonzero(stop <= k)
         return starts, stop[starts]
 
-    def span_hashes(self, hasher: "Hasher", starts: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Two independent hashes of the words of each span."""
-        bounds = np.append(self.first, len(self.hashes))
-        start, end = self.first[starts], bounds[stop]
-        # The second hash of a word comes from its bytes too, through another table.
+    def first_hashes(self, hasher: "Hasher", starts: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """A hash of the words of each span."""
+        return hasher.ranges(self.hashes, self.first[starts], np.append(self.first, len(self.hashes))[stop])
+
+    def second_hashes(self, hasher: "Hasher", starts: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """An independent one: its words' hashes come from their bytes through another table."""
         other = hasher.other(self.data, self.word_begin, self.word_end)
-        return hasher.ranges(self.hashes, start, end), hasher.ranges(other, start, end)
+        return hasher.ranges(other, self.first[starts], np.append(self.first, len(self.hashes))[stop])
 
 
 class Hasher(WordHasher):
@@ -118,19 +119,19 @@ class Hasher(WordHasher):
         return self.hashes(self.table[np.frombuffer(data, np.uint8)], begin, end)
 
 
-def _spans_of(batch: pa.RecordBatch, hasher: Hasher, rules: tuple[int, int]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(row, starts, first hashes, second hashes) of every text with a span; the text is the batch's last column."""
+def _spans_of(batch: pa.RecordBatch, hasher: Hasher, rules: tuple[int, int]) -> Iterator[tuple[int, Cut, np.ndarray, np.ndarray, np.ndarray]]:
+    """(row, cut text, starts, ends, first hashes) of every text with a span; the text is the batch's last column."""
     for row, v in enumerate(batch.column(batch.num_columns - 1)):
         cut = Cut(v.as_py(), hasher)
         starts, stop = cut.spans(*rules)
         if len(starts):
-            yield row, starts, *cut.span_hashes(hasher, starts, stop)
+            yield row, cut, starts, stop, cut.first_hashes(hasher, starts, stop)
 
 
 def _repeated(docs: DataFrame, rules: tuple[int, int]) -> Repeated:
     def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         hasher = Hasher()
-        for _, _, h1, _ in _spans_of(batch, hasher, rules):
+        for *_, h1 in _spans_of(batch, hasher, rules):
             yield h1
 
     return Repeated(_rows(docs), hashes)
@@ -146,7 +147,7 @@ def _hot_spans(docs: DataFrame, rules: tuple[int, int]) -> list[int]:
     def run(batches: Batches) -> Batches:
         hasher = Hasher()
         for batch in batches:
-            found = [h1 for _, _, h1, _ in _spans_of(batch, hasher, rules)]
+            found = [h1 for *_, h1 in _spans_of(batch, hasher, rules)]
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["h1"])
 
@@ -164,15 +165,16 @@ def _places(docs: DataFrame, rules: tuple[int, int], repeated: Repeated, hot: li
         hasher, may_repeat, common = Hasher(), repeated.worker(), np.array(hot, np.int64)
         for batch in batches:
             columns = [[] for _ in names]
-            for row, starts, h1, h2 in _spans_of(batch, hasher, rules):
+            for row, cut, starts, stop, h1 in _spans_of(batch, hasher, rules):
                 found = np.flatnonzero(may_repeat(h1))
                 if len(found):
+                    h2 = cut.second_hashes(hasher, starts[found], stop[found])
                     one, pos, doc, xxh = h1[found].view(np.int64), starts[found], batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
                     salt = np.full(len(pos), -1)
                     if len(common):
                         seed = np.uint64(hash((doc or 0, xxh)) & (1 << 63) - 1)
                         salt = np.where(np.isin(one, common), mixed(pos.astype(np.uint64) + seed) % np.uint64(SALTS), salt)
-                    values = (one, h2[found].view(np.int64), salt, np.full(len(pos), doc is None), np.full(len(pos), doc or 0), np.full(len(pos), xxh), pos)
+                    values = (one, h2.view(np.int64), salt, np.full(len(pos), doc is None), np.full(len(pos), doc or 0), np.full(len(pos), xxh), pos)
                     for column, value in zip(columns, values):
                         column.append(value)
             if columns[0]:
