@@ -4,8 +4,7 @@ A block is a run of consecutive lower-cased words, as many as the template has a
 so a notice may be wrapped, and words scattered over a long text do not count. A block meets a template when it contains
 at least ``threshold`` of the template's distinct words and all of its ``TELLING`` ones, which name the license.
 
-A text can only hold such a block if its whole set of words meets the template, so these sets are joined first, and only
-of texts in which the prefix and naming words of some template can be found at all.
+A text can only hold such a block if its whole set of words meets the template, so these sets are joined first.
 Template words are ordered by how many documents hold them, rarest
 first; a text keeps only template words, in that order. A text that meets a template must contain one of the
 template's first ``|T| - needed + 1`` words (prefix), have at least ``needed`` words (length), and enough words must
@@ -13,8 +12,7 @@ follow the first common one on both sides (position); for pairs that pass, the b
 word of the text are counted exactly. Templates are a short fixed list, so their index is broadcast.
 
 Defined cases: null and empty texts have no words and no label; repeated rows get the same result each; ids may be
-null; texts without template words take no part. Very long texts are split whole, and only those that may hold a template; of equal blocks the
-first counts. Columns other than the id and the text are not read, so their names cannot clash; an empty table gives no rows.
+null; texts without template words take no part. Very long texts are split whole; of equal blocks the first counts. Columns other than the id and the text are not read, so their names cannot clash; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -97,20 +95,13 @@ def word_order(docs: DataFrame, words: list[str]) -> list[str]:
     return sorted(words, key=lambda w: (n.get(w, 0), w))
 
 
-def holds(text: Column, asked: Sequence[tuple[Sequence[str], Sequence[str]]]) -> Column:
-    """Whether the text can meet any of the conditions: all words of the first list, and one of the second if there are any.
+def holds(text: Column, asked: Sequence[Sequence[str]]) -> Column:
+    """Whether the text can hold all words of one of the lists: they are looked for as substrings of the lower-cased text.
 
-    Words are looked for as plain substrings of the lower-cased text, before anything is split: a text without them is done with.
     (The lambda holds the lower-cased text so that it is made once.)
     """
     def any_of(lowered: Column) -> Column:
-        every = []
-        for needed, one_of in asked:
-            tests = [lowered.contains(w) for w in needed]
-            if one_of:
-                tests.append(reduce(lambda a, b: a | b, (lowered.contains(w) for w in one_of)))
-            every.append(reduce(lambda a, b: a & b, tests))
-        return reduce(lambda a, b: a | b, every)
+        return reduce(lambda a, b: a | b, (reduce(lambda a, b: a & b, (lowered.contains(w) for w in words)) for words in asked))
 
     return text.isNotNull() & F.exists(F.array(F.lower(text)), any_of)
 
@@ -131,10 +122,12 @@ def block_matches(spark: SparkSession, docs: DataFrame, templates=TEMPLATES, thr
         index, "word string, template int, label string, at int, size int, needed int, words array<string>, telling array<string>, span int"))
     least = min(row[5] for row in index)
     firsts = F.lit(sorted({row[0] for row in index}))
-    asked_for = [(telling[t], [row[0] for row in index if row[1] == t]) for t in range(len(sets))]
-    lowered = docs.filter(holds(F.col("text"), asked_for)).select(
-        F.col("doc_id").cast("long"), F.xxhash64("text").alias("xxh"), lower_ascii(F.col("text")).alias("lowered"))
-    texts = lowered.withColumn("held", F.array_intersect(F.lit(order), F.split("lowered", _NO_WORD))).filter(F.size("held") >= least)
+    lowered = lower_ascii(F.col("text"))
+    made = F.struct(lowered.alias("lowered"), F.array_intersect(F.lit(order), F.split(lowered, _NO_WORD)).alias("held"))
+    # Exploding a single struct keeps it one value: as a plain column the split would be made anew wherever it is used.
+    texts = docs.filter(F.col("text").isNotNull()).select(
+        F.col("doc_id").cast("long"), F.xxhash64("text").alias("xxh"), F.explode(F.array(made)).alias("t")).select(
+        "doc_id", "xxh", "t.*").filter(F.size("held") >= least)
     asked = F.filter(F.transform("held", lambda w, i: F.struct(i.alias("pos"), w.alias("word"))), lambda x: F.array_contains(firsts, x["word"]))
     ranked = texts.withColumn("asked", F.explode(asked)).select("doc_id", "xxh", "lowered", "held", "asked.*").join(prefix, "word")
     has_all = lambda held: F.size(F.array_intersect(held, F.col("telling"))) == F.size("telling")
@@ -163,7 +156,7 @@ def scanned(spark: SparkSession, docs: DataFrame) -> DataFrame:
     matches = block_matches(spark, docs).groupBy(F.col("doc_id").alias("id"), F.col("xxh").alias("x")).agg(
         F.collect_set("label").alias("found"), F.max("containment").alias("best"))
     text = F.coalesce("text", F.lit(""))
-    phrased = holds(text, [(phrase.split(), ()) for phrase, _ in PHRASES])
+    phrased = holds(text, [phrase.split() for phrase, _ in PHRASES])
     rows = docs.select(F.col("doc_id"), F.xxhash64("text").alias("xxh"), n_words(text).alias("n_words"),
                        F.when(phrased, spaced(text)).otherwise("").alias("spaced"))
     base = rows.select("doc_id", "xxh", "n_words", *[c.alias(n) for n, c in phrase_columns(F.col("spaced")).items() if n != "n_words"])
