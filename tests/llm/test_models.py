@@ -66,6 +66,18 @@ def test_the_vocabulary_grows_with_the_counts(spark, docs_of, monkeypatch):
     assert known == [3001]  # 3,000 words and the end, each at least 200 times
 
 
+def test_the_most_frequent_words_are_cut_by_rank(spark):
+    r = np.random.default_rng(6)
+    n = r.integers(1, 300, 500).tolist() + [128] * 40
+    hashes = r.choice(10**9, len(n), replace=False).tolist()
+    counts = spark.createDataFrame(list(zip(hashes, n)), "hash bigint, n bigint")
+    ranked = sorted(zip(hashes, n), key=lambda x: (-x[1], x[0]))
+    for limit in (1, 37, 250, 539, 540, 10_000):
+        found, times = lm.frequent(counts, limit)
+        assert dict(zip(found.tolist(), times.tolist())) == dict(ranked[:limit]) and (np.diff(found.astype(np.int64)) > 0).all()
+    assert len(lm.frequent(counts.limit(0), 5)[0]) == 0
+
+
 def test_classifier_on_held_out_documents(spark):
     folder = "/root/testdata/sf0.01"
     truth = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
