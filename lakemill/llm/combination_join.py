@@ -14,7 +14,7 @@ the bands of all sizes a partner may have.
 *Large groups.* A signature with more than ``SMALL`` classes emits no pairs. Its most typical class is the
 pivot and is compared with each member. Two members linked with the pivot need no comparison. The others are compared
 among each other, ``BLOCK`` by ``BLOCK``, by vectors of bucket counts whose distance is never above the sets' difference: first
-in stars, which connect groups of near copies, then in all pairs that may be linked and are not connected yet. Such a
+each with its ``NEAREST``, which connects groups of near copies, then all pairs that may be linked and are not connected yet. Such a
 comparison emits only pairs that pass the bound. No pair is dropped, nothing is capped; the comparisons in a group grow with its members
 times those its pivot does not connect.
 
@@ -55,6 +55,7 @@ FIRST_BAND = 5  # below 32 shingles every shingle counts as rare
 GROUP_SPREAD = 80
 VECTOR = 4096
 BLOCK = 512
+NEAREST = 6
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -315,21 +316,20 @@ def _vectors(work: Scratch, texts: DataFrame, wanted: DataFrame, width: int) ->
 
 
 def near_pairs(ids: np.ndarray, roots: np.ndarray, sizes: np.ndarray, vectors: np.ndarray, side: np.ndarray, percent: int, every: bool):
-    """Pairs of unconnected members whose vectors allow a link: all of them, or a star around each member no star has reached.
+    """Pairs of unconnected members whose vectors allow a link: all of them, or of each member with its ``NEAREST``.
 
     Cutting counts off at 255 only brings vectors closer, so no linked pair is missed. Members of two blocks (``side``) are compared across.
     """
-    cross, free, out = side.min() != side.max(), np.ones(len(ids), bool), []
+    cross, places, out = side.min() != side.max(), np.arange(len(ids)), []
     for i in range(len(ids)):
-        if not every and not free[i]:
-            continue
-        free[i] = False
-        others = np.flatnonzero((roots != roots[i]) & ((side != side[i]) if cross else np.arange(len(ids)) > i if every else np.arange(len(ids)) != i))
-        if cross and every:
+        others = np.flatnonzero((roots != roots[i]) & ((side != side[i]) if cross else places != i))
+        if every:
             others = others[others > i]
         apart = np.abs(vectors[others] - vectors[i]).sum(axis=1)
-        near = others[apart <= (sizes[others] + sizes[i]) * (100 - percent) // (100 + percent)]
-        free[near] = False
+        fits = apart <= (sizes[others] + sizes[i]) * (100 - percent) // (100 + percent)
+        near, apart = others[fits], apart[fits]
+        if not every and len(near) > NEAREST:
+            near = near[np.argsort(apart, kind="stable")[:NEAREST]]
         out.append(np.stack([np.minimum(ids[near], ids[i]), np.maximum(ids[near], ids[i])]))
     return np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
 
@@ -355,7 +355,7 @@ def _group_pairs(work: Scratch, members: DataFrame, vectors: DataFrame, percent:
 def _member_links(spark: SparkSession, work: Scratch, stars: DataFrame, direct: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Linked pairs (u, v) among the members of large groups that links with the pivots do not connect.
 
-    First stars inside each group, which settle groups of near copies, then every pair that may be linked and is not
+    First each member with its nearest, which settles groups of near copies, then every pair that may be linked and is not
     connected yet.
     """
     sizes = classes.select(F.col("id").alias("a"), "n")
