@@ -105,6 +105,8 @@ def _long_ties(tied: DataFrame, totals: DataFrame, best: Row, id_col: str, k: in
     span = F.col("_span")
     n, s = best._span.last - best._span.first + 1, best._span.cents
     short = tied.filter((span["last"] - span["first"] == k - 1) & (F.col("_best") == F.lit(best._best)))
+    if short.limit(2).count() < 2:
+        return 0
     # Running totals inside a range begin with the halo, the last ids of the range before.
     last = (_range_of(F.col(id_col), width) + 1) * width - 1
     sums = totals.groupBy(_range_of(F.col(id_col), width).alias("_range")).agg(
