@@ -56,6 +56,7 @@ GROUP_SPREAD = 80
 VECTOR = 4096
 BLOCK = 512
 NEAREST = 6
+SLICE = 500
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -182,7 +183,8 @@ def _exploded(rows: DataFrame, column: str, name: str, kept: list[str]) -> DataF
 
     def run(batches: Batches) -> Batches:
         may = repeated.worker()
-        for batch in batches:
+        # A row has hundreds of elements: a few rows at a time keep what goes back to Spark small.
+        for batch in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):
             lists = batch.column(len(kept))
             sizes = lists.value_lengths().fill_null(0).to_numpy()
             values = lists.flatten().to_numpy()
