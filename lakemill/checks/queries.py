@@ -719,14 +719,14 @@ def stream_upsert(spark, sf_dir):
 
 @query
 def stream_dim_merge(spark, sf_dir):
-    """Order lines as versions of a product, two files, a micro-batch each: the streamed form of ``dim_merge``."""
+    """Order lines as versions of a product, two deliveries, a micro-batch each: the streamed form of ``dim_merge``."""
     lines = model.lines(spark, sf_dir).withColumn("line_group", (F.col("product_id") % 4).cast("int"))
     old, new = _split(lines, "modified_time")
     folder, table = fresh_dir(spark, "versions"), f"{fresh_database(spark, 'stream')}.products"
     tables.write_partitioned(shape.audit_stamp(shape.empty_like(lines), FIRST_RUN), table, ["line_group"])
     # The first run takes up what lies there, the next one what came since.
     for rows, run_ts in ((old, FIRST_RUN), (new, SECOND_RUN)):
-        rows.coalesce(1).write.mode("append").parquet(folder)
+        rows.write.mode("append").parquet(folder)
         stream = ingest.file_stream(spark, folder, lines.schema)
         upsert.dim_merge_stream(stream, table, ["product_id"], ["modified_time"], f"{folder}-checkpoint", lambda: run_ts)
     return spark.table(table)

@@ -99,3 +99,14 @@ def test_upsert_stream_takes_a_merge(spark):
     stream = ingest.file_stream(spark, folder, spark.read.parquet(folder).schema)
     upsert.upsert_stream(stream, table, ["k"], ["t"], f"{fresh_dir(spark, 'cp')}/cp", merge=keep_stored, keys_move=False)
     assert rows(spark.table(table), "v") == [("old",)]
+
+
+def test_versions_are_written_by_many_tasks(spark, small, monkeypatch):
+    from lakemill.checks import queries
+
+    lines = spark.read.parquet(f"{small}/lineitem.parquet").repartition(6)
+    monkeypatch.setattr(queries.model, "table", lambda *_: lines)
+    folders = []
+    monkeypatch.setattr(queries, "fresh_dir", lambda s, label: folders.append(fresh_dir(s, label)) or folders[-1])
+    queries.registry()["stream_dim_merge"](spark, small)
+    assert len(spark.read.parquet(folders[0]).inputFiles()) > 6
