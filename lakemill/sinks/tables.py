@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from lakemill.operators.shape import conform
-from lakemill.session import dynamic_partitions, fresh_dir, remove_dir
+from lakemill.session import dynamic_partitions, fresh_dir, remove_dir, write_tasks
 from lakemill.sinks import ledger
 from lakemill.sinks.layers import (
     create_from_frame, create_table, drop_partitions, partition_columns, quoted, repair_partitions,
@@ -29,7 +29,8 @@ def write_partitioned(df: DataFrame, table: str, partitions: list[str], mode: st
     if mode == "overwrite" and spark.catalog.tableExists(table):
         _replace(df, table, partitions)
         return
-    rebalanced(df, partitions).write.mode(mode).format("parquet").partitionBy(*partitions).saveAsTable(table)
+    with write_tasks(spark):
+        rebalanced(df, partitions).write.mode(mode).format("parquet").partitionBy(*partitions).saveAsTable(table)
 
 
 def _replace(df: DataFrame, table: str, partitions: list[str]) -> None:
@@ -48,7 +49,8 @@ def _replace(df: DataFrame, table: str, partitions: list[str]) -> None:
     try:
         # Columns in the table's order, which a version of the same shape goes by.
         rows = conform(df, stored) if same else df
-        rebalanced(rows, partitions).write.partitionBy(*partitions).parquet(stage)
+        with write_tasks(spark):
+            rebalanced(rows, partitions).write.partitionBy(*partitions).parquet(stage)
         if same and partitions:
             staged = spark.read.schema(rows.schema).parquet(stage)
             before = stored.select(*partitions).distinct().collect()
@@ -104,7 +106,8 @@ def append_rows(df: DataFrame, table: str) -> None:
     spark = df.sparkSession
     ledger.forget(spark, table)
     rows = conform(df, spark.table(table))
-    rebalanced(rows, partition_columns(spark, table)).write.mode("append").insertInto(table)
+    with write_tasks(spark):
+        rebalanced(rows, partition_columns(spark, table)).write.mode("append").insertInto(table)
 
 
 def overwrite_partitions(df: DataFrame, table: str) -> None:
@@ -117,7 +120,7 @@ def replace_covered(df: DataFrame, table: str) -> None:
     """:func:`overwrite_partitions` for writers that keep the table's ledger themselves."""
     spark = df.sparkSession
     rows = conform(df, spark.table(table))
-    with dynamic_partitions(spark):
+    with dynamic_partitions(spark), write_tasks(spark):
         rebalanced(rows, partition_columns(spark, table)).write.mode("overwrite").insertInto(table)
 
 
@@ -147,4 +150,5 @@ def publish(df: DataFrame, table: str) -> None:
 
 def write_folder(df: DataFrame, path: str, partitions: list[str], mode: str = "append") -> None:
     """Partitioned files without a catalog entry; ``repair_partitions`` makes a table see them."""
-    rebalanced(df, partitions).write.mode(mode).partitionBy(*partitions).parquet(path)
+    with write_tasks(df.sparkSession):
+        rebalanced(df, partitions).write.mode(mode).partitionBy(*partitions).parquet(path)

@@ -319,3 +319,23 @@ def test_an_unpartitioned_table_is_switched_by_its_location(spark, db):
     assert rows(spark.table(t)) == [(2, "a")]
     tables.write_partitioned(spark.createDataFrame([("z", 9)], "w string, v int"), t, [])
     assert rows(spark.table(t), "v", "w") == [(9, "z")]
+
+
+def test_a_write_task_takes_a_bounded_share_of_one_partition(spark, db, monkeypatch):
+    monkeypatch.setattr("lakemill.session.WRITE_BYTES", 1 << 14)
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    rows_ = spark.range(0, 40_000, 1, 8).select("id", F.xxhash64("id").alias("v"), F.lit("one").alias("p"))
+    tables.write_partitioned(rows_, f"{db}.shares", ["p"])
+    assert len(spark.table(f"{db}.shares").inputFiles()) > 4 and spark.table(f"{db}.shares").count() == 40_000
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == before
+
+
+def test_the_first_upsert_leaves_the_ledger_to_the_next(spark, db):
+    t = keyed_table(spark, db, [(9, "gone", 1, "q")])
+    spark.sql(f"ALTER TABLE {t} DROP PARTITION (p = 'q')")
+    keyed.keyed_upsert(frame(spark, [(1, "a", 1, "x"), (1, "a2", 2, "y"), (2, "b", 1, "y")]), t, ["k"], ["t"])
+    assert rows(spark.table(t), "k", "v", "p") == [(1, "a2", "y"), (2, "b", "y")]
+    assert not spark.catalog.tableExists(ledger.name_of(t))
+    keyed.keyed_upsert(frame(spark, [(1, "a3", 3, "x")]), t, ["k"], ["t"], settled=True)
+    assert rows(spark.table(t), "k", "v", "p") == [(1, "a3", "x"), (2, "b", "y")]
+    assert entries(spark, t) == sorted([(1, "y", True), (2, "y", True), (1, "x", False), (1, "x", True)], key=repr)
