@@ -72,9 +72,16 @@ def incremental_from(source: DataFrame, target: DataFrame, mark: Watermark, comp
     compared = [c for c in compared if c in target.columns]
     # Each side as text of the target's types, so that a narrower source column compares alike.
     kinds = dict(target.dtypes)
+    # A mark that is compared itself differs above the high-water: those rows need no comparison.
+    edge_only = all(c in compared and dict(source.dtypes)[c] == kinds[c] for c in mark.columns)
+    above = None
+    if edge_only:
+        level = _literal(high, source, mark)
+        above, fresh = fresh.filter(at > level), fresh.filter(at == level)
     digest = F.sha2(F.to_json(F.struct(*[F.col(c).cast(kinds[c]).cast("string").alias(f"c{i}") for i, c in enumerate(compared)])), 256)
     stored = edge.select(digest.alias("_stored")).distinct()
-    return fresh.withColumn("_digest", digest).join(stored, F.col("_digest") == F.col("_stored"), "left_anti").drop("_digest")
+    unseen = fresh.withColumn("_digest", digest).join(stored, F.col("_digest") == F.col("_stored"), "left_anti").drop("_digest")
+    return unseen if above is None else above.unionByName(unseen)
 
 
 def _literal(high, df: DataFrame, mark: Watermark) -> Column:

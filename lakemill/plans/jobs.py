@@ -120,7 +120,8 @@ def clean(spark: SparkSession, spec: TableSpec, ods: str, dwd: str, run_day: str
     replace_load(cleaned_load(today, spec, run_day, run_ts), table, run_day, spec.partition)
     load = spark.table(table).filter(F.col(LOAD_DAY) == run_day).drop(LOAD_DAY)
     for kept in spec.versions():
-        keyed_upsert(_candidates(load, kept), kept_table(dwd, spec, kept.name), list(kept.keys), list(kept.order), keys_move=spec.keys_move)
+        keyed_upsert(
+            _candidates(load, kept), kept_table(dwd, spec, kept.name), list(kept.keys), list(kept.order), keys_move=spec.keys_move, settled=True)
 
 
 def cleaned_load(today: DataFrame, spec: TableSpec, run_day: str, run_ts: str) -> DataFrame:

@@ -10,10 +10,10 @@ from pyspark.sql.types import StructType
 
 from lakemill.operators.dedupe import dedupe_latest
 from lakemill.operators.merge import latest_per_key
-from lakemill.operators.shape import conform
+from lakemill.operators.shape import conform, empty_like
 from lakemill.session import fresh_dir, remove_dir
 from lakemill.sinks import ledger
-from lakemill.sinks.layers import drop_partitions, partition_columns
+from lakemill.sinks.layers import drop_partitions, has_partitions, partition_columns
 from lakemill.sinks.tables import replace_covered, write_partitioned
 
 Merge = Callable[[DataFrame, DataFrame], DataFrame]
@@ -33,26 +33,31 @@ def keyed_upsert(
     precombine: list[str],
     merge: Merge | None = None,
     keys_move: bool = True,
+    settled: bool = False,
 ) -> None:
     """Insert new keys and update known ones, rewriting only the partitions involved.
 
     ``merge(batch, stored)`` combines the batch with the stored rows of those partitions; by default
     the latest row per key stays. ``keys_move=False`` promises that a key never changes partition and
-    saves looking up where the batch's keys are stored.
+    saves looking up where the batch's keys are stored. ``settled`` promises that the batch reads alike
+    however often it is read, as stored rows nobody writes to do, and saves writing it down.
 
     Involved are the partitions of the batch and those where its keys are stored now, which the table's key ledger
     tells (:mod:`lakemill.sinks.ledger`), so a key that moves leaves its old partition. Merged rows are staged in full before any
     partition is replaced; partitions left without rows are dropped last. Running the same batch again, also after
-    a failure half-way, gives the same table.
+    a failure half-way, gives the same table. A table without partitions holds no key and no row to merge with: the batch
+    is merged straight into it, and the ledger is left to the next upsert, which builds it from the table.
     """
     stage = fresh_dir(df.sparkSession, "stage")
     try:
-        _upsert(df, table, keys, precombine, merge, keys_move, stage)
+        _upsert(df, table, keys, precombine, merge, keys_move, settled, stage)
     finally:
         remove_dir(df.sparkSession, stage)
 
 
-def _upsert(df: DataFrame, table: str, keys: list[str], precombine: list[str], merge: Merge | None, keys_move: bool, stage: str) -> None:
+def _upsert(
+    df: DataFrame, table: str, keys: list[str], precombine: list[str], merge: Merge | None, keys_move: bool, settled: bool, stage: str
+) -> None:
     spark = df.sparkSession
     # Another session may have rewritten the table since this one listed its files.
     spark.catalog.refreshTable(table)
@@ -63,7 +68,13 @@ def _upsert(df: DataFrame, table: str, keys: list[str], precombine: list[str], m
     # The batch is read once and written down: a source that changes meanwhile must not hold other
     # rows for the merge than for the list of partitions. The merge reduces it to one row per key.
     rows = conform(df, stored)
-    batch = _down(rows, f"{stage}/batch")
+    first = not has_partitions(spark, table)
+    batch = rows if settled or (first and not merge) else _down(rows, f"{stage}/batch")
+    merging = merge or (lambda new, old: latest_per_key(new, old, keys, precombine))
+    if first:
+        ledger.forget(spark, table)
+        replace_covered(merging(batch, empty_like(stored)), table)
+        return
     # Distinct partition values only: as many as the catalog lists, not as many as there are rows.
     touched = set(batch.select(*parts).distinct().collect())
     if not touched:
@@ -73,8 +84,7 @@ def _upsert(df: DataFrame, table: str, keys: list[str], precombine: list[str], m
         known = _down(ledger.located(spark, table, batch, keys, parts), f"{stage}/known")
         touched |= set(known.select(*parts).distinct().collect())
     affected = _in_partitions(stored, parts, touched)
-    merged = merge(batch, affected) if merge else latest_per_key(batch, affected, keys, precombine)
-    staged = _down(merged, f"{stage}/merged")
+    staged = _down(merging(batch, affected), f"{stage}/merged")
     load = ledger.next_load()
     if keys_move:
         where = list(dict.fromkeys([*keys, *parts]))

@@ -54,6 +54,11 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
+def has_partitions(spark: SparkSession, table: str) -> bool:
+    """Whether the catalog lists any partition of the table: without one it has no rows."""
+    return not spark.sql(f"SHOW PARTITIONS {quoted(table)}").isEmpty()
+
+
 def drop_partitions(spark: SparkSession, table: str, values: list[Row]) -> None:
     """Remove partitions given by rows of the partition columns."""
     if values:

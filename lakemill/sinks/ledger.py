@@ -50,9 +50,10 @@ def _buckets(spark: SparkSession, table: str) -> int:
     raise ValueError(f"{name_of(table)} is not bucketed")
 
 
-def _write(rows: DataFrame, table: str, keys: list[str], buckets: int) -> None:
-    """Rows dealt as the buckets are, so that each bucket gets one file."""
-    writer = rows.repartition(buckets, *keys).write.mode("append").format("parquet")
+def _write(rows: DataFrame, table: str, keys: list[str], buckets: int, once: bool = False) -> None:
+    """Rows dealt as the buckets are, so that each bucket gets one file; with ``once`` repeats go where they were dealt to."""
+    dealt = rows.repartition(buckets, *keys)
+    writer = (dealt.distinct() if once else dealt).write.mode("append").format("parquet")
     writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name_of(table))
 
 
@@ -62,11 +63,11 @@ def _entries(rows: DataFrame, keys: list[str], parts: list[str], load: int, conf
 
 
 def build(spark: SparkSession, table: str, keys: list[str], parts: list[str]) -> None:
-    """The ledger from the table itself: one scan of its keys."""
+    """The ledger from the table itself: one scan of its keys and one exchange."""
     forget(spark, table)
-    stored = spark.table(table).select(*keys, *[p for p in parts if p not in keys]).distinct()
+    stored = spark.table(table).select(*keys, *[p for p in parts if p not in keys])
     buckets = max(LEAST_BUCKETS, math.ceil(spark.table(table).count() / ROWS_PER_BUCKET))
-    _write(_entries(stored, keys, parts, 0, True), table, keys, buckets)
+    _write(_entries(stored, keys, parts, 0, True), table, keys, buckets, once=True)
 
 
 def ensure(spark: SparkSession, table: str, keys: list[str], parts: list[str]) -> None:

@@ -78,3 +78,9 @@ def test_bad_watermark():
         Watermark("size", ("c",))
     with pytest.raises(ValueError):
         Watermark("ts", ("c", "o"))
+
+
+def test_only_rows_at_the_high_water_are_compared(spark):
+    new = incremental_from(frame(spark, SOURCE), frame(spark, STORED), ONE, ["id", "c", "o"])
+    assert [r[0] for r in rows(new, "id")] == [3, 4, 6, 8]
+    assert new._jdf.queryExecution().optimizedPlan().toString().startswith("Union")  # the others pass beside the join
