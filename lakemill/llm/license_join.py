@@ -138,7 +138,8 @@ def block_matches(spark: SparkSession, docs: DataFrame, templates=TEMPLATES, thr
     pairs = ranked.filter(enough).filter(first & (overlap >= F.col("needed")) & has_all(F.col("held")))
 
     numbered = F.transform(F.split("lowered", _NO_WORD), lambda w, i: F.struct(i.alias("i"), w.alias("w")))
-    placed = pairs.withColumn("placed", F.filter(numbered, lambda x: F.array_contains(F.col("words"), x["w"])))
+    # Exploded like the texts: as a plain column the split would be made anew for every template word of the text.
+    placed = pairs.withColumn("placed", F.explode(F.array(F.filter(numbered, lambda x: F.array_contains(F.col("words"), x["w"])))))
 
     def block(x: Column, k: Column) -> Column:
         near = F.filter(F.slice(F.col("placed"), k + 1, F.col("span")), lambda y: y["i"] < x["i"] + F.col("span"))
@@ -146,7 +147,7 @@ def block_matches(spark: SparkSession, docs: DataFrame, templates=TEMPLATES, thr
 
     blocks = F.filter(F.transform("placed", block), lambda b: (F.size(b["held"]) >= F.col("needed")) & has_all(b["held"]))
     best = F.array_max(F.transform(blocks, lambda b: F.struct(F.size(b["held"]).alias("n"), b["back"].alias("back"))))
-    found = placed.withColumn("best", best).filter(F.col("best").isNotNull())
+    found = placed.withColumn("best", F.explode(F.array(best))).filter(F.col("best").isNotNull())
     return found.select(
         "doc_id", "xxh", (-F.col("best.back")).alias("block"), "template", "label", (F.col("best.n") / F.col("size")).alias("containment"))
 

@@ -101,6 +101,12 @@ def test_license_blocks_and_phrases(spark, docs_of):
     assert rows[5].n_words == 0 and rows[5].first_word is None and rows[6].labels == ""
 
 
+def test_a_text_is_split_once_for_its_blocks(spark, docs_of):
+    """Not again for every template word it holds: the optimizer must not put the split where it is used."""
+    plan = license_join.block_matches(spark, docs_of([(1, "Released under the MIT License")]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(lowered") == 1
+
+
 def licenses(spark, docs_of, texts):
     return [tuple(r[:2]) for r in license_join.scanned(spark, docs_of(list(enumerate(texts)))).orderBy("doc_id").select("labels", "score").collect()]
 
