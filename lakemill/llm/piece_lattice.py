@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lakemill.llm.frames import Scratch, extended, free_prefix
+from lakemill.llm.frames import Scratch, extended, free_prefix, in_parts
 from lakemill.llm.shingles import WordHasher
 
 HEAD = 1 << 22
@@ -262,7 +262,7 @@ def distinct_segments(docs: DataFrame, pieces: Pieces) -> DataFrame:
 
     def run(batches):
         cuts, hasher = shared.value, WordHasher()
-        for batch in batches:
+        for batch in in_parts(batches, 1000):  # larger parts hold fewer repeats, smaller ones less at once
             data = [prepared(t) for t in batch.column(0).to_pylist()]
             parts = [segments(d, cuts, hasher) for d in data]
             if not parts:
@@ -322,7 +322,7 @@ def encoded(spark: SparkSession, docs: DataFrame, pieces: Pieces, head: int = HE
     def run(batches):
         cuts, table, known, starts, flat = shared.value
         hasher, padded = WordHasher(), np.append(known, np.uint64(0))
-        for batch in batches:
+        for batch in in_parts(batches):
             ids, decoded, holes = [], [], []
             for text in batch.column(at).to_pylist():
                 found = back = missing = None
@@ -354,7 +354,7 @@ def encoded(spark: SparkSession, docs: DataFrame, pieces: Pieces, head: int = HE
 
     def fill(batches):
         table = shared.value[1]
-        for batch in batches:
+        for batch in in_parts(batches):
             ids, decoded = [], []
             for some, answer in zip(batch.column(keep).to_pylist(), batch.column(keep + 2).to_pylist()):
                 rest, whole = iter(answer), []

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lakemill.llm.frames import extended, text_bytes, map_arrow
+from lakemill.llm.frames import extended, in_parts
 
 SYMBOLS = (b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">")
 SPACES = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
@@ -68,19 +68,21 @@ def counts(data: bytes) -> tuple[int, ...]:
     )
 
 
-def with_counts(docs: DataFrame, prefix: str, text: str = "text") -> DataFrame:
-    """``docs`` with a long column per count behind its own columns.
+def with_counts(docs: DataFrame, prefix: str, text: str = "text", drop_text: bool = False) -> DataFrame:
+    """``docs`` with a long column per count behind its own columns; with ``drop_text`` without the text, which then does not come back from Python.
 
     A null text counts as empty; rows, order of columns and values of ``docs`` stay as they are.
     """
-    data = f"{prefix}bytes"
-    keep = len(docs.columns)
-    wide = docs.withColumn(data, text_bytes(F.col(f"`{text}`")))
-    schema = extended(docs, ", ".join(f"`{prefix}{c}` bigint" for c in COUNTS))
+    at = docs.columns.index(text)
+    kept = [i for i in range(len(docs.columns)) if not (drop_text and i == at)]
+    own = docs.select(*[F.col(f"`{docs.columns[i]}`") for i in kept])
+    schema = extended(own, ", ".join(f"`{prefix}{c}` bigint" for c in COUNTS))
 
-    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = np.array([counts(v.as_py()) for v in batch.column(keep)], np.int64).reshape(-1, len(COUNTS))
-        arrays = [batch.column(i) for i in range(keep)] + [pa.array(rows[:, i]) for i in range(len(COUNTS))]
-        return pa.RecordBatch.from_arrays(arrays, names=schema.names)
+    def run(batches):
+        for batch in in_parts(batches):
+            data = batch.column(at).cast(pa.binary())
+            rows = np.array([counts(v.as_py() or b"") for v in data], np.int64).reshape(-1, len(COUNTS))
+            arrays = [batch.column(i) for i in kept] + [pa.array(rows[:, i]) for i in range(len(COUNTS))]
+            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
-    return map_arrow(wide, schema, each)
+    return docs.mapInArrow(run, schema)

@@ -64,3 +64,23 @@ def test_extra_columns_with_clashing_names(spark, docs_of, labels, benchmark, pi
     assert out.count() == 2
     kept = [c for c in ("qr_kept", "sd_removed", "sp_ids", "lr_hits", "re_score") if c in out.columns]
     assert all(r[c] == 7 for r in out.select(*kept).collect() for c in kept)
+
+
+def test_batches_are_taken_in_parts(spark):
+    import pyarrow as pa
+
+    from lakemill.llm.frames import in_parts
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1201))], names=["x"])
+    parts = list(in_parts(iter([batch, batch.slice(0, 0)])))
+    assert [p.num_rows for p in parts] == [500, 500, 201] and pa.Table.from_batches(parts).column(0).to_pylist() == list(range(1201))
+
+
+def test_texts_go_to_python_once_and_not_back_for_calibration(spark, docs_of):
+    from lakemill.llm.text_stats import with_counts
+
+    docs = docs_of([(1, "one two"), (2, None)])
+    plan = with_counts(docs, "t_")._jdf.queryExecution().optimizedPlan().toString()
+    assert "as binary" not in plan
+    slim = with_counts(docs, "t_", drop_text=True)
+    assert "text" not in slim.columns and [r["t_n_words"] for r in slim.orderBy("doc_id").collect()] == [2, 0]
