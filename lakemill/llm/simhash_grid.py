@@ -183,11 +183,17 @@ def _block_links(rows: DataFrame, distance: int) -> DataFrame:
         "cell", "probe", "base").applyInArrow(links, "u long, v long").filter("u != v")
 
 
-def links(spark: SparkSession, classes: DataFrame, distance: int = 4) -> DataFrame:
-    """Links (u, v) between fingerprints; in cells above ``CELL`` classes enough of them to join what is connected."""
+def met_in_cells(classes: DataFrame, distance: int) -> DataFrame:
+    """(cell, fp, held, pivot): the classes of every cell that holds several, how many those are, and its pivot."""
     cells = in_cells(classes, distance)
     held = cells.groupBy("cell").agg(F.count("*").alias("held"), F.max_by("fp", F.struct("n", "fp")).alias("pivot"))
-    met = staged(spark, cells.select("cell", "fp").join(held.filter("held > 1"), "cell"), "cells")
+    # Spark takes the cells to be as few as the classes they are made of, a hundredth, and would broadcast them.
+    return cells.select("cell", "fp").hint("merge").join(held.filter("held > 1"), "cell")
+
+
+def links(spark: SparkSession, classes: DataFrame, distance: int = 4) -> DataFrame:
+    """Links (u, v) between fingerprints; in cells above ``CELL`` classes enough of them to join what is connected."""
+    met = staged(spark, met_in_cells(classes, distance), "cells")
     few, many = met.filter(F.col("held") <= CELL).select("cell", "fp"), met.filter(F.col("held") > CELL).select("cell", "fp", "pivot")
     small = few.select("cell", F.col("fp").alias("u")).join(
         few.select("cell", F.col("fp").alias("v")), "cell").filter((F.col("u") < F.col("v")) & (_differ("u", "v") <= distance))

@@ -3,9 +3,11 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from lakemill.llm import simhash_grid
 from lakemill.llm.frames import documents
+from lakemill.session import fresh_dir
 
 
 def slow_fingerprint(text, width=4):
@@ -98,6 +100,15 @@ def test_large_cells_are_worked_off_in_blocks(spark, monkeypatch, spread):
     assert [find(i) for i in range(len(values))] == slow_components(values)
 
 
+def test_cells_are_not_broadcast(spark):
+    """A class becomes a hundred rows that no estimate of Spark's knows of."""
+    path = fresh_dir(spark, "few-classes")
+    spark.range(200).select(F.xxhash64("id").alias("fp"), F.lit(1).cast("long").alias("n")).write.parquet(path)
+    met = simhash_grid.met_in_cells(spark.read.parquet(path), 4)
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_odd_documents(spark, docs_of, odd):
     got = sorted(((r.doc_id is None, r.doc_id, r.fingerprint, r.component_id) for r in simhash_grid.near_duplicates(spark, odd).collect()), key=repr)
     zero = "0" * 16
