@@ -3,8 +3,8 @@
 Documents and benchmark items are cut into passages of ``2 * STEP`` words that overlap by half. Terms are the
 lower-cased words of a block of at most ``BLOCK`` benchmark passages, weighted by their document frequency over
 *all* documents. A randomised singular value decomposition, with every product of the TF-IDF matrix and its
-transpose computed by Spark, gives the latent space; its rows are the block's passages and those of a bounded
-sample of documents (``SAMPLE``), scaled down so that they add word associations without outweighing the
+transpose computed by Spark, gives the latent space; its rows are the block's passages and all passages of *all*
+documents (there without overlap), scaled down so that they add word associations without outweighing the
 benchmark. The items are the stated query set, blocks follow one another in the same pass. A hit must hold, with the passage on either
 side, at least half of the item's rarest words (its answer), so passages are first looked through for these, which loses no hit; those
 left are compared with the item by cosine, and candidates must then hold, in order, most of the item's words (longest
@@ -24,16 +24,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakemill.llm.frames import free_prefix, staged, text_bytes
+from lakemill.llm.frames import Scratch, free_prefix, in_parts, text_bytes
 
 STEP = 32
 BLOCK = 1024
-SAMPLE = 1000
 RANK, OVERSAMPLING, ROUNDS = 128, 16, 2
-SAMPLE_WEIGHT = 0.25
+CORPUS_WEIGHT = 0.25
 LEAST_COSINE = 0.35
 LEAST_ORDERED = 0.6
-CHUNK = 256
+CHUNK = 16  # terms whose sums meet in one group: every task sends its own
+ROWS = 128  # passages multiplied at once: more hold more terms, and few of all of them
 
 
 @dataclass
@@ -93,14 +93,10 @@ def document_frequencies(docs: DataFrame, terms: dict[bytes, int]) -> tuple[np.n
             total = n
         else:
             df[term] = n
+    shared.destroy()
     return df, total
 
 
-def known_ids(data: bytes, terms: dict[bytes, int]) -> np.ndarray:
-    get = terms.get
-    return np.array([get(w, -1) for w in data.lower().split()], np.int64)
-
-
 def weighted(ids: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Terms and unit-length TF-IDF weights of one passage."""
     at, tf = np.unique(ids[ids >= 0], return_counts=True)
@@ -108,17 +104,49 @@ def weighted(ids: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, w / max(float(np.linalg.norm(w)), 1e-12)
 
 
+def passage_weights(batch: pa.RecordBatch, terms: dict[bytes, int], idf: np.ndarray) -> pa.RecordBatch:
+    """(terms, weights) of every passage, without overlap, that holds a known word: as :func:`weighted`, for a whole batch at once."""
+    get, n, known, at = terms.get, len(terms), [], 0
+    for v in batch.column(0):
+        ids = np.array([get(w, -1) for w in v.as_py().lower().split()], np.int64)
+        place = np.flatnonzero(ids >= 0)
+        known.append((at + place // (2 * STEP)) * n + ids[place])
+        at += len(ids) // (2 * STEP) + 1
+    keys, tf = np.unique(np.concatenate([np.zeros(0, np.int64), *known]), return_counts=True)
+    w, first = tf * idf[keys % n], np.flatnonzero(np.diff(keys // n, prepend=-1))
+    sizes = np.diff(np.append(first, len(keys)))
+    if len(first):
+        w = w / np.repeat(np.maximum(np.sqrt(np.add.reduceat(w * w, first)), 1e-12), sizes)
+    offsets = pa.array(np.append(first, len(keys)), pa.int32())
+    lists = (pa.array(keys % n, pa.int32()), pa.array(w, pa.float32()))
+    return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(offsets, v) for v in lists], names=["terms", "weights"])
+
+
+def _add_gram(at: np.ndarray, w: np.ndarray, sizes: np.ndarray, q: np.ndarray, total: np.ndarray) -> None:
+    """Adds A^T A ``q`` to ``total``, for a few sparse rows of A that lie one behind the other: dense over the terms they hold."""
+    terms, place = np.unique(at, return_inverse=True)
+    a = np.zeros((len(sizes), len(terms)), q.dtype)
+    a[np.repeat(np.arange(len(sizes)), sizes), place] = w
+    total[terms] += a.T @ (a @ q[terms])
+
+
 def _times_gram(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
-    """A^T A ``basis`` for the sparse rows (terms, weights) of A; partial products are summed by Spark."""
+    """A^T A ``basis`` for the sparse rows (terms, weights) of A, times their ``scale`` if they have one; partial products are summed by Spark.
+
+    A few rows at a time are multiplied in the precision of their weights, and added up in double.
+    """
     shared = rows.sparkSession.sparkContext.broadcast(basis)
     n_terms, width = basis.shape
 
     def run(batches):
         q, total = shared.value, np.zeros((n_terms, width))
-        for batch in batches:
-            for terms, weights in zip(batch.column(0), batch.column(1)):
-                at, w = terms.values.to_numpy(), weights.values.to_numpy()
-                total[at] += np.outer(w, w @ q[at])
+        for batch in in_parts(batches, ROWS):
+            sizes, at, w = batch.column(0).value_lengths().to_numpy(), batch.column(0).flatten().to_numpy(), batch.column(1).flatten().to_numpy()
+            if q.dtype != w.dtype:
+                q = q.astype(w.dtype)
+            if batch.num_columns > 2:
+                w = w * np.repeat(batch.column(2).to_numpy().astype(w.dtype), sizes)
+            _add_gram(at, w, sizes, q, total)
         for c in range(0, n_terms, CHUNK):
             if total[c:c + CHUNK].any():
                 yield pa.RecordBatch.from_arrays([pa.array([c]), pa.array([total[c:c + CHUNK].tobytes()])], names=["c", "part"])
@@ -131,7 +159,7 @@ def _times_gram(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
     parts = rows.mapInArrow(run, "c bigint, part binary").groupBy("c").applyInArrow(summed, "c bigint, part binary")
     for c, part in parts.toLocalIterator():
         out[c:c + CHUNK] = np.frombuffer(part).reshape(-1, width)
-    shared.unpersist()
+    shared.destroy()
     return out
 
 
@@ -152,29 +180,20 @@ def build_index(spark: SparkSession, docs: DataFrame, items: list[Item]) -> Inde
     df, total = document_frequencies(docs, terms)
     idf = np.log((total + 1) / (df + 1)) + 0.05
     own = [weighted(np.array([terms[w] for w in item.words], np.int64), idf) for item in items]
-    shared = spark.sparkContext.broadcast((terms, idf))
-    n_items = len(items)
+    shared, work = spark.sparkContext.broadcast((terms, idf)), Scratch(spark)
 
     def run(batches):
-        index, idfs = shared.value
-        for batch in batches:
-            at, ws = [], []
-            for v in batch.column(0):
-                ids = known_ids(v.as_py(), index)
-                for s in range(0, max(len(ids) - STEP, 1), 2 * STEP):
-                    t, w = weighted(ids[s:s + 2 * STEP], idfs)
-                    if len(t):
-                        at.append(t), ws.append(w)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(at, pa.list_(pa.int64())), pa.array(ws, pa.list_(pa.float64()))], names=["terms", "weights"])
-
-    share = int((1 << 30) * min(1.0, SAMPLE / max(1, total)))
-    sample = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < share).select(text_bytes())
-    sampled = staged(spark, sample.mapInArrow(run, "terms array<bigint>, weights array<double>"), "passages")
-    scale = (SAMPLE_WEIGHT * n_items / max(1, sampled.count())) ** 0.5
-    bench = spark.createDataFrame([(t.tolist(), w.tolist()) for t, w in own], "terms array<bigint>, weights array<double>")
-    matrix = staged(spark, bench.unionAll(sampled.select("terms", F.transform("weights", lambda w: w * scale))), "matrix")
+        for batch in in_parts(batches):
+            yield passage_weights(batch, *shared.value)
+
+    schema = "terms array<int>, weights array<float>"
+    corpus = work.staged(docs.select(text_bytes()).mapInArrow(run, schema), "passages")
+    scale = (CORPUS_WEIGHT * len(items) / max(1, corpus.count())) ** 0.5
+    bench = spark.createDataFrame([(t.tolist(), w.tolist()) for t, w in own], schema)
+    matrix = bench.withColumn("scale", F.lit(1.0)).unionAll(corpus.withColumn("scale", F.lit(scale)))
     project = (latent_basis(matrix, len(terms)) * idf[:, None]).astype(np.float32)
+    work.clear()
+    shared.destroy()
     points = np.stack([project[[terms[w] for w in item.words]].sum(0) for item in items])
     points /= np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-9)
     answers = []

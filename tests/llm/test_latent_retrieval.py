@@ -28,6 +28,36 @@ def test_sparse_product_equals_the_matrix(spark):
     assert np.allclose(found, a.T @ (a @ basis))
 
 
+def test_space_is_fitted_on_every_passage(spark, docs_of, monkeypatch):
+    """The matrix has the block's passages and all of all documents, with the weights that a loop over them gives."""
+    rng = random.Random(3)
+    items = [lr.Item(i, [b"w%d" % rng.randrange(50) for _ in range(30)]) for i in range(4)]
+    texts = [" ".join(f"w{rng.randrange(90)}" for _ in range(rng.choice([0, 5, 64, 65, 200]))) for _ in range(2500)]
+    seen = {}
+
+    def fitted(rows, n_terms):
+        seen["rows"] = rows.collect()
+        return np.eye(n_terms)
+
+    monkeypatch.setattr(lr, "latent_basis", fitted)
+    index = lr.build_index(spark, docs_of(list(enumerate(texts))), items)
+    sets = [set(t.encode().split()) for t in texts]
+    idf = {w: np.log(2501 / (1 + sum(w in s for s in sets))) + 0.05 for w in index.terms}
+
+    def row(words):
+        tf = {w: words.count(w) for w in words if w in idf}
+        norm = sum((n * idf[w]) ** 2 for w, n in tf.items()) ** 0.5
+        return tuple(sorted((index.terms[w], round(n * idf[w] / norm, 4)) for w, n in tf.items()))
+
+    passages = [t.encode().split()[at:at + 64] for t in texts for at in range(0, len(t.split()), 64)]
+    got = lambda scaled: sorted(tuple((t, round(w, 4)) for t, w in zip(r.terms, r.weights)) for r in seen["rows"] if (r.scale < 1) == scaled)
+    close = lambda a, b: len(a) == len(b) and all(
+        [t for t, _ in x] == [t for t, _ in y] and all(abs(v - w) < 2e-4 for (_, v), (_, w) in zip(x, y)) for x, y in zip(a, b))
+    by_terms = lambda rows: sorted(rows, key=lambda r: ([t for t, _ in r], [w for _, w in r]))
+    assert close(by_terms(got(False)), by_terms(row(i.words) for i in items))
+    assert close(by_terms(got(True)), by_terms(filter(None, map(row, passages))))
+
+
 def exhaustive(text, index):
     """Every passage against every item, nothing left out beforehand: (hits, best item, best share)."""
     words = (text or "").encode().lower().split()
