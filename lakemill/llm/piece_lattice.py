@@ -1,21 +1,24 @@
-"""SentencePiece encoding and decoding over a relational lattice.
+"""SentencePiece encoding and decoding: merges of a BPE model, a relational lattice for a unigram model.
 
 Texts are cut into *segments* where no piece can reach across: between two ASCII bytes that stand next to each
 other in no piece (so before every space that follows a word, around line breaks, mostly between a word and
-its full stop). Each distinct segment is encoded once: its substrings up to the longest piece are exploded and
-equi-joined with the piece table; the matches, grouped by segment, are the edges of its lattice; a fold with
-Spark's ``aggregate`` picks the path. For a unigram model that is Viterbi over the sum of scores. A BPE model's
-scores are merge ranks, whose sum means nothing, so there the fold applies the best possible merge edge until
-none is left, which gives the public library's ids.
-
-Segments are then looked up in the texts by hash: the most frequent ones (at most ``HEAD``, a fixed bound) in a
-table every task holds, all others by a join on the documents that have them. Decoding concatenates the
-pieces' bytes. Space and U+2581 are the same character to the model, and text that is not valid UTF-8
+its full stop). Equal segments have equal ids, so each is encoded once among the texts it is met in.
+
+A BPE model's scores are merge ranks. A task takes the distinct segments of some hundred texts, those of equal length as
+one matrix of symbols, and applies to every row its best merge until none is left, which gives the public library's ids.
+Nothing is shuffled, gathered or looked up elsewhere.
+
+For a unigram model the substrings of each distinct segment of all texts are exploded and equi-joined with the piece table; the
+matches, grouped by segment, are the edges of its lattice; Viterbi over the sum of scores is a fold with Spark's
+``aggregate``. Segments are then looked up in the texts by hash: the most frequent ones (at most ``HEAD``, a fixed bound) in a
+table every task holds, all others by a join on the documents that have them.
+
+Decoding concatenates the pieces' bytes. Space and U+2581 are the same character to the model, and text that is not valid UTF-8
 becomes U+FFFD; other texts come back exactly.
 
 Defined cases: null stays null with null ids; an empty text has no ids; characters outside the table become byte
-pieces; segments of more than ``FOLD`` characters (no 64-bit mask holds them) take the same merges from a heap in
-Python; repeated rows and null ids are encoded like any other; of merges of equal rank the leftmost goes first; a very long text is cut into
+pieces; segments of more than ``WIDE`` characters (a row of a matrix costs its width per merge) take the same merges from a heap;
+repeated rows and null ids are encoded like any other; of merges of equal rank the leftmost goes first; a very long text is cut into
 segments as one value. Results stand behind a prefix that no column has.
 """
 
@@ -34,8 +37,8 @@ from lakemill.llm.shingles import WordHasher
 
 HEAD = 1 << 22
 PER_TASK = 20_000
-FOLD = 60
-OUTSIDE = (1 << 26) - 1  # stands for the id of a character outside the table
+WIDE = 60
+TOGETHER = 1000  # texts whose segments are encoded together: more repeat more, and hold more at once
 BROADCAST_PIECES = 1 << 18
 PIECE_FILE = "piece_bpe_32k.model"
 _MARK = "▁"
@@ -130,6 +133,113 @@ def merged(segment: str, rank: dict[str, float]) -> list[str]:
     return [segment[i:stop[i]] for i in range(n) if alive[i]]
 
 
+class Merges:
+    """The merges of a BPE table over symbols: a piece by its place in the table, then other characters of pieces, then code points."""
+
+    def __init__(self, pieces: Pieces) -> None:
+        names = [p for p, _, _ in pieces.pieces]
+        self.others = sorted({c for p in names for c in p} - set(names))
+        number = {s: k for k, s in enumerate(names + self.others)}
+        rank = {cost: k for k, cost in enumerate(sorted({-score for _, _, score in pieces.pieces}))}
+        self.base, self.none, self.first_byte = len(number), len(rank), pieces.first_byte
+        self.ids = np.array([i for _, i, _ in pieces.pieces], np.int32)
+        self.score = {p: score for p, _, score in pieces.pieces}
+        found = {}
+        for piece, _, score in pieces.pieces:
+            for cut in range(1, len(piece)):
+                if (a := number.get(piece[:cut])) is not None and (b := number.get(piece[cut:])) is not None:
+                    found[a << 32 | b] = rank[-score], number[piece]
+        keys = sorted(found)
+        self.keys = np.array([*keys, np.iinfo(np.int64).max], np.int64)  # one more, which no pair has
+        self.ranks = np.array([*(found[k][0] for k in keys), self.none], np.int32)
+        self.into = np.array([*(found[k][1] for k in keys), 0], np.int32)
+        self.number = number
+
+    @classmethod
+    def of(cls, tables: dict) -> Merges:
+        """From ``vars`` of another: workers may not have this module, so only these are sent."""
+        self = cls.__new__(cls)
+        vars(self).update(tables)
+        self.character = np.arange(self.base, self.base + 0x110000, dtype=np.int32)
+        for s, k in self.number.items():
+            if len(s) == 1:
+                self.character[ord(s)] = k
+        return self
+
+    def pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank of the merge of two symbols (``none`` without one) and the symbol it gives."""
+        key = left.astype(np.int64) << 32 | right
+        at = np.searchsorted(self.keys, key)
+        return np.where(self.keys[at] == key, self.ranks[at], np.int32(self.none)), self.into[at]
+
+    def merged(self, s: np.ndarray):
+        """(rows, symbols) of the rows of a matrix after all merges: each step takes the best of every row, the leftmost of equals."""
+        rows = np.arange(len(s))
+        rank, into = self.pairs(s[:, :-1], s[:, 1:])
+        while s.shape[1] > 1 and len(rows):
+            at, i = rank.argmin(1), np.arange(len(rows))
+            more = rank[i, at] < self.none
+            if not more.all():
+                yield rows[~more], s[~more]
+                rows, s, rank, into, at = (x[more] for x in (rows, s, rank, into, at))
+                i = np.arange(len(rows))
+            s[i, at] = into[i, at]
+            s, rank, into = (_without(x, gone) for x, gone in ((s, at + 1), (rank, at), (into, at)))
+            for j, k in ((np.flatnonzero(at > 0), -1), (np.flatnonzero(at < s.shape[1] - 1), 0)):
+                place = at[j] + k
+                rank[j, place], into[j, place] = self.pairs(s[j, place], s[j, place + 1])
+        yield rows, s
+
+    def encoded(self, data: bytes, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Offsets and ids of the segments ``data[begin:end]``, one list after the other."""
+        raw = np.frombuffer(data, np.uint8)[spread(np.append(begin, 0), np.arange(len(begin)), end - begin)]
+        starts = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])[np.concatenate([[0], np.cumsum(end - begin)])]
+        text = raw.tobytes().decode()
+        symbols, size = self.character[np.frombuffer(text.encode("utf-32-le"), np.uint32)], np.diff(starts)
+        done, order = [], np.argsort(size, kind="stable")
+        lengths, first = np.unique(size[order], return_index=True)
+        for length, mine in zip(lengths.tolist(), np.split(order, first[1:]) if len(order) else []):
+            if length <= WIDE:
+                done += [(mine[rows], s) for rows, s in self.merged(symbols[starts[mine][:, None] + np.arange(length)])]
+                continue
+            for m in mine.tolist():
+                path = merged(text[starts[m]:starts[m + 1]], self.score)
+                done.append((np.array([m]), np.array([[self.number[x] if x in self.number else self.base + ord(x) for x in path]])))
+        size = np.zeros(len(begin), np.int64)
+        for mine, s in done:
+            size[mine] = s.shape[1]
+        offsets = np.concatenate([[0], np.cumsum(size)])
+        flat = np.zeros(offsets[-1], np.int64)
+        for mine, s in done:
+            flat[offsets[mine][:, None] + np.arange(s.shape[1])] = s
+        return self._with_bytes(offsets, flat)
+
+    def _with_bytes(self, offsets: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols to ids; a character that is no piece becomes its bytes."""
+        odd = np.flatnonzero(flat >= len(self.ids))
+        if not len(odd):
+            return offsets, self.ids[flat]
+        kinds, which = np.unique(flat[odd], return_inverse=True)
+        raw = [(self.others[k - len(self.ids)] if k < self.base else chr(k - self.base)).encode() for k in kinds.tolist()]
+        width, size = np.array([len(x) for x in raw])[which], np.ones(len(flat), np.int64)
+        size[odd] = width
+        place = np.concatenate([[0], np.cumsum(size)])
+        out = np.zeros(place[-1], np.int32)
+        out[place[:-1]] = self.ids[np.minimum(flat, len(self.ids) - 1)]
+        table = np.array([[*x, 0, 0, 0][:4] for x in raw], np.int32)[which] + self.first_byte
+        for t in range(4):
+            here = width > t
+            out[place[odd[here]] + t] = table[here, t]
+        return place[offsets], out
+
+
+def _without(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A matrix without one entry of each row."""
+    keep = np.ones(x.shape, bool)
+    keep[np.arange(len(x)), at] = False
+    return x[keep].reshape(len(x), x.shape[1] - 1)
+
+
 def _substrings(distinct: DataFrame, pieces: Pieces) -> DataFrame:
     """(hash, segment, s, e, id, score) of every substring that is a piece; id is null for characters outside the table."""
     table = distinct.sparkSession.createDataFrame(pieces.pieces, "sub string, id int, score double")
@@ -158,54 +268,11 @@ def lattice(distinct: DataFrame, pieces: Pieces) -> DataFrame:
     return _substrings(distinct, pieces).groupBy("hash", "segment").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
 
 
-def packed_lattice(distinct: DataFrame, pieces: Pieces) -> DataFrame:
-    """The same with an edge in one long: rank of its score, start, end and id, from the highest bits down."""
-    scores = sorted({-score for _, _, score in pieces.pieces})
-    rank = {cost: i for i, cost in enumerate(scores)}
-    ranked = Pieces(pieces.kind, [(piece, i, float(rank[-score])) for piece, i, score in pieces.pieces], pieces.first_byte, pieces.unknown)
-    shifted = lambda c, n: F.call_function("shiftleft", c.cast("long"), F.lit(n))
-    edge = (shifted(F.coalesce(F.col("score"), F.lit(len(scores))), 38) + shifted(F.col("s"), 32) + shifted(F.col("e"), 26)
-            + F.coalesce("id", F.lit(OUTSIDE)))
-    return _substrings(distinct, ranked).groupBy("hash", "segment").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
-
-
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` computed once, however often ``use`` names it."""
     return F.get(F.transform(F.array(value), use), 0)
 
 
-def merge_fold(packed: Column, segment: Column, pieces: Pieces) -> Column:
-    """Ids of the path by merges: a bit per boundary; each step drops the boundary inside the best applicable edge.
-
-    Edges come in the order of rank, then place. ``ends`` masks an edge's two boundaries, ``inner`` those between.
-    """
-    size, one = F.length(segment), F.lit(1).cast("long")
-    shift = lambda c, n: F.call_function("shiftleft", c, n)
-    field = lambda x, n, width: F.call_function("shiftright", x, F.lit(n)).bitwiseAND(F.lit((1 << width) - 1)).cast("int")
-    ends_hold = lambda mask, x: mask.bitwiseAND(x["ends"]) == x["ends"]
-
-    def unpacked(x: Column) -> Column:
-        s, e = field(x, 32, 6), field(x, 26, 6)
-        return F.struct(s.alias("s"), field(x, 0, 26).alias("id"), shift(one, s).bitwiseOR(shift(one, e)).alias("ends"),
-                        (shift(one, e) - shift(one, s) * 2).alias("inner"))
-
-    def merged_mask(longer: Column) -> Column:
-        def step(mask: Column, _: Column) -> Column:
-            applies = F.filter(longer, lambda x: ends_hold(mask, x) & (F.bit_count(mask.bitwiseAND(x["inner"])) == 1))
-            return F.coalesce(mask.bitwiseAND(F.bitwise_not(F.get(applies, 0)["inner"])), mask)
-
-        return F.aggregate(F.slice(longer, 1, size - 1), shift(one, size + 1) - 1, step)  # no more merges than edges
-
-    def path(edges: Column) -> Column:
-        last = _let(F.filter(edges, lambda x: x["inner"] != 0), merged_mask)
-        return _let(last, lambda mask: F.filter(edges, lambda x: ends_hold(mask, x) & (mask.bitwiseAND(x["inner"]) == 0)))
-
-    chosen = _let(F.transform(packed, unpacked), path)
-    by_place = F.sort_array(F.transform(chosen, lambda x: F.struct(x["s"], x["id"])))
-    return F.flatten(F.transform(by_place, lambda x: F.when(
-        x["id"] == OUTSIDE, _byte_ids(F.substring(segment, x["s"] + 1, F.lit(1)), pieces)).otherwise(F.array(x["id"]))))
-
-
 def viterbi_fold(edges: Column, size: Column) -> Column:
     """Ids of the path with the greatest sum of scores; equal sums go to the later start. Unknown characters cost 10 more than any piece."""
     known = lambda x: x["cost"] < float("inf")
@@ -232,28 +299,20 @@ def viterbi_fold(edges: Column, size: Column) -> Column:
 
 def encode_segments(distinct: DataFrame, pieces: Pieces) -> DataFrame:
     """(hash, ids) for distinct (hash, segment) rows."""
-    size = F.length("segment")
     if pieces.kind != "bpe":
-        return lattice(distinct, pieces).select("hash", viterbi_fold(F.col("edges"), size).alias("ids"))
-    short = packed_lattice(distinct.filter(size <= FOLD), pieces)
-    encoded = short.select("hash", merge_fold(F.col("edges"), F.col("segment"), pieces).alias("ids"))
-    shared = distinct.sparkSession.sparkContext.broadcast(([(p, s, i) for p, i, s in pieces.pieces], pieces.first_byte))
+        return lattice(distinct, pieces).select("hash", viterbi_fold(F.col("edges"), F.length("segment")).alias("ids"))
+    shared = distinct.sparkSession.sparkContext.broadcast(vars(Merges(pieces)))
 
     def run(batches):
-        rows, first_byte = shared.value
-        rank, ids = {p: s for p, s, _ in rows}, {p: i for p, _, i in rows}
+        merges = Merges.of(shared.value)
         for batch in batches:
-            out = []
-            for segment in batch.column(1).to_pylist():
-                path: list[int] = []
-                for symbol in merged(segment, rank):
-                    found = ids.get(symbol)
-                    path += [found] if found is not None else [first_byte + b for b in symbol.encode()]
-                out.append(path)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int32()))], names=["hash", "ids"])
+            data = [s.encode() for s in batch.column(1).to_pylist()]
+            ends = np.cumsum([len(x) for x in data], dtype=np.int64)
+            offsets, ids = merges.encoded(b"".join(data), np.concatenate([[0], ends])[:-1].astype(np.int64), ends)
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["hash", "ids"])
 
-    long = distinct.filter(size > FOLD).select("hash", "segment").mapInArrow(run, "hash bigint, ids array<int>")
-    return encoded.unionAll(long)
+    return distinct.select("hash", "segment").mapInArrow(run, "hash bigint, ids array<int>")
 
 
 def distinct_segments(docs: DataFrame, pieces: Pieces) -> DataFrame:
@@ -301,16 +360,47 @@ def _head(dictionary: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray, np
     return hashes[order], offsets, np.append(ids, -1).astype(np.int32)
 
 
-def spread(offsets: np.ndarray, which: np.ndarray) -> np.ndarray:
-    """Positions of the elements of the lists ``which``, one list after the other."""
-    sizes = offsets[which + 1] - offsets[which]
+def spread(offsets: np.ndarray, which: np.ndarray, sizes: np.ndarray | None = None) -> np.ndarray:
+    """Positions of the elements of the lists ``which``, one list after the other; ``sizes`` if they do not follow one another."""
+    sizes = offsets[which + 1] - offsets[which] if sizes is None else sizes
     ends = np.cumsum(sizes)
     return np.repeat(offsets[which] - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
+def _merged_texts(spark: SparkSession, docs: DataFrame, pieces: Pieces, p: str) -> DataFrame:
+    """``docs`` with the ids a BPE model gives its texts, and these decoded: each task merges the distinct segments it meets."""
+    shared = spark.sparkContext.broadcast((pieces.cuts(), pieces.table(), vars(Merges(pieces))))
+    at, schema = docs.columns.index("text"), extended(docs, f"`{p}ids` array<int>, `{p}decoded` string")
+
+    def run(batches):
+        cuts, table, tables = shared.value
+        hasher, merges = WordHasher(), Merges.of(tables)
+        raw, places = np.frombuffer(b"".join(table), np.uint8), np.cumsum([0, *map(len, table)])
+        for batch in in_parts(batches, TOGETHER):
+            texts = batch.column(at).to_pylist()
+            data = [prepared(t or "") for t in texts]
+            parts = [segments(d, cuts, hasher) for d in data]
+            offset = np.cumsum([0, *map(len, data)])
+            begin, end = (np.concatenate([x[k] + o for x, o in zip(parts, offset)]) for k in (0, 1))
+            _, first, which = np.unique(np.concatenate([x[2] for x in parts]), return_index=True, return_inverse=True)
+            starts, flat = merges.encoded(b"".join(data), begin[first], end[first])
+            ids, decoded, done = [], [], 0
+            for text, (own, _, _) in zip(texts, parts):
+                found = flat[spread(starts, which[done:done + len(own)])]
+                done += len(own)
+                ids.append(None if text is None else found)
+                decoded.append(None if text is None else raw[spread(places, found)][1:].tobytes().decode(errors="replace"))
+            arrays = [*batch.columns, pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
+            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
 def encoded(spark: SparkSession, docs: DataFrame, pieces: Pieces, head: int = HEAD) -> tuple[DataFrame, str]:
-    """``docs`` with ``ids`` and ``text`` decoded again, behind a free prefix; and that prefix."""
+    """``docs`` with ``ids`` and ``text`` decoded again, behind a free prefix; and that prefix. ``head`` bounds a unigram model's table."""
     p, work = free_prefix(docs, "sp_"), Scratch(spark)
+    if pieces.kind == "bpe":
+        return _merged_texts(spark, docs, pieces, p), p
     distinct = distinct_segments(docs, pieces)
     counts = work.staged(distinct, "segments")
     spread_out = counts.repartition(1 + counts.count() // PER_TASK, "hash", "segment")  # a task's edges are grouped in memory
