@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -71,32 +72,6 @@ def item_blocks(benchmark: DataFrame) -> Iterator[list[Item]]:
         yield block
 
 
-def document_frequencies(docs: DataFrame, terms: dict[bytes, int]) -> tuple[np.ndarray, int]:
-    """In how many documents each term occurs, and the number of documents; over all of them."""
-    shared = docs.sparkSession.sparkContext.broadcast(terms)
-
-    def run(batches):
-        index, counts, n = shared.value, np.zeros(len(shared.value), np.int64), 0
-        known = frozenset(index)
-        for batch in batches:
-            for v in batch.column(0):
-                found = known.intersection(v.as_py().lower().split())
-                if found:
-                    counts[[index[t] for t in found]] += 1
-            n += batch.num_rows
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(counts[at], n))], names=["term", "n"])
-
-    df, total = np.zeros(len(terms), np.int64), 0
-    for term, n in docs.select(text_bytes()).mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n")).collect():
-        if term < 0:
-            total = n
-        else:
-            df[term] = n
-    shared.destroy()
-    return df, total
-
-
 def weighted(ids: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Terms and unit-length TF-IDF weights of one passage."""
     at, tf = np.unique(ids[ids >= 0], return_counts=True)
@@ -104,29 +79,75 @@ def weighted(ids: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, w / max(float(np.linalg.norm(w)), 1e-12)
 
 
-def passage_weights(batch: pa.RecordBatch, terms: dict[bytes, int], idf: np.ndarray) -> pa.RecordBatch:
-    """(terms, weights) of every passage, without overlap, that holds a known word: as :func:`weighted`, for a whole batch at once."""
-    get, n, known, at = terms.get, len(terms), [], 0
+def _lists(first: np.ndarray, terms: np.ndarray, values: np.ndarray, kind: pa.DataType) -> list[pa.Array]:
+    """Lists of terms and their values that begin at ``first``."""
+    offsets = pa.array(np.append(first, len(terms)), pa.int32())
+    return [pa.ListArray.from_arrays(offsets, v) for v in (pa.array(terms, pa.int32()), pa.array(values, kind))]
+
+
+def passage_counts(batch: pa.RecordBatch, terms: dict[bytes, int], documents: np.ndarray) -> pa.RecordBatch:
+    """(terms, counts, false) of every passage, without overlap, that holds a known word; adds to ``documents`` in how many texts each term occurs."""
+    get, n, known, owner, at = terms.get, len(terms), [], [], 0
     for v in batch.column(0):
-        ids = np.array([get(w, -1) for w in v.as_py().lower().split()], np.int64)
+        words = v.as_py().lower().split()
+        ids = np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
         place = np.flatnonzero(ids >= 0)
         known.append((at + place // (2 * STEP)) * n + ids[place])
+        owner.append(at)
         at += len(ids) // (2 * STEP) + 1
     keys, tf = np.unique(np.concatenate([np.zeros(0, np.int64), *known]), return_counts=True)
-    w, first = tf * idf[keys % n], np.flatnonzero(np.diff(keys // n, prepend=-1))
-    sizes = np.diff(np.append(first, len(keys)))
+    passage, term = keys // n, keys % n
+    text = np.searchsorted(owner, passage, side="right")
+    documents += np.bincount(np.unique(text * n + term) % n, minlength=n)
+    first = np.flatnonzero(np.diff(passage, prepend=-1))
+    return pa.RecordBatch.from_arrays(
+        [*_lists(first, term, tf, pa.int32()), pa.array(np.zeros(len(first), bool))], names=["terms", "counts", "documents"])
+
+
+def passage_weights(batch: pa.RecordBatch, idf: np.ndarray) -> pa.RecordBatch:
+    """(terms, weights) from (terms, counts): as :func:`weighted`, for a whole batch at once."""
+    sizes, terms, tf = batch.column(0).value_lengths().to_numpy(), batch.column(0).flatten().to_numpy(), batch.column(1).flatten().to_numpy()
+    w, first = tf * idf[terms], np.cumsum(sizes) - sizes
     if len(first):
         w = w / np.repeat(np.maximum(np.sqrt(np.add.reduceat(w * w, first)), 1e-12), sizes)
-    offsets = pa.array(np.append(first, len(keys)), pa.int32())
-    lists = (pa.array(keys % n, pa.int32()), pa.array(w, pa.float32()))
-    return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(offsets, v) for v in lists], names=["terms", "weights"])
+    return pa.RecordBatch.from_arrays(_lists(first, terms, w, pa.float32()), names=["terms", "weights"])
+
+
+def counted_passages(docs: DataFrame, terms: dict[bytes, int]) -> DataFrame:
+    """(terms, counts, documents) of all passages; where ``documents`` is true, of a task's texts: how many hold each term, and at -1 how many there are."""
+    shared = docs.sparkSession.sparkContext.broadcast(terms)
+
+    def run(batches):
+        found, n = np.zeros(len(shared.value), np.int64), 0
+        for batch in in_parts(batches):
+            yield passage_counts(batch, shared.value, found)
+            n += batch.num_rows
+        at = np.flatnonzero(found)
+        lists = _lists(np.zeros(1, np.int64), np.append(at, -1), np.append(found[at], n), pa.int32())
+        yield pa.RecordBatch.from_arrays([*lists, pa.array([True])], names=["terms", "counts", "documents"])
+
+    return docs.select(text_bytes()).mapInArrow(run, "terms array<int>, counts array<int>, documents boolean")
+
+
+def document_frequencies(counted: DataFrame, n_terms: int) -> tuple[np.ndarray, int]:
+    """In how many documents each term occurs, and the number of documents; over all of them."""
+    df, total = np.zeros(n_terms, np.int64), 0
+    pairs = counted.filter("documents").select(F.explode(F.arrays_zip("terms", "counts")).alias("x"))
+    for term, n in pairs.groupBy("x.terms").agg(F.sum(F.col("x.counts").cast("long"))).collect():
+        if term < 0:
+            total = n
+        else:
+            df[term] = n
+    return df, total
 
 
 def _add_gram(at: np.ndarray, w: np.ndarray, sizes: np.ndarray, q: np.ndarray, total: np.ndarray) -> None:
     """Adds A^T A ``q`` to ``total``, for a few sparse rows of A that lie one behind the other: dense over the terms they hold."""
-    terms, place = np.unique(at, return_inverse=True)
+    held = np.zeros(len(q), bool)
+    held[at] = True
+    terms, place = np.flatnonzero(held), np.cumsum(held)
     a = np.zeros((len(sizes), len(terms)), q.dtype)
-    a[np.repeat(np.arange(len(sizes)), sizes), place] = w
+    a[np.repeat(np.arange(len(sizes)), sizes), place[at] - 1] = w
     total[terms] += a.T @ (a @ q[terms])
 
 
@@ -177,23 +198,24 @@ def latent_basis(rows: DataFrame, n_terms: int, rank: int = RANK, seed: int = 7)
 
 def build_index(spark: SparkSession, docs: DataFrame, items: list[Item]) -> Index:
     terms = {t: i for i, t in enumerate(sorted({w for item in items for w in item.words}))}
-    df, total = document_frequencies(docs, terms)
+    read, work = Scratch(spark), Scratch(spark)
+    counted = read.staged(counted_passages(docs, terms), "counted")
+    df, total = document_frequencies(counted, len(terms))
     idf = np.log((total + 1) / (df + 1)) + 0.05
     own = [weighted(np.array([terms[w] for w in item.words], np.int64), idf) for item in items]
-    shared, work = spark.sparkContext.broadcast((terms, idf)), Scratch(spark)
 
     def run(batches):
-        for batch in in_parts(batches):
-            yield passage_weights(batch, *shared.value)
+        for batch in batches:
+            yield passage_weights(batch, idf)
 
     schema = "terms array<int>, weights array<float>"
-    corpus = work.staged(docs.select(text_bytes()).mapInArrow(run, schema), "passages")
+    corpus = work.staged(counted.filter("NOT documents").select("terms", "counts").mapInArrow(run, schema), "passages")
+    read.clear()
     scale = (CORPUS_WEIGHT * len(items) / max(1, corpus.count())) ** 0.5
     bench = spark.createDataFrame([(t.tolist(), w.tolist()) for t, w in own], schema)
     matrix = bench.withColumn("scale", F.lit(1.0)).unionAll(corpus.withColumn("scale", F.lit(scale)))
     project = (latent_basis(matrix, len(terms)) * idf[:, None]).astype(np.float32)
     work.clear()
-    shared.destroy()
     points = np.stack([project[[terms[w] for w in item.words]].sum(0) for item in items])
     points /= np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-9)
     answers = []

@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from lakemill.llm import piece_lattice as pl
+from lakemill.llm import latent_retrieval as lr, piece_lattice as pl
 
 
 def test_merges_need_no_shuffle_and_no_work_table(spark, docs_of, monkeypatch):
@@ -28,3 +28,14 @@ def test_merges_of_a_matrix_equal_those_of_the_heap():
     for i, word in enumerate(words):
         want = [k for s in pl.merged(word, rank) for k in ([ids[s]] if s in ids else s.encode())]
         assert flat[offsets[i]:offsets[i + 1]].tolist() == want
+
+
+def test_space_is_fitted_from_one_reading_of_the_texts(spark, docs_of, monkeypatch):
+    """Frequencies and passages come from the same pass; terms that a text repeats, and a text of several passages, count once."""
+    read, used = [], lr.text_bytes
+    monkeypatch.setattr(lr, "text_bytes", lambda *a: read.append(1) or used(*a))
+    monkeypatch.setattr(lr, "latent_basis", lambda rows, n_terms: np.eye(n_terms))
+    texts = ["a b " * 100, "b", None, "c"]
+    index = lr.build_index(spark, docs_of(list(enumerate(texts))), [lr.Item(1, [b"a", b"b", b"x"])])
+    assert len(read) == 1
+    assert np.allclose(np.diag(index.project), [np.log(5 / (1 + n)) + 0.05 for n in (1, 2, 0)])
