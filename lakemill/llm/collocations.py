@@ -9,8 +9,9 @@ are known, and those that are not though both of these are (the negative border)
 3. A frequent phrase of the border is one the sample missed, and phrases that contain it may not have been counted. The
    next pass adds those to the known phrases and counts what they add to the border. Passes go on until none brings a
    frequent phrase that was not known: by induction over the length every frequent phrase is counted then, whatever
-   the sample held.
-4. A last pass spells the frequent phrases and counts each by itself.
+   the sample held. If few were missed, one pass is enough: it takes what it counts for the first time as known, and so counts all
+   longer phrases that the missed ones may bring.
+4. A last pass spells the frequent phrases and counts each by itself; what tasks have found meets by bucket of the first hash.
 
 Up to then phrases are 64-bit hashes of language and words: two that share one can only be counted too high, so no frequent phrase is
 lost, and the last pass tells them apart by 128 bits. A pass adds up its own counts ``HELD`` places at a time before anything is
@@ -39,11 +40,13 @@ from lakemill.llm.shingles import Powers, mixed
 
 LONGEST = 5
 SAMPLE = 8  # the sample is every document whose hash is divisible by this
+FEW = 8  # missed phrases are few if this many times more were known
 BITS = 27
+BUCKETS = 1 << 10  # of first hashes, which the last pass sends together
 PART = 1 << 19
 HELD = 1 << 18
 ROWS = 1 << 15  # rows handed to Spark at once
-SPELT = 1 << 20  # phrases a worker counts and remembers as spelt; it begins anew beyond that
+SPELT = 1 << 20  # phrases a worker counts before it sends them on, half as many as it can remember as spelt
 
 _DELIMITER = np.zeros(256, bool)
 _DELIMITER[list(b".,;:!?\n\x0b\x0c\r")] = True
@@ -154,41 +157,76 @@ class _Counter:
 
 
 class _Totals(_Counter):
-    """The same for pairs of hashes, kept over a whole task as far as they are ``SPELT`` at most."""
+    """The same for pairs of hashes, kept over a whole task as far as they are ``SPELT`` at most, in parts of falling size."""
 
     def __init__(self) -> None:
         super().__init__()
-        self.columns = [np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)]
+        self.parts: list[list[np.ndarray]] = []
 
     def settle(self) -> None:
         if not self.size:
             return
-        h1, h2 = (np.concatenate([old, *new]) for old, new in zip(self.columns, zip(*self.kept)))
-        n = np.concatenate([self.columns[2], np.ones(self.size, np.int64)])
+        self.parts.append(_added_up(*(np.concatenate(h) for h in zip(*self.kept)), np.ones(self.size, np.int64)))
         self.kept, self.size = [], 0
-        order = np.lexsort((h2, h1))
-        h1, h2, n = h1[order], h2[order], n[order]
-        first = np.flatnonzero(np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
-        self.columns = [h1[first], h2[first], np.add.reduceat(n, first)]
+        while len(self.parts) > 1 and 2 * len(self.parts[-1][0]) >= len(self.parts[-2][0]):
+            one, two = self.parts.pop(), self.parts.pop()
+            self.parts.append(_added_up(*(np.concatenate(h) for h in zip(one, two))))
 
-    def taken(self) -> Iterator[pa.RecordBatch]:
+    def held(self) -> int:
+        return sum(len(h1) for h1, _, _ in self.parts)
+
+    def taken(self) -> list[np.ndarray]:
         self.settle()
-        columns, self.columns = self.columns, [c[:0] for c in self.columns]
-        for batch in _sliced(columns, ["h1", "h2", "n"]):
-            nothing = pa.nulls(batch.num_rows, pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, nothing, nothing], names=["h1", "h2", "n", "lang", "phrase"])
+        found, self.parts = self.parts, []
+        return [np.concatenate([np.zeros(0, t), *c]) for t, c in zip((np.uint64, np.uint64, np.int64), zip(*found) if found else ((), (), ()))]
 
 
-def _sliced(columns: list[np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
-    for i in range(0, len(columns[0]), ROWS):
-        yield pa.RecordBatch.from_arrays([pa.array(c[i:i + ROWS].view(np.int64)) for c in columns], names=names)
+def _added_up(h1: np.ndarray, h2: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+    """Sums of ``n`` per pair of hashes, in their order."""
+    order = np.argsort(h1, kind="stable")
+    if np.any((h1[order][1:] == h1[order][:-1]) & (h2[order][1:] != h2[order][:-1])):
+        order = np.lexsort((h2, h1))
+    h1, h2, n = h1[order], h2[order], n[order]
+    first = np.flatnonzero(np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])][:len(h1)])
+    return [h1[first], h2[first], np.add.reduceat(n, first) if len(first) else n]
+
 
+class _Spelt:
+    """Phrases a task has spelt, by their second hash, each in one of two slots; one that is put out is spelt again."""
 
-def _named(h1, h2, n, lang, phrase) -> pa.RecordBatch:
-    hashes = [pa.array(np.asarray(h, np.uint64).view(np.int64)) for h in (h1, h2)]
+    def __init__(self) -> None:
+        self.slots = np.zeros(1 << (2 * SPELT - 1).bit_length(), np.uint64)
+
+    def missing(self, h2: np.ndarray) -> np.ndarray:
+        """Places of phrases that are not held, one of each; they are held from now on."""
+        one, two = ((h2 >> np.uint64(k)) & np.uint64(len(self.slots) - 1) for k in (0, 32))
+        new = np.flatnonzero(((self.slots[one] != h2) & (self.slots[two] != h2)) | (h2 == 0))
+        new = new[np.unique(h2[new], return_index=True)[1]]
+        self.slots[np.where(self.slots[one[new]] == 0, one[new], two[new])] = h2[new]
+        return new
+
+
+def _bucketed(counts: list[np.ndarray], rows: list[tuple]) -> pa.RecordBatch:
+    """A row per bucket of first hashes that has any: its counts, and its phrases as spelt."""
+    s1, s2, langs, phrases = zip(*rows) if rows else ((), (), (), ())
+    values = [*counts, np.array(s1, np.uint64), np.array(s2, np.uint64)]
+    bucket, cut, orders = np.arange(BUCKETS + 1), [], []
+    for h1 in (values[0], values[3]):
+        at = (h1 >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
+        orders.append(np.argsort(at, kind="stable"))
+        cut.append(np.searchsorted(at[orders[-1]], bucket))
+    used = np.flatnonzero(sum(np.diff(c) for c in cut))
+    lists = lambda k, x: pa.ListArray.from_arrays(pa.array(np.append(cut[k][used], cut[k][-1]), pa.int32()), x)
+    whole = lambda k, x: lists(k, pa.array(x[orders[k]].view(np.int64)))
+    named = lambda x: lists(1, pa.array(x, pa.string()).take(pa.array(orders[1])))
     return pa.RecordBatch.from_arrays(
-        [*hashes, pa.array(n, pa.int64()), pa.array(lang, pa.string()), pa.array(phrase, pa.string())],
-        names=["h1", "h2", "n", "lang", "phrase"])
+        [pa.array(used, pa.int32()), *(whole(0, x) for x in values[:3]), *(whole(1, x) for x in values[3:]), named(langs), named(phrases)],
+        names=["bucket", "h1", "h2", "n", "s1", "s2", "lang", "phrase"])
+
+
+def _sliced(columns: list[np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(columns[0]), ROWS):
+        yield pa.RecordBatch.from_arrays([pa.array(c[i:i + ROWS].view(np.int64)) for c in columns], names=names)
 
 
 class Table:
@@ -218,8 +256,11 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(text_bytes().alias("text"), F.coalesce("lang", F.lit("und")).alias("lang"))
 
 
-def border_counts(texts: DataFrame, longest: int, known: Table, before: Table | None) -> DataFrame:
-    """(h1, n): counts of known phrases and their negative border, without those counted when ``before`` was known."""
+def border_counts(texts: DataFrame, longest: int, known: Table, before: Table | None, closed: bool = False) -> DataFrame:
+    """(h1, n): counts of known phrases and their negative border, without those counted when ``before`` was known.
+
+    If ``closed``, what is counted for the first time is taken as known, so that all longer phrases it may bring are counted too.
+    """
 
     def run(batches: Batches) -> Batches:
         hasher, counter, holds = _Hasher(), _Counter(), known.worker()
@@ -237,7 +278,7 @@ def border_counts(texts: DataFrame, longest: int, known: Table, before: Table |
                     then = np.zeros(m, bool)
                     then[at] = done & held(h1[at])
                 now = np.zeros(m, bool)
-                now[at] = holds(h1[at])
+                now[at] = holds(h1[at]) | ~done if closed else holds(h1[at])
             if counter.size >= HELD:
                 yield from counter.taken()
         if counter.size:
@@ -246,45 +287,59 @@ def border_counts(texts: DataFrame, longest: int, known: Table, before: Table |
     return texts.mapInArrow(run, "h1 long, n long")
 
 
-def spelt_counts(texts: DataFrame, longest: int, wanted: Table) -> DataFrame:
-    """(h1, h2, n, lang, phrase): counts of the wanted phrases by both hashes, and rows of count 0 that spell them.
+def spelt_counts(texts: DataFrame, longest: int, wanted: Table, least: int) -> DataFrame:
+    """(lang, phrase, n) of the wanted phrases that stand ``least`` times or more, by both hashes.
 
-    The empty phrase, spelt at once, has the number of words of its language.
+    A task sends its counts, and a spelling of each phrase, as lists by bucket of the first hash; all of a phrase meets in its bucket. The
+    empty phrase has the number of words of its language and stands in a bucket of its own.
     """
 
     def run(batches: Batches) -> Batches:
-        hasher, counter, holds = _Hasher(), _Totals(), wanted.worker()
-        totals, seen = {}, np.zeros(0, np.uint64)
+        hasher, counter, holds, spelt = _Hasher(), _Totals(), wanted.worker(), _Spelt()
+        totals, rows = {}, []
         for block, names in _blocks(batches):
             for number, n in zip(*np.unique(block.lang, return_counts=True)):
                 totals[names[number]] = totals.get(names[number], 0) + int(n)
-            rows = []
             for (k, inside, h1), (_, _, h2) in zip(_hashed(block, names, hasher, longest), _hashed(block, names, hasher, longest, 1)):
                 at = np.flatnonzero(inside)
                 at = at[holds(h1[at])]
                 counter.add(h1[at], h2[at])
                 # Phrases that share their first hash are told apart by the second, so that is what is remembered.
-                first = at[np.unique(h2[at], return_index=True)[1]]
-                rows += [(h1[i], h2[i], names[block.lang[i]], block.spelt(i, k).decode("utf-8", "replace")) for i in first[~_among(h2[first], seen)].tolist()]
-            if rows:
-                h1, h2, langs, phrases = zip(*rows)
-                seen = np.union1d(seen if len(seen) < SPELT else seen[:0], np.array(h2, np.uint64))
-                yield _named(h1, h2, [0] * len(rows), langs, phrases)
+                rows += [(h1[i], h2[i], names[block.lang[i]], block.spelt(i, k).decode("utf-8", "replace")) for i in at[spelt.missing(h2[at])].tolist()]
             if counter.size >= HELD:
                 counter.settle()
-                if len(counter.columns[0]) >= SPELT:
-                    yield from counter.taken()
-        yield from counter.taken()
+            if counter.held() >= SPELT or 4 * len(rows) >= SPELT:
+                yield _bucketed(counter.taken(), rows)
+                rows = []
+        if counter.size or counter.parts or rows:
+            yield _bucketed(counter.taken(), rows)
         if totals:
-            yield _named([0] * len(totals), [0] * len(totals), list(totals.values()), list(totals), [""] * len(totals))
-
-    return texts.mapInArrow(run, "h1 long, h2 long, n long, lang string, phrase string")
-
-
-def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
-    if not len(ordered):
-        return np.zeros(len(values), bool)
-    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
+            nothing = pa.array([[]], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([-1], pa.int32()), nothing, nothing, pa.array([list(totals.values())], pa.list_(pa.int64())), nothing, nothing,
+                 pa.array([list(totals)], pa.list_(pa.string())), pa.array([[""] * len(totals)], pa.list_(pa.string()))],
+                names=["bucket", "h1", "h2", "n", "s1", "s2", "lang", "phrase"])
+
+    def met(key, group):
+        flat = lambda name: group.column(name).combine_chunks().flatten()
+        lang, phrase, n = flat("lang"), flat("phrase"), flat("n").to_numpy()
+        if key[0].as_py() < 0:
+            names, which = np.unique(np.array(lang.to_pylist(), object), return_inverse=True)
+            sums = np.zeros(len(names), np.int64)
+            np.add.at(sums, which, n)
+            return pa.table({"lang": pa.array(names.tolist(), pa.string()), "phrase": pa.array([""] * len(names)), "n": sums})
+        hashes = lambda *c: [flat(x).to_numpy().view(np.uint64) for x in c]
+        n = _added_up(*hashes("h1", "h2"), n)[2]
+        s1, s2 = hashes("s1", "s2")
+        order = np.lexsort((s2, s1))
+        s1, s2 = s1[order], s2[order]
+        first = order[np.r_[True, (s1[1:] != s1[:-1]) | (s2[1:] != s2[:-1])]]  # every phrase counted is spelt, and no other: the same order
+        kept = np.flatnonzero(n >= least)
+        return pa.table({"lang": lang.take(pa.array(first[kept])), "phrase": phrase.take(pa.array(first[kept])), "n": n[kept]})
+
+    sent = texts.mapInArrow(run, "bucket int, h1 array<bigint>, h2 array<bigint>, n array<bigint>, "
+                                 "s1 array<bigint>, s2 array<bigint>, lang array<string>, phrase array<string>")
+    return sent.groupBy("bucket").applyInArrow(met, "lang string, phrase string, n bigint")
 
 
 def lowered(least: int, share: float) -> int:
@@ -307,12 +362,8 @@ def frequent_phrases(
     proposed = _grown(spark, work, drawn, nothing, lowered(least, 1 / sample), longest, rounds=longest)
     frequent = _grown(spark, work, texts, proposed, least, longest)
     table = Table(spark, frequent)
-    rows = work.staged(spelt_counts(texts, longest, table).groupBy("h1", "h2", "lang", "phrase").agg(F.sum("n").alias("n")).filter(
-        F.col("phrase").isNotNull() | (F.col("n") >= least)), "spelt")
+    found = staged(spark, spelt_counts(texts, longest, table, least), "phrases")
     table.shared.destroy()
-    names = rows.filter("phrase != ''").select("h1", "h2", "lang", "phrase").dropDuplicates(["h1", "h2"])
-    found = rows.filter("phrase is null").select("h1", "h2", "n").join(names, ["h1", "h2"]).select("lang", "phrase", "n")
-    found = staged(spark, found.unionAll(rows.filter("phrase = ''").select("lang", "phrase", "n")), "phrases")
     work.clear()
     return found
 
@@ -322,17 +373,18 @@ def _grown(spark: SparkSession, work: Scratch, texts: DataFrame, known: DataFram
 
     With ``rounds`` passes end there: from nothing known each finds the phrases of one more word.
     """
-    found, before = spark.createDataFrame([], "h1 long"), None
+    found, before, closed = spark.createDataFrame([], "h1 long"), None, False
     while rounds is None or rounds > 0:
         table = Table(spark, known)
-        counts = border_counts(texts, longest, table, before).groupBy("h1").agg(F.sum("n").alias("n"))
+        counts = border_counts(texts, longest, table, before, closed).groupBy("h1").agg(F.sum("n").alias("n"))
         more = work.staged(counts.filter(F.col("n") >= least).select("h1"), "counted")
         if before:
             before.shared.destroy()
         before, found = table, found.unionAll(more)
         missed = more.join(known, "h1", "left_anti")
-        if missed.isEmpty():
+        if closed or not (n_missed := missed.count()):
             break
+        closed = rounds is None and n_missed * FEW <= known.count()
         known = work.staged(known.unionAll(missed), "known")
         rounds = rounds and rounds - 1
     before.shared.destroy()

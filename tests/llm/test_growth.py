@@ -4,7 +4,8 @@ import random
 
 import numpy as np
 
-from lakemill.llm import latent_retrieval as lr, piece_lattice as pl
+from lakemill.llm import collocations, latent_retrieval as lr, piece_lattice as pl
+from test_collocations import slow_counts
 
 
 def test_merges_need_no_shuffle_and_no_work_table(spark, docs_of, monkeypatch):
@@ -39,3 +40,42 @@ def test_space_is_fitted_from_one_reading_of_the_texts(spark, docs_of, monkeypat
     index = lr.build_index(spark, docs_of(list(enumerate(texts))), [lr.Item(1, [b"a", b"b", b"x"])])
     assert len(read) == 1
     assert np.allclose(np.diag(index.project), [np.log(5 / (1 + n)) + 0.05 for n in (1, 2, 0)])
+
+
+def phrase_texts():
+    rng = random.Random(11)
+    return [(" ".join(f"w{int(rng.paretovariate(0.9)) % 40}" for _ in range(60)), rng.choice(["en", "fr"])) for _ in range(300)]
+
+
+def test_tasks_send_their_phrases_by_bucket(spark, monkeypatch):
+    """However many phrases are frequent, a task sends a row per bucket at most, and one of its totals."""
+    monkeypatch.setattr(collocations, "BUCKETS", 4)
+    docs = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(phrase_texts())], "doc_id long, text string, lang string").repartition(3)
+    sent: list = []
+    grouped = type(docs).groupBy
+    monkeypatch.setattr(type(docs), "groupBy", lambda df, *c: (sent.append(df) if repr(c) == repr(("bucket",)) else None) or grouped(df, *c))
+    texts = collocations._texts(docs)
+    words = spark.createDataFrame([(i,) for i in range(1 << 12)], "h1 long")
+    every = collocations.Table(spark, words)
+    every.shared = spark.sparkContext.broadcast(collocations.zlib.compress(np.full((1 << collocations.BITS) >> 3, 255, np.uint8), 1))
+    found = collocations.spelt_counts(texts, 5, every, 3)
+    got = {tuple(r) for r in found.collect()}
+    counts, totals = slow_counts(phrase_texts())
+    assert got == {(lang, " ".join(w), n) for (lang, w), n in counts.items() if n >= 3} | {(lang, "", n) for lang, n in totals.items()}
+    assert len(got) > 100 and len(sent) == 1 and sent[0].count() <= 3 * (4 + 1)
+
+
+def test_few_missed_phrases_take_one_more_pass(spark, monkeypatch):
+    """A sample that proposes all but one phrase of two words, and so nothing that holds it: all longer ones are counted in the next pass."""
+    texts = phrase_texts() + [("rare phrase of five words", "en")] * 12
+    docs = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(texts)], "doc_id long, text string, lang string")
+    all_texts, work = collocations._texts(docs), collocations.Scratch(spark)
+    every = collocations._grown(spark, work, all_texts, spark.createDataFrame([], "h1 long"), 10, 5).distinct()
+    block, hasher = collocations._Block([b"rare phrase of five words"], [0]), collocations._Hasher()
+    holding = [int(h[0].view(np.int64)) for k, _, h in collocations._hashed(block, ["en"], hasher, 5) if k > 1]
+    known = work.staged(every.filter(~every.h1.isin(holding)), "some")
+    passes, counts = [], collocations.border_counts
+    monkeypatch.setattr(collocations, "border_counts", lambda *a: passes.append(a) or counts(*a))
+    found = collocations._grown(spark, work, all_texts, known, 10, 5)
+    assert sorted(r.h1 for r in found.distinct().collect()) == sorted(r.h1 for r in every.collect())
+    assert len(passes) == 2
