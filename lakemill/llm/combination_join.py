@@ -1,17 +1,27 @@
-"""Exact n-gram Jaccard self-join with token-combination prefixes, and the link components it gives.
+"""Exact n-gram Jaccard self-join with signatures of parts and of prefixes, and the link components it gives.
 
-A document is its set of word shingles. Equal sets are one class. Shingles are put in one global order, rare
-ones first; how often a shingle occurs comes from a table of ``BUCKETS`` counters over all documents, which
-only steers the order: results do not depend on it. Shingles in well-filled counters are *frequent*.
+A document is its set of word shingles. Equal sets are one class.
 
-*Prefix.* A set of n shingles can miss at most ``e = n - ceil(t n)`` of its shingles in a linked set. A rare
+*Parts.* Sets are cut into parts by ranges of their hashes, as many as two linked sets of a size class may differ in shingles, one
+more, and some spare ones. Of two linked sets all parts but those that hold a difference are equal, so one more than the spare ones are.
+The content of a part is a signature; it has several shingles, which unlinked sets do not share by chance, however often
+each occurs. *Weak* parts, with less than three shingles and no rare one, do not sign. If a set has no more weak parts than spare ones, one
+of its parts that equals the linked set's is not weak. A size class is that of the larger set, so a set signs for all classes a partner may have.
+
+*Prefixes.* A set with more weak parts than that also signs by its prefix, which finds the links among such sets. Shingles are put in
+one global order, rare ones first; how often a shingle occurs comes from a table of ``BUCKETS`` counters over all
+documents, which only steers the order and which parts are weak: results do not depend on it. Shingles in well-filled counters are
+*frequent*, the others rare. A set of n shingles can miss at most ``e = n - ceil(t n)`` of its shingles in a linked set. A rare
 shingle of the prefix is a signature by itself and worth one credit. Frequent ones fall into groups by hash;
 every pair within a group is a signature, and g of them are worth g - 1 credits, as all but one must be missing
 before no pair is left. The prefix is extended until its credits exceed e. Of two linked sets, the one whose
 prefix ends first then shares a signature with the other. Groups depend on the size band, so a set signs for
 the bands of all sizes a partner may have.
 
-*Large groups.* A signature with more than ``SMALL`` classes emits no pairs. Its most typical class is the
+*Meeting.* Signatures with class ids are shuffled once, without text or key, and sorted: rows of one signature follow each other, and a task
+holds ``SMALL`` of them at most. As a class has many signatures, one signature has a small share of all rows.
+
+*Large groups.* A signature with more than ``SMALL`` classes emits no pairs. Its most typical class, the one with the fewest rare shingles, is the
 pivot and is compared with each member. Two members linked with the pivot need no comparison. The others are compared
 among each other, ``BLOCK`` by ``BLOCK``, by vectors of bucket counts whose distance is never above the sets' difference: first
 each with its ``NEAREST``, which connects groups of near copies, then all pairs that may be linked and are not connected yet. Such a
@@ -21,9 +31,7 @@ times those its pivot does not connect.
 *Verification* compares the whole sets, computed from the texts, after an exact lower bound on their difference from bucket
 histograms. Texts travel compressed; a pivot's goes out once per ``CHUNK`` members, which a task walks through in order.
 
-Signatures that occur once are not shuffled at all: a bit table of fixed size tells which may occur twice
-(:mod:`~lakemill.llm.bit_tables`). Signatures with one in ``HOT`` of all places or more, ``HOT`` at most, are looked up in a broadcast
-table, so no task holds all members of one.
+Class ids with one in ``HOT`` of all pairs or more, ``HOT`` at most, are looked up in a broadcast table, so no task holds all pairs of one.
 
 Defined cases: null and empty texts have no shingle and link with nothing, fewer words than a shingle are
 one shingle, repeated rows are one class, a null id takes part but never names a component (null if the
@@ -33,16 +41,18 @@ pairs are verified by 64-bit hashes of their shingles. Columns other than the id
 
 from __future__ import annotations
 
+import math
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
+from functools import lru_cache
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakemill.llm.bit_tables import Repeated
 from lakemill.llm.components import connected
-from lakemill.llm.frames import Batches, Scratch, free_prefix, staged, text_bytes
+from lakemill.llm.frames import Batches, Scratch, free_prefix, in_parts, staged, text_bytes
 from lakemill.llm.shingles import WordHasher, digest, mixed, shingle_set
 
 BUCKETS = 1 << 18
@@ -56,7 +66,6 @@ GROUP_SPREAD = 80
 VECTOR = 4096
 BLOCK = 512
 NEAREST = 6
-SLICE = 500
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -93,8 +102,50 @@ def prefix_signatures(ranked: np.ndarray, heavy: np.ndarray, groups: int, need:
     return np.concatenate(out), end <= len(first)
 
 
-def signatures(values: np.ndarray, load: np.ndarray, frequent: int, percent: int) -> np.ndarray:
-    """Signature hashes of one set; ``load`` has the counter of each shingle."""
+@lru_cache
+def parts_of(percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per size class its greatest size, number of parts, and how many of them are spare."""
+    limits = [1]
+    while limits[-1] < 1 << 31:
+        limits.append(max(limits[-1] + 1, limits[-1] * 3 // 2))
+    parts, spares = [], []
+    for below, limit in zip([0, *limits], limits):
+        most = 2 * limit * (100 - percent) // (100 + percent)  # shingles that only one of two linked sets has
+        spares.append(1 + math.ceil(2.5 * most * math.exp(-(below + 1) / (most + 1))))
+        parts.append(most + 1 + spares[-1])
+    return np.array(limits), np.array(parts), np.array(spares)
+
+
+def part_signatures(values: np.ndarray, sizes: np.ndarray, light: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures of the parts that are not weak, the number of the set of each, and per set whether it has more weak parts than spare ones.
+
+    The sets lie one behind the other, ``sizes`` long, and are sorted; a part is a range of hashes.
+    """
+    limits, parts, spares = parts_of(percent)
+    least = np.searchsorted(limits, sizes)
+    last = np.searchsorted(limits, sizes * 100 // percent)
+    found, owners, scarce = [], [], np.zeros(len(sizes), bool)
+    for step in range(int((last - least).max(initial=-1)) + 1):
+        sets = np.flatnonzero(last - least >= step)
+        inside = np.repeat(last - least >= step, sizes)
+        kept, n, at = values[inside], sizes[sets], least[sets] + step
+        first = np.cumsum(parts[at]) - parts[at]
+        place = (kept >> np.uint64(32)) * np.repeat(parts[at], n).astype(np.uint64) >> np.uint64(32)
+        cut = np.append(0, np.cumsum(np.bincount(np.repeat(first, n) + place.astype(np.int64), minlength=parts[at].sum())))
+        sums = np.append(np.uint64(0), np.cumsum(mixed(kept)))
+        lights = np.append(0, np.cumsum(light[inside]))
+        weak = (np.diff(lights[cut]) == 0) & (np.diff(cut) < 3)
+        number = (np.arange(cut.size - 1) - np.repeat(first, parts[at])).astype(np.uint64)
+        salt = np.repeat(mixed((at + (1 << 32)).astype(np.uint64)), parts[at])
+        owner = np.repeat(sets, parts[at])
+        found.append(mixed(mixed(np.diff(sums[cut]) + number * _GOLD) ^ salt)[~weak])
+        owners.append(owner[~weak])
+        scarce[sets] |= np.bincount(owner[weak], minlength=len(sizes))[sets] > spares[at]
+    return np.concatenate(found), np.concatenate(owners), scarce
+
+
+def prefixes(values: np.ndarray, load: np.ndarray, frequent: int, percent: int) -> np.ndarray:
+    """Signature hashes of the prefixes of one set; ``load`` has the counter of each shingle."""
     n = len(values)
     order = np.lexsort((values, load))
     ranked, heavy = values[order], load[order] > frequent
@@ -109,12 +160,29 @@ def signatures(values: np.ndarray, load: np.ndarray, frequent: int, percent: int
     return np.unique(np.concatenate(out))
 
 
+def signatures_of_sets(values: np.ndarray, sizes: np.ndarray, load: np.ndarray, frequent: int, percent: int) -> list[np.ndarray]:
+    """Signature hashes of each of the sorted sets that lie one behind the other."""
+    found, owner, scarce = part_signatures(values, sizes, load <= frequent, percent)
+    found = found[np.argsort(owner, kind="stable")]
+    out = np.split(found, np.cumsum(np.bincount(owner, minlength=len(sizes)))[:-1])
+    end = np.cumsum(sizes)
+    for i in np.flatnonzero(scarce):
+        own = slice(end[i] - sizes[i], end[i])
+        out[i] = np.concatenate([out[i], prefixes(values[own], load[own], frequent, percent)])
+    return out
+
+
+def signatures(values: np.ndarray, load: np.ndarray, frequent: int, percent: int) -> np.ndarray:
+    """Signature hashes of one sorted set; ``load`` has the counter of each shingle."""
+    return signatures_of_sets(values, np.array([len(values)]), load, frequent, percent)[0]
+
+
 def _counters(docs: DataFrame, width: int) -> np.ndarray:
     """How often the shingles of each counter occur; ``BUCKETS`` numbers whatever the input."""
 
     def run(batches):
         hasher, total = WordHasher(), np.zeros(BUCKETS, np.int64)
-        for batch in batches:
+        for batch in in_parts(batches):
             found = [shingle_set(v.as_py(), width, hasher) for v in batch.column(0)]
             if found:
                 total += np.bincount(bucket(np.concatenate(found)), minlength=BUCKETS)
@@ -143,24 +211,27 @@ def shingled(work: Scratch, docs: DataFrame, width: int, percent: int) -> DataFr
 
     def run(batches):
         hasher, counters = WordHasher(), shared.value
-        for batch in batches:
+        for batch in in_parts(batches):
             columns = [[] for _ in range(7)]
-            for doc_id, xxh, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                values = shingle_set(data, width, hasher)
+            sets = [shingle_set(data.as_py(), width, hasher) for data in batch.column(2)]
+            sizes = np.array([len(values) for values in sets])
+            every = np.concatenate(sets)
+            seen = counters[bucket(every)]
+            signed = iter(signatures_of_sets(every, sizes[sizes > 0], seen, frequent, percent) if len(every) else ())
+            lights = np.append(0, np.cumsum(seen <= frequent))[np.append(0, np.cumsum(sizes))]
+            for doc_id, xxh, values, light in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), sets, np.diff(lights)):
                 row = (doc_id, xxh, 0, None, None, None, None)
                 if len(values):
-                    seen = counters[bucket(values)]
-                    row = (doc_id, xxh, len(values), digest(values), float((seen <= frequent).mean()),
-                           _histogram(values), signatures(values, seen, frequent, percent).view(np.int64))
+                    row = (doc_id, xxh, len(values), digest(values), int(255 * light / len(values)), _histogram(values), next(signed).view(np.int64))
                 for column, value in zip(columns, row):
                     column.append(value)
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.float64(), pa.binary(), pa.list_(pa.int64()))
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int16(), pa.binary(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
                                              names=["doc_id", "xxh", "n", "key", "typical", "hist", "sigs"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("xxh"), text_bytes().alias("t"))
     return work.staged(rows.mapInArrow(
-        run, "doc_id bigint, xxh bigint, n bigint, key binary, typical double, hist binary, sigs array<bigint>"), "shingled")
+        run, "doc_id bigint, xxh bigint, n bigint, key binary, typical smallint, hist binary, sigs array<bigint>"), "shingled")
 
 
 def _classes(rows: DataFrame, *columns: str) -> DataFrame:
@@ -169,32 +240,6 @@ def _classes(rows: DataFrame, *columns: str) -> DataFrame:
         F.min(F.struct("doc_id", "xxh")).alias("rep"), *[F.first(c).alias(c) for c in columns])
 
 
-def _lists(column: str) -> Callable[[pa.RecordBatch], Iterator[np.ndarray]]:
-    def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        yield batch.column(batch.schema.get_field_index(column)).flatten().to_numpy().view(np.uint64)
-
-    return hashes
-
-
-def _exploded(rows: DataFrame, column: str, name: str, kept: list[str]) -> DataFrame:
-    """One row per element of the list ``column`` that may occur twice, with the columns ``kept``."""
-    repeated = Repeated(rows.select(column), _lists(column))
-    schema = ", ".join([*(f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept), f"{name} bigint"])
-
-    def run(batches: Batches) -> Batches:
-        may = repeated.worker()
-        # A row has hundreds of elements: a few rows at a time keep what goes back to Spark small.
-        for batch in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):
-            lists = batch.column(len(kept))
-            sizes = lists.value_lengths().fill_null(0).to_numpy()
-            values = lists.flatten().to_numpy()
-            found = may(values.view(np.uint64))
-            row = pa.array(np.repeat(np.arange(len(sizes)), sizes)[found])
-            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(row) for i in range(len(kept))), pa.array(values[found])], names=[*kept, name])
-
-    return rows.select(*kept, column).mapInArrow(run, schema)
-
-
 def _grouped(signed: DataFrame, key: str, *aggregates, least: int = 2) -> DataFrame:
     """``signed`` with aggregates per ``key`` for keys with ``least`` rows or more; common keys are looked up in a small broadcast table."""
     counted = signed.groupBy(key).agg(F.count("*").alias("size"), *aggregates).filter(F.col("size") >= least)
@@ -202,15 +247,43 @@ def _grouped(signed: DataFrame, key: str, *aggregates, least: int = 2) -> DataFr
     return signed.join(common, key).unionByName(signed.join(common.select(key), key, "left_anti").join(counted, key))
 
 
-def _candidates(work: Scratch, signed: DataFrame) -> DataFrame:
-    """Pairs of class ids to verify: (a, b, star); ``star`` marks the pivot ``b`` of a large group. ``signed`` has sig, id, typical."""
-    member = work.staged(_grouped(signed, "sig", F.min_by("id", "typical").alias("pivot")), "members")
-    few = member.filter(F.col("size") <= SMALL).select("sig", "id")
-    pairs = few.select("sig", F.col("id").alias("a")).join(few.select("sig", F.col("id").alias("b")), "sig").filter("a < b")
-    stars = member.filter((F.col("size") > SMALL) & (F.col("id") != F.col("pivot")))
-    return pairs.select("a", "b", F.lit(False).alias("star")).unionAll(
-        stars.select(F.col("id").alias("a"), F.col("pivot").alias("b"), F.lit(True).alias("star"))
-    ).groupBy("a", "b").agg(F.max("star").alias("star"))
+def met(batches: Batches) -> Batches:
+    """Pairs (a, b, star) of the ids that share a signature; rows (sig, id) are sorted.
+
+    A group of more than ``SMALL`` is a star about its first id. Of a group that goes on in the next batch only that id, or
+    up to ``SMALL``, are held.
+    """
+    sig, ids, large = np.zeros(0, np.int64), np.zeros(0, np.int64), False
+    for batch in chain(batches, [None]):
+        if batch is not None:
+            sig, ids = (np.concatenate([held, batch.column(c).to_numpy()]) for held, c in ((sig, "sig"), (ids, "id")))
+        if not len(sig):
+            continue
+        begin = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
+        size = np.diff(np.append(begin, len(sig)))
+        star = size > SMALL
+        star[0] |= large
+        of_star = np.repeat(star, size)
+        of_star[begin] = False
+        found = [(ids[of_star], np.repeat(ids[begin], size)[of_star])]
+        closed = ~star
+        closed[-1] &= batch is None
+        for k in range(2, SMALL + 1):
+            first = begin[closed & (size == k)]
+            for i, j in combinations(range(k), 2):
+                one, two = ids[first + i], ids[first + j]
+                found.append((np.minimum(one, two), np.maximum(one, two)))
+        one, two = (np.concatenate(side) for side in zip(*found))
+        yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(two), pa.array(np.arange(len(one)) < len(found[0][0]))], names=["a", "b", "star"])
+        large = bool(star[-1])
+        rest = slice(begin[-1], begin[-1] + 1 if large else None)
+        sig, ids = sig[rest], ids[rest]
+
+
+def _candidates(signed: DataFrame) -> DataFrame:
+    """Pairs of class ids to verify: (a, b, star); ``star`` marks the pivot ``b`` of a large group. ``signed`` has sig, id."""
+    dealt = signed.repartition("sig").sortWithinPartitions("sig", "id")
+    return dealt.mapInArrow(met, "a bigint, b bigint, star boolean").groupBy("a", "b").agg(F.max("star").alias("star"))
 
 
 def _within_bound(percent: int):
@@ -383,11 +456,11 @@ def links(spark: SparkSession, docs: DataFrame, width: int, percent: int) -> tup
     wide, narrow, work = Scratch(spark), Scratch(spark), Scratch(spark)
     rows = shingled(wide, docs, width, percent)
     slim = staged(spark, rows.select("doc_id", "xxh", "n", "key"), "document-classes")
-    classes = narrow.staged(_classes(rows, "n", "typical", "hist").withColumn("id", F.monotonically_increasing_id()), "classes")
-    keyed = _exploded(rows.filter("key IS NOT NULL"), "sigs", "sig", ["key"]).distinct().join(classes.select("key", "id", "typical"), "key")
-    signed = work.staged(keyed.select("sig", "id", "typical"), "signed")
+    signing = work.staged(_classes(rows, "n", "typical", "hist", "sigs").withColumn(
+        "id", F.shiftleft(F.col("typical").cast("long"), 55) + F.monotonically_increasing_id()), "signing-classes")  # ids are in order of ``typical``
     wide.clear()
-    pairs = narrow.staged(_candidates(work, signed), "pairs")
+    classes = narrow.staged(signing.drop("typical", "sigs"), "classes")
+    pairs = narrow.staged(_candidates(signing.select(F.explode("sigs").alias("sig"), "id")), "pairs")
     work.clear()
     side = lambda of: classes.select(F.col("id").alias(of), F.col("n").alias(f"n{of}"), F.col("hist").alias(f"h{of}"))
     sizes = lambda of: classes.select(F.col("id").alias(of), F.col("n").alias(f"n{of}"))

@@ -3,8 +3,9 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
-from lakemill.llm import collocations, latent_retrieval as lr, piece_lattice as pl
+from lakemill.llm import collocations, combination_join as cj, latent_retrieval as lr, piece_lattice as pl
 from test_collocations import slow_counts
 
 
@@ -79,3 +80,54 @@ def test_few_missed_phrases_take_one_more_pass(spark, monkeypatch):
     found = collocations._grown(spark, work, all_texts, known, 10, 5)
     assert sorted(r.h1 for r in found.distinct().collect()) == sorted(r.h1 for r in every.collect())
     assert len(passes) == 2
+
+
+def test_documents_that_share_scattered_shingles_are_no_candidates(spark, docs_of, monkeypatch):
+    """Few words, so that every shingle stands in several documents, no near copies but one pair."""
+    r, seen, used = random.Random(5), {}, cj.Scratch.staged
+
+    def staged(self, df, label):
+        seen[label] = used(self, df, label)
+        if label == "pairs":
+            seen["count"] = seen[label].count()
+        return seen[label]
+
+    monkeypatch.setattr(cj.Scratch, "staged", staged)
+    texts = [" ".join(f"w{r.randrange(25)}" for _ in range(200)) for _ in range(300)]
+    got = cj.near_duplicates(spark, docs_of(list(enumerate([*texts, texts[0] + " w1"]))))
+    assert {x.doc_id: x.component_id for x in got.collect()} == {**{i: i for i in range(300)}, 300: 0}
+    assert 1 <= seen["count"] <= 10
+
+
+def test_linked_sets_share_a_signature_of_a_part_or_a_prefix():
+    r = np.random.default_rng(8)
+    for percent in (80, 90):
+        for n in (4, 9, 10, 17, 30, 31, 64, 200, 700, 5000):
+            for rare in (0.0, 0.1, 0.95):
+                x = np.unique(r.integers(0, 2**64, n, dtype=np.uint64))
+                gone = int(r.integers(0, n - -(-n * percent // 100) + 1))
+                y = np.sort(r.permutation(x)[gone:])
+                more = r.integers(0, 2**64, 20 * n, dtype=np.uint64)
+                new = 0
+                while 100 * len(y) >= percent * (len(x) + new + 1):
+                    new += 1
+                y = np.sort(np.concatenate([y, more[:new]]))  # as far apart as linked sets may be
+                both = len(np.intersect1d(x, y))
+                assert 100 * both >= percent * (len(x) + len(y) - both)
+                load = lambda s: np.where(s % np.uint64(1000) < np.uint64(1000 * rare), 1, 100 + (s % np.uint64(7)).astype(int))  # noqa: E731,B023
+                one, two = (cj.signatures(s, load(s), 50, percent) for s in (x, y))
+                assert len(np.intersect1d(one, two)), (percent, n, rare)
+
+
+def test_groups_of_a_signature_across_batches():
+    r = random.Random(6)
+    rows = sorted({(r.randrange(40) if r.random() < 0.7 else 99, r.randrange(1000)) for _ in range(400)})
+    for size in (1, 3, 7, 400):
+        parts = [pa.RecordBatch.from_pydict({"sig": [s for s, _ in rows[i:i + size]], "id": [k for _, k in rows[i:i + size]]}) for i in range(0, len(rows), size)]
+        got = [tuple(x.values()) for b in cj.met(iter(parts)) for x in b.to_pylist()]
+        want = []
+        for sig in {s for s, _ in rows}:
+            ids = [k for s, k in rows if s == sig]
+            want += [(k, ids[0], True) for k in ids[1:]] if len(ids) > cj.SMALL else [(a, b, False) for a in ids for b in ids if a < b]
+        assert sorted(got) == sorted(want)
+    assert list(cj.met(iter([]))) == []
