@@ -1,6 +1,7 @@
 """Language model, classifier and quality rules: exact parts against brute force, the rest by held-out accuracy."""
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -32,6 +33,78 @@ def test_probabilities_sum_to_one():
     assert abs(np.exp(lm.output(w, v, h, np.arange(51))[0]).sum() - 1) < 1e-5
 
 
+def window_of(v, r, steps=6, docs=5):
+    n = len(v.counts)
+    ys = r.choice(n, (steps, docs), p=v.counts / v.counts.sum())
+    xs = np.vstack([np.full((1, docs), n), ys[:-1]])
+    return xs, ys, np.arange(steps)[:, None] < r.integers(1, steps + 1, docs)
+
+
+def test_output_in_small_parts_is_the_same(monkeypatch):
+    r = np.random.default_rng(1)
+    v = lm.vocabulary(np.arange(10, 310).astype(np.uint64), np.arange(700, 400, -1), 40_000)
+    w, (xs, ys, mask), h = lm.starting_weights(v), window_of(v, r, 12, 20), np.zeros((20, lm.HIDDEN), np.float32)
+    whole = lm.train_window(w, v, xs, ys, mask, h)
+    monkeypatch.setattr(lm, "FLAT", 7)  # cuts classes and their rows
+    parts = lm.train_window(w, v, xs, ys, mask, h)
+    assert all(np.allclose(a, parts[0][k], atol=1e-5) for k, a in whole[0].items()) and abs(whole[2] - parts[2]) < 1e-3
+
+
+def test_steps_leave_words_alone_that_a_window_does_not_need():
+    r = np.random.default_rng(2)
+    v = lm.vocabulary(np.arange(10, 2010).astype(np.uint64), (100_000 / np.arange(1, 2001)).astype(np.int64), 40_000)
+    w = lm.starting_weights(v)
+    plain = {k: a.astype(np.float64) for k, a in w.items()}
+    first, second = ({k: np.zeros_like(a) for k, a in plain.items()} for _ in range(2))
+    adam, buffers = lm.Adam(w), {k: np.full_like(a, np.nan) for k, a in w.items()}  # what was left there must not be read
+    column = np.concatenate([np.tile(np.arange(a, b), lm.HIDDEN + 1) for a, b in zip(v.bounds, v.bounds[1:])])  # of each number in "word"
+    h, untouched = np.zeros((5, lm.HIDDEN), np.float32), 0
+    for count in range(1, 5):
+        xs, ys, mask = window_of(v, r)
+        grads = lm.train_window({k: a.astype(np.float32) for k, a in plain.items()}, v, xs, ys, mask, h)[0]
+        _, _, _, n, read = lm.train_window(w, v, xs, ys, mask, h, buffers)
+        adam.step(w, buffers, read, lm.blocks_of(v, ys[mask]), n)
+        grads = {k: a.astype(np.float64) / n for k, a in grads.items()}
+        norm = sum((a * a).sum() for a in grads.values()) ** 0.5
+        asked = np.isin(v.classes[v.members[column]], v.classes[ys[mask]])
+        untouched += int((~asked).sum())
+        for k, a in grads.items():
+            at = {"embed": np.unique(xs), "word": np.flatnonzero(asked)}.get(k, slice(None))
+            g = a[at] * min(1, lm.CLIP / norm)
+            first[k][at] = 0.9 * first[k][at] + 0.1 * g
+            second[k][at] = 0.99 * second[k][at] + 0.01 * g * g
+            plain[k][at] -= lm.RATE * (first[k][at] / (1 - 0.9**count)) / (np.sqrt(second[k][at] / (1 - 0.99**count)) + 1e-7)
+    assert untouched and all(np.allclose(a, plain[k], atol=2e-4) for k, a in w.items())
+
+
+def test_a_window_makes_no_table_of_the_vocabulary():
+    r = np.random.default_rng(3)
+    v = lm.vocabulary(np.arange(10, 300_010).astype(np.uint64), (10**8 / np.arange(1, 300_001)).astype(np.int64), 40_000)
+    w = lm.starting_weights(v)
+    adam, grads, h = lm.Adam(w), {k: np.empty_like(a) for k, a in w.items()}, np.zeros((5, lm.HIDDEN), np.float32)
+    xs, ys, mask = window_of(v, r)
+    tracemalloc.start()
+    _, _, _, n, read = lm.train_window(w, v, xs, ys, mask, h, grads)
+    adam.step(w, grads, read, lm.blocks_of(v, ys[mask]), n)
+    assert tracemalloc.get_traced_memory()[1] < w["word"].nbytes / 20
+    tracemalloc.stop()
+
+
+def test_words_outside_the_table_are_counted_by_document(spark, docs_of):
+    texts = {1: "a b b zz zz zz q", 2: "zz a q q", 3: None, 4: "zz " * 3 + "a"}
+    docs = docs_of(sorted(texts.items()) + [(i, "a b " * 20) for i in range(10, 1200)])
+    got = {r.doc_id: r for r in lm.scored(spark, docs, head=2).collect()}
+    counts = Counter()
+    for r in docs.collect():
+        if zlib.crc32(str(r.doc_id).encode()) % 5 != 1:
+            counts.update((r.text or "").split() + [None])
+    total, kinds = sum(counts.values()), len(counts)
+    for i, text in texts.items():
+        t = (text or "").split() + [None]
+        want = sum(math.log10((counts[x] + 0.5) / (total + 0.5 * (kinds + 1))) for x in t)
+        assert (got[i].n_tokens, got[i].n_known) == (len(t), sum(x in counts for x in t)) and abs(got[i].base_score - want) < 1e-9 * abs(want)
+
+
 def test_base_scores_and_held_out_gain(spark):
     folder = "/root/testdata/sf0.001"
     whole = queries.op3_recurrent_lm(spark, folder).collect()
